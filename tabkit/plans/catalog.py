@@ -434,3 +434,174 @@ def q_standard_scale(spark, d):
     m = fx.measures(spark, d).select("l_orderkey", "l_linenumber", *fx.MEASURE_COLS)
     out = features.standard_scale(m, fx.MEASURE_COLS)
     return out.select("l_orderkey", "l_linenumber", *[r6(c).alias(c) for c in fx.MEASURE_COLS])
+
+
+TRAIN_WHERE = f"{HASH_SQL.format(c='id')} >= {TEST_CUT}"
+TEST_WHERE = f"{HASH_SQL.format(c='id')} < {TEST_CUT}"
+
+
+def _train_test(spark, d):
+    s = splits.hash_split(fx.survey(spark, d), "id")
+    return s.where(F.col("split") == "train").drop("split"), s.where(F.col("split") == "test").drop("split")
+
+
+def _cat_dict_sql(col: str, src: str, fill: bool) -> str:
+    v = f"coalesce({col}, 'missing')" if fill else col
+    return (f"(select v, cast(row_number() over (order by v) - 1 as int) as code "
+            f"from (select distinct {v} as v from {src} where {v} is not null))")
+
+
+@query("one_hot", sv(
+    "select id, " + ", ".join(
+        f"case when coalesce({c}, 'missing') = '{v}' then 1.0 else 0.0 end as \"{c}_{v}\""
+        for c, vals in (("status", ["F", "O", "P", "missing"]),
+                        ("segment", ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]))
+        for v in vals) + " from survey"
+))
+def q_one_hot(spark, d):
+    s = features.fill_constant(fx.survey(spark, d).select("id", *fx.SURVEY_ONE_HOT), fx.SURVEY_ONE_HOT)
+    return features.one_hot(s, fx.SURVEY_ONE_HOT)
+
+
+@query("ordinal_encode", sv(
+    "select s.id, " + ", ".join(f"coalesce(d{i}.code, -1) as {c}" for i, c in enumerate(fx.SURVEY_ORDINAL))
+    + " from survey s " + " ".join(
+        f"left join {_cat_dict_sql(c, 'survey', True)} d{i} on coalesce(s.{c}, 'missing') = d{i}.v"
+        for i, c in enumerate(fx.SURVEY_ORDINAL))
+))
+def q_ordinal_encode(spark, d):
+    s = features.fill_constant(fx.survey(spark, d).select("id", *fx.SURVEY_ORDINAL), fx.SURVEY_ORDINAL)
+    return features.ordinal_encode(s, fx.SURVEY_ORDINAL)
+
+
+CODE_COLS = ["status", "priority", "nation"]
+
+
+@query("category_codes", sv(
+    "select s.id, " + ", ".join(f"coalesce(d{i}.code, -1) as {c}" for i, c in enumerate(CODE_COLS))
+    + " from survey s " + " ".join(
+        f"left join {_cat_dict_sql(c, 'survey', False)} d{i} on s.{c} = d{i}.v" for i, c in enumerate(CODE_COLS))
+))
+def q_category_codes(spark, d):
+    s = fx.survey(spark, d).select("id", *CODE_COLS)
+    return features.apply_category_codes(s, CODE_COLS)
+
+
+@query("category_dictionary", sv(
+    "select v as value, code from " + _cat_dict_sql("nation", "survey", False)
+))
+def q_category_dictionary(spark, d):
+    return features.category_dictionary(fx.survey(spark, d), "nation").table
+
+
+@query("dictionary_lookup", sv(
+    f"select s.id, coalesce(d.code, -1) as name_code from (select * from survey where {TEST_WHERE}) s "
+    f"left join {_cat_dict_sql('name', f'(select * from survey where {TRAIN_WHERE})', False)} d on s.name = d.v"
+))
+def q_dictionary_lookup(spark, d):
+    train, test = _train_test(spark, d)
+    dictionary = features.category_dictionary(train, "name")
+    out = features.dictionary_lookup(test.select("id", "name"), "name", dictionary, -1, out="name_code")
+    return out
+
+
+@query("assemble_vector", sv(
+    "select id, 3 as n_features, " + ", ".join(
+        f"round(coalesce({c}, (select median({c}) from survey)), 6) as f{i}" for i, c in enumerate(fx.SURVEY_NUMERIC))
+    + " from survey"
+))
+def q_assemble_vector(spark, d):
+    s = features.impute_median(fx.survey(spark, d).select("id", *fx.SURVEY_NUMERIC), fx.SURVEY_NUMERIC)
+    v = features.assemble(s, fx.SURVEY_NUMERIC)
+    arr = vector_to_array("features")
+    return v.select("id", F.size(arr).alias("n_features"), *[r6(arr[i]).alias(f"f{i}") for i in range(3)])
+
+
+@query("index_label", sv(
+    "select segment, cast(row_number() over (order by count(*) desc, segment) - 1 as double) as idx "
+    "from survey group by segment"
+))
+def q_index_label(spark, d):
+    out, _ = features.index_label(fx.survey(spark, d), "segment", "idx")
+    return out.select("segment", "idx").distinct()
+
+
+@query("drop_columns", sv("select id, status, priority, nation, price, acctbal, month, label from survey"))
+def q_drop_columns(spark, d):
+    return features.drop_columns(fx.survey(spark, d), ["name", "segment"])
+
+
+@query("select_columns", sv("select id, label, price from survey"))
+def q_select_columns(spark, d):
+    return features.select_columns(fx.survey(spark, d), ["id", "label", "price"])
+
+
+@query("target_first", sv("select label, id, name, status, segment, priority, nation, price, acctbal, month from survey"))
+def q_target_first(spark, d):
+    return features.target_first(fx.survey(spark, d), "label")
+
+
+@query("concat_columns", sv(
+    f"select coalesce(a.id, b.id) as id, a.price, b.segment from (select id, price from survey where {TRAIN_WHERE}) a "
+    "full outer join (select id, segment from survey) b on a.id = b.id"
+))
+def q_concat_columns(spark, d):
+    train, _ = _train_test(spark, d)
+    return features.concat_columns(train.select("id", "price"), fx.survey(spark, d).select("id", "segment"), "id")
+
+
+ONE_HOT_VALUES = (("status", ["F", "O", "P", "missing"]),
+                  ("segment", ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]))
+
+
+def _prep_sql(fit_where: str, apply_where: str) -> str:
+    """The whole preparation in SQL: fit on rows matching ``fit_where``, apply to ``apply_where``."""
+    num = fx.SURVEY_NUMERIC
+    med = ", ".join(f"median({c}) as m_{c}" for c in num)
+    filled = ", ".join(f"coalesce({c}, m_{c}) as f_{c}" for c in num)
+    stats = ", ".join(f"avg(f_{c}) as a_{c}, stddev_pop(f_{c}) as s_{c}" for c in num)
+    scaled = ", ".join(
+        f"round((coalesce(x.{c}, p.m_{c}) - st.a_{c}) / coalesce(nullif(st.s_{c}, 0), 1), 6) as {c}" for c in num)
+    onehot = ", ".join(
+        f"case when coalesce(x.{c}, 'missing') = '{v}' then 1.0 else 0.0 end as \"{c}_{v}\""
+        for c, vals in ONE_HOT_VALUES for v in vals)
+    ords = ", ".join(f"coalesce(d{i}.code, -1) as {c}" for i, c in enumerate(fx.SURVEY_ORDINAL))
+    joins = " ".join(
+        f"left join {_cat_dict_sql(c, 'fit', True)} d{i} on coalesce(x.{c}, 'missing') = d{i}.v"
+        for i, c in enumerate(fx.SURVEY_ORDINAL))
+    return sv(f"""
+, fit as (select * from survey where {fit_where}),
+p as (select {med} from fit),
+st as (select {stats} from (select {filled} from fit, p))
+select x.label, {ords}, {scaled}, {onehot}
+from (select * from survey where {apply_where}) x cross join p cross join st {joins}
+""")
+
+
+PREP_ARGS = dict(target="label", numeric=fx.SURVEY_NUMERIC, one_hot_cols=fx.SURVEY_ONE_HOT,
+                 ordinal_cols=fx.SURVEY_ORDINAL, drop=fx.SURVEY_DROP)
+
+
+def _rounded(df: DataFrame, cols=fx.SURVEY_NUMERIC) -> DataFrame:
+    return df.select(*[(r6(c).alias(c) if c in cols else F.col(f"`{c}`")) for c in df.columns])
+
+
+@query("prep_pipeline", _prep_sql(TRAIN_WHERE, TRAIN_WHERE))
+def q_prep_pipeline(spark, d):
+    train, _ = _train_test(spark, d)
+    out, _model = features.prepare(train, **PREP_ARGS)
+    return _rounded(out)
+
+
+@query("prep_apply_test", _prep_sql(TRAIN_WHERE, TEST_WHERE))
+def q_prep_apply_test(spark, d):
+    train, test = _train_test(spark, d)
+    model = features.PrepModel.fit(train, **PREP_ARGS)
+    return _rounded(model.transform(test))
+
+
+@query("prep_refit_test", _prep_sql(TEST_WHERE, TEST_WHERE))
+def q_prep_refit_test(spark, d):
+    _, test = _train_test(spark, d)
+    out, _model = features.prepare(test, **PREP_ARGS)
+    return _rounded(out)
