@@ -605,3 +605,131 @@ def q_prep_refit_test(spark, d):
     _, test = _train_test(spark, d)
     out, _model = features.prepare(test, **PREP_ARGS)
     return _rounded(out)
+
+
+# ============================================================== sources and sinks
+SURVEY_SCHEMA = T.StructType([
+    T.StructField(c, {"bigint": T.LongType(), "string": T.StringType(), "double": T.DoubleType(),
+                      "int": T.IntegerType()}[t], True)
+    for c, t in zip(SURVEY_COLS, SURVEY_TYPES)
+])
+
+
+@query("csv_scan_header", sv("select * from survey"))
+def q_csv_scan_header(spark, d):
+    path = scratch_path(spark, "survey-header")
+    fx.survey(spark, d).write.option("header", True).csv(path)
+    return csvio.read_table_csv(spark, path, SURVEY_SCHEMA)
+
+
+@query("csv_sink_indexed", sv("select * from survey"))
+def q_csv_sink_indexed(spark, d):
+    path = scratch_path(spark, "survey-indexed")
+    csvio.write_indexed_csv(fx.survey(spark, d), path, "id")
+    back = csvio.read_indexed_csv(spark, path, SURVEY_SCHEMA, "id")
+    return back.select(*SURVEY_COLS)
+
+
+POSITIONAL_COLS = ["label", "price", "acctbal", "month"]
+
+
+@query("csv_sink_headerless", sv(
+    "select cast(label as double) as \"0\", price as \"1\", acctbal as \"2\", cast(month as double) as \"3\" from survey"
+))
+def q_csv_sink_headerless(spark, d):
+    path = scratch_path(spark, "survey-headerless")
+    s = fx.survey(spark, d).select(*[F.col(c).cast("double") for c in POSITIONAL_COLS])
+    csvio.write_headerless_csv(s, path)
+    return csvio.read_positional_csv(spark, path, len(POSITIONAL_COLS))
+
+
+@query("csv_scan_positional", _prep_sql(TRAIN_WHERE, TRAIN_WHERE).replace(
+    "select x.label,", "select cast(x.label as double) as label,"))
+def q_csv_scan_positional(spark, d):
+    """The prepared training file written headerless, read back by position and
+    renamed to the prepared column names."""
+    train, _ = _train_test(spark, d)
+    prepared, _m = features.prepare(train, **PREP_ARGS)
+    names = prepared.columns
+    path = scratch_path(spark, "prepared-train")
+    csvio.write_headerless_csv(prepared, path)
+    back = csvio.read_positional_csv(spark, path, len(names))
+    out = back.toDF(*names)
+    return out.select(*[(F.col(f"`{c}`").cast("int").alias(c) if c in fx.SURVEY_ORDINAL else
+                         r6(F.col(f"`{c}`")).alias(c) if c in fx.SURVEY_NUMERIC else F.col(f"`{c}`")) for c in names])
+
+
+@query("prediction_sink", sc("select id, prediction as label from scored"))
+def q_prediction_sink(spark, d):
+    path = scratch_path(spark, "predictions")
+    csvio.write_predictions(fx.scored(spark, d), path, "id", "label")
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("label", T.IntegerType())])
+    return csvio.read_table_csv(spark, path, schema)
+
+
+@query("file_inventory", "select 'lineitem.parquet' as file_name, count(*) as rows from lineitem")
+def q_file_inventory(spark, d):
+    return tabio.file_inventory(spark, f"{d.rstrip('/')}/lineitem.parquet")
+
+
+# Text lines of the study's prepared-file shape: label, numbers, and text fields
+# (status, priority) that do not read as numbers; NULLs left empty.
+LINE_SQL = ("cast(label as varchar) || ',' || coalesce(printf('%.2f', price), '') || ',' || "
+            "coalesce(printf('%.2f', acctbal), '') || ',' || coalesce(cast(month as varchar), '') || ',' || "
+            "coalesce(status, '') || ',' || coalesce(priority, '')")
+
+
+def _line_col():
+    def s(c):
+        return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
+    def num(c):  # format_string renders NULL as the word null, so guard it
+        return F.when(F.col(c).isNotNull(), F.format_string("%.2f", c))
+
+    return F.concat_ws(
+        ",", F.col("label").cast("string"), s(num("price")), s(num("acctbal")),
+        s(F.col("month").cast("string")), s(F.col("status")), s(F.col("priority")),
+    ).alias("value")
+
+
+def _write_lines(spark, d) -> str:
+    path = scratch_path(spark, "lines")
+    s = fx.survey(spark, d)
+    s.select(_line_col()).write.text(path)
+    return path
+
+
+@query("text_line_scan", sv(f"select count(*) as lines, sum(length({LINE_SQL})) as chars from survey"))
+def q_text_line_scan(spark, d):
+    lines = textio.read_lines(spark, _write_lines(spark, d))
+    return lines.agg(F.count(F.lit(1)).alias("lines"), F.sum(F.length("value")).cast("bigint").alias("chars"))
+
+
+NUM_SQL = (f"case when regexp_matches(trim(tok), '{NUMBER_PATTERN}') then try_cast(trim(tok) as double) "
+           "else -1.0 end")
+
+
+@query("number_or_default", sv(f"""
+select distinct tok as field, {NUM_SQL} as number
+from (select unnest(string_split({LINE_SQL}, ',')) as tok from survey)
+"""))
+def q_number_or_default(spark, d):
+    lines = textio.read_lines(spark, _write_lines(spark, d))
+    toks = lines.select(F.explode(F.split("value", ",", -1)).alias("field")).distinct()
+    return toks.select("field", number_or("field").alias("number"))
+
+
+@query("parse_labeled_points", sv(f"""
+select label, n_features, round(feature_sum, 6) as feature_sum, count(*) as rows from (
+  select cast(label as double) as label, 5 as n_features,
+         coalesce(price, -1) + coalesce(acctbal, -1) + coalesce(month, -1) - 2 as feature_sum
+  from (select label, round(price, 2) as price, round(acctbal, 2) as acctbal, month from survey))
+group by 1, 2, 3
+"""))
+def q_parse_labeled_points(spark, d):
+    lines = textio.read_lines(spark, _write_lines(spark, d))
+    pts = textio.parse_labeled_points(lines, as_vector=False)
+    agg = pts.select(
+        "label", F.size("features").alias("n_features"),
+        r6(F.aggregate("features", F.lit(0.0), lambda a, x: a + x)).alias("feature_sum"),
+    )
+    return agg.groupBy("label", "n_features", "feature_sum").agg(F.count(F.lit(1)).alias("rows"))
