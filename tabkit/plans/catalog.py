@@ -733,3 +733,271 @@ def q_parse_labeled_points(spark, d):
         r6(F.aggregate("features", F.lit(0.0), lambda a, x: a + x)).alias("feature_sum"),
     )
     return agg.groupBy("label", "n_features", "feature_sum").agg(F.count(F.lit(1)).alias("rows"))
+
+
+# ============================================================== models: closed-form checks
+from tabkit.operators import experiments, models, tuning  # noqa: E402
+
+STUMP_SQL = sv("""
+, x as (select label, cast(month as double) as f0, floor(coalesce(price, 0) / 25000) as f1,
+              floor(coalesce(acctbal, 0) / 1000) as f2 from survey),
+long as (select 0 as feature, f0 as v, label from x union all select 1, f1, label from x
+         union all select 2, f2, label from x),
+g as (select feature, v, count(*) as c, sum(label) as p from long group by feature, v),
+cum as (select feature, v, lead(v) over (partition by feature order by v) as nv,
+               sum(c) over (partition by feature order by v) as nl, sum(p) over (partition by feature order by v) as pl,
+               sum(c) over (partition by feature) as n, sum(p) over (partition by feature) as pt from g),
+gains as (select feature, (v + nv) / 2 as threshold,
+                 (1 - (pt / n) * (pt / n) - (1 - pt / n) * (1 - pt / n))
+                 - nl / n * (1 - (pl / nl) * (pl / nl) - (1 - pl / nl) * (1 - pl / nl))
+                 - (n - nl) / n * (1 - ((pt - pl) / (n - nl)) * ((pt - pl) / (n - nl))
+                                   - (1 - (pt - pl) / (n - nl)) * (1 - (pt - pl) / (n - nl))) as gain
+          from cum where nv is not null)
+select cast(feature as int) as feature, threshold, round(gain, 6) as gain from gains order by gain desc, feature limit 1
+""")
+
+
+@query("rf_stump", STUMP_SQL)
+def q_rf_stump(spark, d):
+    """Random forest of one unbootstrapped depth-1 tree on all features: its split is
+    the best gini cut over all features; the gain is recomputed from the data."""
+    s = fx.survey(spark, d)
+    x = s.select(
+        F.col("label").cast("double").alias("label"), F.col("month").cast("double").alias("f0"),
+        F.floor(F.coalesce("price", F.lit(0.0)) / 25000).cast("double").alias("f1"),
+        F.floor(F.coalesce("acctbal", F.lit(0.0)) / 1000).cast("double").alias("f2"),
+    ).persist()
+    v = features.assemble(x, ["f0", "f1", "f2"])
+    model = models.train_rf(v, 1, 1, 32, featureSubsetStrategy="all", bootstrap=False)
+    f, t = models.stump_split(model)
+    gain = models.gini_gain(x, f"f{f}", t)
+    return gain.select(F.lit(f).alias("feature"), F.lit(t).alias("threshold"), r6("gain").alias("gain"))
+
+
+def _p1():
+    return vector_to_array(F.col("probability"))[1]
+
+
+@query("lr_saturated", sv(
+    "select coalesce(status, 'missing') as status, round(avg(label), 5) as prob from survey group by 1"
+))
+def q_lr_saturated(spark, d):
+    """Unpenalised LR without intercept on the one-hot of one column: the fitted
+    probability of each category is the category's label mean."""
+    s = fx.survey(spark, d).select(
+        F.coalesce("status", F.lit("missing")).alias("status"), F.col("label").cast("double").alias("label")
+    )
+    cats = features.fit_one_hot(s, ["status"])
+    oh = features.apply_one_hot(s, cats, drop_source=False)
+    cols = [f"status_{v}" for v in cats["status"]]
+    v = features.assemble(oh, cols).persist()
+    model = models.train_lr(v, fit_intercept=False, reg=0.0, max_iter=100, tol=1e-9)
+    scored = model.transform(v)
+    return scored.groupBy("status").agg(F.max(F.round(_p1(), 5)).alias("prob"))
+
+
+@query("gbt_one_round", sv(
+    "select cast(floor(coalesce(price, 0) / 125000) as int) as bucket, "
+    "round(1 / (1 + exp(-2 * (2 * avg(label) - 1))), 5) as prob from survey group by 1"
+))
+def q_gbt_one_round(spark, d):
+    """One boosting round of depth 5 on a 4-valued feature: each value is a leaf
+    with margin mean(2y-1), probability 1 / (1 + exp(-2 margin))."""
+    s = fx.survey(spark, d).select(
+        F.floor(F.coalesce("price", F.lit(0.0)) / 125000).cast("int").alias("bucket"),
+        F.col("label").cast("double").alias("label"),
+    ).withColumn("f", F.col("bucket").cast("double"))
+    v = features.assemble(s, ["f"]).persist()
+    model = models.train_gbt(v, max_depth=5, learning_rate=0.1, n_estimators=1)
+    return model.transform(v).groupBy("bucket").agg(F.max(F.round(_p1(), 5)).alias("prob"))
+
+
+LINEAR_WEIGHTS = {"price": 1.2345678e-05, "acctbal": 0.0002137913, "month": -0.05173}
+LINEAR_INTERCEPT = -3.5
+
+
+def _margin_sql():
+    m = f"cast({LINEAR_INTERCEPT!r} as double)"
+    for c, w in LINEAR_WEIGHTS.items():
+        m = f"({m} + cast({w!r} as double) * coalesce(cast({c} as double), 0))"
+    return m
+
+
+@query("score_linear", sv(f"""
+select id, round(m, 6) as margin, round(1 / (1 + exp(-m)), 6) as probability,
+       case when 1 / (1 + exp(-m)) > 0.5 then 1 else 0 end as prediction
+from (select id, {_margin_sql()} as m from survey)
+"""))
+def q_score_linear(spark, d):
+    s = fx.survey(spark, d).select("id", *LINEAR_WEIGHTS)
+    out = models.score_linear(s, LINEAR_WEIGHTS, LINEAR_INTERCEPT, "lr")
+    return out.select("id", r6("margin").alias("margin"), r6("probability").alias("probability"), "prediction")
+
+
+ES_ROUNDS = 20
+ES_PATIENCE = 3
+
+
+def _round_scores(spark, d) -> DataFrame:
+    """Per-round validation scores of two threshold scorers whose cut moves each
+    round (data-derived rounds for the patience rule)."""
+    s = fx.survey(spark, d)
+    keys = s.select(
+        "label",
+        F.ceil(F.coalesce("price", F.lit(0.0)) / 25000).alias("price"),
+        F.ceil((F.coalesce("acctbal", F.lit(0.0)) + 1000) / 500).alias("acctbal"),
+    ).unpivot(["label"], ["price", "acctbal"], "model", "key")
+    g = keys.groupBy("model", "key").agg(F.count(F.lit(1)).alias("c"), F.sum("label").alias("p"))
+    r = g.select("*", F.explode(F.sequence(F.lit(1), F.lit(ES_ROUNDS))).alias("round"))
+    right = F.when(F.col("key") > F.col("round"), F.col("p")).otherwise(F.col("c") - F.col("p"))
+    return r.groupBy("model", "round").agg(F.round(F.sum(right) / F.sum("c"), 6).alias("score"))
+
+
+ROUND_SCORES_SQL = f"""
+, keys as (select label, 'price' as model, ceil(coalesce(price, 0) / 25000) as key from survey
+           union all select label, 'acctbal', ceil((coalesce(acctbal, 0) + 1000) / 500) from survey),
+g as (select model, key, count(*) as c, sum(label) as p from keys group by model, key),
+sc as (select model, cast(r.round as int) as round,
+              round(sum(case when key > r.round then p else c - p end) / sum(c), 6) as score
+       from g cross join (select range as round from range(1, {ES_ROUNDS + 1})) r group by model, r.round)
+"""
+
+
+@query("early_stop_round", sv(ROUND_SCORES_SQL + f""",
+m as (select *, max(score) over (partition by model order by round rows between unbounded preceding and 1 preceding) as prev_best from sc),
+i as (select *, max(case when prev_best is null or score > prev_best then round end)
+                  over (partition by model order by round rows between unbounded preceding and current row) as best_round from m),
+st as (select model, coalesce(min(case when round - best_round >= {ES_PATIENCE} then round end), max(round)) as stop_round
+       from i group by model)
+select i.model, i.best_round, b.score as best_score, st.stop_round
+from i join st on i.model = st.model and i.round = st.stop_round join sc b on b.model = i.model and b.round = i.best_round
+"""))
+def q_early_stop_round(spark, d):
+    return models.early_stop(_round_scores(spark, d), ES_PATIENCE)
+
+
+# ---- data-derived grid and run tables for the result operators
+PICK_GRID = {"price_cut": [150000, 200000, 250000, 300000], "acct_cut": [-1000, 0, 2500, 5000]}
+
+
+def _grid_scores(spark, d) -> DataFrame:
+    """Accuracy of the rule ``price > price_cut or acctbal > acct_cut`` at every grid
+    point. Rows are first counted per (price key, balance key, label); the grid
+    points then spread over those counts only."""
+    grid = tuning.param_grid(spark, PICK_GRID).collect()  # parameters: 16 rows
+    s = fx.survey(spark, d)
+    g = s.groupBy(
+        F.ceil(F.coalesce("price", F.lit(0.0)) / 50000).alias("kp"),
+        F.ceil(F.coalesce("acctbal", F.lit(0.0)) / 500).alias("ka"), "label",
+    ).agg(F.count(F.lit(1)).alias("c"))
+    pts = F.array(*[F.struct(F.lit(r.combo).alias("combo"), F.lit(r.price_cut).alias("price_cut"),
+                             F.lit(r.acct_cut).alias("acct_cut")) for r in grid])
+    e = g.select("*", F.explode(pts).alias("g")).select("kp", "ka", "label", "c", "g.*")
+    pred = ((F.col("kp") > F.col("price_cut") / 50000) | (F.col("ka") > F.col("acct_cut") / 500)).cast("int")
+    return e.groupBy("combo", "price_cut", "acct_cut").agg(
+        F.round(F.sum(F.when(pred == F.col("label"), F.col("c")).otherwise(0)) / F.sum("c"), 6).alias("score")
+    )
+
+
+def _grid_sql():
+    vals = ", ".join(
+        f"({i + 1}, {p}, {a})" for i, (p, a) in enumerate((p, a) for p in PICK_GRID["price_cut"] for a in PICK_GRID["acct_cut"]))
+    return f"""
+, grid as (select * from (values {vals}) t(combo, price_cut, acct_cut)),
+scores as (select combo, price_cut, acct_cut,
+                  round(count(*) filter (where (case when coalesce(price, 0) > price_cut or coalesce(acctbal, 0) > acct_cut
+                                                     then 1 else 0 end) = label) / count(*), 6) as score
+           from survey cross join grid group by combo, price_cut, acct_cut)
+"""
+
+
+@query("pick_best", sv(_grid_sql() + "select * from scores where score > 0 order by score desc, combo limit 1"))
+def q_pick_best(spark, d):
+    return tuning.pick_best(_grid_scores(spark, d))
+
+
+RUN_MODELS = {"price": ("price", 250000.0), "acctbal": ("acctbal", 4500.0), "month": ("month", 6.0)}
+RUN_METRIC_COLS = ["accuracy", "precision", "recall", "max_shard_rows"]
+
+
+def _runs(spark, d) -> DataFrame:
+    """Run table (model, partitions, accuracy, precision, recall, max_shard_rows):
+    each scorer evaluated on the data split into p hash shards (shard metrics
+    averaged), with the largest shard as the cost of the run."""
+    s = fx.survey(spark, d)
+    base = s.select(
+        F.pmod(portable_hash("id"), F.lit(64)).alias("s64"), "label",
+        *[F.when(F.coalesce(c, F.lit(0.0)) > cut, 1).otherwise(0).alias(m) for m, (c, cut) in RUN_MODELS.items()],
+    ).unpivot(["s64", "label"], list(RUN_MODELS), "model", "pred")
+    g = base.groupBy("model", "s64", "label", "pred").agg(F.count(F.lit(1)).alias("c"))
+    e = g.select("*", F.explode(F.array(*[F.lit(p) for p in experiments.PARTITION_COUNTS])).alias("partitions"))
+    per = e.groupBy("model", "partitions", (F.col("s64") % F.col("partitions")).alias("shard")).agg(
+        F.sum("c").alias("n"),
+        F.sum(F.when(F.col("label") == F.col("pred"), F.col("c")).otherwise(0)).alias("correct"),
+        F.sum(F.when((F.col("label") == 1) & (F.col("pred") == 1), F.col("c")).otherwise(0)).alias("tp"),
+        F.sum(F.when(F.col("pred") == 1, F.col("c")).otherwise(0)).alias("pred1"),
+        F.sum(F.when(F.col("label") == 1, F.col("c")).otherwise(0)).alias("pos1"),
+    )
+    return per.groupBy("model", F.col("partitions").cast("int").alias("partitions")).agg(
+        F.round(F.avg(F.col("correct") / F.col("n")), 6).alias("accuracy"),
+        F.round(F.avg(F.coalesce(F.col("tp") / F.nullif(F.col("pred1"), F.lit(0)), F.lit(0.0))), 6).alias("precision"),
+        F.round(F.avg(F.coalesce(F.col("tp") / F.nullif(F.col("pos1"), F.lit(0)), F.lit(0.0))), 6).alias("recall"),
+        F.max("n").cast("double").alias("max_shard_rows"),
+    )
+
+
+def _runs_sql():
+    preds = ", ".join(
+        f"case when coalesce({c}, 0) > {cut} then 1 else 0 end as {m}" for m, (c, cut) in RUN_MODELS.items())
+    unp = " union all ".join(f"select s64, label, '{m}' as model, {m} as pred from b" for m in RUN_MODELS)
+    parts = ", ".join(f"({p})" for p in experiments.PARTITION_COUNTS)
+    return f"""
+, b as (select {HASH_SQL.format(c='id')} % 64 as s64, label, {preds} from survey),
+u as ({unp}),
+per as (select model, cast(t.p as int) as partitions, s64 % t.p as shard, count(*) as n,
+               count(*) filter (where label = pred) as correct,
+               count(*) filter (where label = 1 and pred = 1) as tp,
+               count(*) filter (where pred = 1) as pred1, count(*) filter (where label = 1) as pos1
+        from u cross join (values {parts}) t(p) group by model, t.p, s64 % t.p),
+runs as (select model, partitions, round(avg(correct / n), 6) as accuracy,
+                round(avg(coalesce(tp / nullif(pred1, 0), 0)), 6) as precision,
+                round(avg(coalesce(tp / nullif(pos1, 0), 0)), 6) as recall,
+                cast(max(n) as double) as max_shard_rows
+         from per group by model, partitions),
+long as (select model, partitions, 'accuracy' as metric, accuracy as value from runs
+         union all select model, partitions, 'precision', precision from runs
+         union all select model, partitions, 'recall', recall from runs
+         union all select model, partitions, 'max_shard_rows', max_shard_rows from runs),
+keyed as (select *, case when metric = 'max_shard_rows' then value else -value end as k from long)
+"""
+
+
+@query("best_worst_runs", sv(_runs_sql() + """
+select b.model, b.metric, b.partitions as best_partitions, b.value as best_value,
+       w.partitions as worst_partitions, w.value as worst_value
+from (select * from (select *, row_number() over (partition by model, metric order by k, partitions) as r from keyed) where r = 1) b
+join (select * from (select *, row_number() over (partition by model, metric order by k desc, partitions) as r from keyed) where r = 1) w
+  on b.model = w.model and b.metric = w.metric
+"""))
+def q_best_worst_runs(spark, d):
+    return experiments.best_worst_runs(_runs(spark, d), RUN_METRIC_COLS, ("max_shard_rows",))
+
+
+@query("improvement_summary", sv(_runs_sql() + """
+select model, min(max_shard_rows) as best_time, max(max_shard_rows) as worst_time,
+       round((max(max_shard_rows) - min(max_shard_rows)) / nullif(max(max_shard_rows), 0) * 100, 6) as improvement_pct
+from runs group by model
+"""))
+def q_improvement_summary(spark, d):
+    out = experiments.improvement_summary(_runs(spark, d), "max_shard_rows")
+    return out.select("model", "best_time", "worst_time", r6("improvement_pct").alias("improvement_pct"))
+
+
+@query("metric_series", sv(_runs_sql() + """
+select model, partitions, metric, round(value, 6) as value,
+       row_number() over (partition by model, metric order by k, partitions) = 1 as is_best,
+       row_number() over (partition by model, metric order by k desc, partitions) = 1 as is_worst
+from keyed
+"""))
+def q_metric_series(spark, d):
+    return charts.metric_series(_runs(spark, d), RUN_METRIC_COLS, ("max_shard_rows",))
