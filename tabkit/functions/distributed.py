@@ -5,9 +5,10 @@ percentile aggregates.
   window; large inputs are range-partitioned, summed per partition, and the
   per-partition offsets (one row per partition) are broadcast back.
 * ``exact_quantiles``: exact order statistics per group (linear interpolation,
-  as pandas / numpy / DuckDB ``quantile_cont``) without holding a group's values
-  in one task: equal-width histograms narrow a bracket around each wanted rank
-  until few enough rows remain to rank them.
+  as pandas / numpy / DuckDB ``quantile_cont``). Groups up to ``EXACT_ROWS``
+  values use Spark's exact ``percentile`` aggregate; larger groups are never
+  held in one task: equal-width histograms narrow a bracket around each
+  wanted rank until few enough rows remain to rank them.
 """
 
 from __future__ import annotations
@@ -132,7 +133,20 @@ def exact_quantiles(
         *g, F.col("_t.tid").alias("_tid"), F.col("_t.rank").alias("_rank"),
         "_lo", "_hi", F.lit(0).cast("bigint").alias("_below"), F.col("_n").alias("_inside"),
     )
-    n_targets = stats.count() * 2 * len(probs)
+    stats = stats.cache()  # one row per group
+    bounds = stats.agg(F.count(F.lit(1)).alias("groups"), F.max("_n").alias("largest")).first()
+    if bounds["groups"] == 0:
+        return per_prob.select(*g, "prob", F.lit(None).cast("double").alias("value")).drop("_all")
+    if bounds["largest"] <= exact_rows:
+        # Every group is small enough for Spark's exact percentile aggregate (it
+        # holds a group's distinct values): one pass, partial aggregation.
+        pct = vals.groupBy(*g).agg(F.percentile("_v", [float(p) for p in probs]).alias("_q"))
+        out = pct.select(*g, F.posexplode("_q").alias("_pi", "value"))
+        out = out.join(F.broadcast(per_prob.select(*g, "_pi", "prob")) if bounds["groups"] <= 10_000
+                       else per_prob.select(*g, "_pi", "prob"), [*g, "_pi"])
+        out = out.select(*g, "prob", "value")
+        return out.drop("_all") if g == ["_all"] else out
+    n_targets = bounds["groups"] * 2 * len(probs)
     state = targets.cache()  # small: one row per target
     for _ in range(MAX_REFINE):
         big = state.where((F.col("_inside") > exact_rows) & (F.col("_hi") > F.col("_lo")))
@@ -172,14 +186,21 @@ def _refine(vals: DataFrame, state: DataFrame, g: list[str], n_targets: int) ->
 
 
 def _finish(vals, state, per_prob, g, n_targets) -> DataFrame:
+    """Rank the rows of each open bracket once and pick the wanted ranks.
+
+    Targets that share a bracket (all of them, when no refinement was needed)
+    share one ranking: rows are joined to distinct brackets, not to targets.
+    """
     settled = state.where(F.col("_hi") <= F.col("_lo")).select(*g, "_tid", F.col("_lo").alias("_val"))
     open_ = state.where(F.col("_hi") > F.col("_lo"))
-    cand = vals.join(maybe_broadcast(open_, n_targets), g).where(
+    brackets = open_.select(*g, "_lo", "_hi", "_below").distinct()
+    cand = vals.join(maybe_broadcast(brackets, n_targets), g).where(
         F.col("_v").between(F.col("_lo"), F.col("_hi"))
     )
-    w = Window.partitionBy(*g, "_tid").orderBy("_v")
-    ranked = cand.withColumn("_k", F.row_number().over(w) - 1 + F.col("_below"))
-    picked = ranked.where(F.col("_k") == F.col("_rank")).select(*g, "_tid", F.col("_v").alias("_val"))
+    w = Window.partitionBy(*g, "_lo", "_hi").orderBy("_v")
+    ranked = cand.select(*g, "_lo", "_hi", "_v", (F.row_number().over(w) - 1 + F.col("_below")).alias("_rank"))
+    picked = ranked.join(maybe_broadcast(open_.select(*g, "_lo", "_hi", "_tid", "_rank"), n_targets),
+                         [*g, "_lo", "_hi", "_rank"]).select(*g, "_tid", F.col("_v").alias("_val"))
     vals_by_tid = picked.unionByName(settled)
     lo_v = vals_by_tid.where(F.col("_tid") % 2 == 0).select(*g, (F.col("_tid") / 2).cast("int").alias("_pi"), F.col("_val").alias("_v0"))
     hi_v = vals_by_tid.where(F.col("_tid") % 2 == 1).select(*g, ((F.col("_tid") - 1) / 2).cast("int").alias("_pi"), F.col("_val").alias("_v1"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -110,18 +111,7 @@ def standard_scale(df: DataFrame, cols: list[str]) -> DataFrame:
 # ---------------------------------------------------------------- T4 one-hot
 def fit_one_hot(df: DataFrame, cols: list[str]) -> dict:
     """Sorted distinct categories of each column (NULL excluded), size-checked."""
-    if not cols:
-        return {}
-    long = df.select(*[_c(c).cast("string").alias(c) for c in cols]).unpivot([], cols, "column", "value")
-    pairs = long.where(F.col("value").isNotNull()).distinct()
-    per_col = pairs.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()
-    too_big = [r["column"] for r in per_col if r["n"] > MAX_ONE_HOT]
-    if too_big:
-        raise ValueError(f"one-hot columns with more than {MAX_ONE_HOT} categories: {too_big}")
-    found: dict = {c: [] for c in cols}
-    for r in pairs.collect():  # at most MAX_ONE_HOT per column, checked above
-        found[r["column"]].append(r["value"])
-    return {c: sorted(v) for c, v in found.items()}
+    return fit_categories(df, cols, [])[0]
 
 
 def apply_one_hot(df: DataFrame, categories: dict, drop_source: bool = True) -> DataFrame:
@@ -151,13 +141,48 @@ class Dictionary:
 
 def category_dictionary(df: DataFrame, col: str) -> Dictionary:
     """Distinct non-NULL values in ascending order; code = rank (0-based)."""
-    values = df.select(_c(col).cast("string").alias("value"))
-    size = values.where(F.col("value").isNotNull()).distinct().count()
-    table = dense_index(values, "value", rows=size)
-    inline = None
-    if size <= INLINE_DICT:
-        inline = {r["value"]: r["code"] for r in table.collect()}
-    return Dictionary(col, table, size, inline)
+    return fit_categories(df, [], [col])[1][col]
+
+
+def fit_categories(df: DataFrame, one_hot_cols: list[str], ordinal_cols: list[str]) -> tuple[dict, dict]:
+    """Fit one-hot categories and ordinal dictionaries in one pass over ``df``.
+
+    All categorical columns are unpivoted and de-duplicated together (one
+    shuffle of distinct (column, value) pairs). Small sets reach the driver,
+    size-checked first; large ordinal dictionaries stay distributed and are
+    numbered by ``dense_index``.
+    """
+    cols = list(dict.fromkeys([*one_hot_cols, *ordinal_cols]))
+    if not cols:
+        return {}, {}
+    spark = df.sparkSession
+    long = df.select(*[_c(c).cast("string").alias(c) for c in cols]).unpivot([], cols, "column", "value")
+    pairs = long.where(F.col("value").isNotNull()).distinct().persist()
+    sizes = {c: 0 for c in cols}
+    sizes.update({r["column"]: r["n"] for r in pairs.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()})
+    too_big = [c for c in one_hot_cols if sizes[c] > MAX_ONE_HOT]
+    if too_big:
+        pairs.unpersist()
+        raise ValueError(f"one-hot columns with more than {MAX_ONE_HOT} categories: {too_big}")
+    small = [c for c in cols if c in one_hot_cols or sizes[c] <= INLINE_DICT]
+    found: dict = {c: [] for c in small}
+    if small:
+        for r in pairs.where(F.col("column").isin(small)).collect():  # size-checked above
+            found[r["column"]].append(r["value"])
+    categories = {c: sorted(found[c]) for c in one_hot_cols}
+    dictionaries = {}
+    for c in ordinal_cols:
+        if sizes[c] <= INLINE_DICT:
+            values = sorted(found[c])
+            table = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "value string, code int")
+            dictionaries[c] = Dictionary(c, table, sizes[c], {v: i for i, v in enumerate(values)})
+        else:
+            table = dense_index(pairs.where(F.col("column") == c).select("value"), "value", rows=sizes[c])
+            table = table.persist(StorageLevel.MEMORY_AND_DISK)
+            table.count()  # materialise while the pairs are still cached
+            dictionaries[c] = Dictionary(c, table, sizes[c], None)
+    pairs.unpersist()
+    return categories, dictionaries
 
 
 def dictionary_lookup(df: DataFrame, col: str, dictionary: Dictionary, default: int = -1,
@@ -188,7 +213,7 @@ def dictionary_lookup(df: DataFrame, col: str, dictionary: Dictionary, default:
 
 # ---------------------------------------------------------------- T5 / T6 codes
 def fit_ordinal(df: DataFrame, cols: list[str]) -> dict:
-    return {c: category_dictionary(df, c) for c in cols}
+    return fit_categories(df, [], cols)[1]
 
 
 def apply_ordinal(df: DataFrame, dictionaries: dict, default: int = -1) -> DataFrame:
@@ -264,13 +289,17 @@ class PrepModel:
         categorical = list(categorical) if categorical is not None else list(one_hot_cols) + list(ordinal_cols)
         m = cls(target, list(numeric), categorical, list(one_hot_cols), list(ordinal_cols), list(drop),
                 fill_value=fill_value)
-        base = df.select(*[(_c(c).cast("double") if c in m.numeric else _c(c)).alias(c) for c in df.columns])
+        used = [c for c in df.columns if c in m.numeric or c in m.categorical]
+        # The fit reads its input several times (quantiles, moments, categories):
+        # keep the used columns, spilling to disk when they do not fit in memory.
+        base = df.select(*[(_c(c).cast("double") if c in m.numeric else _c(c)).alias(c) for c in used])
+        base = base.persist(StorageLevel.MEMORY_AND_DISK)
         m.medians = fit_median(base, m.numeric, exact_median)
         filled = apply_fill(base, m.medians)
         m.scale = fit_scale(filled, m.numeric)
         cats = fill_constant(filled, m.categorical, fill_value)
-        m.categories = fit_one_hot(cats, m.one_hot_cols)
-        m.dictionaries = fit_ordinal(cats, m.ordinal_cols)
+        m.categories, m.dictionaries = fit_categories(cats, m.one_hot_cols, m.ordinal_cols)
+        base.unpersist()
         return m
 
     def transform(self, df: DataFrame) -> DataFrame:

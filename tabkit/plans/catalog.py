@@ -1001,3 +1001,122 @@ from keyed
 """))
 def q_metric_series(spark, d):
     return charts.metric_series(_runs(spark, d), RUN_METRIC_COLS, ("max_shard_rows",))
+
+
+# ============================================================== models: trained, rows-only checks
+# Small settings for the checks (the reference's full settings are constants in
+# tabkit.operators.models and tuning).
+CHECK_RF = (3, 4, 32)
+CHECK_LR = dict(max_iter=10, reg=0.01)
+CHECK_SVM_ITER = 20
+CHECK_MLP_ITER = 20
+CHECK_GBT = dict(max_depth=3, learning_rate=0.1, n_estimators=10)
+CHECK_CV = [(1, 1, 8), (2, 2, 16)]
+CHECK_GRID = {"max_depth": [2, 3], "learning_rate": [0.1, 0.3], "n_estimators": [10],
+              "min_child_weight": [1], "subsample": [1.0]}
+CHECK_SWEEP = [1, 2, 4]
+
+
+def _model_data(spark, d):
+    """Prepared survey (fit on the train split), assembled, label as double; the
+    id stays as a key and out of the features. Returns (train, test, feature names)."""
+    train, test = _train_test(spark, d)
+    prep = features.PrepModel.fit(train, "label", fx.SURVEY_NUMERIC, fx.SURVEY_ONE_HOT, fx.SURVEY_ORDINAL, ["name"])
+
+    def ready(df):
+        out = prep.transform(df).withColumn("label", F.col("label").cast("double"))
+        names = [c for c in out.columns if c not in ("id", "label")]
+        return features.assemble(out, names).select("id", "label", "features"), names
+
+    tr, names = ready(train)
+    te, _ = ready(test)
+    return tr.persist(), te.persist(), names
+
+
+def _predictions(model, test: DataFrame) -> DataFrame:
+    return model.transform(test).select("id", "label", "prediction")
+
+
+@query("rf_predict")
+def q_rf_predict(spark, d):
+    tr, te, _ = _model_data(spark, d)
+    return _predictions(models.train_rf(tr, *CHECK_RF), te)
+
+
+@query("lr_predict")
+def q_lr_predict(spark, d):
+    tr, te, _ = _model_data(spark, d)
+    return _predictions(models.train_lr(tr, **CHECK_LR), te)
+
+
+@query("svm_predict")
+def q_svm_predict(spark, d):
+    tr, te, _ = _model_data(spark, d)
+    return _predictions(models.train_svm(tr, 0.01, CHECK_SVM_ITER), te)
+
+
+@query("mlp_predict")
+def q_mlp_predict(spark, d):
+    tr, te, names = _model_data(spark, d)
+    return _predictions(models.train_mlp(tr, len(names), max_iter=CHECK_MLP_ITER), te)
+
+
+@query("gbt_predict")
+def q_gbt_predict(spark, d):
+    tr, te, _ = _model_data(spark, d)
+    return _predictions(models.train_gbt(tr, **CHECK_GBT), te)
+
+
+@query("feature_importance")
+def q_feature_importance(spark, d):
+    tr, _te, names = _model_data(spark, d)
+    return models.feature_importance(models.train_rf(tr, *CHECK_RF), names, 10)
+
+
+@query("cross_validate")
+def q_cross_validate(spark, d):
+    tr, _te, _ = _model_data(spark, d)
+    folded = splits.assign_folds(tr, "id", 2)
+    return tuning.cross_validate(folded, CHECK_CV, 2)
+
+
+@query("grid_search")
+def q_grid_search(spark, d):
+    tr, te, _ = _model_data(spark, d)
+    return tuning.grid_search(tr, te, tuning.param_grid(spark, CHECK_GRID), parallelism=2)
+
+
+@query("best_model_report")
+def q_best_model_report(spark, d):
+    tr, te, names = _model_data(spark, d)
+    best = tuning.pick_best(tuning.grid_search(tr, te, tuning.param_grid(spark, CHECK_GRID), 2)).first().asDict()
+    path = scratch_path(spark, "best-predictions")
+    report, _importance, _pred = tuning.best_model_report(tr, te, best, names, te, path)
+    return report
+
+
+@query("partition_sweep")
+def q_partition_sweep(spark, d):
+    from pyspark.ml.classification import LogisticRegression
+
+    tr, te, _ = _model_data(spark, d)
+    est = {"LR": LogisticRegression(maxIter=10, regParam=0.01)}
+    return experiments.partition_sweep(est, tr, te, CHECK_SWEEP)
+
+
+@query("phase_times")
+def q_phase_times(spark, d):
+    state = {}
+
+    def read():
+        state["tr"], state["te"], _ = _model_data(spark, d)
+        state["tr"].count()
+        state["te"].count()
+
+    def train():
+        state["m"] = models.train_rf(state["tr"], *CHECK_RF)
+
+    def test():
+        evaluate.accuracy(state["m"].transform(state["te"])).first()
+
+    return experiments.timed_phases(spark, {"read": read, "train": train, "test": test})
