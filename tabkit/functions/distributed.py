@@ -207,3 +207,19 @@ def _finish(vals, state, per_prob, g, n_targets) -> DataFrame:
     frac = F.col("_pos") - F.col("_r0")
     out = per_prob.join(lo_v, [*g, "_pi"]).join(hi_v, [*g, "_pi"])
     return out.select(*g, "prob", (F.col("_v0") + (F.col("_v1") - F.col("_v0")) * frac).alias("value"))
+
+
+def top_k_per_group(df: DataFrame, group_cols: list[str], order, k: int) -> DataFrame:
+    """The first ``k`` rows of each group in ``order`` (a list of sort columns), with
+    ``rank`` 1..k. Two rounds: each input partition keeps its own top k per group,
+    then only those (at most k per partition) are ranked per group, so a group
+    with many rows is never ordered in one task."""
+    local_w = Window.partitionBy(*group_cols, "_p").orderBy(*order)
+    local = (
+        df.withColumn("_p", F.spark_partition_id())
+        .withColumn("_r", F.row_number().over(local_w))
+        .where(F.col("_r") <= k)
+        .drop("_p", "_r")
+    )
+    w = Window.partitionBy(*group_cols).orderBy(*order)
+    return local.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= k)

@@ -6,10 +6,12 @@ unpivoting to (column, value) and one ``groupBy`` — never one job per column.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabkit.functions.distributed import top_k_per_group
+
 # Distinct values of a pivot column above this count are not turned into columns.
 MAX_PIVOT_VALUES = 1000
 
@@ -76,14 +78,14 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 def top_values(df: DataFrame, cols: list[str], n: int = 10) -> DataFrame:
     """The ``n`` most frequent values of each column (ties by value), with their rank.
 
-    The window is partitioned by column and runs over distinct values only.
+    Counts combine map-side; the ranking keeps k per partition first, so a
+    column with millions of distinct values is not ordered in one task.
     """
     counts = (
         _long(df, cols).where(F.col("value").isNotNull())
         .groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
     )
-    w = Window.partitionBy("column").orderBy(F.desc("count"), "value")
-    return counts.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= n)
+    return top_k_per_group(counts, ["column"], [F.desc("count"), F.asc("value")], n)
 
 
 def distinct_values(df: DataFrame, cols: list[str]) -> DataFrame:
