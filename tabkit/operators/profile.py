@@ -107,6 +107,16 @@ def distinct_counts(df: DataFrame, cols: list[str], approx: bool = False, rsd: f
     return pairs.groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"))
 
 
+def top_k(df: DataFrame, by: str, n: int = 10, tie: str | None = None) -> DataFrame:
+    """O1: the ``n`` rows with the highest ``by`` (ties by ``tie`` ascending).
+
+    ``orderBy(...).limit(n)`` plans as a distributed top-k: each task keeps
+    ``n`` rows, the driver merges at most ``n`` per task.
+    """
+    order = [F.desc_nulls_last(by)] + ([F.asc(tie)] if tie else [])
+    return df.orderBy(*order).limit(n)
+
+
 def head_rows(df: DataFrame, n: int, by: list[str]) -> DataFrame:
     """First ``n`` rows in the stated order (a top-k sort, not a full sort)."""
     return df.orderBy(*by).limit(n)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -1120,3 +1120,27 @@ def q_phase_times(spark, d):
         evaluate.accuracy(state["m"].transform(state["te"])).first()
 
     return experiments.timed_phases(spark, {"read": read, "train": train, "test": test})
+
+
+# ============================================================== top-k and labels
+@query("top_k", sv("select id, price from survey where price is not null order by price desc, id limit 10"))
+def q_top_k(spark, d):
+    return profile.top_k(fx.survey(spark, d).select("id", "price").where(F.col("price").isNotNull()), "price", 10, "id")
+
+
+@query("percent_label", sv("""
+select nation, count(*) as rows, printf('%.1f%%', avg(label) * 100) as positive_share,
+       printf('%.2f', count(*) / (select count(*) from survey) * 100) as row_share
+from survey group by nation
+"""))
+def q_percent_label(spark, d):
+    from tabkit.functions.scalar import decimal_label, percent_label
+
+    s = fx.survey(spark, d)
+    per = s.groupBy("nation").agg(F.count(F.lit(1)).alias("rows"), F.avg("label").alias("p"))
+    total = F.sum("rows").over(Window.partitionBy())  # over one row per nation
+    per = per.withColumn("total", total)
+    return per.select(
+        "nation", "rows", percent_label(F.col("p") * 100).alias("positive_share"),
+        decimal_label(F.col("rows") / F.col("total") * 100, 2).alias("row_share"),
+    )
