@@ -7,14 +7,15 @@ broadcast hash join only for dictionaries too large to inline.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.functions.distributed import BROADCAST_ROWS, dense_index, exact_quantiles
+from tabkit.functions.distributed import BROADCAST_ROWS, EXACT_ROWS, dense_index, exact_quantiles
 
 # Fixed value: the fill word for missing categories.
 MISSING = "missing"
@@ -50,6 +51,35 @@ def fit_median(df: DataFrame, cols: list[str], exact: bool = True, accuracy: int
     return {c: got.get(c) for c in cols}
 
 
+def _median_and_filled_moments(df: DataFrame, cols: list[str], rows: int) -> tuple[dict, dict]:
+    """Medians and the mean / population deviation each column will have once its
+    gaps hold the median, from one aggregate over at most ``EXACT_ROWS`` rows.
+
+    The filled moments merge the observed values' moments with k copies of the
+    median (the pairwise update of Chan et al.), so no second pass is needed.
+    """
+    if not cols:
+        return {}, {}
+    long = df.select(*[F.when(~F.isnan(_c(c)), _c(c)).alias(c) for c in cols]).unpivot([], cols, "column", "x")
+    got = long.groupBy("column").agg(
+        F.percentile("x", 0.5).alias("med"), F.count("x").alias("n"),
+        F.avg("x").alias("mean"), F.var_pop("x").alias("var"),
+    ).collect()  # one row per column
+    medians, scale = {}, {}
+    for r in got:
+        med, n_obs = r["med"], r["n"]
+        medians[r["column"]] = med
+        if n_obs == 0:
+            scale[r["column"]] = (None, None)
+            continue
+        k = rows - n_obs
+        delta = med - r["mean"]
+        mean = r["mean"] + delta * k / rows
+        m2 = r["var"] * n_obs + delta * delta * n_obs * k / rows
+        scale[r["column"]] = (mean, math.sqrt(max(m2 / rows, 0.0)))
+    return {c: medians.get(c) for c in cols}, {c: scale.get(c, (None, None)) for c in cols}
+
+
 def apply_fill(df: DataFrame, values: dict) -> DataFrame:
     """Fill NULL (and NaN) of each column with its value; other columns untouched."""
     exprs = []
@@ -131,13 +161,25 @@ def one_hot(df: DataFrame, cols: list[str]) -> DataFrame:
 # ---------------------------------------------------------------- W1 / N3 dictionaries
 @dataclass
 class Dictionary:
-    """Value → code table of one column, with its size known."""
+    """Value → code table of one column, with its size known.
+
+    Small dictionaries keep only ``inline`` (value → code); their table is made
+    on demand. Large ones keep a distributed table (value string, code int).
+    """
 
     column: str
-    table: DataFrame  # columns: value (string), code (int)
+    distributed: DataFrame | None
     size: int
     inline: dict | None = None  # filled when size <= INLINE_DICT
 
+    @property
+    def table(self) -> DataFrame:
+        if self.distributed is None:
+            spark = SparkSession.getActiveSession()
+            rows = sorted(self.inline.items(), key=lambda kv: kv[1])
+            self.distributed = spark.createDataFrame(rows, "value string, code int")
+        return self.distributed
+
 
 def category_dictionary(df: DataFrame, col: str) -> Dictionary:
     """Distinct non-NULL values in ascending order; code = rank (0-based)."""
@@ -155,11 +197,18 @@ def fit_categories(df: DataFrame, one_hot_cols: list[str], ordinal_cols: list[st
     cols = list(dict.fromkeys([*one_hot_cols, *ordinal_cols]))
     if not cols:
         return {}, {}
-    spark = df.sparkSession
     long = df.select(*[_c(c).cast("string").alias(c) for c in cols]).unpivot([], cols, "column", "value")
     pairs = long.where(F.col("value").isNotNull()).distinct().persist()
     sizes = {c: 0 for c in cols}
-    sizes.update({r["column"]: r["n"] for r in pairs.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()})
+    # Usually every set is small: one bounded collect gives sizes and values.
+    cap = len(cols) * max(MAX_ONE_HOT, INLINE_DICT)
+    first = pairs.limit(cap + 1).collect()
+    if len(first) <= cap:
+        for r in first:
+            sizes[r["column"]] += 1
+    else:
+        first = None
+        sizes.update({r["column"]: r["n"] for r in pairs.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()})
     too_big = [c for c in one_hot_cols if sizes[c] > MAX_ONE_HOT]
     if too_big:
         pairs.unpersist()
@@ -167,15 +216,16 @@ def fit_categories(df: DataFrame, one_hot_cols: list[str], ordinal_cols: list[st
     small = [c for c in cols if c in one_hot_cols or sizes[c] <= INLINE_DICT]
     found: dict = {c: [] for c in small}
     if small:
-        for r in pairs.where(F.col("column").isin(small)).collect():  # size-checked above
-            found[r["column"]].append(r["value"])
+        rows = first if first is not None else pairs.where(F.col("column").isin(small)).collect()  # size-checked
+        for r in rows:
+            if r["column"] in found:
+                found[r["column"]].append(r["value"])
     categories = {c: sorted(found[c]) for c in one_hot_cols}
     dictionaries = {}
     for c in ordinal_cols:
         if sizes[c] <= INLINE_DICT:
             values = sorted(found[c])
-            table = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "value string, code int")
-            dictionaries[c] = Dictionary(c, table, sizes[c], {v: i for i, v in enumerate(values)})
+            dictionaries[c] = Dictionary(c, None, sizes[c], {v: i for i, v in enumerate(values)})
         else:
             table = dense_index(pairs.where(F.col("column") == c).select("value"), "value", rows=sizes[c])
             table = table.persist(StorageLevel.MEMORY_AND_DISK)
@@ -294,28 +344,69 @@ class PrepModel:
         # keep the used columns, spilling to disk when they do not fit in memory.
         base = df.select(*[(_c(c).cast("double") if c in m.numeric else _c(c)).alias(c) for c in used])
         base = base.persist(StorageLevel.MEMORY_AND_DISK)
-        m.medians = fit_median(base, m.numeric, exact_median)
-        filled = apply_fill(base, m.medians)
-        m.scale = fit_scale(filled, m.numeric)
-        cats = fill_constant(filled, m.categorical, fill_value)
+        rows = base.count()  # materialises the cache; bounds every column's size
+        if exact_median and rows <= EXACT_ROWS:
+            m.medians, m.scale = _median_and_filled_moments(base, m.numeric, rows)
+        else:
+            m.medians = fit_median(base, m.numeric, exact_median)
+            m.scale = fit_scale(apply_fill(base, m.medians), m.numeric)
+        cats = fill_constant(base, m.categorical, fill_value)
         m.categories, m.dictionaries = fit_categories(cats, m.one_hot_cols, m.ordinal_cols)
         base.unpersist()
         return m
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Apply with the fitted parameters: fill, scale, fill strings, one-hot,
-        ordinal codes, drop, target first. One lazy projection (plus a broadcast
-        join per large dictionary)."""
-        out = df.select(*[(_c(c).cast("double") if c in self.numeric else _c(c)).alias(c) for c in df.columns])
-        out = apply_fill(out, self.medians)
-        out = apply_scale(out, self.scale)
-        out = fill_constant(out, self.categorical, self.fill_value)
-        out = apply_one_hot(out, self.categories)
-        out = apply_ordinal(out, self.dictionaries)
-        out = out.drop(*self.drop)
-        if self.target and self.target in out.columns:
-            out = target_first(out, self.target)
-        return out
+        ordinal codes, drop, target first, as one projection (after a broadcast
+        join for each dictionary too large to inline)."""
+        joined = df
+        code_cols = {}
+        for i, (c, d) in enumerate(self.dictionaries.items()):
+            if d.inline is None and c in df.columns:
+                tag = f"_code{i}"
+                table = d.table.select(F.col("value").alias(f"{tag}_v"), F.col("code").alias(tag))
+                table = F.broadcast(table) if d.size <= BROADCAST_ROWS else table
+                key = F.coalesce(_c(c).cast("string"), F.lit(self.fill_value))
+                joined = joined.join(table, key == F.col(f"{tag}_v"), "left")
+                code_cols[c] = tag
+
+        def filled(c):
+            return F.coalesce(_c(c).cast("string") if c in self.dictionaries or c in self.categories else _c(c),
+                              F.lit(self.fill_value))
+
+        def column(c):
+            if c in self.numeric:
+                x = _c(c).cast("double")
+                x = F.when(F.isnan(x), None).otherwise(x)
+                if self.medians.get(c) is not None:
+                    x = F.coalesce(x, F.lit(float(self.medians[c])))
+                if c in self.scale:
+                    mean, sd = self.scale[c]
+                    sd = sd if sd not in (None, 0.0) else 1.0
+                    x = (x - F.lit(mean)) / F.lit(sd)
+                return x.alias(c)
+            if c in self.dictionaries:
+                d = self.dictionaries[c]
+                if c in code_cols:
+                    code = F.col(code_cols[c])
+                elif d.inline:
+                    m = F.create_map(*[x for k, v in sorted(d.inline.items()) for x in (F.lit(k), F.lit(v))])
+                    code = m[filled(c)]
+                else:
+                    code = F.lit(None)
+                return F.coalesce(code, F.lit(-1)).cast("int").alias(c)
+            if c in self.categorical:
+                return filled(c).alias(c)
+            return _c(c)
+
+        kept = [c for c in df.columns if c not in self.drop and c not in self.categories]
+        if self.target in kept:
+            kept = [self.target] + [c for c in kept if c != self.target]
+        one_hot = [
+            F.when(filled(c) == F.lit(v), F.lit(1.0)).otherwise(F.lit(0.0)).alias(f"{c}_{v}")
+            for c, values in self.categories.items() if c in df.columns for v in values
+        ]
+        return joined.select(*[column(c) for c in kept], *one_hot)
 
     def feature_columns(self, df: DataFrame) -> list[str]:
         return [c for c in self.transform(df).columns if c != self.target]

@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,26 +40,30 @@ def exact_split(df: DataFrame, key: str, test_frac: float = 0.2, seed: int = 42,
     value are ordered by key. Keys are assumed unique.
     """
     h = portable_hash(key, seed)
-    tagged = df.withColumn("_h", h)
-    shift = 32 - TOP_BITS
-    top = tagged.groupBy(F.shiftright("_h", shift).alias("b")).agg(F.count(F.lit(1)).alias("c"))
-    cut = _locate(top, lambda n: math.ceil(test_frac * n))
-    if cut is None:  # empty table or no test rows wanted
-        return df.withColumn(out, F.lit("train"))
-    b1, need1, n = cut
-    low = (
-        tagged.where(F.shiftright("_h", shift) == F.lit(b1))
-        .groupBy((F.col("_h") % F.lit(1 << shift)).alias("b")).agg(F.count(F.lit(1)).alias("c"))
-    )
-    b2, need2, _ = _locate(low, lambda _n: need1)
-    hv = (b1 << shift) + b2
-    # rows sharing one 32-bit hash value: about n / 2^32 of them
-    last_key = (
-        tagged.where(F.col("_h") == F.lit(hv)).select(key).orderBy(key).limit(need2)
-        .agg(F.max(key).alias("k")).first()["k"]
-    )
-    is_test = (F.col("_h") < F.lit(hv)) | ((F.col("_h") == F.lit(hv)) & (F.col(key) <= F.lit(last_key)))
-    return tagged.withColumn(out, F.when(is_test, "test").otherwise("train")).drop("_h")
+    # the three locating passes read only (key, hash): keep that narrow projection
+    keys = df.select(F.col(key), h.alias("_h")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        shift = 32 - TOP_BITS
+        top = keys.groupBy(F.shiftright("_h", shift).alias("b")).agg(F.count(F.lit(1)).alias("c"))
+        cut = _locate(top, lambda n: math.ceil(test_frac * n))
+        if cut is None:  # empty table or no test rows wanted
+            return df.withColumn(out, F.lit("train"))
+        b1, need1, n = cut
+        low = (
+            keys.where(F.shiftright("_h", shift) == F.lit(b1))
+            .groupBy((F.col("_h") % F.lit(1 << shift)).alias("b")).agg(F.count(F.lit(1)).alias("c"))
+        )
+        b2, need2, _ = _locate(low, lambda _n: need1)
+        hv = (b1 << shift) + b2
+        # rows sharing one 32-bit hash value: about n / 2^32 of them
+        last_key = (
+            keys.where(F.col("_h") == F.lit(hv)).select(key).orderBy(key).limit(need2)
+            .agg(F.max(key).alias("k")).first()["k"]
+        )
+    finally:
+        keys.unpersist()
+    is_test = (h < F.lit(hv)) | ((h == F.lit(hv)) & (F.col(key) <= F.lit(last_key)))
+    return df.withColumn(out, F.when(is_test, "test").otherwise("train"))
 
 
 def _locate(hist: DataFrame, want):

@@ -39,19 +39,25 @@ def param_grid(spark: SparkSession, grid: dict) -> DataFrame:
 
 
 def cross_validate(df: DataFrame, settings: list[tuple], k: int, fold_col: str = "fold",
-                   features: str = "features", label: str = "label", seed: int = 42) -> DataFrame:
+                   features: str = "features", label: str = "label", seed: int = 42,
+                   parallelism: int = 4) -> DataFrame:
     """H1: mean held-out accuracy of a random forest for each (trees, depth, bins)
     setting over ``k`` folds of the ``fold_col`` column."""
     spark = df.sparkSession
     data = df.select(features, label, fold_col).persist()
-    rows = []
-    for s_i, (nt, md, mb) in enumerate(settings):
-        for fold in range(k):
-            model = models.train_rf(training_folds(data, fold, fold_col), nt, md, mb, seed,
-                                    features=features, label=label)
-            held = data.where(F.col(fold_col) == fold)
-            acc = evaluate.accuracy(model.transform(held), label, "prediction").first()["accuracy"]
-            rows.append((s_i, nt, md, mb, fold, float(acc)))
+    data.count()
+
+    def run(job):
+        s_i, (nt, md, mb), fold = job
+        model = models.train_rf(training_folds(data, fold, fold_col), nt, md, mb, seed,
+                                features=features, label=label)
+        held = data.where(F.col(fold_col) == fold)
+        acc = evaluate.accuracy(model.transform(held), label, "prediction").first()["accuracy"]
+        return (s_i, nt, md, mb, fold, float(acc))
+
+    jobs = [(s_i, setting, fold) for s_i, setting in enumerate(settings) for fold in range(k)]
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:  # each fit is a distributed job
+        rows = list(pool.map(run, jobs))
     data.unpersist()
     folds = spark.createDataFrame(
         rows, "setting int, num_trees int, max_depth int, max_bins int, fold int, accuracy double"

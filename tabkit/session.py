@@ -54,6 +54,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tabkit-scratch/{name}-{uuid.uuid4().hex}"
 
 
+_SCANS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str):
-    """Scan one of the parquet test tables."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan one of the parquet test tables.
+
+    The scan DataFrame is kept per session and path: building it lists the
+    files and reads a footer on the driver, which the read-only test tables
+    need only once. Each use is still a fresh, lazily planned scan.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _SCANS:
+        _SCANS[key] = spark.read.parquet(path)
+    return _SCANS[key]
