@@ -18,6 +18,8 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabkit.session import ensure_checkpoint_dir
+
 # Above this many rows a single ordered window (one task) is not used.
 SINGLE_TASK_ROWS = 2_000_000
 # Rows per range partition in the partitioned running-total path.
@@ -58,6 +60,7 @@ def running_totals(
             *[F.sum(c).over(tot).alias(f"tot_{c}") for c in sum_cols],
         )
     parts = max(2, math.ceil(n / ROWS_PER_RANGE_PART))
+    ensure_checkpoint_dir(df.sparkSession)  # the cluster's shared folder, or a local one in tests
     # Range partitions follow the sort order, so partition i precedes i+1. The
     # checkpoint pins the assignment and cuts lineage before two jobs read it.
     ranged = (

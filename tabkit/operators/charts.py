@@ -110,9 +110,9 @@ def violin_density(
         (F.col("mn") - cut * F.col("bw")).alias("g0"),
         ((F.col("mx") - F.col("mn") + 2 * cut * F.col("bw")) / (grid - 1)).alias("step"),
     )
+    params = params.cache()  # one row per (class, column)
     weights = long.groupBy("class", "column", "x").agg(F.count(F.lit(1)).alias("w"))
-    # one row per (class, column): bounded by the number of classes times columns
-    joined = weights.join(F.broadcast(params), ["class", "column"])
+    joined = weights.join(maybe_broadcast(params, params.count()), ["class", "column"])
     # grid index per distinct value through a generator, then plain (codegen'd) arithmetic
     exploded = joined.select("class", "column", "n", "bw", "g0", "step", "x", "w",
                              F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("i"))

@@ -1144,3 +1144,26 @@ def q_percent_label(spark, d):
         "nation", "rows", percent_label(F.col("p") * 100).alias("positive_share"),
         decimal_label(F.col("rows") / F.col("total") * 100, 2).alias("row_share"),
     )
+
+
+@query("gbt_early_stop")
+def q_gbt_early_stop(spark, d):
+    """M6 on a real boosting run: validation log-loss after each of 10 rounds, then
+    the patience rule (3 rounds, lower is better)."""
+    tr, te, _ = _model_data(spark, d)
+    model = models.train_gbt(tr, max_depth=3, learning_rate=0.3, n_estimators=10)
+    losses = models.gbt_round_losses(model, te).withColumn("model", F.lit("gbt"))
+    return models.early_stop(losses, 3, score="loss", higher_better=False)
+
+
+@query("null_counts_docs", with_sql("""
+select 'doc_id' as column, count(*) filter (where doc_id is null) as nulls from dq
+union all select 'lang', count(*) filter (where lang is null) from dq
+union all select 'source', count(*) filter (where source is null) from dq
+union all select 'n_chars', count(*) filter (where n_chars is null) from dq
+union all select 'quality', count(*) filter (where quality is null) from dq
+union all select 'toxic', count(*) filter (where toxic is null) from dq
+""", dq=DOC_QUALITY_SQL))
+def q_null_counts_docs(spark, d):
+    """P4 on natural gaps: documents left-joined with their partial labels."""
+    return profile.null_counts(fx.doc_quality(spark, d))
