@@ -1167,3 +1167,43 @@ union all select 'toxic', count(*) filter (where toxic is null) from dq
 def q_null_counts_docs(spark, d):
     """P4 on natural gaps: documents left-joined with their partial labels."""
     return profile.null_counts(fx.doc_quality(spark, d))
+
+
+@query("results_frame", sv(union_sql([
+    f"select '{m}' as model, round(avg(case when (case when coalesce({c}, 0) > {cut} then 1 else 0 end) = label "
+    f"then 1.0 else 0.0 end), 6) as accuracy from survey"
+    for m, (c, cut) in RUN_MODELS.items()
+])))
+def q_results_frame(spark, d):
+    """Metric rows computed on Spark (one aggregate, three scorers) become a
+    small results table, the way run results are collected."""
+    s = fx.survey(spark, d)
+    row = s.agg(*[
+        F.avg((F.when(F.coalesce(c, F.lit(0.0)) > cut, 1).otherwise(0) == F.col("label")).cast("double")).alias(m)
+        for m, (c, cut) in RUN_MODELS.items()
+    ]).first()  # one row of three metrics
+    rows = [(m, round(float(row[m]), 6)) for m in RUN_MODELS]
+    return tabio.results_frame(spark, rows, "model string, accuracy double")
+
+
+GRID_COLS = {"price_cut": "price", "acct_cut": "acctbal"}
+
+
+@query("param_grid", sv(f"""
+, q as (select {', '.join(f"round(quantile_cont({c}, {p}), 6) as {k}_{i}" for k, c in GRID_COLS.items() for i, p in enumerate((0.25, 0.5, 0.75)))}
+       from survey),
+a as (select 0 as i, price_cut_0 as price_cut from q union all select 1, price_cut_1 from q union all select 2, price_cut_2 from q),
+b as (select 0 as j, acct_cut_0 as acct_cut from q union all select 1, acct_cut_1 from q union all select 2, acct_cut_2 from q)
+select cast(row_number() over (order by i, j) as int) as combo, price_cut, acct_cut from a cross join b
+"""))
+def q_param_grid(spark, d):
+    """H2: every combination of candidate cuts, numbered in nested-loop order; the
+    candidates are the quartiles of each column, computed exactly on Spark."""
+    from tabkit.functions.distributed import exact_quantiles
+
+    s = fx.survey(spark, d)
+    long = s.select(*GRID_COLS.values()).unpivot([], list(GRID_COLS.values()), "column", "x")
+    q = exact_quantiles(long, "x", [0.25, 0.5, 0.75], ["column"]).collect()  # 6 values
+    cuts = {c: [round(r.value, 6) for r in sorted((r for r in q if r.column == c), key=lambda r: r.prob)]
+            for c in GRID_COLS.values()}
+    return tuning.param_grid(spark, {k: cuts[c] for k, c in GRID_COLS.items()})
