@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -99,13 +100,14 @@ def exact_quantiles(
     value_col: str,
     probs: list[float],
     group_cols: list[str] | tuple = (),
-    exact_rows: int = EXACT_ROWS,
+    exact_rows: int | None = None,
 ) -> DataFrame:
     """Exact quantiles per group: columns ``group_cols..., prob, value``.
 
     NULL and NaN values are skipped (pandas ``skipna``). Linear interpolation
     between the order statistics at ranks floor((n-1)p) and that plus one.
     """
+    exact_rows = EXACT_ROWS if exact_rows is None else exact_rows
     g = list(group_cols)
     if not g:  # one implicit group; keeps every join below an equi-join
         df = df.withColumn("_all", F.lit(0))
@@ -150,6 +152,9 @@ def exact_quantiles(
         out = out.select(*g, "prob", "value")
         return out.drop("_all") if g == ["_all"] else out
     n_targets = bounds["groups"] * 2 * len(probs)
+    # Refinement reads the values once per round: keep them (spilling to disk),
+    # and hand back a materialised result so they can be released.
+    vals = vals.persist(StorageLevel.MEMORY_AND_DISK)
     state = targets.cache()  # small: one row per target
     for _ in range(MAX_REFINE):
         big = state.where((F.col("_inside") > exact_rows) & (F.col("_hi") > F.col("_lo")))
@@ -157,7 +162,10 @@ def exact_quantiles(
             break
         state = _refine(vals, state, g, n_targets).cache()
     out = _finish(vals, state, per_prob, g, n_targets)
-    return out.drop("_all") if g == ["_all"] else out
+    out = (out.drop("_all") if g == ["_all"] else out).persist(StorageLevel.MEMORY_AND_DISK)
+    out.count()  # one row per group and probability
+    vals.unpersist()
+    return out
 
 
 def _refine(vals: DataFrame, state: DataFrame, g: list[str], n_targets: int) -> DataFrame:

@@ -15,7 +15,8 @@ from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.functions.distributed import BROADCAST_ROWS, EXACT_ROWS, dense_index, exact_quantiles
+from tabkit.functions import distributed
+from tabkit.functions.distributed import BROADCAST_ROWS, dense_index, exact_quantiles
 
 # Fixed value: the fill word for missing categories.
 MISSING = "missing"
@@ -53,7 +54,7 @@ def fit_median(df: DataFrame, cols: list[str], exact: bool = True, accuracy: int
 
 def _median_and_filled_moments(df: DataFrame, cols: list[str], rows: int) -> tuple[dict, dict]:
     """Medians and the mean / population deviation each column will have once its
-    gaps hold the median, from one aggregate over at most ``EXACT_ROWS`` rows.
+    gaps hold the median, from one aggregate over at most ``distributed.EXACT_ROWS`` rows.
 
     The filled moments merge the observed values' moments with k copies of the
     median (the pairwise update of Chan et al.), so no second pass is needed.
@@ -345,7 +346,7 @@ class PrepModel:
         base = df.select(*[(_c(c).cast("double") if c in m.numeric else _c(c)).alias(c) for c in used])
         base = base.persist(StorageLevel.MEMORY_AND_DISK)
         rows = base.count()  # materialises the cache; bounds every column's size
-        if exact_median and rows <= EXACT_ROWS:
+        if exact_median and rows <= distributed.EXACT_ROWS:
             m.medians, m.scale = _median_and_filled_moments(base, m.numeric, rows)
         else:
             m.medians = fit_median(base, m.numeric, exact_median)

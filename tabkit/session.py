@@ -65,7 +65,8 @@ def table(spark: SparkSession, sf_dir: str, name: str):
     need only once. Each use is still a fresh, lazily planned scan.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    if key not in _SCANS:
-        _SCANS[key] = spark.read.parquet(path)
-    return _SCANS[key]
+    key = (id(spark), spark.sparkContext.applicationId, path)
+    cached = _SCANS.get(key)
+    if cached is None or cached.sparkSession is not spark:
+        cached = _SCANS[key] = spark.read.parquet(path)
+    return cached

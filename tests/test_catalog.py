@@ -74,3 +74,18 @@ def test_invariant_to_shuffle_partitions(spark, sf_dir, name):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert results[0] == results[1] == results[2]
+
+
+@pytest.mark.parametrize("name", ["violin_quartiles", "impute_median", "prep_apply_test", "auc_prob",
+                                  "category_dictionary", "dictionary_lookup"])
+def test_large_data_paths_match_oracle(spark, con, sf_dir, name, monkeypatch):
+    """The same queries through the code paths meant for large inputs: refined
+    quantile brackets, range-partitioned running totals, joined dictionaries."""
+    from tabkit.functions import distributed as D
+    from tabkit.operators import features
+
+    monkeypatch.setattr(D, "EXACT_ROWS", 50)
+    monkeypatch.setattr(D, "SINGLE_TASK_ROWS", 5)
+    monkeypatch.setattr(D, "ROWS_PER_RANGE_PART", 7)
+    monkeypatch.setattr(features, "INLINE_DICT", 3)
+    test_query_matches_oracle(spark, con, sf_dir, name)
