@@ -453,7 +453,7 @@ def _cat_dict_sql(col: str, src: str, fill: bool) -> str:
 
 @query("one_hot", sv(
     "select id, " + ", ".join(
-        f"case when coalesce({c}, 'missing') = '{v}' then 1.0 else 0.0 end as \"{c}_{v}\""
+        f"case when coalesce({c}, 'missing') = '{v}' then cast(1 as double) else cast(0 as double) end as \"{c}_{v}\""
         for c, vals in (("status", ["F", "O", "P", "missing"]),
                         ("segment", ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]))
         for v in vals) + " from survey"
@@ -563,7 +563,7 @@ def _prep_sql(fit_where: str, apply_where: str) -> str:
     scaled = ", ".join(
         f"round((coalesce(x.{c}, p.m_{c}) - st.a_{c}) / coalesce(nullif(st.s_{c}, 0), 1), 6) as {c}" for c in num)
     onehot = ", ".join(
-        f"case when coalesce(x.{c}, 'missing') = '{v}' then 1.0 else 0.0 end as \"{c}_{v}\""
+        f"case when coalesce(x.{c}, 'missing') = '{v}' then cast(1 as double) else cast(0 as double) end as \"{c}_{v}\""
         for c, vals in ONE_HOT_VALUES for v in vals)
     ords = ", ".join(f"coalesce(d{i}.code, -1) as {c}" for i, c in enumerate(fx.SURVEY_ORDINAL))
     joins = " ".join(
@@ -698,7 +698,7 @@ def _write_lines(spark, d) -> str:
     return path
 
 
-@query("text_line_scan", sv(f"select count(*) as lines, sum(length({LINE_SQL})) as chars from survey"))
+@query("text_line_scan", sv(f"select count(*) as lines, cast(sum(length({LINE_SQL})) as bigint) as chars from survey"))
 def q_text_line_scan(spark, d):
     lines = textio.read_lines(spark, _write_lines(spark, d))
     return lines.agg(F.count(F.lit(1)).alias("lines"), F.sum(F.length("value")).cast("bigint").alias("chars"))

@@ -13,6 +13,9 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
+SQL_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
 def _norm(v):
     if isinstance(v, float):
         return None if math.isnan(v) else round(v, 6)
@@ -53,6 +56,8 @@ def test_query_matches_oracle(spark, con, sf_dir, name):
     ocols = [d[0] for d in res.description]
     want = [dict(zip(ocols, r)) for r in res.fetchall()]
     assert sorted(sdf.columns) == sorted(ocols)
+    types = dict(zip(ocols, (str(t) for t in con.sql(ORACLE[name]).types)))
+    assert {c: SQL_TYPES.get(t, t) for c, t in sdf.dtypes} == types
     cols = sorted(ocols)
     assert _rows(got, cols) == _rows(want, cols)
 
