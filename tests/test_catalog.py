@@ -94,3 +94,14 @@ def test_large_data_paths_match_oracle(spark, con, sf_dir, name, monkeypatch):
     monkeypatch.setattr(D, "ROWS_PER_RANGE_PART", 7)
     monkeypatch.setattr(features, "INLINE_DICT", 3)
     test_query_matches_oracle(spark, con, sf_dir, name)
+
+
+FORBIDDEN_NODES = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin",
+                   "FlatMapGroupsInPandas", "MapInPandas")
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_plan_stays_in_the_jvm(spark, sf_dir, name):
+    """No Python evaluation and no pairwise (cartesian / nested-loop) joins in the plan."""
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert not [n for n in FORBIDDEN_NODES if n in plan]
