@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabkit.functions.scalar import NUMBER_PATTERN, number_or, portable_hash, r6
-from tabkit.operators import charts, evaluate, features, profile, splits
+from tabkit.operators import charts, evaluate, experiments, features, models, profile, splits, tuning
 from tabkit.plans import fixtures as fx
 from tabkit.plans.fixtures import DOC_QUALITY_SQL, SCORED_SQL, SURVEY_SQL, with_sql
-from tabkit.session import scratch_path, table
+from tabkit.session import scratch_path
 from tabkit.sources import csv as csvio
 from tabkit.sources import tables as tabio
 from tabkit.sources import text as textio
@@ -405,10 +405,6 @@ def q_fold_mean(spark, d):
 
 
 # ============================================================== features
-def _median_fill_sql(cols):
-    return ", ".join(f"coalesce({c}, (select median({c}) from survey)) as {c}" for c in cols)
-
-
 @query("impute_median", sv(
     "select id, " + ", ".join(f"round(coalesce({c}, (select median({c}) from survey)), 6) as {c}" for c in fx.SURVEY_NUMERIC)
     + " from survey"
@@ -736,7 +732,6 @@ def q_parse_labeled_points(spark, d):
 
 
 # ============================================================== models: closed-form checks
-from tabkit.operators import experiments, models, tuning  # noqa: E402
 
 STUMP_SQL = sv("""
 , x as (select label, cast(month as double) as f0, floor(coalesce(price, 0) / 25000) as f1,
