@@ -124,3 +124,45 @@ def best_model_report(train: DataFrame, val: DataFrame, best: dict, feature_name
 
         predictions = write_predictions(model.transform(test), path, id_col, label)
     return report, importance, predictions
+
+
+def grid_search_shared_rounds(train: DataFrame, val: DataFrame, grid: DataFrame, patience: int = 50,
+                              parallelism: int = 4, features: str = "features", label: str = "label",
+                              seed: int = 42) -> DataFrame:
+    """H3 with shared boosting runs: points that differ only in ``n_estimators``
+    share one fit with the largest count (81 fits for the 243-point grid).
+
+    ``evaluateEachIteration`` gives the validation loss after every round in
+    one pass; for each point the patience rule (M6) runs over its first
+    ``n_estimators`` rounds. The score is exp(-log-loss) at the best round
+    (higher is better, in (0, 1]), so ``pick_best`` applies unchanged.
+    """
+    spark = train.sparkSession
+    tr = train.select(features, label).persist()
+    va = val.select(features, label).persist()
+    points = [r.asDict() for r in grid.collect()]  # parameters, a few hundred rows at most
+    shared: dict = {}
+    for p in points:
+        key = (int(p["max_depth"]), float(p["learning_rate"]), int(p["min_child_weight"]), float(p["subsample"]))
+        shared.setdefault(key, []).append(p)
+
+    def run(item):
+        (depth, lr, mcw, sub), pts = item
+        t0 = time.time()
+        n_max = max(int(p["n_estimators"]) for p in pts)
+        model = models.train_gbt(tr, depth, lr, n_max, mcw, sub, seed, features=features, label=label)
+        # Spark's log loss per round is twice the mean negative log-likelihood
+        losses = [float(x) / 2 for x in model.evaluateEachIteration(va)]
+        seconds = time.time() - t0
+        return [(p["combo"], r + 1, losses[r], seconds) for p in pts for r in range(int(p["n_estimators"]))]
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        rows = [r for part in pool.map(run, shared.items()) for r in part]
+    tr.unpersist()
+    va.unpersist()
+    curves = spark.createDataFrame(rows, "combo int, round int, loss double, seconds double")
+    stops = models.early_stop(curves, patience, group="combo", score="loss", higher_better=False)
+    secs = curves.groupBy("combo").agg(F.max("seconds").alias("seconds"))
+    out = grid.join(stops, "combo").join(secs, "combo")
+    return out.select(*grid.columns, "best_round", "stop_round", F.col("best_score").alias("val_loss"),
+                      F.exp(-F.col("best_score")).alias("score"), "seconds")

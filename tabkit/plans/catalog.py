@@ -1202,3 +1202,16 @@ def q_param_grid(spark, d):
     cuts = {c: [round(r.value, 6) for r in sorted((r for r in q if r.column == c), key=lambda r: r.prob)]
             for c in GRID_COLS.values()}
     return tuning.param_grid(spark, {k: cuts[c] for k, c in GRID_COLS.items()})
+
+
+CHECK_SHARED_GRID = {"max_depth": [2, 3], "learning_rate": [0.1, 0.3], "n_estimators": [5, 10],
+                     "min_child_weight": [1], "subsample": [1.0]}
+
+
+@query("grid_search_shared")
+def q_grid_search_shared(spark, d):
+    """H3 with fits shared across n_estimators (4 fits for 8 points) and the
+    patience rule on validation loss per round."""
+    tr, te, _ = _model_data(spark, d)
+    return tuning.grid_search_shared_rounds(tr, te, tuning.param_grid(spark, CHECK_SHARED_GRID), patience=3,
+                                            parallelism=2)

@@ -60,3 +60,23 @@ def test_param_grid_order(spark):
 def test_timed_phases(spark):
     out = experiments.timed_phases(spark, {"a": lambda: None, "b": lambda: spark.range(10).count()}).collect()
     assert [r.phase for r in out] == ["a", "b"] and all(r.seconds >= 0 for r in out)
+
+
+def test_shared_rounds_grid(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from tabkit.operators import features
+    from tabkit.plans import fixtures as fx
+
+    s = fx.survey(spark, sf_dir)
+    prep = features.PrepModel.fit(s, "label", fx.SURVEY_NUMERIC, fx.SURVEY_ONE_HOT, fx.SURVEY_ORDINAL, ["id", "name"])
+    out = prep.transform(s).withColumn("label", F.col("label").cast("double"))
+    data = features.assemble(out, [c for c in out.columns if c != "label"]).select("features", "label")
+    grid = tuning.param_grid(spark, {"max_depth": [2], "learning_rate": [0.3], "n_estimators": [3, 6],
+                                     "min_child_weight": [1], "subsample": [1.0]})
+    res = {r.combo: r for r in tuning.grid_search_shared_rounds(data, data, grid, patience=2).collect()}
+    assert set(res) == {1, 2}
+    assert res[1].stop_round <= 3 and res[2].stop_round <= 6
+    # the first three rounds are the same run, so the shorter point can only be equal or worse
+    assert res[2].val_loss <= res[1].val_loss + 1e-12
+    assert 0 < res[1].score <= 1
