@@ -1,7 +1,7 @@
-import tempfile
-
 from pyspark.sql import types as T
 
+from tabkit.session import scratch_path
+
 from tabkit.sources import csv as csvio
 from tabkit.sources import tables, text
 
@@ -9,7 +9,7 @@ LINES = ["1,2.5,abc", "0,,nan", "", "7", "1, 3 ,0x10,1e3,007"]
 
 
 def test_parse_labeled_points(spark):
-    path = tempfile.mkdtemp(prefix="tabkit-test-")
+    path = scratch_path(spark, "test")
     spark.createDataFrame([(x,) for x in LINES], "value string").coalesce(1).write.mode("overwrite").text(path)
     rows = text.parse_labeled_points(text.read_lines(spark, path), as_vector=False).collect()
     got = sorted((r.label, list(r.features)) for r in rows)
@@ -24,7 +24,7 @@ def test_vector_form(spark):
 
 
 def test_indexed_csv_round_trip(spark):
-    path = tempfile.mkdtemp(prefix="tabkit-test-") + "/t"
+    path = scratch_path(spark, "test") + "/t"
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType()),
                            T.StructField("x", T.DoubleType())])
     df = spark.createDataFrame([(1, "a b", 1.5), (2, None, None)], schema)
@@ -36,7 +36,7 @@ def test_indexed_csv_round_trip(spark):
 
 
 def test_positional_and_prediction_files(spark):
-    base = tempfile.mkdtemp(prefix="tabkit-test-")
+    base = scratch_path(spark, "test")
     df = spark.createDataFrame([(1.0, 2.0, 3.0)], "a double, b double, c double")
     csvio.write_headerless_csv(df, base + "/p")
     back = csvio.read_positional_csv(spark, base + "/p", 3)

@@ -1,8 +1,8 @@
-import tempfile
-
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabkit.session import scratch_path
+
 from tabkit.operators import features, models
 from tabkit.plans import fixtures as fx
 from tabkit.streaming.score import score_stream
@@ -16,7 +16,7 @@ def test_stream_scores_like_batch(spark, sf_dir):
     model = models.train_lr(features.assemble(batch, names), max_iter=10, reg=0.01)
     want = {r.id: int(r.prediction) for r in model.transform(features.assemble(batch, names)).collect()}
 
-    base = tempfile.mkdtemp(prefix="tabkit-stream-")
+    base = scratch_path(spark, "stream")
     s.repartition(3).write.option("header", True).csv(f"{base}/in")
     q = score_stream(spark, f"{base}/in", s.schema, prep, model, f"{base}/out", f"{base}/ckpt")
     q.awaitTermination(300)
