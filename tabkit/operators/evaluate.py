@@ -109,8 +109,10 @@ def auc(df: DataFrame, score: str = "prediction", label: str = "label") -> DataF
     c = running_totals(g, "sc", ["p", "n"], descending=True)
     tp, fp = F.col("cum_p"), F.col("cum_n")
     ptp, pfp = tp - F.col("p"), fp - F.col("n")
-    tpr, fpr = tp / F.col("tot_p"), fp / F.col("tot_n")
-    ptpr, pfpr = ptp / F.col("tot_p"), pfp / F.col("tot_n")
+    # a class absent from the data leaves its curve undefined (NULL), not an error
+    tot_p, tot_n = F.nullif(F.col("tot_p"), F.lit(0.0)), F.nullif(F.col("tot_n"), F.lit(0.0))
+    tpr, fpr = tp / tot_p, fp / tot_n
+    ptpr, pfpr = ptp / tot_p, pfp / tot_n
     pr = tp / F.nullif(tp + fp, F.lit(0.0))
     ppr = F.coalesce(ptp / F.nullif(ptp + pfp, F.lit(0.0)), pr)
     return c.agg(

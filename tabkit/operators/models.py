@@ -131,9 +131,9 @@ def gini_gain(df: DataFrame, col, threshold: float, label: str = "label") -> Dat
         F.count_if(x <= threshold).alias("nl"), F.sum(F.when(x <= threshold, y).otherwise(0)).alias("pl"),
     )
 
-    def gini(n, p):
-        q = p / n
-        return 1 - q * q - (1 - q) * (1 - q)
+    def gini(n, p):  # an empty side has impurity 0
+        q = p / F.nullif(n, F.lit(0.0))
+        return F.coalesce(1 - q * q - (1 - q) * (1 - q), F.lit(0.0))
 
     n, p, nl, pl = (F.col(k).cast("double") for k in ("n", "p", "nl", "pl"))
     nr, pr = n - nl, p - pl

@@ -92,3 +92,14 @@ def test_fold_mean(spark):
     df = spark.createDataFrame([("a", 0, 0.5), ("a", 1, 0.7), ("b", 0, 0.1)], "s string, fold int, acc double")
     got = {r.s: r.mean for r in evaluate.fold_mean(df, ["s"], "acc").collect()}
     assert got == pytest.approx({"a": 0.6, "b": 0.1})
+
+
+def test_one_class_data(spark):
+    df = spark.createDataFrame([(1.0, 1.0), (1.0, 0.0), (1.0, 1.0)], "label double, prediction double")
+    a = evaluate.accuracy(df).first()
+    assert a.accuracy == pytest.approx(2 / 3)
+    rep = {r["class"]: r for r in evaluate.classification_report(df).collect()}
+    assert set(rep) == {"1.0", "accuracy", "macro avg", "weighted avg"}  # only classes with support
+    assert rep["1.0"].recall == pytest.approx(2 / 3) and rep["1.0"].precision == 1.0
+    auc = evaluate.auc(df, "prediction").first()
+    assert auc.auroc is None  # no negatives: the ROC curve is undefined

@@ -80,3 +80,13 @@ def test_feature_importance_and_stump(assembled, spark):
     assert 0 <= f < len(names)
     gain = models.gini_gain(df.select("label", vector_to_array("features")[f].alias("x")), "x", t).first().gain
     assert gain > 0
+
+
+def test_gbt_patience_on_validation_loss(assembled):
+    df, names = assembled
+    model = models.train_gbt(df, 2, 0.5, 8)
+    losses = models.gbt_round_losses(model, df)
+    got = models.early_stop(losses.withColumn("model", F.lit("g")), 2, score="loss", higher_better=False).first()
+    curve = [r.loss for r in losses.orderBy("round").collect()]
+    assert got.best_score == min(curve[:got.stop_round])
+    assert got.stop_round == len(curve) or got.stop_round - got.best_round >= 2
