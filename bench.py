@@ -38,17 +38,21 @@ def main():
     names = sys.argv[1:] or HEADLINE
     spark = get_spark(os.environ.get("BENCH_CPUS", "8"), app="tabkit-bench")
     QUERIES["table_shape"](spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
-    times = {}
+    times, errors = {}, {}
     for name in names:
         t0 = time.time()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.time() - t0, 3)
+        try:
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            times[name] = round(time.time() - t0, 3)
+        except Exception as e:  # noqa: BLE001 - report and go on with the other queries
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
         spark.catalog.clearCache()
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(json.dumps({
-        "metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
-        "queries": times, "sf": sf,
-    }))
+    out = {"metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
+           "queries": times, "sf": sf}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
 
 
 if __name__ == "__main__":
