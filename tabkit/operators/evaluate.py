@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabkit.functions.distributed import running_totals
 
@@ -29,19 +30,24 @@ def accuracy(df: DataFrame, label: str = "label", prediction: str = "prediction"
 def class_counts(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Per class: support (true count), predicted count and true positives.
 
-    One pass builds the confusion counts; the per-class table comes from them.
+    One pass builds the confusion counts; each confusion cell then speaks for
+    its true class and its predicted class, and one grouping gives the per-class
+    table (no join).
     """
     conf = df.groupBy(F.col(label).alias("y"), F.col(prediction).alias("p")).agg(F.count(F.lit(1)).alias("c"))
-    by_y = conf.groupBy(F.col("y").alias("class")).agg(
-        F.sum("c").alias("support"), F.sum(F.when(F.col("y") == F.col("p"), F.col("c")).otherwise(0)).alias("tp")
+    ty, tp_ = df.schema[label].dataType, df.schema[prediction].dataType
+    ctype = ty if ty == tp_ else T.DoubleType()  # one class type for both sides
+    hit = F.when(F.col("y") == F.col("p"), F.col("c")).otherwise(F.lit(0))
+    sides = F.array(
+        F.struct(F.col("y").cast(ctype).alias("class"), F.col("c").alias("support"),
+                 F.lit(0).cast("bigint").alias("predicted"), hit.cast("bigint").alias("tp")),
+        F.struct(F.col("p").cast(ctype).alias("class"), F.lit(0).cast("bigint").alias("support"),
+                 F.col("c").alias("predicted"), F.lit(0).cast("bigint").alias("tp")),
     )
-    by_p = conf.groupBy(F.col("p").alias("class")).agg(F.sum("c").alias("predicted"))
-    joined = by_y.join(by_p, "class", "full_outer")
-    return joined.select(
-        "class",
-        F.coalesce("support", F.lit(0)).cast("bigint").alias("support"),
-        F.coalesce("predicted", F.lit(0)).cast("bigint").alias("predicted"),
-        F.coalesce("tp", F.lit(0)).cast("bigint").alias("tp"),
+    cells = conf.select(F.inline(sides))
+    return cells.groupBy("class").agg(
+        F.sum("support").cast("bigint").alias("support"), F.sum("predicted").cast("bigint").alias("predicted"),
+        F.sum("tp").cast("bigint").alias("tp"),
     )
 
 
