@@ -50,7 +50,12 @@ def running_totals(
     ``order_col`` must be unique (group by it first). ``rows`` may pass a known
     row count to skip the count job.
     """
-    n = df.count() if rows is None else rows
+    if rows is None:
+        # the input is already grouped to one row per order value: keep it, so
+        # counting it does not cost a second pass over the data behind it
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        rows = df.count()
+    n = rows
     order = F.col(order_col).desc() if descending else F.col(order_col).asc()
     if n <= SINGLE_TASK_ROWS:
         w = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -71,7 +71,7 @@ def _locate(hist: DataFrame, want):
     running count reaches ``want(total)``. Returns (bucket, rows needed from it, total)."""
     w = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     tot = Window.partitionBy()
-    cum = hist.select("b", "c", F.sum("c").over(w).alias("cum"), F.sum("c").over(tot).alias("n"))
+    cum = hist.select("b", "c", F.sum("c").over(w).alias("cum"), F.sum("c").over(tot).alias("n")).cache()
     first = cum.limit(1).collect()
     if not first:
         return None
