@@ -732,8 +732,7 @@ def q_parse_labeled_points(spark, d):
 
 
 # ============================================================== models: closed-form checks
-
-STUMP_SQL = sv("""
+STUMP_CTES = """
 , x as (select label, cast(month as double) as f0, floor(coalesce(price, 0) / 25000) as f1,
               floor(coalesce(acctbal, 0) / 1000) as f2 from survey),
 long as (select 0 as feature, f0 as v, label from x union all select 1, f1, label from x
@@ -748,8 +747,11 @@ gains as (select feature, (v + nv) / 2 as threshold,
                  - (n - nl) / n * (1 - ((pt - pl) / (n - nl)) * ((pt - pl) / (n - nl))
                                    - (1 - (pt - pl) / (n - nl)) * (1 - (pt - pl) / (n - nl))) as gain
           from cum where nv is not null)
+"""
+STUMP_SQL = sv(STUMP_CTES + """
 select cast(feature as int) as feature, threshold, round(gain, 6) as gain from gains order by gain desc, feature limit 1
 """)
+STUMP_NAMES = ["month", "price_bucket", "acct_bucket"]
 
 
 @query("rf_stump", STUMP_SQL)
@@ -769,6 +771,25 @@ def q_rf_stump(spark, d):
     return gain.select(F.lit(f).alias("feature"), F.lit(t).alias("threshold"), r6("gain").alias("gain"))
 
 
+@query("feature_importance_stump", sv(STUMP_CTES + f""",
+best as (select feature from gains order by gain desc, feature limit 1)
+select n.name as feature, case when n.idx = best.feature then cast(1 as double) else cast(0 as double) end
+       as importance
+from (values {', '.join(f"({i}, '{n}')" for i, n in enumerate(STUMP_NAMES))}) n(idx, name) cross join best
+"""))
+def q_feature_importance_stump(spark, d):
+    """M9 with a closed form: a single depth-1 tree puts all importance on its split feature."""
+    s = fx.survey(spark, d)
+    x = s.select(
+        F.col("label").cast("double").alias("label"), F.col("month").cast("double").alias("f0"),
+        F.floor(F.coalesce("price", F.lit(0.0)) / 25000).cast("double").alias("f1"),
+        F.floor(F.coalesce("acctbal", F.lit(0.0)) / 1000).cast("double").alias("f2"),
+    )
+    v = features.assemble(x, ["f0", "f1", "f2"])
+    model = models.train_rf(v, 1, 1, 32, featureSubsetStrategy="all", bootstrap=False)
+    return models.feature_importance(model, STUMP_NAMES, 10)
+
+
 def _p1():
     return vector_to_array(F.col("probability"))[1]
 
