@@ -40,7 +40,7 @@ def param_grid(spark: SparkSession, grid: dict) -> DataFrame:
 
 def cross_validate(df: DataFrame, settings: list[tuple], k: int, fold_col: str = "fold",
                    features: str = "features", label: str = "label", seed: int = 42,
-                   parallelism: int = 4) -> DataFrame:
+                   parallelism: int = 4, **rf_kwargs) -> DataFrame:
     """H1: mean held-out accuracy of a random forest for each (trees, depth, bins)
     setting over ``k`` folds of the ``fold_col`` column."""
     spark = df.sparkSession
@@ -50,7 +50,7 @@ def cross_validate(df: DataFrame, settings: list[tuple], k: int, fold_col: str =
     def run(job):
         s_i, (nt, md, mb), fold = job
         model = models.train_rf(training_folds(data, fold, fold_col), nt, md, mb, seed,
-                                features=features, label=label)
+                                features=features, label=label, **rf_kwargs)
         held = data.where(F.col(fold_col) == fold)
         acc = evaluate.accuracy(model.transform(held), label, "prediction").first()["accuracy"]
         return (s_i, nt, md, mb, fold, float(acc))

@@ -790,6 +790,51 @@ def q_feature_importance_stump(spark, d):
     return models.feature_importance(model, STUMP_NAMES, 10)
 
 
+CV_FOLDS = 4
+CV_STUMP_SQL = sv(f"""
+, x as (select cast({HASH_SQL.format(c='id')} % {CV_FOLDS} as int) as fold, label, cast(month as double) as f0,
+              floor(coalesce(price, 0) / 25000) as f1, floor(coalesce(acctbal, 0) / 1000) as f2 from survey),
+ks as (select range as k from range({CV_FOLDS})),
+long as (select k, 0 as feature, f0 as v, label from x join ks on x.fold <> ks.k
+         union all select k, 1, f1, label from x join ks on x.fold <> ks.k
+         union all select k, 2, f2, label from x join ks on x.fold <> ks.k),
+g as (select k, feature, v, count(*) as c, sum(label) as p from long group by k, feature, v),
+cum as (select k, feature, v, lead(v) over (partition by k, feature order by v) as nv,
+               sum(c) over (partition by k, feature order by v) as nl, sum(p) over (partition by k, feature order by v) as pl,
+               sum(c) over (partition by k, feature) as n, sum(p) over (partition by k, feature) as pt from g),
+gains as (select k, feature, (v + nv) / 2 as threshold, nl, pl, n, pt,
+                 (1 - (pt / n) * (pt / n) - (1 - pt / n) * (1 - pt / n))
+                 - nl / n * (1 - (pl / nl) * (pl / nl) - (1 - pl / nl) * (1 - pl / nl))
+                 - (n - nl) / n * (1 - ((pt - pl) / (n - nl)) * ((pt - pl) / (n - nl))
+                                   - (1 - (pt - pl) / (n - nl)) * (1 - (pt - pl) / (n - nl))) as gain
+          from cum where nv is not null),
+best as (select k, feature, threshold,
+                case when pl > nl - pl then 1 else 0 end as left_class,
+                case when pt - pl > (n - nl) - (pt - pl) then 1 else 0 end as right_class
+         from (select *, row_number() over (partition by k order by gain desc, feature, threshold) as r from gains)
+         where r = 1),
+acc as (select b.k, avg(case when (case when (case b.feature when 0 then x.f0 when 1 then x.f1 else x.f2 end) <= b.threshold
+                                        then b.left_class else b.right_class end) = x.label then 1.0 else 0.0 end) as a
+        from x join best b on x.fold = b.k group by b.k)
+select 0 as setting, 1 as num_trees, 1 as max_depth, 32 as max_bins, round(avg(a), 6) as mean_accuracy from acc
+""")
+
+
+@query("cross_validate_stump", CV_STUMP_SQL)
+def q_cross_validate_stump(spark, d):
+    """H1 with a closed form: 4-fold cross-validation of unbootstrapped depth-1
+    trees on all features; each fold's split is the best gini cut of the other folds."""
+    s = splits.assign_folds(fx.survey(spark, d), "id", CV_FOLDS)
+    x = s.select(
+        "fold", F.col("label").cast("double").alias("label"), F.col("month").cast("double").alias("f0"),
+        F.floor(F.coalesce("price", F.lit(0.0)) / 25000).cast("double").alias("f1"),
+        F.floor(F.coalesce("acctbal", F.lit(0.0)) / 1000).cast("double").alias("f2"),
+    )
+    v = features.assemble(x, ["f0", "f1", "f2"])
+    cv = tuning.cross_validate(v, [(1, 1, 32)], CV_FOLDS, featureSubsetStrategy="all", bootstrap=False)
+    return cv.select("setting", "num_trees", "max_depth", "max_bins", r6("mean_accuracy").alias("mean_accuracy"))
+
+
 def _p1():
     return vector_to_array(F.col("probability"))[1]
 
