@@ -170,8 +170,15 @@ def early_stop(scores: DataFrame, patience: int = EARLY_STOP_PATIENCE, group: st
     ).select(group, "best_round", "best_score", "stop_round")
 
 
+def round_log_losses(model, df: DataFrame) -> list[float]:
+    """Mean log-loss (negative log-likelihood per row) on ``df`` after each
+    boosting round, from one distributed pass. Spark's own per-round figure for
+    the logistic loss is twice this value."""
+    return [float(x) / 2 for x in model.evaluateEachIteration(df)]
+
+
 def gbt_round_losses(model, df: DataFrame) -> DataFrame:
-    """Validation loss after each boosting round (for the patience rule)."""
+    """Validation log-loss after each boosting round (for the patience rule)."""
     spark = df.sparkSession
-    losses = model.evaluateEachIteration(df)
-    return spark.createDataFrame([(i + 1, float(v)) for i, v in enumerate(losses)], "round int, loss double")
+    losses = round_log_losses(model, df)
+    return spark.createDataFrame([(i + 1, v) for i, v in enumerate(losses)], "round int, loss double")

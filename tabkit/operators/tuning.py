@@ -151,8 +151,7 @@ def grid_search_shared_rounds(train: DataFrame, val: DataFrame, grid: DataFrame,
         t0 = time.time()
         n_max = max(int(p["n_estimators"]) for p in pts)
         model = models.train_gbt(tr, depth, lr, n_max, mcw, sub, seed, features=features, label=label)
-        # Spark's log loss per round is twice the mean negative log-likelihood
-        losses = [float(x) / 2 for x in model.evaluateEachIteration(va)]
+        losses = models.round_log_losses(model, va)
         seconds = time.time() - t0
         return [(p["combo"], r + 1, losses[r], seconds) for p in pts for r in range(int(p["n_estimators"]))]
 

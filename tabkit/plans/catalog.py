@@ -1281,3 +1281,40 @@ def q_grid_search_shared(spark, d):
     tr, te, _ = _model_data(spark, d)
     return tuning.grid_search_shared_rounds(tr, te, tuning.param_grid(spark, CHECK_SHARED_GRID), patience=3,
                                             parallelism=2)
+
+
+GBT_CURVE_ROUNDS = 10
+GBT_CURVE_RATE = 0.3
+
+
+@query("gbt_round_losses", sv(f"""
+, tr as (select floor(coalesce(price, 0) / 125000) as v, count(*) as n, sum(label) as p
+         from survey where {TRAIN_WHERE} group by 1),
+te as (select floor(coalesce(price, 0) / 125000) as v, count(*) as m, sum(label) as q
+       from survey where {TEST_WHERE} group by 1),
+recursive f(round, v, mg) as (
+  select 1, v, (2.0 * p - n) / n from tr
+  union all
+  select f.round + 1, f.v,
+         f.mg + {GBT_CURVE_RATE} * ((tr.p * 4 / (1 + exp(2 * f.mg)) - (tr.n - tr.p) * 4 / (1 + exp(-2 * f.mg))) / tr.n)
+  from f join tr on f.v = tr.v where f.round < {GBT_CURVE_ROUNDS}
+)
+select cast(f.round as int) as round,
+       round(sum(te.q * ln(1 + exp(-2 * f.mg)) + (te.m - te.q) * ln(1 + exp(2 * f.mg))) / sum(te.m), 6) as loss
+from f join te on f.v = te.v group by f.round
+""").replace("with survey as", "with recursive survey as", 1).replace(",\nrecursive f(", ",\nf(", 1))
+def q_gbt_round_losses(spark, d):
+    """Validation log-loss after each boosting round, with a closed form: on one
+    4-valued feature each round's tree gives every value its own leaf, whose
+    value is the mean pseudo-residual of Spark's logistic loss."""
+    train, test = _train_test(spark, d)
+
+    def prep(df):
+        x = df.select(F.floor(F.coalesce("price", F.lit(0.0)) / 125000).cast("double").alias("f"),
+                      F.col("label").cast("double").alias("label"))
+        return features.assemble(x, ["f"])
+
+    model = models.train_gbt(prep(train).persist(), max_depth=5, learning_rate=GBT_CURVE_RATE,
+                             n_estimators=GBT_CURVE_ROUNDS)
+    losses = models.gbt_round_losses(model, prep(test))
+    return losses.select("round", r6("loss").alias("loss"))
