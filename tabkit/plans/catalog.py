@@ -1318,3 +1318,61 @@ def q_gbt_round_losses(spark, d):
                              n_estimators=GBT_CURVE_ROUNDS)
     losses = models.gbt_round_losses(model, prep(test))
     return losses.select("round", r6("loss").alias("loss"))
+
+
+CURVE_GRID = {"max_depth": [5], "learning_rate": [0.1, 0.3], "n_estimators": [4, 8],
+              "min_child_weight": [1], "subsample": [1.0]}
+CURVE_PATIENCE = 2
+
+
+def _curve_grid_sql() -> str:
+    rates = CURVE_GRID["learning_rate"]
+    combos = [(i + 1, lr, n) for i, (lr, n) in enumerate((lr, n) for lr in rates for n in CURVE_GRID["n_estimators"])]
+    nmax = max(CURVE_GRID["n_estimators"])
+    return sv(f"""
+, tr as (select floor(coalesce(price, 0) / 125000) as v, count(*) as n, sum(label) as p
+         from survey where {TRAIN_WHERE} group by 1),
+te as (select floor(coalesce(price, 0) / 125000) as v, count(*) as m, sum(label) as q
+       from survey where {TEST_WHERE} group by 1),
+f(lr, round, v, mg) as (
+  select r.lr, 1, v, (2.0 * p - n) / n from tr cross join (values {', '.join(f'({x})' for x in rates)}) r(lr)
+  union all
+  select f.lr, f.round + 1, f.v,
+         f.mg + f.lr * ((tr.p * 4 / (1 + exp(2 * f.mg)) - (tr.n - tr.p) * 4 / (1 + exp(-2 * f.mg))) / tr.n)
+  from f join tr on f.v = tr.v where f.round < {nmax}
+),
+curve as (select lr, round, sum(te.q * ln(1 + exp(-2 * f.mg)) + (te.m - te.q) * ln(1 + exp(2 * f.mg))) / sum(te.m) as loss
+          from f join te on f.v = te.v group by lr, round),
+grid as (select * from (values {', '.join(f'({c}, {lr}, {n})' for c, lr, n in combos)}) g(combo, learning_rate, n_estimators)),
+sc as (select g.combo, c.round, c.loss from grid g join curve c on c.lr = g.learning_rate and c.round <= g.n_estimators),
+mk as (select *, min(loss) over (partition by combo order by round rows between unbounded preceding and 1 preceding) as prev_best from sc),
+i as (select *, max(case when prev_best is null or loss < prev_best then round end)
+                  over (partition by combo order by round rows between unbounded preceding and current row) as best_round from mk),
+st as (select combo, coalesce(min(case when round - best_round >= {CURVE_PATIENCE} then round end), max(round)) as stop_round
+       from i group by combo),
+res as (select i.combo, i.best_round, st.stop_round, b.loss as val_loss
+        from i join st on i.combo = st.combo and i.round = st.stop_round
+        join sc b on b.combo = i.combo and b.round = i.best_round)
+select g.combo, 5 as max_depth, cast(g.learning_rate as double) as learning_rate, g.n_estimators,
+       1 as min_child_weight, cast(1.0 as double) as subsample, cast(r.best_round as int) as best_round,
+       cast(r.stop_round as int) as stop_round, round(r.val_loss, 6) as val_loss, round(exp(-r.val_loss), 6) as score
+from grid g join res r on g.combo = r.combo
+""").replace("with survey as", "with recursive survey as", 1)
+
+
+@query("grid_search_curve", _curve_grid_sql())
+def q_grid_search_curve(spark, d):
+    """H3 (shared boosting runs) and M6 with a closed form: the grid varies the
+    learning rate and the number of rounds of the one-feature boosting run whose
+    per-round validation loss has a closed form."""
+    train, test = _train_test(spark, d)
+
+    def prep(df):
+        x = df.select(F.floor(F.coalesce("price", F.lit(0.0)) / 125000).cast("double").alias("f"),
+                      F.col("label").cast("double").alias("label"))
+        return features.assemble(x, ["f"])
+
+    res = tuning.grid_search_shared_rounds(prep(train), prep(test), tuning.param_grid(spark, CURVE_GRID),
+                                           patience=CURVE_PATIENCE, parallelism=2)
+    return res.select("combo", "max_depth", "learning_rate", "n_estimators", "min_child_weight", "subsample",
+                      "best_round", "stop_round", r6("val_loss").alias("val_loss"), r6("score").alias("score"))
