@@ -1376,3 +1376,37 @@ def q_grid_search_curve(spark, d):
                                            patience=CURVE_PATIENCE, parallelism=2)
     return res.select("combo", "max_depth", "learning_rate", "n_estimators", "min_child_weight", "subsample",
                       "best_round", "stop_round", r6("val_loss").alias("val_loss"), r6("score").alias("score"))
+
+
+SWEEP_COUNTS = [1, 2, 4]
+
+
+@query("partition_sweep_metrics", sv(f"""
+, tr as (select floor(coalesce(price, 0) / 125000) as v, count(*) as n, sum(label) as p
+         from survey where {TRAIN_WHERE} group by 1),
+cls as (select v, case when 2 * p - n > 0 then 1 else 0 end as prediction from tr),
+scored as (select s.label, c.prediction from survey s
+           join cls c on floor(coalesce(s.price, 0) / 125000) = c.v where {TEST_WHERE.replace('id', 's.id')}),
+{CLASS_SQL.strip()},
+m as (select sum(tp) / sum(support) as accuracy, sum(precision * support) / sum(support) as precision,
+             sum(recall * support) / sum(support) as recall from perf)
+select 'GBT1' as model, cast(t.p as int) as partitions, round(m.accuracy, 6) as accuracy,
+       round(m.precision, 6) as precision, round(m.recall, 6) as recall
+from m cross join (values {', '.join(f'({c})' for c in SWEEP_COUNTS)}) t(p)
+"""))
+def q_partition_sweep_metrics(spark, d):
+    """X1 with a closed form: a one-round boosting model on one 4-valued feature
+    predicts each value's majority class at every partition count; only the
+    deterministic columns (no timing) are compared."""
+    from pyspark.ml.classification import GBTClassifier
+
+    train, test = _train_test(spark, d)
+
+    def prep(df):
+        x = df.select(F.floor(F.coalesce("price", F.lit(0.0)) / 125000).cast("double").alias("f"),
+                      F.col("label").cast("double").alias("label"))
+        return features.assemble(x, ["f"])
+
+    est = {"GBT1": GBTClassifier(maxIter=1, maxDepth=5, seed=42)}
+    res = experiments.partition_sweep(est, prep(train), prep(test), SWEEP_COUNTS)
+    return res.select("model", "partitions", *[r6(c).alias(c) for c in ("accuracy", "precision", "recall")])
