@@ -67,7 +67,8 @@ def test_rows_only_query_runs(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).count() > 0
 
 
-@pytest.mark.parametrize("name", ["auc_prob", "violin_quartiles", "exact_split", "classification_report", "top_values"])
+@pytest.mark.parametrize("name", ["auc_prob", "violin_quartiles", "exact_split", "classification_report", "top_values",
+                                  "histogram", "violin_density", "prep_apply_test", "pick_best", "best_worst_runs"])
 def test_invariant_to_shuffle_partitions(spark, sf_dir, name):
     results = []
     old = spark.conf.get("spark.sql.shuffle.partitions")

@@ -103,3 +103,34 @@ def test_top_k_per_group(spark):
     want = sorted([r for r in rows if r[0] == "x"], key=lambda r: (-r[2], r[1]))[:3]
     assert [(r.value, r.c) for r in xs] == [(w[1], w[2]) for w in want]
     assert [r.rank for r in got if r.g == "y"] == [1]
+
+
+def test_number_grammar_property(spark):
+    """Every string of the grammar reads as Python reads it; strings outside it give -1."""
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    from tabkit.functions.scalar import NUMBER_PATTERN
+
+    seen = []
+
+    @settings(max_examples=40, deadline=None)
+    @given(st.lists(st.from_regex(NUMBER_PATTERN, fullmatch=True).filter(lambda x: len(x) < 40), min_size=1, max_size=20),
+           st.lists(st.text(min_size=1, max_size=8), min_size=1, max_size=20))
+    def collect(good, other):
+        seen.extend((g, float(g)) for g in good)
+        seen.extend((o, -1.0) for o in other if not _matches(o))
+
+    collect()
+    df = spark.createDataFrame(seen, "s string, want double")
+    got = df.select("want", number_or("s").alias("n")).collect()
+    for r in got:
+        assert r.n == r.want or (math.isinf(r.want) and math.isinf(r.n))
+
+
+def _matches(text):
+    import re
+
+    from tabkit.functions.scalar import NUMBER_PATTERN
+
+    return re.match(NUMBER_PATTERN, text.strip()) is not None
