@@ -8,6 +8,7 @@ broadcast hash join only for dictionaries too large to inline.
 from __future__ import annotations
 
 import math
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -252,7 +253,7 @@ def dictionary_lookup(df: DataFrame, col: str, dictionary: Dictionary, default:
         else:
             code = F.lit(default)
         return df.select(*[(code.cast("int").alias(out) if c == col else _c(c)) for c in df.columns])
-    tag = f"_code_{abs(hash(col)) % 10_000}"
+    tag = f"_code_{uuid.uuid4().hex[:12]}"  # unique per lookup, so lookups can be chained
     d = dictionary.table.select(F.col("value").alias(f"{tag}_v"), F.col("code").alias(tag))
     if dictionary.size <= BROADCAST_ROWS:
         d = F.broadcast(d)
