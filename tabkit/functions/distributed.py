@@ -29,6 +29,7 @@ ROWS_PER_RANGE_PART = 1_000_000
 EXACT_ROWS = 2_000_000
 HIST_BUCKETS = 4096
 MAX_REFINE = 64
+MAX_DOUBLE = 1.7976931348623157e308
 # Small side tables (one row per group / target) are broadcast only below this.
 BROADCAST_ROWS = 100_000
 
@@ -121,12 +122,16 @@ def exact_quantiles(
         df.select(*g, F.col(value_col).cast("double").alias("_v"))
         .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     )
+    # Brackets span finite values only; infinities take the first / last ranks.
+    finite = F.col("_v").between(-MAX_DOUBLE, MAX_DOUBLE)
     stats = vals.groupBy(*g).agg(
-        F.count("_v").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
+        F.count("_v").alias("_n"), F.min(F.when(finite, F.col("_v"))).alias("_lo"),
+        F.max(F.when(finite, F.col("_v"))).alias("_hi"),
+        F.count_if(F.col("_v") < -MAX_DOUBLE).alias("_nneg"), F.count_if(F.col("_v") > MAX_DOUBLE).alias("_npos"),
     )
     prob_rows = F.array(*[F.struct(F.lit(i).alias("pi"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
     per_prob = stats.select("*", F.explode(prob_rows).alias("_pp")).select(
-        *g, "_n", "_lo", "_hi",
+        *g, "_n", "_lo", "_hi", "_nneg", "_npos",
         F.col("_pp.pi").alias("_pi"), F.col("_pp.p").alias("prob"),
         ((F.col("_n") - 1) * F.col("_pp.p")).alias("_pos"),
     )
@@ -135,13 +140,21 @@ def exact_quantiles(
     )
     # Two wanted ranks per (group, prob): tid = 2*pi + side.
     targets = per_prob.select(
-        *g, "_lo", "_hi", "_n", F.explode(F.array(
+        *g, "_lo", "_hi", "_n", "_nneg", "_npos", F.explode(F.array(
             F.struct((F.col("_pi") * 2).alias("tid"), F.col("_r0").alias("rank")),
             F.struct((F.col("_pi") * 2 + 1).alias("tid"), F.col("_r1").alias("rank")),
         )).alias("_t"),
-    ).select(
+    )
+    # a rank among the -inf (+inf) values is settled at once: an empty bracket at that value
+    neg = F.col("_t.rank") < F.col("_nneg")
+    pos = F.col("_t.rank") >= F.col("_n") - F.col("_npos")
+    inf = F.lit(float("inf"))
+    targets = targets.select(
         *g, F.col("_t.tid").alias("_tid"), F.col("_t.rank").alias("_rank"),
-        "_lo", "_hi", F.lit(0).cast("bigint").alias("_below"), F.col("_n").alias("_inside"),
+        F.when(neg, -inf).when(pos, inf).otherwise(F.col("_lo")).alias("_lo"),
+        F.when(neg, -inf).when(pos, inf).otherwise(F.col("_hi")).alias("_hi"),
+        F.col("_nneg").cast("bigint").alias("_below"),
+        (F.col("_n") - F.col("_nneg") - F.col("_npos")).alias("_inside"),
     )
     stats = stats.cache()  # one row per group
     bounds = stats.agg(F.count(F.lit(1)).alias("groups"), F.max("_n").alias("largest")).first()
@@ -222,7 +235,9 @@ def _finish(vals, state, per_prob, g, n_targets) -> DataFrame:
     hi_v = vals_by_tid.where(F.col("_tid") % 2 == 1).select(*g, ((F.col("_tid") - 1) / 2).cast("int").alias("_pi"), F.col("_val").alias("_v1"))
     frac = F.col("_pos") - F.col("_r0")
     out = per_prob.join(lo_v, [*g, "_pi"]).join(hi_v, [*g, "_pi"])
-    return out.select(*g, "prob", (F.col("_v0") + (F.col("_v1") - F.col("_v0")) * frac).alias("value"))
+    same = (F.col("_v0") == F.col("_v1")) | (frac == 0)  # also keeps equal infinities exact
+    value = F.when(same, F.col("_v0")).otherwise(F.col("_v0") + (F.col("_v1") - F.col("_v0")) * frac)
+    return out.select(*g, "prob", value.alias("value"))
 
 
 def top_k_per_group(df: DataFrame, group_cols: list[str], order, k: int) -> DataFrame:

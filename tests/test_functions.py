@@ -134,3 +134,15 @@ def _matches(text):
     from tabkit.functions.scalar import NUMBER_PATTERN
 
     return re.match(NUMBER_PATTERN, text.strip()) is not None
+
+
+@pytest.mark.parametrize("exact_rows", [D.EXACT_ROWS, 3])
+def test_exact_quantiles_with_infinities(spark, exact_rows):
+    inf = float("inf")
+    vals = [-inf, -inf, 1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0, inf]
+    df = spark.createDataFrame([("g", v) for v in vals], "g string, v double")
+    got = {r.prob: r.value for r in D.exact_quantiles(df, "v", [0.0, 0.1, 0.5, 0.75, 1.0], ["g"],
+                                                         exact_rows=exact_rows).collect()}
+    assert got[0.0] == -inf and got[0.1] == -inf and got[1.0] == inf
+    assert got[0.5] == pytest.approx(np.quantile(np.array(vals[2:9]), (0.5 * 9 - 2) / 6))
+    assert got[0.75] == pytest.approx(5.75)
