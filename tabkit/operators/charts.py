@@ -8,14 +8,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabkit.functions.distributed import exact_quantiles, maybe_broadcast
+from tabkit.functions.distributed import MAX_DOUBLE, exact_quantiles, maybe_broadcast
 from tabkit.functions.scalar import percent_label
 
 
 def _numeric_long(df: DataFrame, cols: list[str], keep: list[str] = ()) -> DataFrame:
+    """Unpivot numeric columns to (column, x), keeping finite values only: NULL,
+    NaN and infinities have no place on a histogram axis or in a density."""
     cast_df = df.select(*[F.col(f"`{k}`") for k in keep], *[F.col(f"`{c}`").cast("double").alias(c) for c in cols])
     long = cast_df.unpivot(list(keep), cols, "column", "x")
-    return long.where(F.col("x").isNotNull() & ~F.isnan("x"))
+    return long.where(F.col("x").between(-MAX_DOUBLE, MAX_DOUBLE))
 
 
 def histogram(df: DataFrame, cols: list[str], bins: int = 20) -> DataFrame:
