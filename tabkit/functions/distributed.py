@@ -242,15 +242,21 @@ def _finish(vals, state, per_prob, g, n_targets) -> DataFrame:
 
 def top_k_per_group(df: DataFrame, group_cols: list[str], order, k: int) -> DataFrame:
     """The first ``k`` rows of each group in ``order`` (a list of sort columns), with
-    ``rank`` 1..k. Two rounds: each input partition keeps its own top k per group,
-    then only those (at most k per partition) are ranked per group, so a group
-    with many rows is never ordered in one task."""
-    local_w = Window.partitionBy(*group_cols, "_p").orderBy(*order)
-    local = (
-        df.withColumn("_p", F.spark_partition_id())
-        .withColumn("_r", F.row_number().over(local_w))
-        .where(F.col("_r") <= k)
-        .drop("_p", "_r")
-    )
+    ``rank`` 1..k, without ordering a large group in one task.
+
+    Up to Spark's ``windowGroupLimitThreshold`` the optimizer already plans a
+    partial group limit before the shuffle (each task keeps k rows per group),
+    so a plain ``row_number`` filter is enough. Above it, the same two rounds
+    are written out: k per input partition first, then the final ranking.
+    """
     w = Window.partitionBy(*group_cols).orderBy(*order)
-    return local.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= k)
+    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if k > threshold:
+        local_w = Window.partitionBy(*group_cols, "_p").orderBy(*order)
+        df = (
+            df.withColumn("_p", F.spark_partition_id())
+            .withColumn("_r", F.row_number().over(local_w))
+            .where(F.col("_r") <= k)
+            .drop("_p", "_r")
+        )
+    return df.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= k)

@@ -146,3 +146,12 @@ def test_exact_quantiles_with_infinities(spark, exact_rows):
     assert got[0.0] == -inf and got[0.1] == -inf and got[1.0] == inf
     assert got[0.5] == pytest.approx(np.quantile(np.array(vals[2:9]), (0.5 * 9 - 2) / 6))
     assert got[0.75] == pytest.approx(5.75)
+
+
+def test_top_k_above_group_limit_threshold(spark):
+    old = spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "2")
+    try:
+        test_top_k_per_group(spark)
+    finally:
+        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", old)
