@@ -122,6 +122,9 @@ def exact_quantiles(
         df.select(*g, F.col(value_col).cast("double").alias("_v"))
         .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     )
+    # Both paths read the values at least twice (group sizes, then the values):
+    # keep them, spilling to disk, and release them once the result is built.
+    vals = vals.persist(StorageLevel.MEMORY_AND_DISK)
     # Brackets span finite values only; infinities take the first / last ranks.
     finite = F.col("_v").between(-MAX_DOUBLE, MAX_DOUBLE)
     stats = vals.groupBy(*g).agg(
@@ -159,6 +162,7 @@ def exact_quantiles(
     stats = stats.cache()  # one row per group
     bounds = stats.agg(F.count(F.lit(1)).alias("groups"), F.max("_n").alias("largest")).first()
     if bounds["groups"] == 0:
+        vals.unpersist()
         return per_prob.select(*g, "prob", F.lit(None).cast("double").alias("value")).drop("_all")
     if bounds["largest"] <= exact_rows:
         # Every group is small enough for Spark's exact percentile aggregate (it
@@ -168,11 +172,11 @@ def exact_quantiles(
         out = out.join(F.broadcast(per_prob.select(*g, "_pi", "prob")) if bounds["groups"] <= 10_000
                        else per_prob.select(*g, "_pi", "prob"), [*g, "_pi"])
         out = out.select(*g, "prob", "value")
-        return out.drop("_all") if g == ["_all"] else out
+        out = (out.drop("_all") if g == ["_all"] else out).persist(StorageLevel.MEMORY_AND_DISK)
+        out.count()  # one row per group and probability
+        vals.unpersist()
+        return out
     n_targets = bounds["groups"] * 2 * len(probs)
-    # Refinement reads the values once per round: keep them (spilling to disk),
-    # and hand back a materialised result so they can be released.
-    vals = vals.persist(StorageLevel.MEMORY_AND_DISK)
     state = targets.cache()  # small: one row per target
     for _ in range(MAX_REFINE):
         big = state.where((F.col("_inside") > exact_rows) & (F.col("_hi") > F.col("_lo")))
