@@ -31,8 +31,8 @@ from tabkit.llm.common import Words, mix, slices, window_hash
 SHINGLE = 5
 THRESHOLD = 0.75
 RADIUS = 27
-#: Benchmark words handled (and shipped) per pass over the documents.
-CHUNK_WORDS = 500_000
+#: Items and words of one chunk: its tables and shingles are shipped whole (under 40 MB).
+CHUNK_ITEMS, CHUNK_WORDS = 1024, 500_000
 
 
 def shingles(words: np.ndarray) -> np.ndarray:
@@ -80,30 +80,26 @@ class Index:
         values = np.arange(1 << 16, dtype=np.uint16)
         for j in range(4):
             table = np.zeros((1 << 16, (len(self.ids) + 7) // 8), np.uint8)
-            if len(self.ids) <= 4096:
-                for i, v in enumerate(blocks[:, j]):
-                    table[np.bitwise_count(values ^ v) <= RADIUS // 4, i >> 3] |= np.uint8(1 << (i & 7))
-                self.near.append(table)
+            for i, v in enumerate(blocks[:, j]):
+                table[np.bitwise_count(values ^ v) <= RADIUS // 4, i >> 3] |= np.uint8(1 << (i & 7))
+            self.near.append(table)
         pairs = sorted((s, n) for b, n in zip(self.bags, self.lengths) for s in set(b.tolist()))
         self.shared = np.array(sorted({s for s, _ in pairs}), np.uint64)
         self.sizes: dict[int, set[int]] = {}
         for s, n in pairs:
             self.sizes.setdefault(s, set()).add(n)
         self.of_length: dict[int, np.ndarray] = {n: np.flatnonzero(np.array(self.lengths) == n) for n in set(self.lengths)}
+        self.short = sorted(n for n in set(self.lengths) if n < SHINGLE)
         self.filter = np.zeros(1 << 20, bool)
         self.filter[(self.shared >> np.uint64(44)).astype(np.int64)] = True
 
     def within(self, prints: np.ndarray, items: np.ndarray):
         """(window, item) pairs with fingerprints within RADIUS, by the block tables."""
-        if self.near:
-            blocks = prints.view(np.uint16).reshape(-1, 4)
-            some = np.zeros((len(prints), self.near[0].shape[1]), np.uint8)
-            for j in range(4):
-                some |= self.near[j][blocks[:, j]]
-            hit = np.unpackbits(some, axis=1, bitorder="little")[:, items]
-            w, i = np.nonzero(hit)
-        else:
-            w, i = (x.ravel() for x in np.indices((len(prints), len(items))))
+        blocks = prints.view(np.uint16).reshape(-1, 4)
+        some = np.zeros((len(prints), self.near[0].shape[1]), np.uint8)
+        for j in range(4):
+            some |= self.near[j][blocks[:, j]]
+        w, i = np.nonzero(np.unpackbits(some, axis=1, bitorder="little")[:, items])
         i = items[i]
         close = np.bitwise_count(prints[w] ^ self.prints[i]) <= RADIUS
         return w[close], i[close]
@@ -123,7 +119,7 @@ class Index:
             for n in self.sizes[int(grams[p])]:
                 starts.setdefault(n, []).append(p)
         for n, at in starts.items():
-            width = max(1, n - SHINGLE + 1)  # shingles of a window
+            width = n - SHINGLE + 1  # shingles of a window
             if n_words <= n or len(grams) <= width:
                 firsts = np.zeros(1, np.int64)
                 width = len(grams)
@@ -147,12 +143,12 @@ class Index:
                         yield self.ids[item], int(part[w]), s
 
 
-def chunks(benchmark: DataFrame, size: int = CHUNK_WORDS):
+def chunks(benchmark: DataFrame, most: int = CHUNK_ITEMS, size: int = CHUNK_WORDS):
     """Indexes of bounded chunks of the benchmark."""
     held, words = [], 0
     for r in benchmark.select(F.col("item_id").cast("long"), "text").orderBy("item_id", "text").toLocalIterator():
         n = len((r[1] or "").split()) + 1
-        if held and words + n > size:
+        if held and (words + n > size or len(held) == most):
             yield Index(held)
             held, words = [], 0
         held.append((r[0], r[1]))
@@ -174,26 +170,28 @@ def found_by(spark, index: Index):
             for first, last, data, bounds in slices(column):
                 words = Words(data, bounds, lower=True)
                 grams = window_hash(words.hash, SHINGLE) + np.uint64(SHINGLE)
-                # a shingle across two texts is no shingle; its first text is the one before its last word's
+                # a shingle that runs into the next text is none
                 at = own.hits(grams)
                 row = np.searchsorted(words.first, at, "right") - 1
                 at, row = (x[words.first[row + 1] >= at + SHINGLE] for x in (at, row))
-                counts = np.diff(words.first)
-                rows = set(row.tolist()) | set(np.flatnonzero((counts > 0) & (counts < SHINGLE)).tolist())
-                for r in sorted(rows):
+                found: dict[int, dict[int, tuple]] = {}
+                for r in np.unique(row).tolist():
                     lo, hi = words.first[r], words.first[r + 1]
-                    if hi - lo < SHINGLE:
-                        bag = shingles(words.hash[lo:hi])
-                        hit = own.hits(bag)
-                    else:
-                        bag, hit = grams[lo:hi - SHINGLE + 1], at[row == r] - lo
-                    best: dict[int, tuple] = {}
-                    for i, w, s in own.matches(bag, hi - lo, hit):
+                    for i, w, s in own.matches(grams[lo:hi - SHINGLE + 1], int(hi - lo), at[row == r] - lo):
+                        best = found.setdefault(r, {})
                         if i not in best or (-s, w) < best[i]:
                             best[i] = (-s, w)
-                    if best:
-                        (s, i, w) = min((s, i, w) for i, (s, w) in best.items())
-                        n_items[first + r], item[first + r], word[first + r], sim[first + r] = len(best), i, w, -s
+                for n in own.short:  # items of fewer words than a shingle: one shingle, equal or not
+                    runs = window_hash(words.hash, n) + np.uint64(n)
+                    for p in own.hits(runs).tolist():
+                        r = int(np.searchsorted(words.first, p, "right")) - 1
+                        if words.first[r + 1] >= p + n:
+                            for k in own.of_length[n]:
+                                if own.bags[k][0] == runs[p]:
+                                    found.setdefault(r, {}).setdefault(own.ids[k], (-1.0, int(p - words.first[r])))
+                for r, best in found.items():
+                    s, i, w = min((s, i, w) for i, (s, w) in best.items())
+                    n_items[first + r], item[first + r], word[first + r], sim[first + r] = len(best), i, w, -s
             yield pd.DataFrame({"n_items": n_items, "item_id": item, "word": word, "similarity": sim})
 
     from typing import Iterator

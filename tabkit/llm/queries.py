@@ -7,7 +7,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tabkit.llm import packing, quality, secrets, sharding, topk_search, url_filter
+from tabkit.llm import decontaminate, minhash, packing, quality, secrets, sharding, topk_search, url_filter
 from tabkit.llm.common import parquet, ship_package
 
 #: Path of the vocabulary that documents are packed with.
@@ -57,6 +57,16 @@ def op4_secret_scan(spark, sf_dir):
     return secrets.report(parquet(spark, sf_dir, "documents"))
 
 
+@registered
+def op5_minhash(spark, sf_dir):
+    return minhash.near_groups(parquet(spark, sf_dir, "documents"))
+
+
+@registered
+def op7_decontaminate(spark, sf_dir):
+    return decontaminate.report(parquet(spark, sf_dir, "documents"), parquet(spark, sf_dir, "benchmark"))
+
+
 @registered
 def op8_packing(spark, sf_dir):
     return packing.pack_documents(parquet(spark, sf_dir, "documents"), VOCABULARY)
