@@ -7,7 +7,8 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tabkit.llm import decontaminate, minhash, packing, quality, secrets, sharding, topk_search, url_filter
+from tabkit.llm import (decontaminate, minhash, packing, quality, secrets, sharding, substrings, suffix_dedup,
+                        topk_search, url_filter)
 from tabkit.llm.common import parquet, ship_package
 
 #: Path of the vocabulary that documents are packed with.
@@ -62,6 +63,11 @@ def op5_minhash(spark, sf_dir):
     return minhash.near_groups(parquet(spark, sf_dir, "documents"))
 
 
+@registered
+def op6_phrase_dedup(spark, sf_dir):
+    return substrings.drop_repeats(parquet(spark, sf_dir, "documents"))
+
+
 @registered
 def op7_decontaminate(spark, sf_dir):
     return decontaminate.report(parquet(spark, sf_dir, "documents"), parquet(spark, sf_dir, "benchmark"))
@@ -77,6 +83,11 @@ def op9_url_filter(spark, sf_dir):
     return url_filter.judge(parquet(spark, sf_dir, "pages"), URL_RULES)
 
 
+@registered
+def op10_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.drop_substrings(parquet(spark, sf_dir, "documents"))
+
+
 ORACLE = {
     "op1_topk_search": """
         with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as vec from embeddings
