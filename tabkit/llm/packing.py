@@ -79,14 +79,20 @@ class Encoder:
 _ENCODERS: dict[str, Encoder] = {}
 
 
+def encoder_for(path: str) -> Encoder:
+    """The Python worker's own encoder, which outlives a task. (A name of the module: what a
+    nested function refers to is copied with it, and would start anew in every task.)"""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
 def pieces(docs: DataFrame, vocabulary: str, limit: int = LIMIT, end_id: int = END_ID) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens, ids): the pieces of every row."""
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        if vocabulary not in _ENCODERS:
-            _ENCODERS[vocabulary] = Encoder(vocabulary)
-        encoder = _ENCODERS[vocabulary]
+        encoder = encoder_for(vocabulary)
         for b in batches:
             for lo in range(0, b.num_rows, 512):
                 part = b.slice(lo, 512)
