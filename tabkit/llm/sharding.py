@@ -20,6 +20,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tabkit.llm.common import written
+
 #: Bytes that a row takes besides its text.
 ROW_BYTES = 16
 UNITS_PER_SHARD = 1024
@@ -64,21 +66,18 @@ def cut_units(units: DataFrame, shards: int) -> tuple[int, list[int]]:
 def shard_rows(docs: DataFrame, shards: int = 40, units_per_shard: int = UNITS_PER_SHARD) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) for every row of ``docs``."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(
+    rows = written(docs.select(
         F.col("doc_id"), (F.octet_length(text) + F.lit(ROW_BYTES)).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),
-        F.pmod(F.xxhash64(text), F.lit(units_per_shard * shards).cast("long")).alias("unit"))
-    totals = rows.groupBy("unit").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).persist()
-    try:
-        n = totals.agg(F.sum("n")).first()[0] or 0
-        _, cuts = cut_units(totals.select("unit", "bytes"), shards)
-    finally:
-        totals.unpersist()
+        F.pmod(F.xxhash64(text), F.lit(units_per_shard * shards).cast("long")).alias("unit")), "sizes")
+    totals = written(rows.groupBy("unit").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")), "units")
+    n = totals.agg(F.sum("n")).first()[0] or 0
+    _, cuts = cut_units(totals.select("unit", "bytes"), shards)
     shard = F.size(F.filter(F.array(*[F.lit(c).cast("long") for c in cuts]).cast("array<bigint>"),
                             lambda c: c <= F.col("unit")))
     cells = max(32, -(-n // (shards * CELL_ROWS)))
-    placed = rows.withColumn("shard", shard.cast("int")).withColumn(
-        "cell", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(cells).cast("long")))
+    placed = written(rows.withColumn("shard", shard.cast("int")).withColumn(
+        "cell", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(cells).cast("long"))), "placed")
     by_shard = Window.partitionBy("shard").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (placed.groupBy("shard", "cell").agg(F.count("*").alias("rows_here"))
                .withColumn("offset", F.coalesce(F.sum("rows_here").over(by_shard), F.lit(0)))
