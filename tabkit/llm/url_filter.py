@@ -58,7 +58,7 @@ class DigestList:
         for part, data in parts.items():
             target = jvm.org.apache.hadoop.fs.Path(f"{folder}/{self.name}.{part}")
             out = target.getFileSystem(hadoop).create(target)
-            out.write(bytearray(data or b"\0"))  # a file cannot be mapped when empty
+            out.write(bytearray(data or bytes(8)))  # an empty file cannot be mapped
             out.close()
             spark.sparkContext.addFile(target.toString())
 
