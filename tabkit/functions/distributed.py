@@ -1,35 +1,25 @@
 """Distributed building blocks that replace single-task windows and exact
-percentile aggregates.
-
-* ``running_totals``: cumulative sums in a global order. Small inputs use one
-  window; large inputs are range-partitioned, summed per partition, and the
-  per-partition offsets (one row per partition) are broadcast back.
-* ``exact_quantiles``: exact order statistics per group (linear interpolation,
-  as pandas / numpy / DuckDB ``quantile_cont``). Groups up to ``EXACT_ROWS``
-  values use Spark's exact ``percentile`` aggregate; larger groups are never
-  held in one task: equal-width histograms narrow a bracket around each
-  wanted rank until few enough rows remain to rank them.
+percentile aggregates. Each has one path, whatever the size of its input.
+
+* ``running_totals``: cumulative sums in a global order. Rows are range-partitioned and
+  summed per partition; the partitions' offsets (one row each) are added.
+* ``column_quantiles`` / ``exact_quantiles``: exact order statistics per group (linear
+  interpolation, as pandas / numpy / DuckDB ``quantile_cont``). An approximate quantile
+  sketch gives a bracket that holds each wanted rank; one exact pass counts what lies below
+  it and collects the distinct values inside, about 4 / ACCURACY of the rows.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabkit.session import ensure_checkpoint_dir
 
-# Above this many rows a single ordered window (one task) is not used.
-SINGLE_TASK_ROWS = 2_000_000
-# Rows per range partition in the partitioned running-total path.
-ROWS_PER_RANGE_PART = 1_000_000
-# A bracket with at most this many rows is ranked directly.
-EXACT_ROWS = 2_000_000
-HIST_BUCKETS = 4096
-MAX_REFINE = 64
 MAX_DOUBLE = 1.7976931348623157e308
+# Relative rank error of the sketch that brackets are read from is 1 / ACCURACY.
+ACCURACY = 10_000
 # Small side tables (one row per group / target) are broadcast only below this.
 BROADCAST_ROWS = 100_000
 
@@ -39,209 +29,146 @@ def maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def running_totals(
-    df: DataFrame,
-    order_col: str,
-    sum_cols: list[str],
-    descending: bool = False,
-    rows: int | None = None,
-) -> DataFrame:
-    """Add ``cum_<c>`` (inclusive running sum in order) and ``tot_<c>`` for each c.
+def present(c: Column) -> Column:
+    """The value as a double, NULL where it is missing (NULL or NaN)."""
+    x = c.cast("double")
+    return F.when(~F.isnan(x), x)
+
+
+def running_totals(df: DataFrame, order_col: str, sum_cols: list[str], descending: bool = False,
+                   group_cols: list[str] | tuple = ()) -> DataFrame:
+    """Add ``cum_<c>`` (inclusive running sum in order) and ``tot_<c>`` for each c, within
+    each of ``group_cols`` where given.
 
-    ``order_col`` must be unique (group by it first). ``rows`` may pass a known
-    row count to skip the count job.
+    The pair (group, ``order_col``) must be unique (group by it first).
     """
-    if rows is None:
-        # the input is already grouped to one row per order value: keep it, so
-        # counting it does not cost a second pass over the data behind it
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-        rows = df.count()
-    n = rows
+    g = list(group_cols)
     order = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    if n <= SINGLE_TASK_ROWS:
-        w = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        tot = Window.partitionBy()
-        return df.select(
-            "*",
-            *[F.sum(c).over(w).alias(f"cum_{c}") for c in sum_cols],
-            *[F.sum(c).over(tot).alias(f"tot_{c}") for c in sum_cols],
-        )
-    parts = max(2, math.ceil(n / ROWS_PER_RANGE_PART))
     ensure_checkpoint_dir(df.sparkSession)  # the cluster's shared folder, or a local one in tests
     # Range partitions follow the sort order, so partition i precedes i+1. The
     # checkpoint pins the assignment and cuts lineage before two jobs read it.
     ranged = (
-        df.repartitionByRange(parts, order)
+        df.repartitionByRange(*[F.col(c).asc() for c in g], order)
         .withColumn("_pid", F.spark_partition_id())
         .checkpoint(eager=True)
     )
-    local_w = Window.partitionBy("_pid").orderBy(order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
+    local_w = Window.partitionBy("_pid", *g).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = ranged.select("*", *[F.sum(c).over(local_w).alias(f"_loc_{c}") for c in sum_cols])
-    part_tot = ranged.groupBy("_pid").agg(*[F.sum(c).alias(f"_pt_{c}") for c in sum_cols])
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per partition and group that meets it
+    part_tot = ranged.groupBy("_pid", *g).agg(*[F.sum(c).alias(f"_pt_{c}") for c in sum_cols])
+    by_group = Window.partitionBy(*g)
+    before = by_group.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = part_tot.select(
-        "_pid",
+        F.col("_pid").alias("_p"), *[F.col(c).alias(f"_g_{c}") for c in g],
         *[F.coalesce(F.sum(f"_pt_{c}").over(before), F.lit(0)).alias(f"_off_{c}") for c in sum_cols],
-        *[F.sum(f"_pt_{c}").over(Window.partitionBy()).alias(f"tot_{c}") for c in sum_cols],
+        *[F.sum(f"_pt_{c}").over(by_group).alias(f"tot_{c}") for c in sum_cols],
     )
-    out = local.join(F.broadcast(offsets), "_pid")  # one row per range partition
-    return out.select(
+    on = F.col("_pid") == F.col("_p")
+    for c in g:
+        on = on & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
+    return local.join(offsets, on).select(
         *df.columns,
         *[(F.col(f"_loc_{c}") + F.col(f"_off_{c}")).alias(f"cum_{c}") for c in sum_cols],
         *[F.col(f"tot_{c}") for c in sum_cols],
     )
 
 
-def dense_index(df: DataFrame, col: str, rows: int | None = None) -> DataFrame:
+def dense_index(df: DataFrame, col: str) -> DataFrame:
     """Distinct non-null values of ``col`` with their 0-based rank in ascending order."""
     values = df.select(col).where(F.col(col).isNotNull()).distinct().withColumn("_one", F.lit(1))
-    ranked = running_totals(values, col, ["_one"], rows=rows)
+    ranked = running_totals(values, col, ["_one"])
     return ranked.select(col, (F.col("cum__one") - 1).cast("int").alias("code"))
 
 
-def exact_quantiles(
-    df: DataFrame,
-    value_col: str,
-    probs: list[float],
-    group_cols: list[str] | tuple = (),
-    exact_rows: int | None = None,
-) -> DataFrame:
-    """Exact quantiles per group: columns ``group_cols..., prob, value``.
+def column_quantiles(df: DataFrame, cols: list[str], probs: list[float], group_cols: list[str] | tuple = ()) -> DataFrame:
+    """Exact quantiles of several columns per group: ``group_cols..., column, prob, value``.
 
-    NULL and NaN values are skipped (pandas ``skipna``). Linear interpolation
-    between the order statistics at ranks floor((n-1)p) and that plus one.
+    Columns stay wide: only the distinct values inside a bracket become rows. NULL and NaN
+    values are skipped (pandas ``skipna``); a NULL group is a group. Linear interpolation
+    between the order statistics at ranks floor((n-1)p) and that plus one. The result is
+    checkpointed (one row per group, column and probability).
     """
-    exact_rows = EXACT_ROWS if exact_rows is None else exact_rows
+    ensure_checkpoint_dir(df.sparkSession)
+    if not cols:
+        raise ValueError("no columns")
+    if not group_cols:  # one implicit group; keeps every join an equi-join
+        return column_quantiles(df.withColumn("_all", F.lit(0)), cols, probs, ["_all"]).drop("_all")
     g = list(group_cols)
-    if not g:  # one implicit group; keeps every join below an equi-join
-        df = df.withColumn("_all", F.lit(0))
-        g = ["_all"]
-    vals = (
-        df.select(*g, F.col(value_col).cast("double").alias("_v"))
-        .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    )
-    # Both paths read the values at least twice (group sizes, then the values):
-    # keep them, spilling to disk, and release them once the result is built.
-    vals = vals.persist(StorageLevel.MEMORY_AND_DISK)
-    # Brackets span finite values only; infinities take the first / last ranks.
-    finite = F.col("_v").between(-MAX_DOUBLE, MAX_DOUBLE)
-    stats = vals.groupBy(*g).agg(
-        F.count("_v").alias("_n"), F.min(F.when(finite, F.col("_v"))).alias("_lo"),
-        F.max(F.when(finite, F.col("_v"))).alias("_hi"),
-        F.count_if(F.col("_v") < -MAX_DOUBLE).alias("_nneg"), F.count_if(F.col("_v") > MAX_DOUBLE).alias("_npos"),
-    )
-    prob_rows = F.array(*[F.struct(F.lit(i).alias("pi"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
-    per_prob = stats.select("*", F.explode(prob_rows).alias("_pp")).select(
-        *g, "_n", "_lo", "_hi", "_nneg", "_npos",
-        F.col("_pp.pi").alias("_pi"), F.col("_pp.p").alias("prob"),
-        ((F.col("_n") - 1) * F.col("_pp.p")).alias("_pos"),
-    )
-    per_prob = per_prob.withColumn("_r0", F.floor("_pos").cast("bigint")).withColumn(
-        "_r1", F.least(F.col("_r0") + 1, F.col("_n") - 1)
-    )
-    # Two wanted ranks per (group, prob): tid = 2*pi + side.
-    targets = per_prob.select(
-        *g, "_lo", "_hi", "_n", "_nneg", "_npos", F.explode(F.array(
-            F.struct((F.col("_pi") * 2).alias("tid"), F.col("_r0").alias("rank")),
-            F.struct((F.col("_pi") * 2 + 1).alias("tid"), F.col("_r1").alias("rank")),
-        )).alias("_t"),
-    )
-    # a rank among the -inf (+inf) values is settled at once: an empty bracket at that value
-    neg = F.col("_t.rank") < F.col("_nneg")
-    pos = F.col("_t.rank") >= F.col("_n") - F.col("_npos")
-    inf = F.lit(float("inf"))
-    targets = targets.select(
-        *g, F.col("_t.tid").alias("_tid"), F.col("_t.rank").alias("_rank"),
-        F.when(neg, -inf).when(pos, inf).otherwise(F.col("_lo")).alias("_lo"),
-        F.when(neg, -inf).when(pos, inf).otherwise(F.col("_hi")).alias("_hi"),
-        F.col("_nneg").cast("bigint").alias("_below"),
-        (F.col("_n") - F.col("_nneg") - F.col("_npos")).alias("_inside"),
-    )
-    stats = stats.cache()  # one row per group
-    bounds = stats.agg(F.count(F.lit(1)).alias("groups"), F.max("_n").alias("largest")).first()
-    if bounds["groups"] == 0:
-        vals.unpersist()
-        return per_prob.select(*g, "prob", F.lit(None).cast("double").alias("value")).drop("_all")
-    if bounds["largest"] <= exact_rows:
-        # Every group is small enough for Spark's exact percentile aggregate (it
-        # holds a group's distinct values): one pass, partial aggregation.
-        pct = vals.groupBy(*g).agg(F.percentile("_v", [float(p) for p in probs]).alias("_q"))
-        out = pct.select(*g, F.posexplode("_q").alias("_pi", "value"))
-        out = out.join(F.broadcast(per_prob.select(*g, "_pi", "prob")) if bounds["groups"] <= 10_000
-                       else per_prob.select(*g, "_pi", "prob"), [*g, "_pi"])
-        out = out.select(*g, "prob", "value")
-        out = (out.drop("_all") if g == ["_all"] else out).persist(StorageLevel.MEMORY_AND_DISK)
-        out.count()  # one row per group and probability
-        vals.unpersist()
-        return out
-    n_targets = bounds["groups"] * 2 * len(probs)
-    state = targets.cache()  # small: one row per target
-    for _ in range(MAX_REFINE):
-        big = state.where((F.col("_inside") > exact_rows) & (F.col("_hi") > F.col("_lo")))
-        if big.limit(1).count() == 0:
+    data = df.select(*[F.col(f"`{c}`") for c in g], *[present(F.col(f"`{c}`")).alias(f"_v{i}") for i, c in enumerate(cols)])
+    slack = 2.0 / ACCURACY
+    out = None
+    while True:
+        edges = [e for p in probs for e in (max(0.0, p - slack), min(1.0, p + slack))]
+        summary = data.groupBy(*g).agg(
+            *[x for i in range(len(cols)) for x in (
+                F.count(f"_v{i}").alias(f"_n{i}"), F.percentile_approx(f"_v{i}", edges, ACCURACY).alias(f"_e{i}"))])
+        summary = summary.withColumnsRenamed({c: f"_g_{c}" for c in g}).persist(StorageLevel.MEMORY_AND_DISK)
+        groups = summary.count()
+        side = maybe_broadcast(summary, groups)  # one row per group
+        both = data.join(side, _null_safe(g, [f"_g_{c}" for c in g]))
+        out = _ranked(both, summary, cols, probs, g).checkpoint(eager=True)  # one row per group, column, probability
+        # the sketch bounds its rank error, so the first brackets hold; wider ones are exact all the same
+        summary.unpersist()
+        if slack >= 1 or out.where("n > 0 and not found").isEmpty():
             break
-        state = _refine(vals, state, g, n_targets).cache()
-    out = _finish(vals, state, per_prob, g, n_targets)
-    out = (out.drop("_all") if g == ["_all"] else out).persist(StorageLevel.MEMORY_AND_DISK)
-    out.count()  # one row per group and probability
-    vals.unpersist()
-    return out
-
-
-def _refine(vals: DataFrame, state: DataFrame, g: list[str], n_targets: int) -> DataFrame:
-    """One histogram pass: shrink each large bracket to the bucket holding its rank."""
-    open_ = state.where(F.col("_hi") > F.col("_lo"))
-    done = state.where(F.col("_hi") <= F.col("_lo"))
-    cand = vals.join(maybe_broadcast(open_, n_targets), g).where(
-        F.col("_v").between(F.col("_lo"), F.col("_hi"))
-    )
-    bucket = F.least(
-        F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * HIST_BUCKETS),
-        F.lit(HIST_BUCKETS - 1),
-    )
-    keys = [*g, "_tid", "_rank", "_below"]
-    hist = cand.withColumn("_b", bucket).groupBy(*keys, "_b").agg(
-        F.count("*").alias("_c"), F.min("_v").alias("_bmin"), F.max("_v").alias("_bmax")
-    )
-    w = Window.partitionBy(*g, "_tid").orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = hist.withColumn("_cum", F.sum("_c").over(w))
-    hit = hist.where(
-        (F.col("_below") + F.col("_cum") > F.col("_rank"))
-        & (F.col("_below") + F.col("_cum") - F.col("_c") <= F.col("_rank"))
-    )
-    refined = hit.select(
-        *g, "_tid", "_rank", F.col("_bmin").alias("_lo"), F.col("_bmax").alias("_hi"),
-        (F.col("_below") + F.col("_cum") - F.col("_c")).alias("_below"), F.col("_c").alias("_inside"),
-    )
-    return refined.unionByName(done)
-
-
-def _finish(vals, state, per_prob, g, n_targets) -> DataFrame:
-    """Rank the rows of each open bracket once and pick the wanted ranks.
-
-    Targets that share a bracket (all of them, when no refinement was needed)
-    share one ranking: rows are joined to distinct brackets, not to targets.
-    """
-    settled = state.where(F.col("_hi") <= F.col("_lo")).select(*g, "_tid", F.col("_lo").alias("_val"))
-    open_ = state.where(F.col("_hi") > F.col("_lo"))
-    brackets = open_.select(*g, "_lo", "_hi", "_below").distinct()
-    cand = vals.join(maybe_broadcast(brackets, n_targets), g).where(
-        F.col("_v").between(F.col("_lo"), F.col("_hi"))
-    )
-    w = Window.partitionBy(*g, "_lo", "_hi").orderBy("_v")
-    ranked = cand.select(*g, "_lo", "_hi", "_v", (F.row_number().over(w) - 1 + F.col("_below")).alias("_rank"))
-    picked = ranked.join(maybe_broadcast(open_.select(*g, "_lo", "_hi", "_tid", "_rank"), n_targets),
-                         [*g, "_lo", "_hi", "_rank"]).select(*g, "_tid", F.col("_v").alias("_val"))
-    vals_by_tid = picked.unionByName(settled)
-    lo_v = vals_by_tid.where(F.col("_tid") % 2 == 0).select(*g, (F.col("_tid") / 2).cast("int").alias("_pi"), F.col("_val").alias("_v0"))
-    hi_v = vals_by_tid.where(F.col("_tid") % 2 == 1).select(*g, ((F.col("_tid") - 1) / 2).cast("int").alias("_pi"), F.col("_val").alias("_v1"))
-    frac = F.col("_pos") - F.col("_r0")
-    out = per_prob.join(lo_v, [*g, "_pi"]).join(hi_v, [*g, "_pi"])
-    same = (F.col("_v0") == F.col("_v1")) | (frac == 0)  # also keeps equal infinities exact
-    value = F.when(same, F.col("_v0")).otherwise(F.col("_v0") + (F.col("_v1") - F.col("_v0")) * frac)
-    return out.select(*g, "prob", value.alias("value"))
+        slack *= 16
+    return out.drop("n", "found")
+
+
+def _ranked(both: DataFrame, summary: DataFrame, cols: list[str], probs: list[float], g: list[str]) -> DataFrame:
+    """The wanted order statistics from the rows joined with their group's brackets."""
+    entries = []
+    for i, c in enumerate(cols):
+        for j, p in enumerate(probs):
+            lo, hi, v = F.col(f"_e{i}")[2 * j], F.col(f"_e{i}")[2 * j + 1], F.col(f"_v{i}")
+            entries.append((i, j, lo, hi, v))
+    inside = F.filter(
+        F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.when(v.between(lo, hi), v).alias("v")) for i, j, lo, hi, v in entries]),
+        lambda x: x["v"].isNotNull())
+    values = both.select(*g, F.inline(inside)).groupBy(*g, "i", "j", "v").agg(F.count(F.lit(1)).alias("c"))
+    below = both.groupBy(*g).agg(*[F.count_if(v < lo).alias(f"_b{i}_{j}") for i, j, lo, hi, v in entries])
+    per_entry = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"_b{i}_{j}").alias("below")) for i, j, *_ in entries])
+    below = below.select(*[F.col(c).alias(f"_h_{c}") for c in g], F.inline(per_entry)).withColumnsRenamed({"i": "_i", "j": "_j"})
+    size = summary.select(*[F.col(f"_g_{c}") for c in g], F.inline(F.array(*[
+        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"_n{i}").alias("n"),
+                 ((F.col(f"_n{i}") - 1) * F.lit(float(probs[j]))).alias("pos")) for i, j, *_ in entries])))
+    w = Window.partitionBy(*g, "i", "j").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = values.withColumn("cum", F.sum("c").over(w))
+
+    def keys(left, right):
+        return (F.col("i") == F.col(left)) & (F.col("j") == F.col(right))
+
+    wanted = size.join(below, _null_safe([f"_g_{c}" for c in g], [f"_h_{c}" for c in g]) & keys("_i", "_j"), "left").select(
+        *[F.col(f"_g_{c}") for c in g], F.col("i").alias("_wi"), F.col("j").alias("_wj"), "n", "pos",
+        F.coalesce("below", F.lit(0)).alias("below"), F.floor("pos").alias("r0"))
+    wanted = wanted.withColumn("r1", F.least(F.col("r0") + 1, F.col("n") - 1))
+    joined = wanted.join(cum, _null_safe([f"_g_{c}" for c in g], g) & keys("_wi", "_wj"), "left")
+    picked = joined.groupBy(*[f"_g_{c}" for c in g], "_wi", "_wj", "n", "pos", "r0", "r1", "below").agg(
+        F.min(F.when(F.col("cum") + F.col("below") > F.col("r0"), F.col("v"))).alias("v0"),
+        F.min(F.when(F.col("cum") + F.col("below") > F.col("r1"), F.col("v"))).alias("v1"))
+    frac = F.col("pos") - F.col("r0")
+    # equal neighbours stay as they are: also keeps equal infinities exact
+    value = F.when((F.col("v0") == F.col("v1")) | (frac == 0), F.col("v0")).otherwise(
+        F.col("v0") + (F.col("v1") - F.col("v0")) * frac)
+    names = F.array(*[F.lit(c) for c in cols])
+    return picked.select(
+        *[F.col(f"_g_{c}").alias(c) for c in g], F.element_at(names, F.col("_wi") + 1).alias("column"),
+        F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("_wj") + 1).alias("prob"),
+        value.alias("value"), "n", ((F.col("below") <= F.col("r0")) & F.col("v1").isNotNull()).alias("found"))
+
+
+def _null_safe(left: list[str], right: list[str]) -> Column:
+    on = F.lit(True)
+    for a, b in zip(left, right):
+        on = on & F.col(a).eqNullSafe(F.col(b))
+    return on
+
+
+def exact_quantiles(df: DataFrame, value_col: str, probs: list[float], group_cols: list[str] | tuple = ()) -> DataFrame:
+    """Exact quantiles of one column per group: columns ``group_cols..., prob, value``."""
+    g = list(group_cols)
+    q = column_quantiles(df, [value_col], probs, g)
+    return q.select(*g, "prob", "value")
 
 
 def top_k_per_group(df: DataFrame, group_cols: list[str], order, k: int) -> DataFrame:

@@ -34,13 +34,30 @@ def portable_hash(c, seed: int = 42) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
 
 
-def percent_label(c, digits: int = 1) -> Column:
-    """Share in percent as text, e.g. ``51.3%`` (printf style, no thousands commas)."""
-    return F.format_string(f"%.{digits}f%%", _col(c))
+def decimal_label(c, digits: int = 2) -> Column:
+    """A number with fixed digits as text (printf style, no thousands commas).
+
+    Rounds the double's exact value, ties to even, as C does: 51.25 is a tie (51.2), the
+    double nearest to 0.15 lies below one (0.1). The scaled value is kept as an exact sum
+    of two products (upper and lower half of the mantissa).
+    """
+    x = F.abs(_col(c).cast("double"))
+    scale = float(10**digits)
+    split = x * 134217729.0  # 2**27 + 1
+    upper = split - (split - x)
+    p, q = upper * scale, (x - upper) * scale
+    whole = F.floor(x * scale).cast("double")
+    whole = F.when((p - whole) + q < 0, whole - 1).otherwise(whole)
+    rest = (p - (whole + 0.5)) + q
+    up = F.when(rest > 0, 1.0).when(rest < 0, 0.0).otherwise(F.pmod(whole, F.lit(2.0)))
+    size = F.when(x < 1e15 / scale, (whole + up) / scale).otherwise(x)
+    text = F.format_string(f"%.{digits}f", size)
+    return F.when(x.isNotNull(), F.concat(F.when(_col(c) < 0, "-").otherwise(""), text))
 
 
-def decimal_label(c, digits: int = 2) -> Column:
-    return F.format_string(f"%.{digits}f", _col(c))
+def percent_label(c, digits: int = 1) -> Column:
+    """Share in percent as text, e.g. ``51.3%``."""
+    return F.concat(decimal_label(c, digits), F.lit("%"))
 
 
 def relative_gain(worst, best) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabkit.functions.distributed import running_totals
+from tabkit.session import ensure_checkpoint_dir
 
 
 def mismatches(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -72,10 +73,21 @@ def weighted_precision_recall(df: DataFrame, label: str = "label", prediction: s
     )
 
 
+def summary(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """E1 and E2 from one pass: accuracy, support-weighted precision and recall."""
+    pc = _per_class(class_counts(df, label, prediction))
+    n = F.nullif(F.sum("support"), F.lit(0))
+    return pc.agg((F.sum("tp") / n).alias("accuracy"),
+                  (F.sum(F.col("precision") * F.col("support")) / n).alias("weighted_precision"),
+                  (F.sum(F.col("recall") * F.col("support")) / n).alias("weighted_recall"))
+
+
 def classification_report(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """E5: precision, recall, F1 and support per class, then the accuracy row and
     the macro and weighted means (scikit-learn's report as rows)."""
-    pc = _per_class(class_counts(df, label, prediction)).where(F.col("support") > 0).cache()
+    ensure_checkpoint_dir(df.sparkSession)
+    # a row per class, read by the four parts below
+    pc = _per_class(class_counts(df, label, prediction)).where(F.col("support") > 0).checkpoint(eager=True)
     per = pc.select(
         F.col("class").cast("string").alias("class"), "precision", "recall", "f1", "support"
     )
@@ -99,20 +111,19 @@ def classification_report(df: DataFrame, label: str = "label", prediction: str =
     return per.unionByName(acc).unionByName(macro).unionByName(weighted)
 
 
-def auc(df: DataFrame, score: str = "prediction", label: str = "label") -> DataFrame:
-    """Areas under the ROC and precision-recall curves.
+def auc(df: DataFrame, score: str = "prediction", label: str = "label", group: list[str] | tuple = ()) -> DataFrame:
+    """Areas under the ROC and precision-recall curves, per ``group`` where given.
 
     Rows are grouped by distinct score; running class totals in falling score
-    order come from ``running_totals`` (range-partitioned when the distinct
-    scores are many). The previous curve point is the running total minus the
-    row's own counts, so no ordered ``lag`` window is needed; the areas are
-    plain sums (trapezoids), as in Spark's ``BinaryClassificationMetrics``.
+    order come from ``running_totals`` (range-partitioned). The previous curve point is the
+    running total minus the row's own counts, so no ordered ``lag`` window is needed; the
+    areas are plain sums (trapezoids), as in Spark's ``BinaryClassificationMetrics``.
     """
     y = F.col(label).cast("double")
-    g = df.groupBy(F.col(score).cast("double").alias("sc")).agg(
+    g = df.groupBy(*group, F.col(score).cast("double").alias("sc")).agg(
         F.sum(y).alias("p"), F.sum(1 - y).alias("n")
     )
-    c = running_totals(g, "sc", ["p", "n"], descending=True)
+    c = running_totals(g, "sc", ["p", "n"], descending=True, group_cols=group)
     tp, fp = F.col("cum_p"), F.col("cum_n")
     ptp, pfp = tp - F.col("p"), fp - F.col("n")
     # a class absent from the data leaves its curve undefined (NULL), not an error
@@ -121,7 +132,7 @@ def auc(df: DataFrame, score: str = "prediction", label: str = "label") -> DataF
     ptpr, pfpr = ptp / tot_p, pfp / tot_n
     pr = tp / F.nullif(tp + fp, F.lit(0.0))
     ppr = F.coalesce(ptp / F.nullif(ptp + pfp, F.lit(0.0)), pr)
-    return c.agg(
+    return c.groupBy(*group).agg(
         F.sum((fpr - pfpr) * (tpr + ptpr) / 2).alias("auroc"),
         F.sum((tpr - ptpr) * (pr + ppr) / 2).alias("aupr"),
     )

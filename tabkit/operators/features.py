@@ -12,17 +12,15 @@ import uuid
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tabkit.functions import distributed
-from tabkit.functions.distributed import BROADCAST_ROWS, dense_index, exact_quantiles
+from tabkit.functions.distributed import BROADCAST_ROWS, column_quantiles, dense_index, present
 
 # Fixed value: the fill word for missing categories.
 MISSING = "missing"
-# One-hot columns per input column are capped: each category becomes a column.
-MAX_ONE_HOT = 1000
 # Dictionaries up to this size are inlined as a literal map; larger ones join.
 INLINE_DICT = 256
 
@@ -47,39 +45,34 @@ def fit_median(df: DataFrame, cols: list[str], exact: bool = True, accuracy: int
             for i, c in enumerate(cols)
         ]).first()
         return {c: row[f"m{i}"] for i, c in enumerate(cols)}
-    long = df.select(*[_c(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column", "x")
-    q = exact_quantiles(long, "x", [0.5], ["column"])
-    got = {r["column"]: r["value"] for r in q.collect()}
+    got = {r["column"]: r["value"] for r in column_quantiles(df, cols, [0.5]).collect()}
     return {c: got.get(c) for c in cols}
 
 
-def _median_and_filled_moments(df: DataFrame, cols: list[str], rows: int) -> tuple[dict, dict]:
-    """Medians and the mean / population deviation each column will have once its
-    gaps hold the median, from one aggregate over at most ``distributed.EXACT_ROWS`` rows.
+def filled_moments(df: DataFrame, cols: list[str], medians: dict) -> dict:
+    """Mean and population deviation that each column will have once its gaps hold the
+    median, from one aggregate over the observed values.
 
-    The filled moments merge the observed values' moments with k copies of the
-    median (the pairwise update of Chan et al.), so no second pass is needed.
+    The observed moments merge with k copies of the median (the pairwise update of
+    Chan et al.), so the filled table is never read.
     """
     if not cols:
-        return {}, {}
-    long = df.select(*[F.when(~F.isnan(_c(c)), _c(c)).alias(c) for c in cols]).unpivot([], cols, "column", "x")
-    got = long.groupBy("column").agg(
-        F.percentile("x", 0.5).alias("med"), F.count("x").alias("n"),
-        F.avg("x").alias("mean"), F.var_pop("x").alias("var"),
-    ).collect()  # one row per column
-    medians, scale = {}, {}
-    for r in got:
-        med, n_obs = r["med"], r["n"]
-        medians[r["column"]] = med
-        if n_obs == 0:
-            scale[r["column"]] = (None, None)
+        return {}
+    row = df.agg(F.count(F.lit(1)).alias("rows"), *[
+        x for i, c in enumerate(cols) for x in (
+            F.count(present(_c(c))).alias(f"n{i}"), F.avg(present(_c(c))).alias(f"m{i}"), F.var_pop(present(_c(c))).alias(f"v{i}"))
+    ]).first()
+    scale = {}
+    for i, c in enumerate(cols):
+        rows, n, med = row["rows"], row[f"n{i}"], medians.get(c)
+        if not n:
+            scale[c] = (None, None)
             continue
-        k = rows - n_obs
-        delta = med - r["mean"]
-        mean = r["mean"] + delta * k / rows
-        m2 = r["var"] * n_obs + delta * delta * n_obs * k / rows
-        scale[r["column"]] = (mean, math.sqrt(max(m2 / rows, 0.0)))
-    return {c: medians.get(c) for c in cols}, {c: scale.get(c, (None, None)) for c in cols}
+        k, delta = rows - n, med - row[f"m{i}"]
+        mean = row[f"m{i}"] + delta * k / rows
+        m2 = row[f"v{i}"] * n + delta * delta * n * k / rows
+        scale[c] = (mean, math.sqrt(max(m2 / rows, 0.0)))
+    return scale
 
 
 def apply_fill(df: DataFrame, values: dict) -> DataFrame:
@@ -113,12 +106,12 @@ def fill_constant(df: DataFrame, cols: list[str], value: str = MISSING) -> DataF
 
 # ---------------------------------------------------------------- T3 scaling
 def fit_scale(df: DataFrame, cols: list[str]) -> dict:
-    """Mean and population deviation of each column, one aggregate."""
+    """Mean and population deviation of each column (NULL and NaN skipped), one aggregate."""
     if not cols:
         return {}
     row = df.agg(*[
         x for i, c in enumerate(cols)
-        for x in (F.avg(_c(c)).alias(f"m{i}"), F.stddev_pop(_c(c)).alias(f"s{i}"))
+        for x in (F.avg(present(_c(c))).alias(f"m{i}"), F.stddev_pop(present(_c(c))).alias(f"s{i}"))
     ]).first()
     return {c: (row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(cols)}
 
@@ -142,7 +135,8 @@ def standard_scale(df: DataFrame, cols: list[str]) -> DataFrame:
 
 # ---------------------------------------------------------------- T4 one-hot
 def fit_one_hot(df: DataFrame, cols: list[str]) -> dict:
-    """Sorted distinct categories of each column (NULL excluded), size-checked."""
+    """Sorted distinct categories of each column (NULL excluded). They become columns, so
+    they are read to the driver; ``one_hot_vector`` keeps them distributed."""
     return fit_categories(df, cols, [])[0]
 
 
@@ -160,6 +154,19 @@ def one_hot(df: DataFrame, cols: list[str]) -> DataFrame:
     return apply_one_hot(df, fit_one_hot(df, cols))
 
 
+def one_hot_vector(df: DataFrame, col: str, out: str, dictionary: "Dictionary | None" = None) -> DataFrame:
+    """T4 for any number of categories: one sparse 0/1 vector column beside the others,
+    position = rank of the category; unseen and NULL give an empty vector."""
+    dictionary = dictionary or category_dictionary(df, col)
+    size = max(dictionary.size, 1)
+    code = f"_code_{uuid.uuid4().hex[:12]}"
+    coded = dictionary_lookup(df.withColumn(code, _c(col)), code, dictionary, default=size)
+    # the position past the last category stands for none and is dropped
+    sizes = df.sparkSession.range(size, size + 1).select(F.col("id").cast("int").alias(code))
+    encoder = OneHotEncoder(inputCols=[code], outputCols=[out], dropLast=True).fit(sizes)
+    return encoder.transform(coded).drop(code)
+
+
 # ---------------------------------------------------------------- W1 / N3 dictionaries
 @dataclass
 class Dictionary:
@@ -192,48 +199,37 @@ def fit_categories(df: DataFrame, one_hot_cols: list[str], ordinal_cols: list[st
     """Fit one-hot categories and ordinal dictionaries in one pass over ``df``.
 
     All categorical columns are unpivoted and de-duplicated together (one
-    shuffle of distinct (column, value) pairs). Small sets reach the driver,
-    size-checked first; large ordinal dictionaries stay distributed and are
-    numbered by ``dense_index``.
+    shuffle of distinct (column, value) pairs). Categories sort in their column's own type:
+    numbers as numbers, other values as text. One-hot categories reach the driver (they
+    become columns), and so do ordinal dictionaries of up to INLINE_DICT values; larger
+    ones stay distributed and are numbered by ``dense_index``.
     """
     cols = list(dict.fromkeys([*one_hot_cols, *ordinal_cols]))
     if not cols:
         return {}, {}
+    numeric = {c for c in cols if isinstance(df.schema[c].dataType, T.NumericType)}
     long = df.select(*[_c(c).cast("string").alias(c) for c in cols]).unpivot([], cols, "column", "value")
     pairs = long.where(F.col("value").isNotNull()).distinct().persist()
-    sizes = {c: 0 for c in cols}
-    # Usually every set is small: one bounded collect gives sizes and values.
-    cap = len(cols) * max(MAX_ONE_HOT, INLINE_DICT)
-    first = pairs.limit(cap + 1).collect()
-    if len(first) <= cap:
-        for r in first:
-            sizes[r["column"]] += 1
-    else:
-        first = None
+    try:
+        sizes = {c: 0 for c in cols}
         sizes.update({r["column"]: r["n"] for r in pairs.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()})
-    too_big = [c for c in one_hot_cols if sizes[c] > MAX_ONE_HOT]
-    if too_big:
+        small = [c for c in cols if c in one_hot_cols or sizes[c] <= INLINE_DICT]
+        found: dict = {c: [] for c in small}
+        for r in pairs.where(F.col("column").isin(small)).collect() if small else ():
+            found[r["column"]].append(r["value"])
+        order = {c: (lambda v: (float(v), v)) if c in numeric else (lambda v: v) for c in cols}
+        categories = {c: sorted(found[c], key=order[c]) for c in one_hot_cols}
+        dictionaries = {}
+        for c in ordinal_cols:
+            if sizes[c] <= INLINE_DICT:
+                values = sorted(found[c], key=order[c])
+                dictionaries[c] = Dictionary(c, None, sizes[c], {v: i for i, v in enumerate(values)})
+            else:
+                own = pairs.where(F.col("column") == c).select(F.col("value").cast(df.schema[c].dataType if c in numeric else "string").alias("value"))
+                table = dense_index(own, "value").select(F.col("value").cast("string").alias("value"), "code").checkpoint(eager=True)
+                dictionaries[c] = Dictionary(c, table, sizes[c], None)
+    finally:
         pairs.unpersist()
-        raise ValueError(f"one-hot columns with more than {MAX_ONE_HOT} categories: {too_big}")
-    small = [c for c in cols if c in one_hot_cols or sizes[c] <= INLINE_DICT]
-    found: dict = {c: [] for c in small}
-    if small:
-        rows = first if first is not None else pairs.where(F.col("column").isin(small)).collect()  # size-checked
-        for r in rows:
-            if r["column"] in found:
-                found[r["column"]].append(r["value"])
-    categories = {c: sorted(found[c]) for c in one_hot_cols}
-    dictionaries = {}
-    for c in ordinal_cols:
-        if sizes[c] <= INLINE_DICT:
-            values = sorted(found[c])
-            dictionaries[c] = Dictionary(c, None, sizes[c], {v: i for i, v in enumerate(values)})
-        else:
-            table = dense_index(pairs.where(F.col("column") == c).select("value"), "value", rows=sizes[c])
-            table = table.persist(StorageLevel.MEMORY_AND_DISK)
-            table.count()  # materialise while the pairs are still cached
-            dictionaries[c] = Dictionary(c, table, sizes[c], None)
-    pairs.unpersist()
     return categories, dictionaries
 
 
@@ -257,7 +253,9 @@ def dictionary_lookup(df: DataFrame, col: str, dictionary: Dictionary, default:
     d = dictionary.table.select(F.col("value").alias(f"{tag}_v"), F.col("code").alias(tag))
     if dictionary.size <= BROADCAST_ROWS:
         d = F.broadcast(d)
-    joined = df.join(d, key == F.col(f"{tag}_v"), "left")
+    # a NULL key matches nothing: it goes to a partition of its own hash, not to one with all NULLs
+    spread = F.coalesce(key, F.concat(F.lit("\x00"), F.xxhash64(*[_c(c) for c in df.columns]).cast("string")))
+    joined = df.join(d, spread == F.col(f"{tag}_v"), "left")
     return joined.select(*[
         (F.coalesce(F.col(tag), F.lit(default)).cast("int").alias(out) if c == col else _c(c)) for c in df.columns
     ])
@@ -346,12 +344,8 @@ class PrepModel:
         # keep the used columns, spilling to disk when they do not fit in memory.
         base = df.select(*[(_c(c).cast("double") if c in m.numeric else _c(c)).alias(c) for c in used])
         base = base.persist(StorageLevel.MEMORY_AND_DISK)
-        rows = base.count()  # materialises the cache; bounds every column's size
-        if exact_median and rows <= distributed.EXACT_ROWS:
-            m.medians, m.scale = _median_and_filled_moments(base, m.numeric, rows)
-        else:
-            m.medians = fit_median(base, m.numeric, exact_median)
-            m.scale = fit_scale(apply_fill(base, m.medians), m.numeric)
+        m.medians = fit_median(base, m.numeric, exact_median)
+        m.scale = filled_moments(base, m.numeric, m.medians)
         cats = fill_constant(base, m.categorical, fill_value)
         m.categories, m.dictionaries = fit_categories(cats, m.one_hot_cols, m.ordinal_cols)
         base.unpersist()

@@ -10,10 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabkit.functions.distributed import top_k_per_group
+from tabkit.functions.distributed import present, top_k_per_group
 
-# Distinct values of a pivot column above this count are not turned into columns.
-MAX_PIVOT_VALUES = 1000
+
+def missing(df: DataFrame, c: str):
+    """Whether a value is missing: NULL, or NaN in a floating-point column."""
+    col = F.col(f"`{c}`")
+    floating = isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType))
+    return col.isNull() | F.isnan(col) if floating else col.isNull()
 
 
 def _long(df: DataFrame, cols: list[str], value: str = "value", cast: str = "string") -> DataFrame:
@@ -30,8 +34,8 @@ def table_shape(df: DataFrame) -> DataFrame:
 
 
 def schema_profile(df: DataFrame) -> DataFrame:
-    """Column, position, Spark type, non-null count (one aggregate)."""
-    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(df.columns)])
+    """Column, position, Spark type, non-null count (one aggregate; NaN counts as missing)."""
+    counts = df.agg(*[F.count_if(~missing(df, c)).alias(f"c{i}") for i, c in enumerate(df.columns)])
     rows = F.array(*[
         F.struct(F.lit(f.name).alias("column"), F.lit(i).alias("position"),
                  F.lit(f.dataType.simpleString()).alias("dtype"), F.col(f"c{i}").alias("non_null"))
@@ -53,15 +57,7 @@ def duplicate_rows(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 def null_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """NULL (and NaN) count of each column, one aggregate."""
     cols = cols or df.columns
-    types = dict((f.name, f.dataType) for f in df.schema.fields)
-
-    def missing(c):
-        col = F.col(f"`{c}`")
-        if isinstance(types[c], (T.DoubleType, T.FloatType)):
-            return col.isNull() | F.isnan(col)
-        return col.isNull()
-
-    counts = df.agg(*[F.count_if(missing(c)).alias(f"c{i}") for i, c in enumerate(cols)])
+    counts = df.agg(*[F.count_if(missing(df, c)).alias(f"c{i}") for i, c in enumerate(cols)])
     rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("nulls")) for i, c in enumerate(cols)])
     return counts.select(F.inline(rows))
 
@@ -123,13 +119,13 @@ def head_rows(df: DataFrame, n: int, by: list[str]) -> DataFrame:
 
 
 def skewness(df: DataFrame, cols: list[str]) -> DataFrame:
-    """P10: sample-adjusted skewness (pandas ``skew``), NULLs skipped, one aggregate.
+    """P10: sample-adjusted skewness (pandas ``skew``), NULL and NaN skipped, one aggregate.
 
     ``F.skewness`` is the population value g1; G1 = g1 * sqrt(n(n-1)) / (n-2).
     """
     aggs = []
     for i, c in enumerate(cols):
-        col = F.col(f"`{c}`")
+        col = present(F.col(f"`{c}`"))
         aggs += [F.skewness(col).alias(f"g{i}"), F.count(col).cast("double").alias(f"n{i}")]
     stats = df.agg(*aggs)
 
@@ -151,19 +147,12 @@ def columns_by_type(df: DataFrame, target: str | None = None) -> DataFrame:
     return spark.createDataFrame(rows, "column string, kind string")
 
 
-def cross_tab(df: DataFrame, a: str, b: str, values: list | None = None) -> DataFrame:
-    """A4: counts of ``a`` against ``b`` as a wide table, NULL categories left out.
-
-    ``b``'s distinct values become columns; they are read (size-checked) when not given.
-    """
+def cross_tab(df: DataFrame, a: str, b: str, values: list) -> DataFrame:
+    """A4: counts of ``a`` against the stated ``values`` of ``b`` as a wide table, NULL
+    categories left out. Where the values are not known beforehand, the long form
+    (``charts.stacked_counts``) has every cell."""
     ca, cb = F.col(f"`{a}`"), F.col(f"`{b}`")
     kept = df.where(ca.isNotNull() & cb.isNotNull())
-    if values is None:
-        distinct = kept.select(cb.alias("v")).distinct().limit(MAX_PIVOT_VALUES + 1).collect()
-        if len(distinct) > MAX_PIVOT_VALUES:
-            raise ValueError(f"{b} has more than {MAX_PIVOT_VALUES} values; use stacked_counts")
-        values = sorted(r.v for r in distinct)
     return kept.groupBy(ca.alias(a)).agg(
         *[F.count_if(cb == F.lit(v)).alias(str(v)) for v in values]
     )
-

@@ -11,7 +11,7 @@ import math
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabkit.functions.scalar import HASH_RANGE, portable_hash
@@ -26,8 +26,10 @@ def hash_split(df: DataFrame, key: str, test_frac: float = 0.2, seed: int = 42,
 
 
 def assign_folds(df: DataFrame, key: str, k: int, seed: int = 42, out: str = "fold") -> DataFrame:
-    """D3: fold number 0..k-1 from the hash; each row in exactly one fold."""
-    return df.withColumn(out, F.pmod(portable_hash(key, seed), F.lit(k)).cast("int"))
+    """D3: fold number 0..k-1 from the hash; each row in exactly one fold (a NULL key in
+    the fold of the hash of ``seed|``)."""
+    h = F.coalesce(portable_hash(key, seed), portable_hash(F.lit(""), seed))
+    return df.withColumn(out, F.pmod(h, F.lit(k)).cast("int"))
 
 
 def exact_split(df: DataFrame, key: str, test_frac: float = 0.2, seed: int = 42, out: str = "split") -> DataFrame:
@@ -67,21 +69,18 @@ def exact_split(df: DataFrame, key: str, test_frac: float = 0.2, seed: int = 42,
 
 
 def _locate(hist: DataFrame, want):
-    """In a histogram (b, c) with at most 65,536 rows, find the bucket where the
-    running count reaches ``want(total)``. Returns (bucket, rows needed from it, total)."""
-    w = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    tot = Window.partitionBy()
-    cum = hist.select("b", "c", F.sum("c").over(w).alias("cum"), F.sum("c").over(tot).alias("n")).cache()
-    first = cum.limit(1).collect()
-    if not first:
-        return None
-    n = first[0]["n"]
-    k = want(n)
+    """In a histogram (b, c) with at most 65,536 rows, which is read whole, find the bucket
+    where the running count reaches ``want(total)``. Returns (bucket, rows needed from it, total)."""
+    rows = sorted((r["b"], r["c"]) for r in hist.collect())
+    n = sum(c for _, c in rows)
+    k = min(want(n), n)
     if k <= 0:
         return None
-    k = min(k, n)
-    row = cum.where((F.col("cum") >= k) & (F.col("cum") - F.col("c") < k)).first()
-    return row["b"], int(k - (row["cum"] - row["c"])), n
+    before = 0
+    for b, c in rows:
+        if before + c >= k:
+            return b, k - before, n
+        before += c
 
 
 def training_folds(df: DataFrame, k: int, fold_col: str = "fold") -> DataFrame:

@@ -38,17 +38,18 @@ def test_auc_matches_reference_and_mllib(spark, rounding):
     assert got.aupr == pytest.approx(ev.setMetricName("areaUnderPR").evaluate(df), abs=1e-12)
 
 
-def test_auc_partitioned_running_totals(spark, monkeypatch):
-    from tabkit.functions import distributed as D
-
+def test_auc_partitioned_running_totals(spark):
     rng = np.random.default_rng(6)
     y = rng.integers(0, 2, 300)
     s = rng.random(300)
     df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(s, y)], "score double, label double")
-    small = evaluate.auc(df, "score", "label").first()
-    monkeypatch.setattr(D, "SINGLE_TASK_ROWS", 20)
-    monkeypatch.setattr(D, "ROWS_PER_RANGE_PART", 25)
-    big = evaluate.auc(df, "score", "label").first()
+    small = evaluate.auc(df.coalesce(1), "score", "label").first()
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        big = evaluate.auc(df, "score", "label").first()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
     assert big.auroc == pytest.approx(small.auroc, abs=1e-12)
     assert big.aupr == pytest.approx(small.aupr, abs=1e-12)
 

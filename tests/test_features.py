@@ -1,3 +1,5 @@
+import numpy as np
+import pandas as pd
 import pytest
 
 from tabkit.operators import features
@@ -69,3 +71,50 @@ def test_prepare_column_order_and_refit(spark, table):
     # the fill value is the training median, scaled with training moments
     mean, sd = model.scale["a"]
     assert row["a"] == pytest.approx((2.5 - mean) / sd)
+
+
+def test_numbers_are_categories_in_their_own_order(spark):
+    df = spark.createDataFrame([(10,), (2,), (1,), (2,), (None,)], "n int")
+    d = features.category_dictionary(df, "n")
+    assert d.inline == {"1": 0, "2": 1, "10": 2}
+    assert features.fit_one_hot(df, ["n"]) == {"n": ["1", "2", "10"]}
+
+
+def test_large_numeric_dictionary_in_its_own_order(spark, monkeypatch):
+    monkeypatch.setattr(features, "INLINE_DICT", 2)
+    df = spark.createDataFrame([(float(x),) for x in (10, 9, -3, 200, 9)], "n double")
+    got = {r.value: r.code for r in features.category_dictionary(df, "n").table.collect()}
+    assert got == {"-3.0": 0, "9.0": 1, "10.0": 2, "200.0": 3}
+
+
+def test_one_hot_without_a_cap(spark):
+    """More categories than columns are sensible: the sparse vector form."""
+    df = spark.createDataFrame([(f"c{i:05d}",) for i in range(3000)] + [(None,)], "c string")
+    fitted = features.category_dictionary(df, "c")
+    out = features.one_hot_vector(df, "c", "v", fitted).collect()
+    for r in out:
+        assert r.v.size == 3000
+        assert r.v.indices.tolist() == ([] if r.c is None else [int(r.c[1:])])
+    unseen = features.one_hot_vector(spark.createDataFrame([("new",)], "c string"), "c", "v", fitted).first()
+    assert unseen.v.numNonzeros() == 0
+    assert len(features.fit_one_hot(df, ["c"])["c"]) == 3000
+
+
+def test_nan_is_missing_everywhere(spark):
+    from tabkit.operators import profile
+
+    df = spark.createDataFrame([(1.0,), (2.0,), (4.0,), (9.0,), (float("nan"),), (None,)], "x double")
+    assert profile.schema_profile(df).first().non_null == 4 and profile.null_counts(df).first().nulls == 2
+    assert abs(profile.skewness(df, ["x"]).first().skewness - pd.Series([1.0, 2.0, 4.0, 9.0]).skew()) < 1e-12
+    mean, sd = features.fit_scale(df, ["x"])["x"]
+    assert mean == 4.0 and abs(sd - np.std([1, 2, 4, 9])) < 1e-12
+
+
+def test_filled_moments_are_those_of_the_filled_column(spark):
+    vals = [1.0, 5.0, None, 2.5, None, float("nan"), 40.0]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    medians = features.fit_median(df, ["x"])
+    mean, sd = features.filled_moments(df, ["x"], medians)["x"]
+    seen = [v for v in vals if v is not None and v == v]
+    filled = np.array(seen + [np.median(seen)] * 3)
+    assert abs(mean - filled.mean()) < 1e-12 and abs(sd - filled.std()) < 1e-12

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabkit.functions import distributed as D
-from tabkit.functions.scalar import number_or, percent_label, portable_hash
+from tabkit.functions.scalar import decimal_label, number_or, percent_label, portable_hash
 
 # Edge cases of the number grammar (one text field each) and the value expected.
 FIELDS = [
@@ -34,17 +34,31 @@ def test_portable_hash_matches_duckdb(spark):
 
 
 def test_percent_label(spark):
-    df = spark.createDataFrame([(51.25,), (3.0,), (12345.678,)], "x double")
+    df = spark.createDataFrame([(51.25,), (3.0,), (12345.678,), (None,)], "x double")
     got = [r.s for r in df.select(percent_label("x").alias("s")).collect()]
-    assert got == ["51.3%", "3.0%", "12345.7%"]  # no thousands separator
+    assert got == ["51.2%", "3.0%", "12345.7%", None]  # ties to even, no thousands separator
+
+
+def test_labels_round_as_printf(spark):
+    """Ties, near-ties and random values against the C format of the exact double."""
+    rng = np.random.default_rng(4)
+    xs = [k / 8 for k in range(-400, 400)] + [k / 20 for k in range(2000)] + [k / 200 for k in range(2000)]
+    xs += rng.uniform(-1e4, 1e4, 2000).round(3).tolist() + [1e15, 1e17, 0.05, 0.15, 0.005, 1.005, 2.675]
+    df = spark.createDataFrame([(float(x),) for x in xs], "x double")
+    got = df.select("x", decimal_label("x", 1).alias("a"), decimal_label("x", 2).alias("b")).collect()
+    for r in got:
+        if r.x < 0 and round(r.x, 1) == 0:
+            continue
+        assert (r.a, r.b) == (f"{r.x:.1f}", f"{r.x:.2f}"), r.x
 
 
 def _pandas_quantile(values, p):
     return float(np.quantile(np.array(values, dtype=float), p))
 
 
-@pytest.mark.parametrize("exact_rows", [D.EXACT_ROWS, 5])
-def test_exact_quantiles_both_paths(spark, exact_rows):
+@pytest.mark.parametrize("accuracy", [D.ACCURACY, 8])
+def test_exact_quantiles(spark, accuracy, monkeypatch):
+    monkeypatch.setattr(D, "ACCURACY", accuracy)  # 8: wide brackets
     rng = np.random.default_rng(3)
     rows = []
     for g in ("a", "b", "c"):
@@ -52,11 +66,12 @@ def test_exact_quantiles_both_paths(spark, exact_rows):
         vals = np.round(rng.lognormal(3, 1.5, n), 2).tolist()
         vals += [vals[0]] * 5  # ties
         rows += [(g, float(v)) for v in vals]
+    rows += [(None, 1.5), (None, 2.5)]  # a NULL group is a group
     rows += [("a", None), ("b", float("nan"))]  # skipped
     df = spark.createDataFrame(rows, "g string, v double")
     probs = [0.25, 0.5, 0.75, 0.0, 1.0]
-    q = D.exact_quantiles(df, "v", probs, ["g"], exact_rows=exact_rows).collect()
-    assert len(q) == 3 * len(probs)
+    q = D.exact_quantiles(df, "v", probs, ["g"]).collect()
+    assert len(q) == 4 * len(probs)
     for r in q:
         vals = [v for g, v in rows if g == r.g and v is not None and not math.isnan(v)]
         assert r.value == pytest.approx(_pandas_quantile(vals, r.prob), rel=1e-12, abs=1e-9)
@@ -64,19 +79,36 @@ def test_exact_quantiles_both_paths(spark, exact_rows):
 
 def test_exact_quantiles_even_count_median(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (4.0,)], "v double")
-    for rows in (D.EXACT_ROWS, 1):
-        assert D.exact_quantiles(df, "v", [0.5], exact_rows=rows).first().value == 2.5
+    assert D.exact_quantiles(df, "v", [0.5]).first().value == 2.5
+
+
+def test_exact_quantiles_over_the_whole_double_range(spark):
+    """Values that no equal-width histogram separates: both ends of the range, and powers of two."""
+    vals = [1.7e308, -1.7e308] * 500 + [2.0 ** -k for k in range(1000)]
+    df = spark.createDataFrame([(v,) for v in vals], "v double").repartition(4)
+    got = {r.prob: r.value for r in D.exact_quantiles(df, "v", [0.0, 0.25, 0.3, 0.5, 0.9, 1.0]).collect()}
+    s = sorted(vals)
+    for p, v in got.items():
+        i = (len(s) - 1) * p
+        a, b = s[math.floor(i)], s[min(math.floor(i) + 1, len(s) - 1)]
+        assert v == pytest.approx(a if a == b else a + (b - a) * (i - math.floor(i)), rel=1e-12)
 
 
 def test_exact_quantiles_constant_group(spark):
     df = spark.createDataFrame([("k", 5.0)] * 30, "g string, v double")
-    r = D.exact_quantiles(df, "v", [0.5], ["g"], exact_rows=3).first()
+    r = D.exact_quantiles(df, "v", [0.5], ["g"]).first()
     assert r.value == 5.0
 
 
-def test_running_totals_partitioned_path(spark, monkeypatch):
-    monkeypatch.setattr(D, "SINGLE_TASK_ROWS", 10)
-    monkeypatch.setattr(D, "ROWS_PER_RANGE_PART", 7)
+def test_running_totals_by_group(spark):
+    rows = [(g, float(k), k % 3) for g in ("a", "b", None) for k in range(40)]
+    df = spark.createDataFrame(rows, "g string, k double, x int")
+    got = {(r.g, r.k): (r.cum_x, r.tot_x) for r in D.running_totals(df, "k", ["x"], group_cols=["g"]).collect()}
+    assert got == {(g, float(k)): (sum(j % 3 for j in range(k + 1)), sum(j % 3 for j in range(40))) for g, k in
+                   [(g, k) for g in ("a", "b", None) for k in range(40)]}
+
+
+def test_running_totals(spark):
     n = 60
     df = spark.createDataFrame([(float(i * 3 % 61), i % 5) for i in range(n)], "k double, x int")
     out = D.running_totals(df, "k", ["x"], descending=True).collect()
@@ -136,13 +168,11 @@ def _matches(text):
     return re.match(NUMBER_PATTERN, text.strip()) is not None
 
 
-@pytest.mark.parametrize("exact_rows", [D.EXACT_ROWS, 3])
-def test_exact_quantiles_with_infinities(spark, exact_rows):
+def test_exact_quantiles_with_infinities(spark):
     inf = float("inf")
     vals = [-inf, -inf, 1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0, inf]
     df = spark.createDataFrame([("g", v) for v in vals], "g string, v double")
-    got = {r.prob: r.value for r in D.exact_quantiles(df, "v", [0.0, 0.1, 0.5, 0.75, 1.0], ["g"],
-                                                         exact_rows=exact_rows).collect()}
+    got = {r.prob: r.value for r in D.exact_quantiles(df, "v", [0.0, 0.1, 0.5, 0.75, 1.0], ["g"]).collect()}
     assert got[0.0] == -inf and got[0.1] == -inf and got[1.0] == inf
     assert got[0.5] == pytest.approx(np.quantile(np.array(vals[2:9]), (0.5 * 9 - 2) / 6))
     assert got[0.75] == pytest.approx(5.75)

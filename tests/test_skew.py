@@ -25,9 +25,8 @@ def test_top_values_with_hot_key(skewed):
     assert top[0].value == "hot" and top[0]["count"] == 1000
 
 
-def test_quantiles_of_hot_group(skewed, monkeypatch):
+def test_quantiles_of_hot_group(skewed):
     df, rows = skewed
-    monkeypatch.setattr(D, "EXACT_ROWS", 40)  # forces bracket refinement for every group
     got = {r.prob: r.value for r in D.exact_quantiles(df.where("key = 'hot'"), "v", [0.1, 0.5, 0.9]).collect()}
     hot = np.array([v for _, k, v in rows if k == "hot"])
     for p, v in got.items():

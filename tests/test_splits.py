@@ -38,3 +38,10 @@ def test_training_folds_and_union(spark, sf_dir):
     a = splits.training_folds(f, 0)
     b = splits.union_folds([f.where(F.col("fold") == k) for k in (1, 2, 3)])
     assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_null_keys_have_a_fold(spark):
+    df = spark.createDataFrame([(i,) for i in range(20)] + [(None,)] * 3, "id long")
+    folded = splits.assign_folds(df, "id", 4)
+    assert folded.where("fold is null").count() == 0
+    assert sum(splits.training_folds(folded, k).count() for k in range(4)) == 3 * 23
