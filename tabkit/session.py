@@ -3,7 +3,9 @@ scratch folder for files that jobs write (always under ``spark.checkpoint.dir``)
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
 import tempfile
 import uuid
 
@@ -34,8 +36,9 @@ def get_spark(cpus: int | str | None = None, app: str = "tabkit") -> SparkSessio
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the session.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    Only when it is unset (local tests) do we create one.
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is. Only on
+    a local master, where driver and executors are one process, may it be unset: a
+    temporary folder is made then.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -43,30 +46,34 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="tabkit-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for written tables, inside the shared checkpoint folder."""
+    """A fresh path for written tables, inside the shared checkpoint folder. The folder is
+    removed when this session's process ends."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tabkit-scratch/{name}-{uuid.uuid4().hex}"
+    root = f"{base}/tabkit-scratch-{spark.sparkContext.applicationId}"
+    if root not in _SCRATCH:
+        _SCRATCH.add(root)
+        atexit.register(_remove, spark, root)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
-_SCANS: dict = {}
+_SCRATCH: set = set()
 
 
-def table(spark: SparkSession, sf_dir: str, name: str):
-    """Scan one of the parquet test tables.
+def _remove(spark: SparkSession, root: str) -> None:
+    if spark.sparkContext._jsc is None:  # stopped before
+        return
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
-    The scan DataFrame is kept per session and path: building it lists the
-    files and reads a footer on the driver, which the read-only test tables
-    need only once. Each use is still a fresh, lazily planned scan.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), spark.sparkContext.applicationId, path)
-    cached = _SCANS.get(key)
-    if cached is None or cached.sparkSession is not spark:
-        cached = _SCANS[key] = spark.read.parquet(path)
-    return cached
+
+def table(spark: SparkSession, sf_dir: str, name: str):
+    """Scan one of the parquet test tables."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

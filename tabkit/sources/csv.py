@@ -7,9 +7,52 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def read_table_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header line into a named, typed table."""
-    return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
+# The words that the usual frame reader takes as missing, besides the empty field.
+MISSING_WORDS = [
+    "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+]
+
+
+def _raw_csv(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+    """All fields as text under the file's own header names (quotes are doubled inside quotes)."""
+    return (spark.read.option("header", True).option("inferSchema", False).option("escape", '"')
+            .option("multiLine", multi_line).option("mode", "PERMISSIVE").csv(path))
+
+
+def read_table_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
+    """CSV with a header line into a named, typed table.
+
+    Columns are found by their header name, whatever their order; further columns of the
+    file are left out. Fields that hold one of MISSING_WORDS or nothing are NULL, and so are
+    fields that do not read as their column's type (``malformed_fields`` counts those).
+    ``multi_line`` lets quoted fields hold line breaks (a file is then one task).
+    """
+    raw = _raw_csv(spark, path, multi_line)
+    return raw.select(*[_typed(f) for f in schema.fields])
+
+
+def _text(name: str):
+    c = F.col(f"`{name}`")
+    return F.when(~F.trim(c).isin(MISSING_WORDS), c)
+
+
+def _typed(f: T.StructField):
+    if isinstance(f.dataType, T.StringType):
+        return _text(f.name).alias(f.name)
+    value = F.trim(_text(f.name)).try_cast(f.dataType)
+    if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+        value = F.when(~F.isnan(value), value)
+    return value.alias(f.name)
+
+
+def malformed_fields(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
+    """Per column, how many fields hold text that is neither missing nor of the column's type."""
+    raw = _raw_csv(spark, path, multi_line)
+    bad = [F.count_if(_text(f.name).isNotNull() & (F.trim(_text(f.name)) != "") & _typed(f).isNull()).alias(f"c{i}")
+           for i, f in enumerate(schema.fields)]
+    rows = F.array(*[F.struct(F.lit(f.name).alias("column"), F.col(f"c{i}").alias("malformed")) for i, f in enumerate(schema.fields)])
+    return raw.agg(*bad).select(F.inline(rows))
 
 
 def read_positional_csv(
@@ -21,7 +64,7 @@ def read_positional_csv(
     """
     if schema is None:
         schema = T.StructType([T.StructField(str(i), T.DoubleType(), True) for i in range(n_columns)])
-    return spark.read.schema(schema).option("header", False).csv(path)
+    return spark.read.schema(schema).option("header", False).option("escape", '"').csv(path)
 
 
 def write_indexed_csv(df: DataFrame, path: str, index_col: str, mode: str = "overwrite") -> None:
@@ -29,20 +72,20 @@ def write_indexed_csv(df: DataFrame, path: str, index_col: str, mode: str = "ove
     name (as a frame written together with its index)."""
     rest = [c for c in df.columns if c != index_col]
     out = df.select(F.col(index_col).alias(""), *rest)
-    out.write.mode(mode).option("header", True).csv(path)
+    out.write.mode(mode).option("header", True).option("escape", '"').csv(path)
 
 
 def read_indexed_csv(spark: SparkSession, path: str, schema: T.StructType, index_name: str) -> DataFrame:
     """Read back a file of ``write_indexed_csv``; the unnamed first column gets ``index_name``."""
-    fields = [T.StructField(index_name, schema[index_name].dataType, True)] + [
-        f for f in schema.fields if f.name != index_name
-    ]
-    return spark.read.schema(T.StructType(fields)).option("header", True).csv(path)
+    raw = _raw_csv(spark, path, False)
+    named = raw.toDF(index_name, *raw.columns[1:])  # the first column's name is empty
+    fields = [schema[index_name]] + [f for f in schema.fields if f.name != index_name]
+    return named.select(*[_typed(f) for f in fields])
 
 
 def write_headerless_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV without header or index (the prepared training file)."""
-    df.write.mode(mode).option("header", False).csv(path)
+    df.write.mode(mode).option("header", False).option("escape", '"').csv(path)
 
 
 def write_predictions(
@@ -55,5 +98,5 @@ def write_predictions(
     """
     out = df.select(F.col(id_col), F.col(prediction_col).cast("int").alias(target))
     if path:
-        out.write.mode(mode).option("header", True).csv(path)
+        out.write.mode(mode).option("header", True).option("escape", '"').csv(path)
     return out

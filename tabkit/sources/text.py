@@ -28,3 +28,8 @@ def parse_labeled_points(lines: DataFrame, col: str = "value", as_vector: bool =
     if as_vector:
         parsed = parsed.withColumn("features", array_to_vector("features"))
     return parsed
+
+
+def binary_points(points: DataFrame) -> DataFrame:
+    """Points whose label is 0 or 1: unreadable lines and headers have another."""
+    return points.where(F.col("label").isin(0.0, 1.0))

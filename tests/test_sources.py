@@ -51,3 +51,51 @@ def test_positional_and_prediction_files(spark):
 def test_file_inventory(spark, sf_dir):
     inv = tables.file_inventory(spark, f"{sf_dir}/nation.parquet").collect()
     assert [(r.file_name, r.rows) for r in inv] == [("nation.parquet", 25)]
+
+
+def test_csv_is_read_by_name_as_the_frame_reader_does(spark):
+    """Shuffled columns, doubled quotes, commas and missing words, against pandas."""
+    import io
+
+    import pandas as pd
+
+    raw = 'z,b,id,a\n9,"say ""hi"", ok",1,1.5\n9,NA,2,NaN\n9,"x,y",3,\n9, null ,4,-inf\n9,n/a,5,abc\n'
+    path = scratch_path(spark, "csv-name")
+    spark.createDataFrame([(raw.rstrip("\n"),)], "value string").coalesce(1).write.option("lineSep", "\n").text(path)
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("a", T.DoubleType()), T.StructField("b", T.StringType())])
+    got = sorted(tuple(r) for r in csvio.read_table_csv(spark, path, schema).collect())
+    assert got == [(1, 1.5, 'say "hi", ok'), (2, None, None), (3, None, "x,y"), (4, float("-inf"), None), (5, None, None)]
+    want = pd.read_csv(io.StringIO(raw.replace(" null ", "null")))
+    assert [g[2] for g in got] == [None if pd.isna(x) else x for x in want["b"]]
+    bad = {r.column: r.malformed for r in csvio.malformed_fields(spark, path, schema).collect()}
+    assert bad == {"id": 0, "a": 1, "b": 0}
+
+
+def test_csv_line_breaks_inside_quotes(spark):
+    path = scratch_path(spark, "csv-lines")
+    spark.createDataFrame([('id,t\n1,"two\nlines"\n2,one',)], "value string").coalesce(1).write.text(path)
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("t", T.StringType())])
+    got = sorted(tuple(r) for r in csvio.read_table_csv(spark, path, schema, multi_line=True).collect())
+    assert got == [(1, "two\nlines"), (2, "one")]
+
+
+def test_quotes_survive_the_indexed_round_trip(spark):
+    path = scratch_path(spark, "csv-quotes")
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("t", T.StringType())])
+    df = spark.createDataFrame([(1, 'a "b", c'), (2, 'back\\slash "q"')], schema)
+    csvio.write_indexed_csv(df, path, "id")
+    assert sorted(csvio.read_indexed_csv(spark, path, schema, "id").collect()) == sorted(df.collect())
+
+
+def test_inventory_keeps_equal_names_apart_and_lists_empty_files(spark):
+    path = scratch_path(spark, "inventory test")
+    for part, n in (("a", 3), ("b", 4), ("c", 0)):
+        spark.range(n).coalesce(1).write.parquet(f"{path}/{part}")
+    found = tables.file_inventory(spark, path).collect()
+    assert sorted((r.file_name.split("/")[0], r.rows) for r in found) == [("a", 3), ("b", 4), ("c", 0)]
+
+
+def test_binary_points(spark):
+    df = spark.createDataFrame([("1,2",), ("0,3",), ("x,4",), ("2,5",), ("",)], "value string")
+    got = text.binary_points(text.parse_labeled_points(df, as_vector=False)).collect()
+    assert sorted((r.label, list(r.features)) for r in got) == [(0.0, [3.0]), (1.0, [2.0])]
