@@ -8,38 +8,40 @@ timing measures the fit, not the scan that feeds it.
 from __future__ import annotations
 
 import time
-from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabkit.functions.scalar import relative_gain
 from tabkit.operators import evaluate
 
 PARTITION_COUNTS = [1, 2, 4, 8, 16, 32]  # fixed value: the reference's sweep
+# fixed values: the result columns of a run
 RUN_METRICS = ["accuracy", "precision", "recall", "training_time"]
 
 
-def partition_sweep(estimators: dict, train: DataFrame, test: DataFrame, counts=PARTITION_COUNTS,
+def partition_sweep(estimators: dict, train: DataFrame, test: DataFrame, counts: list[int],
                     label: str = "label") -> DataFrame:
-    """Fit each estimator on ``train`` repartitioned to each count; accuracy,
-    weighted precision and recall on ``test`` and the fit's seconds."""
+    """Fit each estimator on ``train`` repartitioned to each of ``counts``; accuracy,
+    weighted precision and recall on ``test`` (one pass per fit) and the fit's seconds. A
+    count of 1 puts the whole training table in one task: leave it out for large tables."""
     spark = train.sparkSession
-    test = test.persist()
+    train, test = train.persist(), test.persist()
     rows = []
-    for name, est in estimators.items():
+    try:
         for n in counts:
             part = train.repartition(n).persist()
             part.count()  # materialise before timing
-            t0 = time.time()
-            model = est.fit(part)
-            seconds = time.time() - t0
-            scored = model.transform(test)
-            acc = evaluate.accuracy(scored, label).first()["accuracy"]
-            pr = evaluate.weighted_precision_recall(scored, label).first()
-            rows.append((name, n, float(acc), float(pr["weighted_precision"]), float(pr["weighted_recall"]), seconds))
+            for name, est in estimators.items():
+                t0 = time.time()
+                model = est.fit(part)
+                seconds = time.time() - t0
+                m = evaluate.summary(model.transform(test), label).first()
+                rows.append((name, n, float(m["accuracy"]), float(m["weighted_precision"]), float(m["weighted_recall"]), seconds))
             part.unpersist()
-    test.unpersist()
+    finally:
+        train.unpersist()
+        test.unpersist()
     return spark.createDataFrame(
         rows, "model string, partitions int, accuracy double, precision double, recall double, training_time double"
     )
@@ -48,20 +50,16 @@ def partition_sweep(estimators: dict, train: DataFrame, test: DataFrame, counts=
 def best_worst_runs(results: DataFrame, metrics=RUN_METRICS, lower_better=("training_time",),
                     group: str = "model", x: str = "partitions") -> DataFrame:
     """Per model and metric, the best and the worst run (max, but min for
-    lower-is-better metrics; the first partition count among equals)."""
+    lower-is-better metrics; the first partition count among equals). One aggregate."""
     long = results.select(group, x, *[F.col(m).cast("double").alias(m) for m in metrics]).unpivot(
         [group, x], list(metrics), "metric", "value"
     )
     key = F.when(F.col("metric").isin(list(lower_better)), F.col("value")).otherwise(-F.col("value"))
-    long = long.withColumn("_key", key)
-    w_b = Window.partitionBy(group, "metric").orderBy(F.col("_key").asc(), F.col(x).asc())
-    w_w = Window.partitionBy(group, "metric").orderBy(F.col("_key").desc(), F.col(x).asc())
-    ranked = long.withColumn("_rb", F.row_number().over(w_b)).withColumn("_rw", F.row_number().over(w_w))
-    best = ranked.where(F.col("_rb") == 1).select(group, "metric", F.col(x).alias("best_partitions"),
-                                                  F.col("value").alias("best_value"))
-    worst = ranked.where(F.col("_rw") == 1).select(group, "metric", F.col(x).alias("worst_partitions"),
-                                                   F.col("value").alias("worst_value"))
-    return best.join(worst, [group, "metric"])
+    best = F.min(F.struct(key.alias("k"), F.col(x).alias("x"), F.col("value").alias("v")))
+    worst = F.min(F.struct((-key).alias("k"), F.col(x).alias("x"), F.col("value").alias("v")))
+    return long.groupBy(group, "metric").agg(best.alias("b"), worst.alias("w")).select(
+        group, "metric", F.col("b.x").alias(f"best_{x}"), F.col("b.v").alias("best_value"),
+        F.col("w.x").alias(f"worst_{x}"), F.col("w.v").alias("worst_value"))
 
 
 def improvement_summary(results: DataFrame, time_col: str = "training_time", group: str = "model") -> DataFrame:
@@ -70,17 +68,12 @@ def improvement_summary(results: DataFrame, time_col: str = "training_time", gro
     return agg.withColumn("improvement_pct", relative_gain("worst_time", "best_time"))
 
 
-@contextmanager
-def _clock(rows: list, phase: str):
-    t0 = time.time()
-    yield
-    rows.append((phase, time.time() - t0))
-
-
 def timed_phases(spark, phases: dict) -> DataFrame:
-    """Run each named phase (a callable ending in an action) and record its seconds."""
+    """Run each named phase (a callable that ends in an action and returns the rows it
+    worked on) and record its rows and seconds."""
     rows: list = []
     for name, fn in phases.items():
-        with _clock(rows, name):
-            fn()
-    return spark.createDataFrame(rows, "phase string, seconds double")
+        t0 = time.time()
+        n = fn()
+        rows.append((name, n, time.time() - t0))
+    return spark.createDataFrame(rows, "phase string, rows long, seconds double")

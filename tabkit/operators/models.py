@@ -17,6 +17,7 @@ from pyspark.ml.classification import (
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -52,9 +53,9 @@ def train_lr(df: DataFrame, fit_intercept: bool = True, reg: float = 0.0, max_it
 
 def train_svm(df: DataFrame, reg: float = 0.01, max_iter: int = SVM_ITERATIONS, fit_intercept: bool = False,
               features: str = "features", label: str = "label"):
-    """M3: linear SVM (hinge loss, L2 penalty, no intercept)."""
+    """M3: linear SVM (hinge loss, no intercept; the L2 penalty acts on the raw weights)."""
     svm = LinearSVC(featuresCol=features, labelCol=label, regParam=reg, maxIter=max_iter,
-                    fitIntercept=fit_intercept)
+                    fitIntercept=fit_intercept, standardization=False)
     return svm.fit(df)
 
 
@@ -82,6 +83,15 @@ def train_gbt(df: DataFrame, max_depth: int = 3, learning_rate: float = 0.1, n_e
     return gbt.fit(df)
 
 
+def fit_on(df: DataFrame, train, *args, **kwargs):
+    """``train(df, ...)`` with ``df`` held in memory for the fit and released after it."""
+    held = df.persist()
+    try:
+        return train(held, *args, **kwargs)
+    finally:
+        held.unpersist()
+
+
 def predict(model, df: DataFrame) -> DataFrame:
     """M7: class per row, inside the plan."""
     return model.transform(df)
@@ -111,6 +121,7 @@ def feature_importance(model, names: list[str], n: int = 10) -> DataFrame:
     return df.orderBy(F.desc("importance"), "feature").limit(n)
 
 
+_LEAF = re.compile(r"Predict: (-?[0-9.Ee-]+)")
 _SPLIT = re.compile(r"If \(feature (\d+) <= ([-0-9.Ee]+)\)")
 
 
@@ -150,24 +161,42 @@ def early_stop(scores: DataFrame, patience: int = EARLY_STOP_PATIENCE, group: st
     Windows are partitioned by model and run over its rounds only.
     """
     s = F.col(score) if higher_better else -F.col(score)
-    w_prev = Window.partitionBy(group).orderBy(round_col).rowsBetween(Window.unboundedPreceding, -1)
-    w_cur = Window.partitionBy(group).orderBy(round_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    marked = scores.withColumn("_key", s).withColumn("_prev_best", F.max("_key").over(w_prev))
-    marked = marked.withColumn(
-        "_improve", F.col("_prev_best").isNull() | (F.col("_key") > F.col("_prev_best"))
-    )
-    marked = marked.withColumn(
-        "_best_round", F.max(F.when(F.col("_improve"), F.col(round_col))).over(w_cur)
-    )
-    marked = marked.withColumn("_stale", (F.col(round_col) - F.col("_best_round")) >= patience)
-    stops = marked.groupBy(group).agg(
-        F.coalesce(F.min(F.when(F.col("_stale"), F.col(round_col))), F.max(round_col)).alias("stop_round")
-    )
-    at_stop = marked.join(stops, group).where(F.col(round_col) == F.col("stop_round"))
-    best = marked.select(group, F.col(round_col).alias("best_round"), F.col(score).alias("best_score"))
-    return at_stop.select(group, "stop_round", F.col("_best_round").alias("best_round")).join(
-        best, [group, "best_round"]
-    ).select(group, "best_round", "best_score", "stop_round")
+    in_order = Window.partitionBy(group).orderBy(round_col)
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.partitionBy(group)
+    best = F.max("_key").over(before)
+    marked = scores.select(group, round_col, score, s.alias("_key")).withColumn(
+        "_improves", best.isNull() | (F.col("_key") > best))
+    marked = marked.withColumn("_best", F.max(F.when(F.col("_improves"), F.struct(round_col, score))).over(so_far))
+    stale = F.when(F.col(round_col) - F.col(f"_best.{round_col}") >= patience, F.col(round_col))
+    marked = marked.withColumn("stop_round", F.coalesce(F.min(stale).over(whole), F.max(round_col).over(whole)))
+    return marked.where(F.col(round_col) == F.col("stop_round")).select(
+        group, F.col(f"_best.{round_col}").alias("best_round"), F.col(f"_best.{score}").alias("best_score"), "stop_round")
+
+
+def round_margins(model, df: DataFrame, keep: list[str]) -> DataFrame:
+    """(keep..., round, margin): a boosted model's margin of every row after each round.
+
+    ``leafCol`` gives each tree's leaf per row in one pass; the leaves' values, in the order
+    of their numbers, come from the trees' descriptions (a few numbers per tree).
+    """
+    values = [[float(v) * w for v in _LEAF.findall(tree.toDebugString)] for tree, w in zip(model.trees, model.treeWeights)]
+    table = F.array(*[F.array(*[F.lit(v) for v in tree]) for tree in values])
+    leaves = vector_to_array(F.col("_leaves"))
+    found = model.copy().setLeafCol("_leaves").transform(df).select(*keep, leaves.alias("_l"))
+    step = F.transform("_l", lambda leaf, t: F.get(F.get(table, t), leaf.cast("int")))
+    sums = F.aggregate(step, F.array().cast("array<double>"), lambda a, x: F.concat(a, F.array(
+        F.coalesce(F.element_at(F.when(F.size(a) > 0, a), -1), F.lit(0.0)) + x)))
+    return found.select(*keep, F.posexplode(sums).alias("round", "margin")).withColumn("round", F.col("round") + 1)
+
+
+def round_aucs(model, df: DataFrame, label: str = "label") -> DataFrame:
+    """(round, auc): area under the ROC curve on ``df`` after each boosting round."""
+    from tabkit.operators import evaluate
+
+    scored = round_margins(model, df, [label])
+    return evaluate.auc(scored, "margin", label, ["round"]).select("round", F.col("auroc").alias("auc"))
 
 
 def round_log_losses(model, df: DataFrame) -> list[float]:

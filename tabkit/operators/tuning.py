@@ -53,52 +53,65 @@ def cross_validate(df: DataFrame, settings: list[tuple], k: int, fold_col: str =
                                 features=features, label=label, **rf_kwargs)
         held = data.where(F.col(fold_col) == fold)
         acc = evaluate.accuracy(model.transform(held), label, "prediction").first()["accuracy"]
-        return (s_i, nt, md, mb, fold, float(acc))
+        return (s_i, nt, md, mb, fold, None if acc is None else float(acc))  # an empty fold has none
 
     jobs = [(s_i, setting, fold) for s_i, setting in enumerate(settings) for fold in range(k)]
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:  # each fit is a distributed job
-        rows = list(pool.map(run, jobs))
-    data.unpersist()
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:  # each fit is a distributed job
+            rows = list(pool.map(run, jobs))
+    finally:
+        data.unpersist()
     folds = spark.createDataFrame(
         rows, "setting int, num_trees int, max_depth int, max_bins int, fold int, accuracy double"
     )
     return evaluate.fold_mean(folds, ["setting", "num_trees", "max_depth", "max_bins"], "accuracy", "mean_accuracy")
 
 
-def grid_search(train: DataFrame, val: DataFrame, grid: DataFrame, parallelism: int = 4,
-                features: str = "features", label: str = "label", seed: int = 42) -> DataFrame:
-    """H3: fit boosted trees at each grid point, score AUC on ``val``; keep params,
-    score and seconds. Points are fitted ``parallelism`` at a time."""
+def grid_search(train: DataFrame, val: DataFrame, grid: DataFrame, patience: int = models.EARLY_STOP_PATIENCE,
+                parallelism: int = 4, metric: str = "auc", features: str = "features", label: str = "label",
+                seed: int = 42) -> DataFrame:
+    """H3: fit boosted trees at each grid point with early stopping on ``val``.
+
+    Points that differ only in ``n_estimators`` share one fit with the largest count (81
+    fits for the 243-point grid): a run's first rounds are the run with fewer. The model is
+    scored after every round; the patience rule (M6) runs over a point's rounds, and its
+    score is that of the best round. ``metric``: "auc", or "loss" (score = exp(-log-loss)).
+    Fits run ``parallelism`` at a time. A point whose validation set has one class only has
+    no AUC: its score is NULL and never wins.
+    """
     spark = train.sparkSession
     tr = train.select(features, label).persist()
     va = val.select(features, label).persist()
-    points = [r.asDict() for r in grid.collect()]  # the grid is parameters, a few rows
+    shared: dict = {}
+    for p in grid.collect():  # the grid is parameters, a few hundred rows at most
+        key = (int(p["max_depth"]), float(p["learning_rate"]), int(p["min_child_weight"]), float(p["subsample"]))
+        shared.setdefault(key, []).append(p)
 
-    def run(p):
+    def run(item):
+        (depth, lr, mcw, sub), pts = item
         t0 = time.time()
-        model = models.train_gbt(
-            tr, int(p["max_depth"]), float(p["learning_rate"]), int(p["n_estimators"]),
-            int(p["min_child_weight"]), float(p["subsample"]), seed, features=features, label=label,
-        )
-        scored = model.transform(va).withColumn("p1", F.round(_p1("probability"), 4))
-        score = evaluate.auc(scored, "p1", label).first()["auroc"]
-        return (p["combo"], int(p["max_depth"]), float(p["learning_rate"]), int(p["n_estimators"]),
-                int(p["min_child_weight"]), float(p["subsample"]), float(score), time.time() - t0)
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        rows = list(pool.map(run, points))
-    tr.unpersist()
-    va.unpersist()
-    return spark.createDataFrame(
-        rows, "combo int, max_depth int, learning_rate double, n_estimators int, min_child_weight int, "
-              "subsample double, score double, seconds double",
-    )
-
-
-def _p1(col: str):
-    from pyspark.ml.functions import vector_to_array
-
-    return vector_to_array(F.col(col))[1]
+        n_max = max(int(p["n_estimators"]) for p in pts)
+        model = models.train_gbt(tr, depth, lr, n_max, mcw, sub, seed, features=features, label=label)
+        if metric == "auc":
+            scores = {r["round"]: r["auc"] for r in models.round_aucs(model, va, label).collect()}  # a row per round
+        else:
+            scores = dict(enumerate(models.round_log_losses(model, va), 1))
+        seconds = time.time() - t0
+        return [(p["combo"], r, scores.get(r), seconds) for p in pts for r in range(1, int(p["n_estimators"]) + 1)]
+
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            rows = [r for part in pool.map(run, shared.items()) for r in part]
+    finally:
+        tr.unpersist()
+        va.unpersist()
+    curves = spark.createDataFrame(rows, "combo int, round int, value double, seconds double")
+    stops = models.early_stop(curves, patience, group="combo", score="value", higher_better=metric == "auc")
+    secs = curves.groupBy("combo").agg(F.max("seconds").alias("seconds"))
+    out = grid.join(stops, "combo").join(secs, "combo")
+    score = F.col("best_score") if metric == "auc" else F.exp(-F.col("best_score"))
+    shown = [] if metric == "auc" else [F.col("best_score").alias("val_loss")]
+    return out.select(*grid.columns, "best_round", "stop_round", *shown, score.alias("score"), "seconds")
 
 
 def pick_best(results: DataFrame, score: str = "score", order: str = "combo") -> DataFrame:
@@ -106,15 +119,30 @@ def pick_best(results: DataFrame, score: str = "score", order: str = "combo") ->
     return results.where(F.col(score) > 0).orderBy(F.desc(score), F.asc(order)).limit(1)
 
 
+def best_model(train: DataFrame, val: DataFrame, best: dict, patience: int = models.EARLY_STOP_PATIENCE,
+               features: str = "features", label: str = "label", seed: int = 42):
+    """H5, first half: refit at the best point with early stopping on ``val``'s AUC; the
+    model has the trees up to the best round."""
+    settings = (int(best["max_depth"]), float(best["learning_rate"]))
+    rest = (int(best["min_child_weight"]), float(best["subsample"]), seed)
+
+    def fit(rounds):
+        return models.fit_on(train.select(features, label), models.train_gbt, *settings, rounds, *rest, features=features, label=label)
+
+    model = fit(int(best["n_estimators"]))
+    aucs = models.round_aucs(model, val, label).withColumn("model", F.lit("best"))
+    stop = models.early_stop(aucs, patience, score="auc").first()
+    rounds = int(best["n_estimators"]) if stop is None else stop["best_round"]
+    return model if rounds == int(best["n_estimators"]) else fit(rounds)
+
+
 def best_model_report(train: DataFrame, val: DataFrame, best: dict, feature_names: list[str],
                       test: DataFrame | None = None, path: str | None = None, id_col: str = "id",
-                      features: str = "features", label: str = "label", seed: int = 42):
-    """H5: refit at the best point, report on ``val`` (class report), importances,
-    and predictions of ``test`` written to ``path`` when both are given."""
-    model = models.train_gbt(
-        train, int(best["max_depth"]), float(best["learning_rate"]), int(best["n_estimators"]),
-        int(best["min_child_weight"]), float(best["subsample"]), seed, features=features, label=label,
-    )
+                      patience: int = models.EARLY_STOP_PATIENCE, features: str = "features", label: str = "label", seed: int = 42):
+    """H5: refit at the best point with early stopping, report on ``val`` (class report with
+    accuracy), importances, and predictions of ``test`` (which needs no label), written to
+    ``path`` when that is given."""
+    model = best_model(train, val, best, patience, features, label, seed)
     scored = model.transform(val)
     report = evaluate.classification_report(scored, label, "prediction")
     importance = models.feature_importance(model, feature_names, 10)
@@ -124,44 +152,3 @@ def best_model_report(train: DataFrame, val: DataFrame, best: dict, feature_name
 
         predictions = write_predictions(model.transform(test), path, id_col, label)
     return report, importance, predictions
-
-
-def grid_search_shared_rounds(train: DataFrame, val: DataFrame, grid: DataFrame, patience: int = 50,
-                              parallelism: int = 4, features: str = "features", label: str = "label",
-                              seed: int = 42) -> DataFrame:
-    """H3 with shared boosting runs: points that differ only in ``n_estimators``
-    share one fit with the largest count (81 fits for the 243-point grid).
-
-    ``evaluateEachIteration`` gives the validation loss after every round in
-    one pass; for each point the patience rule (M6) runs over its first
-    ``n_estimators`` rounds. The score is exp(-log-loss) at the best round
-    (higher is better, in (0, 1]), so ``pick_best`` applies unchanged.
-    """
-    spark = train.sparkSession
-    tr = train.select(features, label).persist()
-    va = val.select(features, label).persist()
-    points = [r.asDict() for r in grid.collect()]  # parameters, a few hundred rows at most
-    shared: dict = {}
-    for p in points:
-        key = (int(p["max_depth"]), float(p["learning_rate"]), int(p["min_child_weight"]), float(p["subsample"]))
-        shared.setdefault(key, []).append(p)
-
-    def run(item):
-        (depth, lr, mcw, sub), pts = item
-        t0 = time.time()
-        n_max = max(int(p["n_estimators"]) for p in pts)
-        model = models.train_gbt(tr, depth, lr, n_max, mcw, sub, seed, features=features, label=label)
-        losses = models.round_log_losses(model, va)
-        seconds = time.time() - t0
-        return [(p["combo"], r + 1, losses[r], seconds) for p in pts for r in range(int(p["n_estimators"]))]
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        rows = [r for part in pool.map(run, shared.items()) for r in part]
-    tr.unpersist()
-    va.unpersist()
-    curves = spark.createDataFrame(rows, "combo int, round int, loss double, seconds double")
-    stops = models.early_stop(curves, patience, group="combo", score="loss", higher_better=False)
-    secs = curves.groupBy("combo").agg(F.max("seconds").alias("seconds"))
-    out = grid.join(stops, "combo").join(secs, "combo")
-    return out.select(*grid.columns, "best_round", "stop_round", F.col("best_score").alias("val_loss"),
-                      F.exp(-F.col("best_score")).alias("score"), "seconds")

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.functions.distributed import maybe_broadcast
 from tabkit.session import table
 
 SURVEY_SQL = """
@@ -36,16 +35,12 @@ SURVEY_ORDINAL = ["priority", "nation"]
 SURVEY_CATEGORICAL = ["status", "segment", "priority", "nation"]
 SURVEY_DROP = ["id", "name"]
 
-NATION_ROWS = 25  # the nation dimension is fixed in size
-
 
 def survey(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
-    j = o.join(c, o.o_custkey == c.c_custkey).join(
-        maybe_broadcast(n, NATION_ROWS), F.col("c_nationkey") == F.col("n_nationkey")
-    )
+    j = o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
     key = F.col("o_orderkey")
     score = F.col("o_totalprice") / 1000 + F.col("c_acctbal") / 100 + (key * 7919 + 104729) % 101
     return j.select(

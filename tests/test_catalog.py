@@ -45,7 +45,8 @@ def test_entry(spark):
 
 def test_every_query_has_a_callable():
     assert set(ORACLE) <= set(QUERIES)
-    assert set(entry.queries()) == set(QUERIES)
+    assert set(entry.queries()) >= set(QUERIES)
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -84,19 +85,23 @@ def test_invariant_to_shuffle_partitions(spark, sf_dir, name):
 
 @pytest.mark.parametrize("name", ["violin_quartiles", "impute_median", "prep_apply_test", "auc_prob",
                                   "category_dictionary", "dictionary_lookup"])
-def test_large_data_paths_match_oracle(spark, con, sf_dir, name, monkeypatch):
-    """The same queries through the code paths meant for large inputs: refined
-    quantile brackets, range-partitioned running totals, joined dictionaries."""
+def test_wide_brackets_and_joined_dictionaries_match_oracle(spark, con, sf_dir, name, monkeypatch):
     from tabkit.functions import distributed as D
     from tabkit.operators import features
 
-    monkeypatch.setattr(D, "EXACT_ROWS", 50)
-    monkeypatch.setattr(D, "SINGLE_TASK_ROWS", 5)
-    monkeypatch.setattr(D, "ROWS_PER_RANGE_PART", 7)
+    monkeypatch.setattr(D, "ACCURACY", 20)
     monkeypatch.setattr(features, "INLINE_DICT", 3)
     test_query_matches_oracle(spark, con, sf_dir, name)
 
 
+@pytest.mark.parametrize("name", ["violin_quartiles", "impute_median", "prep_apply_test", "auc_prob", "classification_report",
+                                  "lr_saturated", "exact_split", "dictionary_lookup"])
+def test_queries_release_what_they_persist(spark, sf_dir, name):
+    before = set(spark.sparkContext._jsc.getPersistentRDDs())
+    QUERIES[name](spark, sf_dir).count()
+    assert set(spark.sparkContext._jsc.getPersistentRDDs()) <= before
+
+
 FORBIDDEN_NODES = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin",
                    "FlatMapGroupsInPandas", "MapInPandas")
 

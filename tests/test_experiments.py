@@ -59,7 +59,7 @@ def test_param_grid_order(spark):
 
 def test_timed_phases(spark):
     out = experiments.timed_phases(spark, {"a": lambda: None, "b": lambda: spark.range(10).count()}).collect()
-    assert [r.phase for r in out] == ["a", "b"] and all(r.seconds >= 0 for r in out)
+    assert [(r.phase, r.rows) for r in out] == [("a", None), ("b", 10)] and all(r.seconds >= 0 for r in out)
 
 
 def test_shared_rounds_grid(spark, sf_dir):
@@ -74,9 +74,67 @@ def test_shared_rounds_grid(spark, sf_dir):
     data = features.assemble(out, [c for c in out.columns if c != "label"]).select("features", "label")
     grid = tuning.param_grid(spark, {"max_depth": [2], "learning_rate": [0.3], "n_estimators": [3, 6],
                                      "min_child_weight": [1], "subsample": [1.0]})
-    res = {r.combo: r for r in tuning.grid_search_shared_rounds(data, data, grid, patience=2).collect()}
+    res = {r.combo: r for r in tuning.grid_search(data, data, grid, patience=2, metric="loss").collect()}
     assert set(res) == {1, 2}
     assert res[1].stop_round <= 3 and res[2].stop_round <= 6
     # the first three rounds are the same run, so the shorter point can only be equal or worse
     assert res[2].val_loss <= res[1].val_loss + 1e-12
     assert 0 < res[1].score <= 1
+
+
+def test_round_aucs_match_predictions(spark, sf_dir):
+    """The margin after the last round is the model's own, and its AUC the evaluator's."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.sql import functions as F
+
+    from tabkit.operators import features, models
+    from tabkit.plans import fixtures as fx
+
+    x = fx.survey(spark, sf_dir).select("id", F.col("label").cast("double").alias("label"), *[
+        F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in fx.SURVEY_NUMERIC])
+    data = features.assemble(x, fx.SURVEY_NUMERIC)
+    model = models.train_gbt(data, 3, 0.3, 5, 5, 0.8)
+    margins = models.round_margins(model, data, ["id"]).where("round = 5")
+    raw = model.transform(data).select("id", vector_to_array("rawPrediction")[1].alias("raw"))
+    # the raw prediction is the margin itself
+    worst = margins.join(raw, "id").agg(F.max(F.abs(F.col("margin") - F.col("raw")))).first()[0]
+    assert worst < 1e-9
+    aucs = {r["round"]: r["auc"] for r in models.round_aucs(model, data).collect()}
+    want = BinaryClassificationEvaluator().evaluate(model.transform(data))
+    assert sorted(aucs) == [1, 2, 3, 4, 5] and abs(aucs[5] - want) < 1e-9
+
+
+def test_single_class_validation_scores_nothing(spark):
+    """No AUC on one class: the point's score is NULL and it never wins."""
+    from pyspark.sql import functions as F
+
+    from tabkit.operators import features
+
+    df = spark.range(60).select((F.col("id") % 2).cast("double").alias("label"), (F.col("id") % 4).cast("double").alias("f"))
+    data = features.assemble(df, ["f"])
+    grid = tuning.param_grid(spark, {"max_depth": [2], "learning_rate": [0.3], "n_estimators": [2], "min_child_weight": [1], "subsample": [1.0]})
+    res = tuning.grid_search(data, data.where("label = 1"), grid, patience=1)
+    assert res.first().score is None and tuning.pick_best(res).count() == 0
+
+
+def test_checkpoint_folder_must_be_shared_on_a_cluster():
+    import pytest
+
+    from tabkit import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(ValueError):
+        session.ensure_checkpoint_dir(Session())
