@@ -98,6 +98,29 @@ ORACLE = {
         select query_id, cast(rank as int) as rank, vec_id, score from (
             select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
         where rank <= 5""",
+    "op5_minhash": r"""
+        with recursive w as (
+            select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x20\x09-\x0D]+') as ws from documents),
+        spot as (select doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) as i from w where len(ws) > 0),
+        s as (select distinct doc_id, array_to_string(ws[i:i + 4], ' ') as shingle from spot),
+        n as (select doc_id, count(*) as n from s group by doc_id),
+        c as (select a.doc_id as x, b.doc_id as y, count(*) as c from s a join s b on a.shingle = b.shingle and a.doc_id < b.doc_id group by all),
+        l as (select x, y from c join n p on p.doc_id = x join n q on q.doc_id = y where 100 * c >= 75 * (p.n + q.n - c)),
+        e as (select x, y from l union all select y, x from l),
+        r as (select doc_id, doc_id as reached from w union select r.doc_id, e.y from r join e on e.x = r.reached)
+        select w.doc_id, coalesce(any_value(n.n), 0) as n_shingles, min(reached) as component_id, w.doc_id = min(reached) as kept
+        from w join r using (doc_id) left join n using (doc_id) group by w.doc_id""",
+    "op6_phrase_dedup": r"""
+        with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+        spot as (select doc_id, ws, unnest(range(1, len(ws) - 11)) as i from w where len(ws) >= 13),
+        k as (select doc_id, i, array_to_string(ws[i:i + 12], ' ') as phrase from spot),
+        lowest as (select phrase, min(doc_id) as lo from k group by phrase),
+        gone as (select distinct doc_id, i + j.range as pos from k join lowest using (phrase) cross join range(13) j where lo < doc_id),
+        each as (select doc_id, unnest(ws) as word, unnest(range(1, len(ws) + 1)) as pos from w),
+        kept as (select doc_id, string_agg(word, ' ' order by pos) as text, count(*) as n from each anti join gone using (doc_id, pos) group by doc_id)
+        select w.doc_id, cast(len(ws) as bigint) as n_words, len(ws) - coalesce(kept.n, 0) as n_removed, sha256(coalesce(kept.text, '')) as kept_sha256
+        from w left join kept using (doc_id)""",
     "op9_url_filter": r"""
         with r(rule, verdict) as (values ('org/', 'allow'), ('example.org/es/', 'block'), ('example.org/en/1', 'block'),
                                          ('com/fr/', 'allow'), ('com/de/', 'block')),
