@@ -11,8 +11,10 @@ computed in text order: only at positions where the preceding bytes differ is a
 measured, the others follow from their predecessor less one. Neighbours in the array that
 share ``width`` bytes form the classes of equal strings.
 
-A bucket's entries are induced in array operations; where an alphabet (of names, in the
-recursion) is too large for its text to fill such buckets, a plain loop induces.
+Both passes of the induction run in array operations. Over a small alphabet the entries of a
+bucket are induced together. Over a large one (names, in the recursion) the suffixes of a
+type are ordered at once, by the symbols up to the next suffix whose order is known and by
+that suffix's rank.
 
 Defined results: a NULL text is empty; texts shorter than ``width`` lose nothing; equal rows
 repeat each other, so both lose all bytes from ``width`` on. An empty table gives an
@@ -32,8 +34,10 @@ from tabkit.llm.common import NULL_ID
 WIDTH, GRAM = 200, 32
 #: Content bytes of one shard; its arrays take some 60 times that.
 SHARD_BYTES = 2 << 20
-#: Symbols per bucket, on average, from which array operations induce.
+#: Symbols per bucket, on average, from which buckets are induced one by one.
 DENSE = 256
+#: Longest run of one type that is compared by its symbols; longer ones are left to a plain loop.
+LONGEST_RUN = 64
 
 
 def is_small(s: np.ndarray) -> np.ndarray:
@@ -51,7 +55,7 @@ def induce(s: np.ndarray, small: np.ndarray, lms: np.ndarray, buckets: np.ndarra
     """Suffix array of ``s`` induced from its leftmost S suffixes, given in order.
     ``buckets``: first place of every symbol, and the length at the end."""
     if len(s) < DENSE * (len(buckets) - 1):
-        return induce_plain(s, small, lms, buckets)
+        return induce_by_rank(s, small, lms, buckets)
     n, k = len(s), len(buckets) - 1
     sa = np.full(n, -1, np.int64)
     head, tail = buckets[:-1].copy(), buckets[1:].copy()
@@ -109,6 +113,59 @@ def induce(s: np.ndarray, small: np.ndarray, lms: np.ndarray, buckets: np.ndarra
     return sa
 
 
+def next_true(flags: np.ndarray) -> np.ndarray:
+    """The first position at or after each one whose flag is set (the length where none is)."""
+    n = len(flags)
+    at = np.where(flags, np.arange(n), n)
+    return np.minimum.accumulate(at[::-1])[::-1]
+
+
+def induce_by_rank(s, small, lms, buckets) -> np.ndarray:
+    n = len(s)
+    symbol = s.astype(np.uint64) * np.uint64(2) + small
+    bits = int(symbol.max()).bit_length()
+    per = max(1, 63 // bits)
+    is_lms = np.zeros(n, bool)
+    is_lms[lms] = True
+    ends = {False: next_true(is_lms), True: next_true(~small)}
+    # (the sentinel's own run has no end)
+    longest = int((np.where(small, ends[True], ends[False]) - np.arange(n))[:-1].max())
+    if longest >= LONGEST_RUN:
+        return induce_plain(s, small, lms, buckets)
+    rank = np.zeros(n, np.int64)
+    rank[lms] = np.arange(len(lms))
+    sa = np.empty(n, np.int64)
+    count = np.bincount(s, minlength=len(buckets) - 1)
+    larges = np.bincount(s[~small], minlength=len(buckets) - 1)
+    for kind in (False, True):
+        own = np.flatnonzero(small == kind)
+        if kind:
+            own = own[:-1]  # the sentinel comes first of all
+        end = ends[kind][own]
+        keys, done = [], 0
+        while done <= longest:
+            key = np.zeros(len(own), np.uint64)
+            for t in range(done, min(done + per, longest + 1)):
+                at = own + t
+                inside = at <= end
+                key = (key << np.uint64(bits)) | np.where(inside, symbol[np.minimum(at, n - 1)], np.uint64(0))
+            keys.append(key)
+            done += per
+        # equal symbols end together, at suffixes whose order is known
+        order = own[np.lexsort([rank[end], *keys[::-1]])]
+        if not kind:
+            rank[order] = np.arange(len(order))
+            first = np.append(0, np.cumsum(larges))[:-1]
+            sa[buckets[:-1][s[order]] + np.arange(len(order)) - first[s[order]]] = order
+        else:
+            smalls = count - larges
+            first = np.append(0, np.cumsum(smalls))[:-1]
+            # the sentinel is the first S suffix of all
+            sa[buckets[:-1][s[order]] + larges[s[order]] + np.arange(1, len(order) + 1) - first[s[order]]] = order
+    sa[0] = n - 1
+    return sa
+
+
 def induce_plain(s, small, lms, buckets) -> np.ndarray:
     text, is_s = s.tolist(), small.tolist()
     n = len(text)
