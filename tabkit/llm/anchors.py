@@ -207,7 +207,7 @@ def merged_contents(table: pa.Table):
 
 
 def answers(found: DataFrame, kind: str, width: int, solve, shard_bytes: int, by_key) -> DataFrame:
-    """(h, c, runs): what an operator says of every distinct content.
+    """(h, c, runs), written: what an operator says of every distinct content.
 
     ``solve(contents, lowest, highest, copies)`` answers a shard: for each content the bytes
     of an int64 array of runs, or None. An anchor with more than HOT_CONTENTS content rows
@@ -233,7 +233,7 @@ def answers(found: DataFrame, kind: str, width: int, solve, shard_bytes: int, by
     out = (plain.withColumn("shard", F.pmod("h", F.lit(shards).cast("long"))).groupBy("shard")
            .applyInArrow(lambda t: shard(t), "h long, c long, runs binary"))
     if hot.isEmpty():
-        return out
+        return written(out, "answers")
 
     def windows(batches):
         for b in batches:
@@ -264,7 +264,7 @@ def answers(found: DataFrame, kind: str, width: int, solve, shard_bytes: int, by
 
     back = each.select("h", "c", "rel", "w1", "w2").join(many, ["w1", "w2"]).groupBy("h", "c").applyInArrow(
         lambda t: gathered(t), "h long, c long, runs binary")
-    return out.unionByName(back)
+    return written(out.unionByName(back), "answers")
 
 
 def runs_of(rel: np.ndarray, value: np.ndarray) -> bytes | None:
@@ -279,7 +279,7 @@ def runs_of(rel: np.ndarray, value: np.ndarray) -> bytes | None:
 
 def per_text(rows: DataFrame, found: DataFrame, told: DataFrame, finish, schema: str) -> DataFrame:
     """``finish(did, text, [(lo, runs array), ...])`` -> a row, for every row of ``rows``."""
-    hits = (found.select("rid", "did", "lo", "h", "c").distinct().join(told, ["h", "c"]).groupBy("rid")
+    hits = (found.select("rid", "lo", "h", "c").join(told, ["h", "c"]).groupBy("rid")
             .agg(F.collect_list(F.struct("lo", "runs")).alias("hits")))
     types = [pa.type_for_alias(t) for t in [x.split()[1] for x in schema.split(", ")] for t in [{"long": "int64", "string": "string"}[t]]]
     names = [x.split()[0] for x in schema.split(", ")]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import io
 import os
 import uuid
@@ -29,10 +30,17 @@ def parquet(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: a cut of the lineage that
-    survives lost executors and is computed once."""
-    path = scratch_path(df.sparkSession, name)
+    survives lost executors and is computed once.
+
+    The shuffles behind it are not needed any more. Spark removes their files when the
+    driver collects its garbage, which is asked for here: else they pile up until the end.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    gc.collect()
+    spark._jvm.System.gc()
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def text_key(col="text"):
