@@ -5,19 +5,18 @@ form a class, which goes on as one. The signature needs two permutations only: t
 scatters the shingles, the second, shifted circularly by k, gives coordinate k. Coordinates
 are banded; classes that agree in a band are candidates.
 
-Inside a bucket pairs are not expanded. In each round every bucket that still holds more
-than one component names a hub, and all members of other components are verified against it
-on their full sets. A bucket is settled when it holds one component or all of its components
-but one have been hubs entirely: then every pair of different components was verified.
-Verified distances prune exactly: Jaccard distance is a metric, so two members whose
-distances to a common hub differ by more than the limit need no verification.
+Inside a bucket pairs are not expanded. The member of a bucket that meets most others is its
+hub, and all others are verified against it on their full sets; the links merge components.
+Members of different components that share a hub are then compared in blocks, through
+their differences to the hub (see ``unlinked_pairs``): exactly, and without a row per pair.
 
 With 40 bands of 4 coordinates a pair at the threshold of 0.75 is missed with a chance
 of 3e-7.
 
 Defined results: without words (or text) a document has an empty set and is linked with
 nothing; with fewer than 5 words the whole sequence is its one shingle. Rows that share a
-doc_id are one document for linking. A NULL doc_id is linked with nothing, has a NULL
+doc_id are one document for linking: their component is one, and where their texts differ one
+of them stands for it in links beyond equal sets. A NULL doc_id is linked with nothing, has a NULL
 component and is kept. An empty table gives an empty result.
 """
 
@@ -33,6 +32,8 @@ SHINGLE = 5
 BANDS, ROWS = 40, 4
 #: Links: 100 * intersection >= 75 * union.
 PERCENT = 75
+#: Members of one block of a hub's group, on average.
+BLOCK_MEMBERS = 256
 
 
 def shingle_sets(data: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
@@ -180,7 +181,6 @@ def merged(components: DataFrame, links: DataFrame) -> DataFrame:
 
 def components(docs: DataFrame, sketch: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(rep, comp) for the classes that share a band with another one."""
-    limit = 1 - percent / 100 + 1e-9
     classes = sketch.filter((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy("k1", "k2", "n").agg(
         F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
     # the band number is part of the key
@@ -196,47 +196,84 @@ def components(docs: DataFrame, sketch: DataFrame, percent: int = PERCENT) -> Da
                    .select("key", "h.hub", "h.hub_n"), "hubs")
 
     joined = members.join(hubs, "key").filter("rep <> hub")
-    fits = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)
     pairs = joined.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
     done = written(verified(pairs, sets), "verified")
     is_link = F.col("common") * 100 >= F.col("total") * percent
     comps = written(met.select("rep", F.col("rep").alias("comp")), "components")
     comps = merged(comps, done.filter(is_link))
 
-    # distance of every member to the hub of its bucket
-    distance = done.select("a", "b", (1 - F.col("common") / F.col("total")).alias("d"))
-    far = (joined.withColumns({"a": F.least("rep", "hub"), "b": F.greatest("rep", "hub")}).join(distance, ["a", "b"])
-           .select("key", "rep", "n", "d"))
-    active = written(far, "active")  # members that have not been hubs of their bucket
-    size = 1
-    while True:
-        # a bucket whose other members form one component is settled
-        placed = active.join(comps, "rep")
-        open_ = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
-        placed = written(placed.join(open_, "key", "left_semi"), "open")
-        if placed.isEmpty():
-            return comps
-        groups = placed.groupBy("key", "comp").agg(F.count("*").alias("size"))
-        largest = groups.groupBy("key").agg(F.max(F.struct("size", "comp")).alias("top")).select("key", F.col("top.comp").alias("top"))
-        groups = groups.join(largest, "key").filter("comp <> top").select("key", "comp", "size")
-        # some members of every component but the largest, more each round, in the end all
-        chosen = placed.join(groups, ["key", "comp"])
-        if size <= 64:
-            chosen = chosen.filter(F.pmod(F.xxhash64("rep", F.lit(size)), F.ceil(F.col("size") / size).cast("long")) == 0)
-        chosen = written(chosen.select("key", F.col("rep").alias("hub"), F.col("comp").alias("hub_comp"),
-                                       F.col("n").alias("hub_n"), F.col("d").alias("hub_d")), "hubs")
-        pairs = (placed.join(chosen, "key").filter(F.col("comp") != F.col("hub_comp"))
-                 .filter(fits(F.col("n"), F.col("hub_n"))).filter(F.abs(F.col("d") - F.col("hub_d")) <= limit)
-                 .select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct())
-        new = written(verified(pairs.join(done.select("a", "b"), ["a", "b"], "left_anti"), sets), "verified")
-        done = written(done.unionByName(new), "verified")
-        # contract over components, not documents
-        side = lambda c: comps.select(F.col("rep").alias(c), F.col("comp").alias(f"{c}_comp"))
-        links = new.filter(is_link).join(side("a"), "a").join(side("b"), "b").filter("a_comp <> b_comp").select(
-            F.col("a_comp").alias("a"), F.col("b_comp").alias("b"))
-        comps = merged(comps, links)
-        active = written(placed.drop("comp").join(chosen.select("key", F.col("hub").alias("rep")), ["key", "rep"], "left_anti"), "active")
-        size *= 8
+    # Members of different components that share a hub are left to compare.
+    groups = joined.select("hub", "hub_n", "rep", "n").distinct().join(comps, "rep")
+    open_ = groups.groupBy("hub").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("hub")
+    groups = written(groups.join(open_, "hub", "left_semi"), "open")
+    if groups.isEmpty():
+        return comps
+    return merged(comps, unlinked_pairs(groups, sets, percent))
+
+
+def unlinked_pairs(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): linked components among the members (hub, rep, n, comp) of each hub's group.
+
+    The symmetric difference of two members is that of their differences D to the hub:
+    |x ^ y| = |Dx| + |Dy| - 2 |Dx & Dy|, so that all members outside a group's largest
+    component are compared with all others by counting shared elements of D, in blocks of
+    members. No row is made per pair, and a pair of blocks returns each link of two
+    components once.
+    """
+    def differences(batches):
+        for batch in batches:
+            d = [np.setxor1d(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), assume_unique=True).tobytes()
+                 for x, y in zip(batch.column("sa"), batch.column("sb"))]
+            kept = [batch.column(c) for c in ("hub", "rep", "n", "comp")]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(d, pa.binary())], names=["hub", "rep", "n", "comp", "d"])
+
+    rows = (groups.join(sets.withColumnsRenamed({"shingles": "sa"}), "rep")
+            .join(sets.withColumnsRenamed({"rep": "hub", "shingles": "sb"}), "hub")
+            .select("hub", "rep", "n", "comp", "sa", "sb")
+            .mapInArrow(differences, "hub long, rep long, n long, comp long, d binary"))
+    rows = written(rows, "differences")
+    sizes = rows.groupBy("hub", "comp").agg(F.count("*").alias("size"))
+    largest = sizes.groupBy("hub").agg(F.max(F.struct("size", "comp")).alias("top"), F.sum("size").alias("members")).select(
+        "hub", F.col("top.comp").alias("top"), "members")
+    rows = rows.join(largest, "hub").withColumn(
+        "block", F.pmod(F.xxhash64("rep"), F.ceil(F.col("members") / BLOCK_MEMBERS).cast("long")))
+    packed = lambda df, side: df.groupBy("hub", "block").agg(F.collect_list(F.struct("n", "comp", "d")).alias(side)).select("hub", side)
+    pairs = packed(rows.filter("comp <> top"), "left").join(packed(rows, "right"), "hub")
+
+    def compare(batches):
+        for batch in batches:
+            found = set()
+            for x, y in zip(batch.column("left"), batch.column("right")):
+                found |= block_links(*(unpacked(z.values) for z in (x, y)), percent)
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    return written(pairs.mapInArrow(compare, "a long, b long").distinct(), "links")
+
+
+def unpacked(members: pa.StructArray):
+    """(set sizes, components, elements of D, the member that each element belongs to)."""
+    d = [x.as_py() for x in members.field("d")]
+    size = np.array([len(x) // 8 for x in d], np.int64)
+    return (members.field("n").to_numpy(), members.field("comp").to_numpy(), size,
+            np.frombuffer(b"".join(d), np.uint64), np.repeat(np.arange(len(d)), size))
+
+
+def block_links(left, right, percent: int) -> set[tuple[int, int]]:
+    """Pairs of components (smaller first) that a member of each block links."""
+    (n1, c1, d1, e1, o1), (n2, c2, d2, e2, o2) = left, right
+    order = np.argsort(e2, kind="stable")
+    e2, o2 = e2[order], o2[order]
+    lo, hi = np.searchsorted(e2, e1, "left"), np.searchsorted(e2, e1, "right")
+    shared = np.zeros(len(n1) * len(n2), np.int64)
+    for i in range(0, len(e1), 20_000):
+        count = (hi - lo)[i:i + 20_000]
+        at = np.repeat(lo[i:i + 20_000] - np.append(0, np.cumsum(count))[:-1], count) + np.arange(count.sum())
+        shared += np.bincount(np.repeat(o1[i:i + 20_000], count) * len(n2) + o2[at], minlength=len(shared))
+    differ = d1[:, None] + d2[None, :] - 2 * shared.reshape(len(n1), len(n2))
+    both = n1[:, None] + n2[None, :]
+    # intersection (both - differ) / 2, union (both + differ) / 2
+    x, y = np.nonzero((100 * (both - differ) >= percent * (both + differ)) & (c1[:, None] != c2[None, :]))
+    return {(min(a, b), max(a, b)) for a, b in set(zip(c1[x].tolist(), c2[y].tolist()))}
 
 
 def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
