@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
@@ -125,51 +126,44 @@ def recurring(rows: DataFrame, kind: str, width: int, gram: int) -> DataFrame:
 
 
 def with_segments(rows: DataFrame, kind: str, width: int, gram: int) -> DataFrame:
-    """(rid, did, lo, h, c, content, lowest, highest, copies), written: a row per recurring
+    """(rid, lo, h, c, content, lowest, highest, copies), written: a row per recurring
     segment. ``c`` is a 64-bit key of the content; the first row of a content in each batch
     carries it, with the lowest and highest doc id and the number of rows it stands for."""
-    hits = recurring(rows, kind, width, gram).groupBy("rid").agg(F.collect_list(F.struct("h", "at")).alias("hits"))
+    # a set: rows that repeat an (id, text) share their rid, and each has all of its hits once
+    hits = recurring(rows, kind, width, gram).groupBy("rid").agg(F.collect_set(F.struct("h", "at")).alias("hits"))
     texts = packed_text(rows)
 
     def cut(batches):
         unpack = zstandard.ZstdDecompressor()
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
-                seen: dict[tuple, list] = {}
-                out = [[] for _ in range(9)]
-                for rid, did, z, hits in zip(part.column("rid").to_pylist(), part.column("did").to_pylist(),
-                                             part.column("z"), part.column("hits")):
-                    text = unpack.decompress(z.as_buffer())
-                    units = text if kind == "byte" else text.split()
-                    inner = hits.values
-                    hs, ats = (inner.field(i).to_numpy() for i in (0, 1))
-                    # rows of repeated (id, text) rows share a rid: each hit is listed once per row
-                    pairs = sorted(set(zip(ats.tolist(), hs.tolist())))
-                    for a, h in pairs:
-                        lo, n = a >> 16, a & 0xFFFF
-                        content = units[lo: lo + n - 1 + width]
-                        content = content if kind == "byte" else b" ".join(content)
-                        c = content_key(content)
-                        held = seen.get((h, c))
-                        row = len(out[0])
-                        if held is None:
-                            seen[(h, c)] = held = [row]
-                            stored = (content, did, did, 1)
-                        else:
-                            first = held[0]
-                            out[6][first] = min(out[6][first], did)
-                            out[7][first] = max(out[7][first], did)
-                            out[8][first] += 1
-                            stored = (None, None, None, None)
-                        for column, v in zip(out, (rid, did, lo, h, c, *stored)):
-                            column.append(v)
-                yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(x, pa.int64()) for x in out[:5]), pa.array(out[5], pa.binary()), *(pa.array(x, pa.int64()) for x in out[6:])],
-                    names=["rid", "did", "lo", "h", "c", "content", "lowest", "highest", "copies"])
+            seen: dict[tuple, int] = {}  # the row that carries a content
+            out = [[] for _ in range(8)]
+            lowest, highest, copies = out[5:]
+            for rid, did, z, hits in zip(b.column("rid").to_pylist(), b.column("did").to_pylist(), b.column("z"), b.column("hits")):
+                text = unpack.decompress(z.as_buffer())
+                units = text if kind == "byte" else text.split()
+                hs, ats = (hits.values.field(i).to_numpy() for i in (0, 1))
+                for a, h in sorted(zip(ats.tolist(), hs.tolist())):
+                    lo, n = a >> 16, a & 0xFFFF
+                    content = units[lo: lo + n - 1 + width]
+                    content = content if kind == "byte" else b" ".join(content)
+                    c = content_key(content)
+                    first = seen.setdefault((h, c), len(out[0]))
+                    if first == len(out[0]):
+                        stored = (content, did, did, 1)
+                    else:
+                        lowest[first] = min(lowest[first], did)
+                        highest[first] = max(highest[first], did)
+                        copies[first] += 1
+                        stored = (None, None, None, None)
+                    for column, v in zip(out, (rid, lo, h, c, *stored)):
+                        column.append(v)
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(x, pa.int64()) for x in out[:4]), pa.array(out[4], pa.binary()), *(pa.array(x, pa.int64()) for x in out[5:])],
+                names=["rid", "lo", "h", "c", "content", "lowest", "highest", "copies"])
 
     return written(texts.join(hits, "rid").mapInArrow(
-        cut, "rid long, did long, lo long, h long, c long, content binary, lowest long, highest long, copies long"), "segments")
+        cut, "rid long, lo long, h long, c long, content binary, lowest long, highest long, copies long"), "segments")
 
 
 def signed(x: int) -> int:
@@ -277,12 +271,22 @@ def runs_of(rel: np.ndarray, value: np.ndarray) -> bytes | None:
     return np.stack([rel[begin], np.diff(np.append(begin, len(rel))), value[begin]], axis=1).astype(np.int64).tobytes()
 
 
+def merged_spans(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The union of spans [first, last) as sorted spans that do not touch."""
+    order = np.argsort(first, kind="stable")
+    first, last = first[order], np.maximum.accumulate(last[order]) if len(order) else last
+    new = np.ones(len(first), bool)
+    new[1:] = first[1:] > last[:-1]
+    return first[new], last[np.append(new[1:], True)] if len(first) else last
+
+
 def per_text(rows: DataFrame, found: DataFrame, told: DataFrame, finish, schema: str) -> DataFrame:
-    """``finish(did, text, [(lo, runs array), ...])`` -> a row, for every row of ``rows``."""
+    """``finish(did, text, (lo, runs))`` -> a row, for every row of ``rows``: all runs that were
+    told of its segments, and the first window of each run's segment."""
     hits = (found.select("rid", "lo", "h", "c").join(told, ["h", "c"]).groupBy("rid")
-            .agg(F.collect_list(F.struct("lo", "runs")).alias("hits")))
-    types = [pa.type_for_alias(t) for t in [x.split()[1] for x in schema.split(", ")] for t in [{"long": "int64", "string": "string"}[t]]]
-    names = [x.split()[0] for x in schema.split(", ")]
+            .agg(F.collect_set(F.struct("lo", "runs")).alias("hits")))
+    names, kinds = zip(*(x.split() for x in schema.split(", ")))
+    types = [{"long": pa.int64(), "string": pa.string()}[k] for k in kinds]
 
     def run(batches):
         unpack = zstandard.ZstdDecompressor()
@@ -290,10 +294,15 @@ def per_text(rows: DataFrame, found: DataFrame, told: DataFrame, finish, schema:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
                 out = []
-                for did, z, told_here in zip(part.column("did").to_pylist(), part.column("z"), part.column("hits")):
-                    pairs = [] if not told_here.is_valid else [
-                        (x["lo"].as_py(), np.frombuffer(x["runs"].as_buffer(), np.int64).reshape(-1, 3)) for x in told_here]
-                    out.append(finish(did, unpack.decompress(z.as_buffer()), pairs))
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), types)], names=names)
+                lists = part.column("hits")
+                inner, ends = lists.flatten(), np.append(0, np.cumsum(pc.list_value_length(lists).fill_null(0).to_numpy()))
+                size = pc.binary_length(inner.field("runs")).to_numpy(zero_copy_only=False).astype(np.int64) // 24
+                runs = np.frombuffer(b"".join(inner.field("runs").to_pylist()), np.int64).reshape(-1, 3)
+                lo = np.repeat(inner.field("lo").to_numpy(), size)
+                cuts = np.append(0, np.cumsum(size))[ends]
+                for i, (did, z) in enumerate(zip(part.column("did").to_pylist(), part.column("z"))):
+                    own = slice(cuts[i], cuts[i + 1])
+                    out.append(finish(did, unpack.decompress(z.as_buffer()), (lo[own], runs[own])))
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), types)], names=list(names))
 
     return packed_text(rows).join(hits, "rid", "left").select("did", "z", "hits").mapInArrow(run, schema)

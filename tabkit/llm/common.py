@@ -37,7 +37,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     gc.collect()
     spark._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
@@ -142,12 +142,6 @@ def slices(column: pa.Array):
         i = j
 
 
-def per_text(counts_or_first: np.ndarray) -> np.ndarray:
-    """Row number of each item, from the positions where each row's items begin."""
-    return np.repeat(np.arange(len(counts_or_first) - 1), np.diff(counts_or_first))
-
-
-
 def ship_package(spark: SparkSession) -> None:
     """Give the executors' Python this package, as ``--py-files`` would, once per context."""
     context = spark.sparkContext

@@ -67,16 +67,6 @@ def locate(contents: list[bytes], lowest, highest, width: int = WIDTH) -> list[b
     return out
 
 
-def removed_words(words: int, did: int, hits, width: int) -> np.ndarray:
-    gone = np.zeros(words + 1, np.int32)
-    for lo, runs in hits:
-        for first, n, smallest in runs.tolist():
-            if smallest < did:
-                gone[lo + first] += 1
-                gone[lo + first + n - 1 + width] -= 1
-    return np.cumsum(gone[:words]) > 0
-
-
 def drop_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) for every row of ``docs``."""
     rows = anchors.keyed(docs)
@@ -87,9 +77,15 @@ def drop_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataF
 
     def finish(did, text, hits):
         words = text.split()
-        gone = removed_words(len(words), did, hits, width)
-        kept = words if not gone.any() else [w for w, g in zip(words, gone.tolist()) if not g]
-        return did, len(words), int(gone.sum()), hashlib.sha256(b" ".join(kept)).hexdigest()
+        lo, runs = hits
+        lo, runs = (x[runs[:, 2] < did] for x in (lo, runs))
+        first, last = anchors.merged_spans(lo + runs[:, 0], lo + runs[:, 0] + runs[:, 1] - 1 + width)
+        kept, at = [], 0
+        for a, b in zip(first.tolist(), last.tolist()):
+            kept += words[at:a]
+            at = b
+        kept += words[at:]
+        return did, len(words), len(words) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()
 
     out = anchors.per_text(rows, found, told, finish, "did long, n_words long, n_removed long, kept_sha256 string")
     return out.select(F.nullif("did", F.lit(NULL_ID)).alias("doc_id"), "n_words", "n_removed", "kept_sha256")

@@ -32,8 +32,8 @@ from tabkit.llm import anchors
 from tabkit.llm.common import NULL_ID
 
 WIDTH, GRAM = 200, 32
-#: Content bytes of one shard; its arrays take some 60 times that.
-SHARD_BYTES = 2 << 20
+#: Content bytes of one shard: its arrays, some 60 times that, stay near the processor.
+SHARD_BYTES = 1 << 18
 #: Symbols per bucket, on average, from which buckets are induced one by one.
 DENSE = 256
 #: Longest run of one type that is compared by its symbols; longer ones are left to a plain loop.
@@ -293,14 +293,15 @@ def drop_substrings(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> Da
 
     def finish(did, text, hits):
         n = len(text)
-        gone = np.zeros(n + 1, np.int32)
-        for lo, runs in hits:
-            np.add.at(gone, lo + runs[:, 0], 1)
-            np.add.at(gone, lo + runs[:, 0] + runs[:, 1] - 1 + width, -1)
-        gone = np.cumsum(gone[:n]) > 0
-        spans = int((gone & ~np.append(False, gone[:-1])).sum()) if n else 0
-        kept = text if not spans else np.frombuffer(text, np.uint8)[~gone].tobytes()
-        return did, n, int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()
+        lo, runs = hits
+        first, last = anchors.merged_spans(lo + runs[:, 0], lo + runs[:, 0] + runs[:, 1] - 1 + width)
+        kept = hashlib.sha256()
+        at = 0
+        for a, b in zip(first.tolist(), last.tolist()):
+            kept.update(text[at:a])
+            at = b
+        kept.update(text[at:])
+        return did, n, int((last - first).sum()), len(first), kept.hexdigest()
 
     out = anchors.per_text(rows, found, told, finish, "did long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     return out.select(F.nullif("did", F.lit(NULL_ID)).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
