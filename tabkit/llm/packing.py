@@ -15,6 +15,7 @@ repeated row is packed; an empty table gives an empty result.
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 
 import numpy as np
@@ -25,8 +26,8 @@ from tabkit.llm.common import written
 
 LIMIT = 2048
 END_ID = 1
-#: Words whose ids a Python worker remembers.
-REMEMBERED = 1_000_000
+#: Words whose ids a Python worker remembers (some 200 bytes each).
+REMEMBERED = 2_000_000
 #: Pieces of one ranking cell, on average.
 CELL_PIECES = 1024
 #: Marks that a word is cut at before it is looked up: each of them is a token piece of its own.
@@ -57,7 +58,7 @@ class Encoder:
         for i in range(0, len(new), 10_000):
             part = new[i:i + 10_000]
             for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
+                self.known[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
         for w, (core, tail) in cut.items():
             self.known[w] = self.known[core] + self.known[tail]
 
@@ -69,10 +70,11 @@ class Encoder:
             part = words[i:i + 100_000]
             if len(self.known) > REMEMBERED:
                 self.known.clear()
-            missing = set(part).difference(self.known)
-            if missing:
-                self.learn(missing)
-            out.append(b"".join(map(self.known.__getitem__, part)))
+            found = list(map(self.known.get, part))
+            if None in found:
+                self.learn({w for w, f in zip(part, found) if f is None})
+                found = map(self.known.__getitem__, part)
+            out.append(b"".join(found))
         return b"".join(out)
 
 
