@@ -117,6 +117,28 @@ def test_shards_are_even(spark, sf_dir):
     assert len(load) == 40 and max(load.values()) <= mean + max(texts.values())
 
 
+@pytest.mark.parametrize("hot", [["w "], ["w ", "x ", "y "]])
+def test_shards_beside_a_group_above_the_mean(spark, hot):
+    """Each hot text has a third of the rows, or a quarter: a shard of its own, the others even."""
+    rows = [(i, f"{i:06d}" * 2) for i in range(20_000)]
+    n = 10_000 if len(hot) == 1 else 20_000
+    rows += [(100_000 + n * j + i, t * 6) for j, t in enumerate(hot) for i in range(n)]
+    got, load, texts = shard_check(cases.frame(spark, rows), 40)
+    assert len(load) == 40 and len(got) == len(rows)
+    top = [s for s in load if load[s] >= n * 28]
+    mean = (sum(load.values()) - sum(load[s] for s in top)) / (40 - len(top))
+    assert len(top) == len(hot) and all(0.8 * mean < load[s] < 1.02 * mean for s in load if s not in top)
+
+
+def test_no_shard_is_empty_where_units_suffice(spark):
+    for n, shards in ((41, 40), (60, 40), (40, 40), (1, 1)):
+        units = spark.createDataFrame([(i, 10) for i in range(n)], "unit long, bytes long")
+        _, cuts = sharding.cut_units(units, shards)
+        assert len(cuts) == shards - 1 and sharding.own_units(units, shards) == []
+    few = spark.createDataFrame([(7, 10), (3, 10)], "unit long, bytes long")
+    assert sharding.own_units(few, 5) == [3, 7] and sharding.own_units(few.limit(0), 5) == []
+
+
 # ------------------------------------------------------------------ quality
 def test_quality_held_out(spark):
     d = "/root/testdata/sf0.01"
