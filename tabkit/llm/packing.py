@@ -50,8 +50,9 @@ class Encoder:
         cut = {}
         for w in words:
             core = w.rstrip(TAIL)
-            # letters and the marks after them never share a token piece
-            if core and core != w and core.decode().isalpha():
+            # ASCII letters and the marks after them never share a token piece; other letters may
+            # become a letter and a combining mark, which does
+            if core != w and core.isalpha():
                 cut[w] = (core, w[len(core):])
         new = {p for pair in cut.values() for p in pair} | {w for w in words if w not in cut}
         new = [w for w in new if w not in self.known]

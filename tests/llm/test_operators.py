@@ -1,6 +1,7 @@
 """Search, sharding, classifier, secrets, decontamination, packing and url filter."""
 
 import collections
+import unicodedata
 import zlib
 
 import numpy as np
@@ -303,6 +304,18 @@ def test_packing_round_trip(spark):
     assert packing.pack_documents(cases.frame(spark, []), VOCABULARY).count() == 0
 
 
+def test_letters_before_marks_have_the_ids_of_the_whole():
+    """Every letter with a mark after it, and each mark after those that the normaliser changes:
+    some become letter and combining mark."""
+    encoder = packing.Encoder(VOCABULARY)
+    letters = [c for c in map(chr, range(0x30000)) if c.isalpha()]
+    assert encoder.ids("GEZİ,") == np.array([619, 5819, 136, 229, 267], "<u4").tobytes()
+    changed = [c for c in letters if unicodedata.normalize("NFC", c).lower() != c]
+    text = [f"{c}," for c in letters] + [f"a{c}{mark}" for c in changed for mark in packing.TAIL.decode()]
+    whole = encoder.tokenizer.encode_batch_fast(text, add_special_tokens=False)
+    assert encoder.ids(" ".join(text)) == np.concatenate([e.ids for e in whole]).astype("<u4").tobytes()
+
+
 # ------------------------------------------------------------------ url filter
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 URLS = [None, "", "no scheme", "http://", "https://EXAMPLE.org/es/x?q#f", "https://a.b.example.org/en/12", "http://example.org/en/2",
