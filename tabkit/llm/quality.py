@@ -1,14 +1,16 @@
 """Quality classifier by nearest-neighbour voting on latent-semantic vectors.
 
 Every whole text is counted into hashed byte trigrams; damped counts weighted by inverse
-document frequency and projected on the leading singular directions are its latent-semantic
-vector. Labelled vectors (at most PER_CLASS of each class, a documented bound, chosen by a
-hash of doc_id) are broadcast; each document's cosines with all of them are computed exactly
-in blocks of documents, and the labels of the K nearest vote with their similarity.
+document frequency (over all documents) and projected on the leading singular directions are
+its latent-semantic vector. Labelled vectors (at most VOTERS, a documented bound, chosen by a
+hash of doc_id without regard to class, so that the classes keep their shares at any size) are
+broadcast; each document's cosines with all of them are computed exactly in blocks of
+documents, and the labels of the K nearest vote with their similarity.
 
 Defined results: a NULL or empty text, and a text without a similar labelled vector, scores
 the training share of label 1. Without any training label every score is 0.5. Labels that
-are NULL, or ambiguous for a doc_id, train nothing. Repeated rows score alike.
+are NULL, or ambiguous for a doc_id, train nothing. Repeated rows score alike. Of several
+texts with one doc_id the smallest trains; each row counts in the document frequencies.
 """
 
 from __future__ import annotations
@@ -20,8 +22,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from tabkit.llm.common import slices
 
-#: Labelled rows per class that may be fitted on and broadcast.
-PER_CLASS = 2000
+#: Labelled rows that may be fitted on and broadcast.
+VOTERS = 4000
 BUCKETS, RANK, K, BLOCK = 2048, 48, 25, 512
 #: Sharpness of the similarity weights.
 POWER = 8
@@ -46,26 +48,45 @@ def unit_rows(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = PER_CLASS) -> DataFrame:
-    """(doc_id, y, text): the bounded labelled sample, equally many of each class at most."""
-    usable = (labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
-              .filter(F.crc32(F.col("doc_id").cast("string")) % 3 != 1)
-              .groupBy("doc_id").agg(F.min(label).alias("y"), F.max(label).alias("y2")).filter("y = y2").drop("y2"))
-    chosen = None
-    for y in (0, 1):
-        part = usable.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
-        chosen = part if chosen is None else chosen.unionByName(part)
+def training_labels(labels: DataFrame, label: str = "quality") -> DataFrame:
+    """(doc_id, y): the labels that may train, one per doc_id."""
+    return (labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
+            .filter(F.crc32(F.col("doc_id").cast("string")) % 3 != 1)
+            .groupBy("doc_id").agg(F.min(label).alias("y"), F.max(label).alias("y2")).filter("y = y2").drop("y2"))
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, label: str = "quality", voters: int = VOTERS) -> DataFrame:
+    """(doc_id, y, text): the bounded labelled sample, one row per doc_id."""
+    chosen = training_labels(labels, label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(voters)
     texts = docs.select(F.col("doc_id"), F.col("text"))
-    return texts.join(F.broadcast(chosen), "doc_id")  # at most 2 * per_class ids
+    joined = texts.join(F.broadcast(chosen), "doc_id")  # at most voters ids
+    return joined.groupBy("doc_id", "y").agg(F.min("text").alias("text"))
+
+
+def document_frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
+    """Rows of ``docs``, and how many of them hold each bucket."""
+
+    def count(batches):
+        n, seen = 0, np.zeros(BUCKETS, np.int64)
+        for b in batches:
+            for lo in range(0, b.num_rows, BLOCK):
+                part = b.column("text").slice(lo, BLOCK)
+                n += len(part)
+                seen += (trigram_counts(part) > 0).sum(axis=0)
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array(range(-1, BUCKETS), pa.int32()), pa.array([n, *seen], pa.int64())], names=["bucket", "n"])
+
+    rows = docs.select("text").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
+    found = {r["bucket"]: r["n"] for r in rows}  # BUCKETS + 1 rows at most
+    return found.get(-1, 0), np.array([found.get(i, 0) for i in range(BUCKETS)], np.int64)
 
 
 class Model:
     """Projection and labelled vectors; a few MB whatever the size of the tables."""
 
-    def __init__(self, counts: np.ndarray, y: np.ndarray, share: float):
+    def __init__(self, counts: np.ndarray, y: np.ndarray, share: float, n: int, seen: np.ndarray):
         self.share = share
-        seen = (counts > 0).sum(axis=0)
-        self.idf = np.log((1 + len(counts)) / (1 + seen)).astype(np.float32) + 1
+        self.idf = np.log((1 + n) / (1 + seen)).astype(np.float32) + 1
         x = unit_rows(counts * self.idf)
         self.mean = x.mean(axis=0) if len(x) else np.zeros(BUCKETS, np.float32)
         if len(x):
@@ -97,7 +118,7 @@ class Model:
         return np.clip(out, 0, 1)
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, voters: int = VOTERS) -> Model:
     def vectors(batches):
         for b in batches:
             counts = trigram_counts(b.column("text"))
@@ -105,11 +126,11 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
                 [b.column("doc_id").cast(pa.int64()), b.column("y").cast(pa.int32()), pa.array([c.tobytes() for c in counts], pa.binary())],
                 names=["doc_id", "y", "counts"])
 
-    train = training_rows(docs, labels, per_class=per_class).mapInArrow(vectors, "doc_id long, y int, counts binary")
-    rows = sorted(((r["doc_id"], r["counts"], r["y"]) for r in train.toLocalIterator()))  # 2 * per_class rows at most
-    share = labels.filter(F.crc32(F.col("doc_id").cast("string")) % 3 != 1).agg(F.avg(F.col("quality").cast("double"))).first()[0]
+    train = training_rows(docs, labels, voters=voters).mapInArrow(vectors, "doc_id long, y int, counts binary")
+    rows = sorted(((r["doc_id"], r["counts"], r["y"]) for r in train.toLocalIterator()))  # voters rows at most
+    share = training_labels(labels).agg(F.avg(F.col("y").cast("double"))).first()[0]
     counts = np.frombuffer(b"".join(r[1] for r in rows), np.float32).reshape(-1, BUCKETS)
-    return Model(counts, np.array([r[2] for r in rows]), 0.5 if share is None else share)
+    return Model(counts, np.array([r[2] for r in rows]), 0.5 if share is None else share, *document_frequencies(docs))
 
 
 def scorer(spark, model: Model):
@@ -127,15 +148,15 @@ def scorer(spark, model: Model):
     return score
 
 
-def scores(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
+def scores(docs: DataFrame, labels: DataFrame, voters: int = VOTERS) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row of ``docs``."""
-    score = scorer(docs.sparkSession, fit(docs, labels, per_class))
+    score = scorer(docs.sparkSession, fit(docs, labels, voters))
     return docs.select(
         "doc_id", (F.crc32(F.col("doc_id").cast("string")) % 3 == 1).alias("held_out"),
         score(F.col("text")).alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.5, per_class: int = PER_CLASS) -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.5, voters: int = VOTERS) -> DataFrame:
     """The rows of ``docs`` that score ``least`` or more, all columns."""
-    score = scorer(docs.sparkSession, fit(docs, labels, per_class))
+    score = scorer(docs.sparkSession, fit(docs, labels, voters))
     return docs.filter(score(F.col("text")) >= least)

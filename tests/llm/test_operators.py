@@ -5,6 +5,7 @@ import unicodedata
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -170,6 +171,24 @@ def test_quality_odd_cases(spark):
     assert set(quality.keep_good(docs, odd).columns) == set(docs.columns)
 
 
+def test_quality_sample_keeps_the_class_mix(spark):
+    """One label in seven is 0, and so are the voters, whether the bound is reached or not."""
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(6000)] * 2, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 7 > 0)) for i in range(6000)], "doc_id long, quality int")
+    for voters in (600, 100_000):
+        rows = quality.training_rows(docs, labels, voters=voters).collect()
+        assert len(rows) == len({r.doc_id for r in rows}) and (voters > 600 or len(rows) == 600)
+        assert abs(np.mean([r.y == 0 for r in rows]) - 1 / 7) < 0.04
+
+
+def test_quality_weighs_by_all_documents(spark):
+    rows = cases.documents() + [(1, "again")]
+    labels = spark.createDataFrame([(5, 1), (8, 1), (31, 0), (32, 0)], "doc_id long, quality int")
+    model = quality.fit(cases.frame(spark, rows), labels)
+    counts = quality.trigram_counts(pa.array([t for _, t in rows], pa.string()))
+    assert np.allclose(model.idf, np.log((1 + len(rows)) / (1 + (counts > 0).sum(axis=0))) + 1)
+
+
 # ------------------------------------------------------------------ secrets
 SECRETS = [
     (1, 'a password="abcdefghijkl" b token: short c API_KEY=0123456789abcdef0123'),
