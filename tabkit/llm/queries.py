@@ -7,7 +7,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tabkit.llm import (decontaminate, minhash, packing, prefix_trie, quality, secrets, sharding, spelling,
+from tabkit.llm import (decontaminate, minhash, packing, pii, prefix_trie, quality, secrets, sharding, spelling,
                         substrings, suffix_dedup, topk_search, url_filter)
 from tabkit.llm.common import parquet, ship_package
 
@@ -109,6 +109,11 @@ def op11_spelling(spark, sf_dir):
     return spelling.variants(words, FORM_RATIO)
 
 
+@registered
+def op12_pii(spark, sf_dir):
+    return pii.report(parquet(spark, sf_dir, "documents"))
+
+
 def rebuilt(turns):
     """(conv_id, seq): the first h turns of conversation c - c % 5, then c's own after its first h."""
     own = prefix_trie.conversations(turns)

@@ -16,7 +16,7 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ("documents", "embeddings", "pages", "benchmark", "labels"):
+    for t in ("documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
         c.execute(f"create view {t} as select * from '{SMALL}/{t}.parquet'")
     return c
 
@@ -30,8 +30,8 @@ def test_oracle(spark, con, name):
     assert sorted(map(str, (tuple(r[c] for c in columns) for r in df.collect()))) == sorted(map(str, result.fetchall()))
 
 
-def test_ten_queries_and_columns():
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+def test_thirteen_queries():
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 def test_dedup_queries_against_brute_force(spark, con):
