@@ -17,7 +17,6 @@ from pyspark.ml.classification import (
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -70,11 +69,9 @@ def train_mlp(df: DataFrame, n_features: int, hidden=MLP_HIDDEN, max_iter: int =
 def train_gbt(df: DataFrame, max_depth: int = 3, learning_rate: float = 0.1, n_estimators: int = 100,
               min_child_weight: int = 1, subsample: float = 1.0, seed: int = 42,
               validation_col: str | None = None, features: str = "features", label: str = "label"):
-    """M5: boosted trees with logistic loss and binned splits.
-
-    ``min_child_weight`` maps to ``minInstancesPerNode`` (a row count, where the
-    boosting library uses a hessian sum). With ``validation_col`` MLlib stops
-    when the validation loss stops improving.
+    """Boosted trees by MLlib: first-order gradients, a row count for ``min_child_weight`` and rows
+    sampled by partition. ``boosting.fit`` is M5 as the study trains it. With
+    ``validation_col`` MLlib stops when the validation loss stops improving.
     """
     kw = {"validationIndicatorCol": validation_col} if validation_col else {}
     gbt = GBTClassifier(featuresCol=features, labelCol=label, maxDepth=max_depth, stepSize=learning_rate,
@@ -121,7 +118,6 @@ def feature_importance(model, names: list[str], n: int = 10) -> DataFrame:
     return df.orderBy(F.desc("importance"), "feature").limit(n)
 
 
-_LEAF = re.compile(r"Predict: (-?[0-9.Ee-]+)")
 _SPLIT = re.compile(r"If \(feature (\d+) <= ([-0-9.Ee]+)\)")
 
 
@@ -175,30 +171,6 @@ def early_stop(scores: DataFrame, patience: int = EARLY_STOP_PATIENCE, group: st
         group, F.col(f"_best.{round_col}").alias("best_round"), F.col(f"_best.{score}").alias("best_score"), "stop_round")
 
 
-def round_margins(model, df: DataFrame, keep: list[str]) -> DataFrame:
-    """(keep..., round, margin): a boosted model's margin of every row after each round.
-
-    ``leafCol`` gives each tree's leaf per row in one pass; the leaves' values, in the order
-    of their numbers, come from the trees' descriptions (a few numbers per tree).
-    """
-    values = [[float(v) * w for v in _LEAF.findall(tree.toDebugString)] for tree, w in zip(model.trees, model.treeWeights)]
-    table = F.array(*[F.array(*[F.lit(v) for v in tree]) for tree in values])
-    leaves = vector_to_array(F.col("_leaves"))
-    found = model.copy().setLeafCol("_leaves").transform(df).select(*keep, leaves.alias("_l"))
-    step = F.transform("_l", lambda leaf, t: F.get(F.get(table, t), leaf.cast("int")))
-    sums = F.aggregate(step, F.array().cast("array<double>"), lambda a, x: F.concat(a, F.array(
-        F.coalesce(F.element_at(F.when(F.size(a) > 0, a), -1), F.lit(0.0)) + x)))
-    return found.select(*keep, F.posexplode(sums).alias("round", "margin")).withColumn("round", F.col("round") + 1)
-
-
-def round_aucs(model, df: DataFrame, label: str = "label") -> DataFrame:
-    """(round, auc): area under the ROC curve on ``df`` after each boosting round."""
-    from tabkit.operators import evaluate
-
-    scored = round_margins(model, df, [label])
-    return evaluate.auc(scored, "margin", label, ["round"]).select("round", F.col("auroc").alias("auc"))
-
-
 def round_log_losses(model, df: DataFrame) -> list[float]:
     """Mean log-loss (negative log-likelihood per row) on ``df`` after each
     boosting round, from one distributed pass. Spark's own per-round figure for

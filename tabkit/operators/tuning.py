@@ -1,21 +1,20 @@
 """Tuning (H1–H5): cross-validation over a list of settings, parameter grids,
-grid search with parallel fits, picking the best point and the final report.
+grid search, picking the best point and the final report.
 
-The input is cached once; folds are a column and a filter, so no plan grows
-with the number of folds. Fits of different grid points run concurrently from
-a driver thread pool: each is a distributed MLlib job.
+Cross-validation caches its input once; folds are a column and a filter, so no plan grows
+with the number of folds, and its fits run concurrently from a driver thread pool: each is a
+distributed MLlib job. The points of a boosting grid are trained together in shared passes.
 """
 
 from __future__ import annotations
 
 import itertools
-import time
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.operators import evaluate, models
+from tabkit.operators import boosting, evaluate, models
 from tabkit.operators.splits import training_folds
 
 # The reference's boosting grid (3 x 3 x 3 x 3 x 3 = 243 points).
@@ -68,46 +67,33 @@ def cross_validate(df: DataFrame, settings: list[tuple], k: int, fold_col: str =
 
 
 def grid_search(train: DataFrame, val: DataFrame, grid: DataFrame, patience: int = models.EARLY_STOP_PATIENCE,
-                parallelism: int = 4, metric: str = "auc", features: str = "features", label: str = "label",
+                metric: str = "auc", features: str = "features", label: str = "label", key: str | None = None,
                 seed: int = 42) -> DataFrame:
     """H3: fit boosted trees at each grid point with early stopping on ``val``.
 
-    Points that differ only in ``n_estimators`` share one fit with the largest count (81
-    fits for the 243-point grid): a run's first rounds are the run with fewer. The model is
-    scored after every round; the patience rule (M6) runs over a point's rounds, and its
-    score is that of the best round. ``metric``: "auc", or "loss" (score = exp(-log-loss)).
-    Fits run ``parallelism`` at a time. A point whose validation set has one class only has
-    no AUC: its score is NULL and never wins.
+    All points are trained in the same passes over the data (``boosting.fit_many``), and points
+    that differ only in ``n_estimators`` are one model of the largest count (81 models for the 243-point
+    grid): a run's first rounds are the run with fewer. Every round is scored; the patience rule (M6)
+    runs over a point's rounds, and its score is that of the best round. ``metric``: "auc", or
+    "loss" (score = exp(-log-loss)). A point whose validation set has one class only has
+    no AUC: its score is NULL and never wins. ``seconds``: when the point's model was done.
     """
     spark = train.sparkSession
-    tr = train.select(features, label).persist()
-    va = val.select(features, label).persist()
     shared: dict = {}
     for p in grid.collect():  # the grid is parameters, a few hundred rows at most
-        key = (int(p["max_depth"]), float(p["learning_rate"]), int(p["min_child_weight"]), float(p["subsample"]))
-        shared.setdefault(key, []).append(p)
-
-    def run(item):
-        (depth, lr, mcw, sub), pts = item
-        t0 = time.time()
-        n_max = max(int(p["n_estimators"]) for p in pts)
-        model = models.train_gbt(tr, depth, lr, n_max, mcw, sub, seed, features=features, label=label)
-        if metric == "auc":
-            scores = {r["round"]: r["auc"] for r in models.round_aucs(model, va, label).collect()}  # a row per round
-        else:
-            scores = dict(enumerate(models.round_log_losses(model, va), 1))
-        seconds = time.time() - t0
-        return [(p["combo"], r, scores.get(r), seconds) for p in pts for r in range(1, int(p["n_estimators"]) + 1)]
-
-    try:
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            rows = [r for part in pool.map(run, shared.items()) for r in part]
-    finally:
-        tr.unpersist()
-        va.unpersist()
-    curves = spark.createDataFrame(rows, "combo int, round int, value double, seconds double")
-    stops = models.early_stop(curves, patience, group="combo", score="value", higher_better=metric == "auc")
-    secs = curves.groupBy("combo").agg(F.max("seconds").alias("seconds"))
+        point = (int(p["max_depth"]), float(p["learning_rate"]), float(p["min_child_weight"]), float(p["subsample"]))
+        shared.setdefault(point, []).append(p)
+    settings = [boosting.Settings(d, rate, max(int(p["n_estimators"]) for p in points), weight, sub)
+                for (d, rate, weight, sub), points in shared.items()]
+    _, scores, seconds = boosting.fit_many(train, settings, val, patience, metric, features, label, key, seed)
+    curves: dict = {}
+    for m, r, value in scores:
+        curves.setdefault(m, []).append((r, value))
+    rows = [(p["combo"], r, value, seconds[m]) for m, points in enumerate(shared.values()) for p in points
+            for r, value in curves.get(m, []) if r <= int(p["n_estimators"])]
+    curve = spark.createDataFrame(rows, "combo int, round int, value double, seconds double")
+    stops = models.early_stop(curve, patience, group="combo", score="value", higher_better=metric == "auc")
+    secs = curve.groupBy("combo").agg(F.max("seconds").alias("seconds"))
     out = grid.join(stops, "combo").join(secs, "combo")
     score = F.col("best_score") if metric == "auc" else F.exp(-F.col("best_score"))
     shown = [] if metric == "auc" else [F.col("best_score").alias("val_loss")]
@@ -120,35 +106,32 @@ def pick_best(results: DataFrame, score: str = "score", order: str = "combo") ->
 
 
 def best_model(train: DataFrame, val: DataFrame, best: dict, patience: int = models.EARLY_STOP_PATIENCE,
-               features: str = "features", label: str = "label", seed: int = 42):
+               features: str = "features", label: str = "label", key: str | None = None, seed: int = 42) -> boosting.Booster:
     """H5, first half: refit at the best point with early stopping on ``val``'s AUC; the
     model has the trees up to the best round."""
-    settings = (int(best["max_depth"]), float(best["learning_rate"]))
-    rest = (int(best["min_child_weight"]), float(best["subsample"]), seed)
-
-    def fit(rounds):
-        return models.fit_on(train.select(features, label), models.train_gbt, *settings, rounds, *rest, features=features, label=label)
-
-    model = fit(int(best["n_estimators"]))
-    aucs = models.round_aucs(model, val, label).withColumn("model", F.lit("best"))
-    stop = models.early_stop(aucs, patience, score="auc").first()
-    rounds = int(best["n_estimators"]) if stop is None else stop["best_round"]
-    return model if rounds == int(best["n_estimators"]) else fit(rounds)
+    settings = boosting.Settings(int(best["max_depth"]), float(best["learning_rate"]), int(best["n_estimators"]),
+                                 float(best["min_child_weight"]), float(best["subsample"]))
+    (model,), scores, _ = boosting.fit_many(train, [settings], val, patience, "auc", features, label, key, seed)
+    rows = [("best", r, value) for _, r, value in scores]
+    curve = train.sparkSession.createDataFrame(rows, "model string, round int, score double")
+    stop = models.early_stop(curve, patience).first()
+    return model if stop is None or stop["best_round"] is None else model.first(stop["best_round"])
 
 
 def best_model_report(train: DataFrame, val: DataFrame, best: dict, feature_names: list[str],
                       test: DataFrame | None = None, path: str | None = None, id_col: str = "id",
-                      patience: int = models.EARLY_STOP_PATIENCE, features: str = "features", label: str = "label", seed: int = 42):
+                      patience: int = models.EARLY_STOP_PATIENCE, features: str = "features", label: str = "label",
+                      key: str | None = None, seed: int = 42):
     """H5: refit at the best point with early stopping, report on ``val`` (class report with
     accuracy), importances, and predictions of ``test`` (which needs no label), written to
     ``path`` when that is given."""
-    model = best_model(train, val, best, patience, features, label, seed)
-    scored = model.transform(val)
+    model = best_model(train, val, best, patience, features, label, key, seed)
+    scored = model.transform(val, features)
     report = evaluate.classification_report(scored, label, "prediction")
-    importance = models.feature_importance(model, feature_names, 10)
+    importance = boosting.gain_importance(model, feature_names, 10)
     predictions = None
     if test is not None:
         from tabkit.sources.csv import write_predictions
 
-        predictions = write_predictions(model.transform(test), path, id_col, label)
+        predictions = write_predictions(model.transform(test, features), path, id_col, label)
     return report, importance, predictions

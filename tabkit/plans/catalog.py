@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabkit.functions.scalar import NUMBER_PATTERN, number_or, portable_hash, r6
-from tabkit.operators import charts, evaluate, experiments, features, models, profile, splits, tuning
+from tabkit.operators import boosting, charts, evaluate, experiments, features, models, profile, splits, tuning
+from tabkit.plans import boost_sql
 from tabkit.plans import fixtures as fx
 from tabkit.plans.fixtures import DOC_QUALITY_SQL, SCORED_SQL, SURVEY_SQL, with_sql
 from tabkit.session import scratch_path
@@ -1252,31 +1253,49 @@ def _bucket_frames(spark, d):
     return ready(train), ready(test)
 
 
-def _grid_values() -> str:
+def _grid_points(grid: dict):
+    """(combos as SQL rows, the models that they share, (combo, model, rounds) as SQL rows)."""
     import itertools
 
-    return ", ".join(f"({i + 1}, {', '.join(map(str, c))})" for i, c in enumerate(itertools.product(*KNOWN_GRID.values())))
+    combos = list(itertools.product(*grid.values()))
+    shared = list(dict.fromkeys((d, rate, w, sub) for d, rate, _n, w, sub in combos))
+    values = ", ".join(f"({i + 1}, {', '.join(map(str, c))})" for i, c in enumerate(combos))
+    points = ", ".join(f"({i + 1}, {shared.index((d, rate, w, sub))}, {n})" for i, (d, rate, n, w, sub) in enumerate(combos))
+    return values, [boosting.Settings(d, rate, max(grid["n_estimators"]), w, sub) for d, rate, w, sub in shared], points
 
 
-@query("grid_search", sv(BUCKET_CTES + "," + _text_auc("share") + f"""
+#: Training and test rows with the price bucket as the one feature.
+ONE_FEATURE_CTES = f"""
+, b as (select id, {HASH_SQL.format(c='id')} as u, {BUCKET_SQL} as f0, 0 as f1, label from survey),
+tr as (select * from b where {TRAIN_WHERE}), te as (select * from b where {TEST_WHERE}),"""
+
+
+def _grid_sql_boosted(grid: dict, patience: int, metric: str) -> str:
+    values, settings, points = _grid_points(grid)
+    scores = boost_sql.AUC_CTES if metric == "auc" else boost_sql.LOSS_CTES
+    shown = "round(value, 6) as score" if metric == "auc" else "round(value, 6) as val_loss, round(exp(-value), 6) as score"
+    return sv(ONE_FEATURE_CTES + boost_sql.boosted(settings, max(grid["n_estimators"])) + "," + scores + ","
+              + boost_sql.stops(points, patience, ">" if metric == "auc" else "<") + f"""
 select g.combo, max_depth, cast(learning_rate as double) as learning_rate, n_estimators, min_child_weight,
-       cast(subsample as double) as subsample, 1 as best_round, 1 + {KNOWN_PATIENCE} as stop_round, round(a.auroc, 6) as score
-from (values {_grid_values()}) g(combo, max_depth, learning_rate, n_estimators, min_child_weight, subsample) cross join a
-"""))
+       cast(subsample as double) as subsample, best_round, stop_round, {shown}
+from (values {values}) g(combo, max_depth, learning_rate, n_estimators, min_child_weight, subsample) join res using (combo)
+""")
+
+
+@query("grid_search", _grid_sql_boosted(KNOWN_GRID, KNOWN_PATIENCE, "auc"))
 def q_grid_search(spark, d):
-    """Early stopping on AUC: on one feature of four values every round ranks the values by
-    their label share, so the first round is the best and the patience ends the run."""
+    """H3 with early stopping on AUC, sampled rows and hessian weights, against boosting written in SQL."""
     tr, te = _bucket_frames(spark, d)
-    out = tuning.grid_search(tr, te, tuning.param_grid(spark, KNOWN_GRID), patience=KNOWN_PATIENCE, parallelism=2)
+    out = tuning.grid_search(tr, te, tuning.param_grid(spark, KNOWN_GRID), patience=KNOWN_PATIENCE, key="id")
     return out.select(*KNOWN_GRID, "combo", "best_round", "stop_round", r6("score").alias("score"))
 
 
 def _best_model(spark, d, path=None):
     tr, te = _bucket_frames(spark, d)
     best = tuning.pick_best(tuning.grid_search(tr, te, tuning.param_grid(spark, {**KNOWN_GRID, "subsample": [1.0]}),
-                                               patience=KNOWN_PATIENCE, parallelism=2)).first().asDict()
+                                               patience=KNOWN_PATIENCE, key="id")).first().asDict()
     # the table to predict on has no label
-    return tuning.best_model_report(tr, te, best, ["bucket"], te.drop("label"), path, patience=KNOWN_PATIENCE)
+    return tuning.best_model_report(tr, te, best, ["bucket"], te.drop("label"), path, patience=KNOWN_PATIENCE, key="id")
 
 
 @query("best_model_report", sv(BUCKET_CTES + f""",
@@ -1293,10 +1312,11 @@ union all select 'importance of bucket', null, null, 1.0, (select count(*) from
 def q_best_model_report(spark, d):
     """The refitted model's class report with its accuracy, and the one feature's importance."""
     report, importance, predictions = _best_model(spark, d)
+    n = predictions.count()
     weight = importance.select(F.concat(F.lit("importance of "), "feature").alias("class"), F.lit(None).cast("double").alias("precision"),
-                               F.lit(None).cast("double").alias("recall"), F.col("importance").alias("f1"))
-    n = predictions.agg(F.count(F.lit(1)).alias("support"))
-    weight = weight.join(n, F.lit(True))
+                               F.lit(None).cast("double").alias("recall"), F.col("importance").alias("f1"), F.lit(n).cast("long").alias("support"))
+    # rows of the report are few: they are held, so that the result's plan does not score the table again
+    report = spark.createDataFrame(report.collect(), report.schema)
     return report.select("class", *[r6(c).alias(c) for c in ("precision", "recall", "f1")], "support").unionByName(weight)
 
 
@@ -1471,7 +1491,7 @@ def q_grid_search_shared(spark, d):
     """H3 with fits shared across n_estimators (4 fits for 8 points) and the
     patience rule on the validation AUC per round."""
     tr, te, _ = _model_data(spark, d)
-    return tuning.grid_search(tr, te, tuning.param_grid(spark, CHECK_SHARED_GRID), patience=3, parallelism=2)
+    return tuning.grid_search(tr, te, tuning.param_grid(spark, CHECK_SHARED_GRID), patience=3, key="id")
 
 
 GBT_CURVE_ROUNDS = 10
@@ -1516,57 +1536,58 @@ CURVE_GRID = {"max_depth": [5], "learning_rate": [0.1, 0.3], "n_estimators": [4,
 CURVE_PATIENCE = 2
 
 
-def _curve_grid_sql() -> str:
-    rates = CURVE_GRID["learning_rate"]
-    combos = [(i + 1, lr, n) for i, (lr, n) in enumerate((lr, n) for lr in rates for n in CURVE_GRID["n_estimators"])]
-    nmax = max(CURVE_GRID["n_estimators"])
-    return sv(f"""
-, tr as (select floor(coalesce(price, 0) / 125000) as v, count(*) as n, sum(label) as p
-         from survey where {TRAIN_WHERE} group by 1),
-te as (select floor(coalesce(price, 0) / 125000) as v, count(*) as m, sum(label) as q
-       from survey where {TEST_WHERE} group by 1),
-f(lr, round, v, mg) as (
-  select r.lr, 1, v, (2.0 * p - n) / n from tr cross join (values {', '.join(f'({x})' for x in rates)}) r(lr)
-  union all
-  select f.lr, f.round + 1, f.v,
-         f.mg + f.lr * ((tr.p * 4 / (1 + exp(2 * f.mg)) - (tr.n - tr.p) * 4 / (1 + exp(-2 * f.mg))) / tr.n)
-  from f join tr on f.v = tr.v where f.round < {nmax}
-),
-curve as (select lr, round, sum(te.q * ln(1 + exp(-2 * f.mg)) + (te.m - te.q) * ln(1 + exp(2 * f.mg))) / sum(te.m) as loss
-          from f join te on f.v = te.v group by lr, round),
-grid as (select * from (values {', '.join(f'({c}, {lr}, {n})' for c, lr, n in combos)}) g(combo, learning_rate, n_estimators)),
-sc as (select g.combo, c.round, c.loss from grid g join curve c on c.lr = g.learning_rate and c.round <= g.n_estimators),
-mk as (select *, min(loss) over (partition by combo order by round rows between unbounded preceding and 1 preceding) as prev_best from sc),
-i as (select *, max(case when prev_best is null or loss < prev_best then round end)
-                  over (partition by combo order by round rows between unbounded preceding and current row) as best_round from mk),
-st as (select combo, coalesce(min(case when round - best_round >= {CURVE_PATIENCE} then round end), max(round)) as stop_round
-       from i group by combo),
-res as (select i.combo, i.best_round, st.stop_round, b.loss as val_loss
-        from i join st on i.combo = st.combo and i.round = st.stop_round
-        join sc b on b.combo = i.combo and b.round = i.best_round)
-select g.combo, 5 as max_depth, cast(g.learning_rate as double) as learning_rate, g.n_estimators,
-       1 as min_child_weight, cast(1.0 as double) as subsample, cast(r.best_round as int) as best_round,
-       cast(r.stop_round as int) as stop_round, round(r.val_loss, 6) as val_loss, round(exp(-r.val_loss), 6) as score
-from grid g join res r on g.combo = r.combo
-""").replace("with survey as", "with recursive survey as", 1)
-
-
-@query("grid_search_curve", _curve_grid_sql())
+@query("grid_search_curve", _grid_sql_boosted(CURVE_GRID, CURVE_PATIENCE, "loss"))
 def q_grid_search_curve(spark, d):
-    """H3 (shared boosting runs) and M6 with a closed form: the grid varies the
-    learning rate and the number of rounds of the one-feature boosting run whose
-    per-round validation loss has a closed form."""
+    """H3 and M6 on the validation loss: learning rates and numbers of rounds of one boosting run."""
+    tr, te = _bucket_frames(spark, d)
+    res = tuning.grid_search(tr, te, tuning.param_grid(spark, CURVE_GRID), patience=CURVE_PATIENCE, metric="loss", key="id")
+    return res.select("combo", "max_depth", "learning_rate", "n_estimators", "min_child_weight", "subsample",
+                      "best_round", "stop_round", r6("val_loss").alias("val_loss"), r6("score").alias("score"))
+
+
+# ---------------------------------------------------------------- boosted trees on two features
+BOOST_CHECK = boosting.Settings(max_depth=2, learning_rate=0.3, n_estimators=5, min_child_weight=3, subsample=0.9)
+BOOST_NAMES = ["bucket", "month"]
+TWO_FEATURE_CTES = f"""
+, b as (select id, {HASH_SQL.format(c='id')} as u, {BUCKET_SQL} as f0, month as f1, label from survey),
+tr as (select * from b where {TRAIN_WHERE}), te as (select * from b where {TEST_WHERE}),"""
+
+
+def _two_features(spark, d):
+    def ready(df):
+        x = df.select("id", F.col("label").cast("double").alias("label"), _bucket().cast("double").alias("bucket"), F.col("month").cast("double").alias("month"))
+        return features.assemble(x, BOOST_NAMES)
+
     train, test = _train_test(spark, d)
+    return ready(train), ready(test)
 
-    def prep(df):
-        x = df.select(F.floor(F.coalesce("price", F.lit(0.0)) / 125000).cast("double").alias("f"),
-                      F.col("label").cast("double").alias("label"))
-        return features.assemble(x, ["f"])
 
-    res = tuning.grid_search(prep(train), prep(test), tuning.param_grid(spark, CURVE_GRID),
-                             patience=CURVE_PATIENCE, parallelism=2, metric="loss")
-    return res.select("combo", "max_depth", "learning_rate", "n_estimators", "min_child_weight", "subsample",
-                      "best_round", "stop_round", r6("val_loss").alias("val_loss"), r6("score").alias("score"))
+@query("boost_margins", sv(TWO_FEATURE_CTES + boost_sql.boosted([BOOST_CHECK], BOOST_CHECK.n_estimators) + f"""
+select f0 as bucket, f1 as month, count(*) as rows, round(any_value(mg), 6) as margin
+from te join mg{BOOST_CHECK.n_estimators} using (f0, f1) group by all
+"""))
+def q_boost_margins(spark, d):
+    """M5 with second-order statistics: five rounds of depth 2 on nine tenths of the rows, a hessian
+    sum of 3 in each child; the margin of every pair of values."""
+    tr, te = _two_features(spark, d)
+    scored = boosting.fit(tr, BOOST_CHECK, key="id").transform(te)
+    out = scored.groupBy(F.col("bucket").cast("int").alias("bucket"), F.col("month").cast("int").alias("month")).agg(
+        F.count(F.lit(1)).alias("rows"), F.max("margin").alias("margin"))
+    out = spark.createDataFrame(out.toArrow())  # a row for each pair of values
+    return out.select("bucket", "month", "rows", r6("margin").alias("margin"))
+
+
+@query("boost_importance", sv(TWO_FEATURE_CTES + boost_sql.boosted([BOOST_CHECK], BOOST_CHECK.n_estimators) + f""",
+per as (select k, count(*) as splits, sum(gain) as total_gain, avg(gain) as mean from cuts group by k)
+select n.name as feature, coalesce(splits, 0) as splits, round(coalesce(total_gain, 0), 3) as total_gain,
+       round(coalesce(mean, 0) / (select sum(mean) from per), 6) as importance
+from (values {', '.join(f"({i}, '{n}')" for i, n in enumerate(BOOST_NAMES))}) n(k, name) left join per using (k)
+"""))
+def q_boost_importance(spark, d):
+    """M9 as the boosting library measures it: mean gain of a feature's splits, scaled to sum 1."""
+    tr, _te = _two_features(spark, d)
+    out = boosting.gain_importance(boosting.fit(tr, BOOST_CHECK, key="id"), BOOST_NAMES)
+    return out.select("feature", "splits", F.round("total_gain", 3).alias("total_gain"), r6("importance").alias("importance"))
 
 
 SWEEP_COUNTS = [1, 2, 4]

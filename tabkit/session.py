@@ -4,10 +4,12 @@ scratch folder for files that jobs write (always under ``spark.checkpoint.dir``)
 from __future__ import annotations
 
 import atexit
+import io
 import os
 import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -74,6 +76,32 @@ def _remove(spark: SparkSession, root: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a written folder that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python this package, as ``--py-files`` would, once per context."""
+    context = spark.sparkContext
+    if any(name.startswith("tabkit-py-") for name in context._python_includes):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(os.path.join(root, "tabkit")):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    z.write(os.path.join(folder, n), os.path.relpath(os.path.join(folder, n), root))
+    path = f"{scratch_path(spark, 'package')}/tabkit-py-{uuid.uuid4().hex}.zip"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+    out.write(bytearray(data.getvalue()))
+    out.close()
+    context.addPyFile(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str):
     """Scan one of the parquet test tables."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -82,29 +82,6 @@ def test_shared_rounds_grid(spark, sf_dir):
     assert 0 < res[1].score <= 1
 
 
-def test_round_aucs_match_predictions(spark, sf_dir):
-    """The margin after the last round is the model's own, and its AUC the evaluator's."""
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
-    from pyspark.ml.functions import vector_to_array
-    from pyspark.sql import functions as F
-
-    from tabkit.operators import features, models
-    from tabkit.plans import fixtures as fx
-
-    x = fx.survey(spark, sf_dir).select("id", F.col("label").cast("double").alias("label"), *[
-        F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in fx.SURVEY_NUMERIC])
-    data = features.assemble(x, fx.SURVEY_NUMERIC)
-    model = models.train_gbt(data, 3, 0.3, 5, 5, 0.8)
-    margins = models.round_margins(model, data, ["id"]).where("round = 5")
-    raw = model.transform(data).select("id", vector_to_array("rawPrediction")[1].alias("raw"))
-    # the raw prediction is the margin itself
-    worst = margins.join(raw, "id").agg(F.max(F.abs(F.col("margin") - F.col("raw")))).first()[0]
-    assert worst < 1e-9
-    aucs = {r["round"]: r["auc"] for r in models.round_aucs(model, data).collect()}
-    want = BinaryClassificationEvaluator().evaluate(model.transform(data))
-    assert sorted(aucs) == [1, 2, 3, 4, 5] and abs(aucs[5] - want) < 1e-9
-
-
 def test_single_class_validation_scores_nothing(spark):
     """No AUC on one class: the point's score is NULL and it never wins."""
     from pyspark.sql import functions as F
