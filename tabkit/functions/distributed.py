@@ -4,13 +4,14 @@ percentile aggregates. Each has one path, whatever the size of its input.
 * ``running_totals``: cumulative sums in a global order. Rows are range-partitioned and
   summed per partition; the partitions' offsets (one row each) are added.
 * ``column_quantiles`` / ``exact_quantiles``: exact order statistics per group (linear
-  interpolation, as pandas / numpy / DuckDB ``quantile_cont``). An approximate quantile
-  sketch gives a bracket that holds each wanted rank; one exact pass counts what lies below
-  it and collects the distinct values inside, about 4 / ACCURACY of the rows.
+  interpolation, as pandas / numpy / DuckDB ``quantile_cont``), by rounds of selection that
+  narrow a bracket of values around each rank until a fixed number of values is inside.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -83,10 +84,18 @@ def dense_index(df: DataFrame, col: str) -> DataFrame:
 def column_quantiles(df: DataFrame, cols: list[str], probs: list[float], group_cols: list[str] | tuple = ()) -> DataFrame:
     """Exact quantiles of several columns per group: ``group_cols..., column, prob, value``.
 
-    Columns stay wide: only the distinct values inside a bracket become rows. NULL and NaN
-    values are skipped (pandas ``skipna``); a NULL group is a group. Linear interpolation
-    between the order statistics at ranks floor((n-1)p) and that plus one. The result is
-    checkpointed (one row per group, column and probability).
+    Selection by rounds. A sketch (``percentile_approx``, rank error 1 / ACCURACY) gives each
+    (group, column, probability) a bracket of values around its rank; one pass counts what lies below, on
+    and between the bracket's edges, which tells the rank within. A round leaves 6 / ACCURACY of the
+    rows between the edges at most; where that may be more than HELD values, the next round sketches
+    the rows inside. At last the values inside, HELD at most, are collected in the aggregate and the
+    wanted ones read off. Each round is exact whatever the sketch says: a rank outside its bracket
+    moves the bracket.
+
+    NULL and NaN are skipped (pandas ``skipna``); a NULL group is a group. Linear interpolation
+    between the order statistics at ranks floor((n-1)p) and that plus one. Only the needed columns are
+    kept for the passes, unless ``df`` is cached already. The result is checkpointed (one row per
+    group, column and probability).
     """
     ensure_checkpoint_dir(df.sparkSession)
     if not cols:
@@ -95,66 +104,138 @@ def column_quantiles(df: DataFrame, cols: list[str], probs: list[float], group_c
         return column_quantiles(df.withColumn("_all", F.lit(0)), cols, probs, ["_all"]).drop("_all")
     g = list(group_cols)
     data = df.select(*[F.col(f"`{c}`") for c in g], *[present(F.col(f"`{c}`")).alias(f"_v{i}") for i, c in enumerate(cols)])
-    slack = 2.0 / ACCURACY
-    out = None
-    while True:
-        edges = [e for p in probs for e in (max(0.0, p - slack), min(1.0, p + slack))]
-        summary = data.groupBy(*g).agg(
-            *[x for i in range(len(cols)) for x in (
-                F.count(f"_v{i}").alias(f"_n{i}"), F.percentile_approx(f"_v{i}", edges, ACCURACY).alias(f"_e{i}"))])
-        summary = summary.withColumnsRenamed({c: f"_g_{c}" for c in g}).persist(StorageLevel.MEMORY_AND_DISK)
-        groups = summary.count()
-        side = maybe_broadcast(summary, groups)  # one row per group
-        both = data.join(side, _null_safe(g, [f"_g_{c}" for c in g]))
-        out = _ranked(both, summary, cols, probs, g).checkpoint(eager=True)  # one row per group, column, probability
-        # the sketch bounds its rank error, so the first brackets hold; wider ones are exact all the same
-        summary.unpersist()
-        if slack >= 1 or out.where("n > 0 and not found").isEmpty():
-            break
-        slack *= 16
-    return out.drop("n", "found")
-
-
-def _ranked(both: DataFrame, summary: DataFrame, cols: list[str], probs: list[float], g: list[str]) -> DataFrame:
-    """The wanted order statistics from the rows joined with their group's brackets."""
-    entries = []
-    for i, c in enumerate(cols):
-        for j, p in enumerate(probs):
-            lo, hi, v = F.col(f"_e{i}")[2 * j], F.col(f"_e{i}")[2 * j + 1], F.col(f"_v{i}")
-            entries.append((i, j, lo, hi, v))
-    inside = F.filter(
-        F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.when(v.between(lo, hi), v).alias("v")) for i, j, lo, hi, v in entries]),
-        lambda x: x["v"].isNotNull())
-    values = both.select(*g, F.inline(inside)).groupBy(*g, "i", "j", "v").agg(F.count(F.lit(1)).alias("c"))
-    below = both.groupBy(*g).agg(*[F.count_if(v < lo).alias(f"_b{i}_{j}") for i, j, lo, hi, v in entries])
-    per_entry = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"_b{i}_{j}").alias("below")) for i, j, *_ in entries])
-    below = below.select(*[F.col(c).alias(f"_h_{c}") for c in g], F.inline(per_entry)).withColumnsRenamed({"i": "_i", "j": "_j"})
-    size = summary.select(*[F.col(f"_g_{c}") for c in g], F.inline(F.array(*[
-        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"_n{i}").alias("n"),
-                 ((F.col(f"_n{i}") - 1) * F.lit(float(probs[j]))).alias("pos")) for i, j, *_ in entries])))
-    w = Window.partitionBy(*g, "i", "j").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = values.withColumn("cum", F.sum("c").over(w))
-
-    def keys(left, right):
-        return (F.col("i") == F.col(left)) & (F.col("j") == F.col(right))
-
-    wanted = size.join(below, _null_safe([f"_g_{c}" for c in g], [f"_h_{c}" for c in g]) & keys("_i", "_j"), "left").select(
-        *[F.col(f"_g_{c}") for c in g], F.col("i").alias("_wi"), F.col("j").alias("_wj"), "n", "pos",
-        F.coalesce("below", F.lit(0)).alias("below"), F.floor("pos").alias("r0"))
-    wanted = wanted.withColumn("r1", F.least(F.col("r0") + 1, F.col("n") - 1))
-    joined = wanted.join(cum, _null_safe([f"_g_{c}" for c in g], g) & keys("_wi", "_wj"), "left")
-    picked = joined.groupBy(*[f"_g_{c}" for c in g], "_wi", "_wj", "n", "pos", "r0", "r1", "below").agg(
-        F.min(F.when(F.col("cum") + F.col("below") > F.col("r0"), F.col("v"))).alias("v0"),
-        F.min(F.when(F.col("cum") + F.col("below") > F.col("r1"), F.col("v"))).alias("v1"))
-    frac = F.col("pos") - F.col("r0")
-    # equal neighbours stay as they are: also keeps equal infinities exact
-    value = F.when((F.col("v0") == F.col("v1")) | (frac == 0), F.col("v0")).otherwise(
-        F.col("v0") + (F.col("v1") - F.col("v0")) * frac)
-    names = F.array(*[F.lit(c) for c in cols])
-    return picked.select(
-        *[F.col(f"_g_{c}").alias(c) for c in g], F.element_at(names, F.col("_wi") + 1).alias("column"),
-        F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("_wj") + 1).alias("prob"),
-        value.alias("value"), "n", ((F.col("below") <= F.col("r0")) & F.col("v1").isNotNull()).alias("found"))
+    held = [] if df.is_cached else [data.persist(StorageLevel.MEMORY_AND_DISK)]
+    try:
+        entries = [(i, j) for i in range(len(cols)) for j in range(len(probs))]
+        state, inside = _first_brackets(data, cols, probs, g)
+        held.append(state)
+        while True:
+            groups = state.count()
+            # values are collected once their number is bounded, else another round comes first
+            state, inside = _narrow(data, state, entries, g, groups, inside <= HELD)
+            held.append(state)
+            if inside == 0:
+                break
+        return _interpolated(state, cols, probs, g)
+    finally:
+        for x in held:
+            x.unpersist()
+
+
+#: Values inside a bracket that one aggregate may collect.
+HELD = 20_000
+SLACK = 2.0
+
+
+#: Stands for the number of values inside a bracket that was opened again.
+UNKNOWN = 1 << 60
+#: Steps of relative rank that a sketch of rows inside a bracket is read at.
+GRID = 1000
+
+
+def _first_brackets(data: DataFrame, cols: list[str], probs: list[float], g: list[str]):
+    """(state, bound): one row per group with ``_e<i>_<j>``, a struct of the count n, the bracket's edges
+    and the two wanted values; how many values may lie inside a bracket."""
+    room = SLACK / ACCURACY
+    at = [e for p in probs for e in (max(0.0, p - room), min(1.0, p + room))]
+    summary = data.groupBy(*g).agg(*[x for i in range(len(cols)) for x in (
+        F.count(f"_v{i}").alias(f"_n{i}"), F.percentile_approx(f"_v{i}", at, ACCURACY).alias(f"_a{i}"))])
+    none = F.lit(None).cast("double")
+    state = summary.select(*[F.col(f"`{c}`").alias(f"_g_{c}") for c in g], *[
+        F.struct(F.col(f"_n{i}").alias("n"), F.col(f"_a{i}")[2 * j].alias("lo"), F.col(f"_a{i}")[2 * j + 1].alias("hi"),
+                 ((F.col(f"_n{i}") - 1) * F.lit(float(p))).alias("pos"), none.alias("v0"), none.alias("v1")).alias(f"_e{i}_{j}")
+        for i in range(len(cols)) for j, p in enumerate(probs)]).persist(StorageLevel.MEMORY_AND_DISK)
+    most = state.agg(F.max(F.greatest(*[F.col(f"_e{i}_0.n") for i in range(len(cols))], F.lit(0)))).first()[0]
+    return state, math.ceil(6 * (most or 0) / ACCURACY) or 1
+
+
+def _narrow(data: DataFrame, state: DataFrame, entries: list, g: list[str], groups: int, last: bool):
+    """One round: (new state, how many values may lie inside an open bracket; 0 when all are settled).
+    ``last`` collects the values inside."""
+    side = maybe_broadcast(state, groups)  # one row per group
+    both = data.join(side, _null_safe(g, [f"_g_{c}" for c in g]))
+    names = [f"_g_{c}" for c in g]
+
+    def between(e, v):
+        return (v > e["lo"]) & (v < e["hi"]) & e["v0"].isNull()
+
+    counts = []
+    for i, j in entries:
+        e, v = F.col(f"_e{i}_{j}"), F.col(f"_v{i}")
+        counts += [F.first(e).alias(f"_e{i}_{j}"), F.count_if(v < e["lo"]).alias(f"_b{i}_{j}"), F.count_if(v == e["lo"]).alias(f"_l{i}_{j}"),
+                   F.count_if((v > e["lo"]) & (v < e["hi"])).alias(f"_c{i}_{j}"), F.count_if((v == e["hi"]) & (e["hi"] > e["lo"])).alias(f"_h{i}_{j}")]
+        if last:
+            counts.append(F.sort_array(F.collect_list(F.when(between(e, v), v))).alias(f"_s{i}_{j}"))
+    counted = both.groupBy(*names).agg(*counts)
+
+    def settled(i, j):
+        e, (b, on, c, h) = F.col(f"_e{i}_{j}"), (F.col(f"_{x}{i}_{j}") for x in "blch")
+
+        def at(r):
+            held = F.get(F.col(f"_s{i}_{j}"), (r - b - on).cast("int")) if last else F.lit(None).cast("double")
+            return F.when(r < b, None).when(r < b + on, e["lo"]).when(r < b + on + c, held).when(r < b + on + c + h, e["hi"])
+
+        r0, r1 = _ranks(e)
+        v0, v1 = at(r0), at(r1)
+        found = v0.isNotNull() & v1.isNotNull()
+        keep = e["v0"].isNotNull()
+        return r0, r1, b + on, c, F.when(keep, e["v0"]).when(found, v0), F.when(keep, e["v1"]).when(found, v1), r0 >= b, r1 < b + on + c + h
+
+    rows, still = [], []
+    for i, j in entries:
+        e = F.col(f"_e{i}_{j}")
+        r0, r1, start, c, v0, v1, low_ok, high_ok = settled(i, j)
+        # a rank outside its bracket: open that side and look again
+        lo = F.when(low_ok, e["lo"]).otherwise(F.lit(float("-inf")))
+        hi = F.when(high_ok, e["hi"]).otherwise(F.lit(float("inf")))
+        wide = ~low_ok | ~high_ok
+        share = [F.when(wide, F.lit(x)).otherwise((r - start) / F.greatest(c, F.lit(1))) for r, x in ((r0, 0.0), (r1, 1.0))]
+        rows.append(F.struct(e["n"].alias("n"), lo.alias("lo"), hi.alias("hi"), e["pos"].alias("pos"), v0.alias("v0"), v1.alias("v1"),
+                             F.greatest(share[0], F.lit(0.0)).alias("low"), F.least(share[1], F.lit(1.0)).alias("high")).alias(f"_e{i}_{j}"))
+        still.append(F.when(v0.isNull() & (e["n"] > 0), F.when(wide, F.lit(UNKNOWN)).otherwise(c)).otherwise(0))
+    state = counted.select(*names, *rows, F.greatest(*still, F.lit(0)).alias("_open")).persist(StorageLevel.MEMORY_AND_DISK)
+    inside = state.agg(F.max("_open")).first()[0] or 0
+    if not inside:
+        return state, 0
+    side = maybe_broadcast(state, groups)
+    both = data.join(side, _null_safe(g, names))
+    sketched = both.groupBy(*names).agg(*[x for i, j in entries for x in (
+        F.first(f"_e{i}_{j}").alias(f"_e{i}_{j}"),
+        F.percentile_approx(F.when(between(F.col(f"_e{i}_{j}"), F.col(f"_v{i}")), F.col(f"_v{i}")), [k / GRID for k in range(GRID + 1)], ACCURACY).alias(f"_q{i}_{j}"))])
+    new = []
+    for i, j in entries:
+        e, q = F.col(f"_e{i}_{j}"), F.col(f"_q{i}_{j}")
+        room = F.lit(SLACK / ACCURACY)
+        below = F.floor((e["low"] - room) * GRID).cast("int")
+        above = F.ceil((e["high"] + room) * GRID).cast("int")
+        lo = F.when(e["v0"].isNull() & (below >= 0), F.get(q, F.greatest(below, F.lit(0))))
+        hi = F.when(e["v0"].isNull() & (above <= GRID), F.get(q, F.least(above, F.lit(GRID))))
+        new.append(F.struct(e["n"].alias("n"), F.coalesce(lo, e["lo"]).alias("lo"), F.coalesce(hi, e["hi"]).alias("hi"), e["pos"].alias("pos"),
+                            e["v0"].alias("v0"), e["v1"].alias("v1")).alias(f"_e{i}_{j}"))
+    # the room, a step of the grid and the sketch's error to either side
+    left = inside if inside >= UNKNOWN else math.ceil(inside * min(1.0, 6 / ACCURACY + 2 / GRID))
+    out = sketched.select(*names, *new).persist(StorageLevel.MEMORY_AND_DISK)
+    out.count()
+    state.unpersist()
+    return out, left
+
+
+def _ranks(e: Column):
+    """The ranks (from 0) of the two order statistics that a quantile lies between."""
+    r0 = F.floor(e["pos"])
+    return r0, F.least(r0 + 1, e["n"] - 1)
+
+
+def _interpolated(state: DataFrame, cols: list[str], probs: list[float], g: list[str]) -> DataFrame:
+    def entry(i, j):
+        e = F.col(f"_e{i}_{j}")
+        frac = e["pos"] - F.floor(e["pos"])
+        # equal neighbours stay as they are: also keeps equal infinities exact
+        value = F.when((e["v0"] == e["v1"]) | (frac == 0), e["v0"]).otherwise(e["v0"] + (e["v1"] - e["v0"]) * frac)
+        return F.struct(F.lit(cols[i]).alias("column"), F.lit(float(probs[j])).alias("prob"), value.alias("value"))
+
+    out = state.select(*[F.col(f"_g_{c}").alias(c) for c in g], F.inline(F.array(*[entry(i, j) for i in range(len(cols)) for j in range(len(probs))])))
+    return out.checkpoint(eager=True)
 
 
 def _null_safe(left: list[str], right: list[str]) -> Column:

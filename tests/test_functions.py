@@ -56,9 +56,11 @@ def _pandas_quantile(values, p):
     return float(np.quantile(np.array(values, dtype=float), p))
 
 
-@pytest.mark.parametrize("accuracy", [D.ACCURACY, 8])
-def test_exact_quantiles(spark, accuracy, monkeypatch):
+@pytest.mark.parametrize("accuracy,held,grid", [(D.ACCURACY, D.HELD, D.GRID), (8, D.HELD, D.GRID), (200, 3, 20)])
+def test_exact_quantiles(spark, accuracy, held, grid, monkeypatch):
     monkeypatch.setattr(D, "ACCURACY", accuracy)  # 8: wide brackets
+    monkeypatch.setattr(D, "HELD", held)  # 3: several rounds
+    monkeypatch.setattr(D, "GRID", grid)
     rng = np.random.default_rng(3)
     rows = []
     for g in ("a", "b", "c"):
@@ -77,6 +79,26 @@ def test_exact_quantiles(spark, accuracy, monkeypatch):
         assert r.value == pytest.approx(_pandas_quantile(vals, r.prob), rel=1e-12, abs=1e-9)
 
 
+def test_selection_over_ten_million_values_holds_few(spark, monkeypatch):
+    """Every value inside a bracket that a task may hold is counted beforehand: under 1 % of the rows,
+    also where the bound asks for more rounds."""
+    n, prime = 10_000_000, 7_919_111
+    df = spark.range(0, n, 1, 16).select(((F.col("id") * prime) % n).cast("double").alias("v"))  # every value once
+    bounds, narrow = [], D._narrow
+
+    def spied(data, state, entries, g, groups, last):
+        out = narrow(data, state, entries, g, groups, last)
+        bounds.append((last, out[1]))
+        return out
+
+    monkeypatch.setattr(D, "_narrow", spied)
+    for held in (D.HELD, 500):
+        monkeypatch.setattr(D, "HELD", held)
+        got = {r.prob: r.value for r in D.exact_quantiles(df, "v", [0.0, 0.3, 0.5, 0.999]).collect()}
+        assert got == {0.0: 0.0, 0.3: pytest.approx(0.3 * (n - 1)), 0.5: (n - 1) / 2, 0.999: pytest.approx(0.999 * (n - 1))}
+    assert [b[0] for b in bounds] == [True, False, True] and bounds[1][1] <= 500 < 0.01 * n
+
+
 def test_exact_quantiles_even_count_median(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (4.0,)], "v double")
     assert D.exact_quantiles(df, "v", [0.5]).first().value == 2.5
