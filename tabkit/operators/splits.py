@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabkit.functions.scalar import HASH_RANGE, portable_hash
+from tabkit.session import ensure_checkpoint_dir
 
 TOP_BITS = 16  # first-level histogram of the exact split: 65,536 buckets
 
@@ -38,10 +39,11 @@ def exact_split(df: DataFrame, key: str, test_frac: float = 0.2, seed: int = 42,
 
     The cut is found without sorting the table: a histogram of the hash's top
     16 bits locates the bucket holding the cut, a second histogram of that
-    bucket's low bits the exact hash value, and only rows sharing that one hash
-    value are ordered by key. Keys are assumed unique.
+    bucket's low bits the exact hash value, and the keys of that one hash value are counted
+    in order (NULL first). Where the cut falls between rows of one key, those rows are
+    numbered as they lie: counts per partition and their offsets, without moving a row.
     """
-    h = portable_hash(key, seed)
+    h = F.coalesce(portable_hash(key, seed), portable_hash(F.lit(""), seed))  # a NULL key is a key
     # the three locating passes read only (key, hash): keep that narrow projection
     keys = df.select(F.col(key), h.alias("_h")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -57,19 +59,33 @@ def exact_split(df: DataFrame, key: str, test_frac: float = 0.2, seed: int = 42,
         )
         b2, need2, _ = _locate(low, lambda _n: need1)
         hv = (b1 << shift) + b2
-        # rows sharing one 32-bit hash value: about n / 2^32 of them
-        last_key = (
-            keys.where(F.col("_h") == F.lit(hv)).select(key).orderBy(key).limit(need2)
-            .agg(F.max(key).alias("k")).first()["k"]
-        )
+        # keys sharing one 32-bit hash value: about n / 2^32 of them
+        same = keys.where(F.col("_h") == F.lit(hv)).groupBy(key).agg(F.count(F.lit(1)).alias("c")).orderBy(F.col(key).asc_nulls_first()).collect()
     finally:
         keys.unpersist()
-    is_test = (h < F.lit(hv)) | ((h == F.lit(hv)) & (F.col(key) <= F.lit(last_key)))
-    return df.withColumn(out, F.when(is_test, "test").otherwise("train"))
+    for r in same:
+        last_key, of_key = r[key], r["c"]
+        if need2 <= of_key:
+            break
+        need2 -= of_key
+    here = h == F.lit(hv)
+    lower = here & (F.col(key).isNull() if last_key is None else F.coalesce(F.col(key) <= F.lit(last_key), F.lit(True)))
+    if need2 == of_key:
+        return df.withColumn(out, F.when((h < F.lit(hv)) | lower, "test").otherwise("train"))
+    at_cut = here & F.col(key).eqNullSafe(F.lit(last_key))
+    rest = df.where(~at_cut).withColumn(out, F.when((h < F.lit(hv)) | lower, "test").otherwise("train"))
+    # written, so that a row keeps its partition and its place there
+    ensure_checkpoint_dir(df.sparkSession)
+    place = F.monotonically_increasing_id()  # partition number, then the row's number in it
+    tied = df.where(at_cut).checkpoint(eager=True)
+    sizes = tied.select(place.alias("_at")).groupBy(F.shiftright("_at", 33).alias("b")).agg(F.count(F.lit(1)).alias("c"))
+    part, within, _ = _locate(sizes, lambda _n: need2)
+    marked = tied.withColumn(out, F.when(place < F.lit((part << 33) + within), "test").otherwise("train"))
+    return rest.unionByName(marked)
 
 
 def _locate(hist: DataFrame, want):
-    """In a histogram (b, c) with at most 65,536 rows, which is read whole, find the bucket
+    """In a histogram (b, c) of 65,536 buckets or one a partition, which is read whole, find the bucket
     where the running count reaches ``want(total)``. Returns (bucket, rows needed from it, total)."""
     rows = sorted((r["b"], r["c"]) for r in hist.collect())
     n = sum(c for _, c in rows)

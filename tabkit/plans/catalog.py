@@ -629,6 +629,19 @@ def q_csv_scan_header(spark, d):
     return csvio.read_table_csv(spark, path, SURVEY_SCHEMA)
 
 
+@query("csv_scan_multiline", sv("select id, name || chr(10) || chr(10) || coalesce(status, '\"\"') || ', ' as note, price from survey"))
+def q_csv_scan_multiline(spark, d):
+    """Quoted fields with line breaks, quotes and commas in them; the files differ in column order."""
+    path = scratch_path(spark, "survey-lines")
+    note = F.concat("name", F.lit("\n\n"), F.coalesce("status", F.lit('""')), F.lit(", ")).alias("note")
+    s = fx.survey(spark, d).select("id", note, "price")
+    halves = (s.where("id % 2 = 0"), s.where("id % 2 = 1").select("price", "note", "id"))
+    for half in halves:
+        half.write.mode("append").option("header", True).option("escape", '"').option("quoteAll", True).option("ignoreTrailingWhiteSpace", False).csv(path)
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("note", T.StringType()), T.StructField("price", T.DoubleType())])
+    return csvio.read_table_csv(spark, path, schema, multi_line=True)
+
+
 @query("csv_sink_indexed", sv("select * from survey"))
 def q_csv_sink_indexed(spark, d):
     path = scratch_path(spark, "survey-indexed")
@@ -1290,6 +1303,14 @@ def q_grid_search(spark, d):
     return out.select(*KNOWN_GRID, "combo", "best_round", "stop_round", r6("score").alias("score"))
 
 
+@query("grid_search_best", _grid_sql_boosted(KNOWN_GRID, KNOWN_PATIENCE, "auc").rstrip() + " order by res.value desc, combo limit 1")
+def q_grid_search_best(spark, d):
+    """H4 on the scores of a real search: the best point, the first among equals."""
+    tr, te = _bucket_frames(spark, d)
+    out = tuning.pick_best(tuning.grid_search(tr, te, tuning.param_grid(spark, KNOWN_GRID), patience=KNOWN_PATIENCE, key="id"))
+    return out.select(*KNOWN_GRID, "combo", "best_round", "stop_round", r6("score").alias("score"))
+
+
 def _best_model(spark, d, path=None):
     tr, te = _bucket_frames(spark, d)
     best = tuning.pick_best(tuning.grid_search(tr, te, tuning.param_grid(spark, {**KNOWN_GRID, "subsample": [1.0]}),
@@ -1577,6 +1598,39 @@ def q_boost_margins(spark, d):
     return out.select("bucket", "month", "rows", r6("margin").alias("margin"))
 
 
+# ---- run tables of trained models: (model, rounds, auc)
+RUN_SETTINGS = {"fast": boosting.Settings(2, 0.5, 6, 3, 0.8), "slow": boosting.Settings(1, 0.1, 6, 1, 0.9)}
+_RUNS_CTES = TWO_FEATURE_CTES + boost_sql.boosted(list(RUN_SETTINGS.values()), 6) + "," + boost_sql.AUC_CTES + f""",
+runs as (select n.name as model, r as rounds, round(value, 9) as auc from sc join (values {', '.join(f"({i}, '{n}')" for i, n in enumerate(RUN_SETTINGS))}) n(m, name) using (m))"""
+
+
+def _boost_runs(spark, d) -> DataFrame:
+    """Two models, trained together, as a results table with the test AUC after every round."""
+    tr, te = _two_features(spark, d)
+    _, scores, _ = boosting.fit_many(tr, list(RUN_SETTINGS.values()), te, key="id")
+    names = list(RUN_SETTINGS)
+    return tabio.results_frame(spark, [(names[m], r, round(v, 9)) for m, r, v in scores], "model string, rounds int, auc double")
+
+
+@query("boost_best_worst_runs", sv(_RUNS_CTES + """
+select model, 'auc' as metric, arg_max(rounds, (auc, -rounds)) as best_rounds, max(auc) as best_value,
+       arg_min(rounds, (auc, rounds)) as worst_rounds, min(auc) as worst_value from runs group by model
+"""))
+def q_boost_best_worst_runs(spark, d):
+    """X2 on trained models: the best and the worst number of rounds."""
+    return experiments.best_worst_runs(_boost_runs(spark, d), ["auc"], (), x="rounds")
+
+
+@query("boost_series", sv(_RUNS_CTES + """
+select model, rounds, 'auc' as metric, round(auc, 6) as value,
+       row_number() over (partition by model order by auc desc, rounds) = 1 as is_best,
+       row_number() over (partition by model order by auc, rounds) = 1 as is_worst from runs
+"""))
+def q_boost_series(spark, d):
+    """C6 on trained models: the AUC by number of rounds."""
+    return charts.metric_series(_boost_runs(spark, d), ["auc"], (), x="rounds")
+
+
 @query("boost_importance", sv(TWO_FEATURE_CTES + boost_sql.boosted([BOOST_CHECK], BOOST_CHECK.n_estimators) + f""",
 per as (select k, count(*) as splits, sum(gain) as total_gain, avg(gain) as mean from cuts group by k)
 select n.name as feature, coalesce(splits, 0) as splits, round(coalesce(total_gain, 0), 3) as total_gain,

@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import csv
+import io
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabkit.session import ship_package
+
 
 # The words that the usual frame reader takes as missing, besides the empty field.
 MISSING_WORDS = [
@@ -14,10 +24,135 @@ MISSING_WORDS = [
 ]
 
 
+def _first_record(spark: SparkSession, path: str) -> str:
+    """The first record of a file: its first line, or more while a quote is open."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).open(target)
+    try:
+        codec = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration()).getCodec(target)
+        source = codec.createInputStream(stream) if codec is not None else stream
+        lines = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(source, "UTF-8"))
+        record = lines.readLine() or ""
+        while record.count('"') % 2:
+            more = lines.readLine()
+            if more is None:
+                break
+            record += "\n" + more
+        return record
+    finally:
+        stream.close()
+
+
+def _header_groups(spark: SparkSession, path: str) -> list[tuple[list[str], list[str]]]:
+    """[(header, files)] of the files under ``path``: those with the same header together. Only the
+    first record of each file is read, by several threads; empty files are left out."""
+    files = spark.read.format("binaryFile").load(path).select("path", "length").where("length > 0").collect()  # names only
+    with ThreadPoolExecutor(max_workers=32) as pool:
+        headers = list(pool.map(lambda f: _first_record(spark, f.path), files))
+    groups: dict = {}
+    for f, header in zip(files, headers):
+        groups.setdefault(tuple(next(csv.reader(io.StringIO(header)), [])), []).append(f.path)
+    return [(list(header), sorted(paths)) for header, paths in groups.items()]
+
+
+def _positional(header: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(header))])
+
+
 def _raw_csv(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
-    """All fields as text under the file's own header names (quotes are doubled inside quotes)."""
-    return (spark.read.option("header", True).option("inferSchema", False).option("escape", '"')
-            .option("multiLine", multi_line).option("mode", "PERMISSIVE").csv(path))
+    """All fields as text under the header names of their own file, whatever the order of its
+    columns (quotes are doubled inside quotes); a column that a file lacks is NULL there."""
+    parts = []
+    for header, files in _header_groups(spark, path):
+        fields = _positional(header)
+        if multi_line:
+            row = F.from_csv("value", fields.simpleString()[7:-1].replace(":", " "), {"escape": '"', "mode": "PERMISSIVE"})
+            data = _records(spark, files).select(row.alias("r")).select("r.*")
+        else:
+            data = (spark.read.schema(fields).option("header", True).option("enforceSchema", True).option("escape", '"')
+                    .option("mode", "PERMISSIVE").csv(files))
+        parts.append(data.select(*[F.col(f"_c{i}").alias(h) for i, h in enumerate(header) if h not in header[:i]]))  # of equal names the first
+    if not parts:
+        return spark.createDataFrame([], T.StructType([]))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _lines(spark: SparkSession, files: list[str]) -> DataFrame:
+    return spark.read.option("lineSep", "\n").text(files).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+
+
+def _records(spark: SparkSession, files: list[str]) -> DataFrame:
+    """(value): the records after the first one of each file, where quotes may hold line breaks.
+
+    A file is read by as many tasks as it has blocks. One pass counts the quotes of each block; their
+    running sum over a file's blocks tells which blocks begin inside quotes. With that, each task cuts
+    its own lines into records. Only records that cross a block's edge leave their task, in pieces.
+    """
+    ship_package(spark)
+    lines = _lines(spark, files)
+    quotes = F.char_length("value") - F.char_length(F.replace("value", F.lit('"'), F.lit("")))
+    blocks = lines.groupBy("file", "block").agg(F.sum(quotes).alias("quotes"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # a row a block
+    inside = blocks.select("file", "block", F.coalesce(F.sum("quotes").over(before), F.lit(0)).alias("n")).where("n % 2 = 1")
+    opened = {(r.file, r.block) for r in inside.collect()}  # blocks that begin inside quotes
+
+    def cut(batches):
+        yield from _cut_records(batches, opened)
+
+    schema = "file string, block long, piece int, value string"
+    whole = lines.mapInArrow(cut, schema).where("piece = 0").select("value")
+    if not opened:
+        return whole
+    crossing = sorted({f for f, _ in opened})
+    pieces = _lines(spark, files).where(F.col("file").isin(crossing)).mapInArrow(cut, schema).where("piece > 0")
+    at = Window.partitionBy("file").orderBy("block", "piece")  # two pieces a block at most
+    numbered = pieces.withColumn("record", F.sum(F.when(F.col("piece") == 2, 1).otherwise(0)).over(at))
+    joined = numbered.groupBy("file", "record").agg(F.array_sort(F.collect_list(F.struct("block", "piece", "value"))).alias("p"), F.min("block").alias("first"))
+    text = F.regexp_replace(F.array_join(F.transform("p", lambda p: p["value"]), "\n"), "\r$", "")
+    return whole.unionByName(joined.where("record > 0").select(text.alias("value")))
+
+
+def _cut_records(batches, opened: set):
+    """Lines in file order -> (file, block, piece, value): whole records (0), what a block begins with of
+    an earlier record (1) and what it ends with of a record that goes on (2). A file's first record is
+    its header and left out, as are empty lines between records."""
+    at, held, head, first = None, [], False, False
+
+    def out(rows):
+        columns = list(zip(*rows)) if rows else [[]] * 4
+        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int32(), pa.string()))],
+                                          names=["file", "block", "piece", "value"])
+
+    def finish(rows):  # the block is over while a record is open
+        if held:
+            rows.append((*at, 1 if head else 2, "\n".join(held)))
+
+    for b in batches:
+        rows = []
+        odd = np.asarray(pc.bit_wise_and(pc.count_substring(b.column(0), '"'), 1))
+        for line, file, block, turn in zip(*(b.column(k).to_pylist() for k in range(3)), odd.tolist()):
+            if (file, block) != at:
+                finish(rows)
+                at, held = (file, block), []
+                open_, head, first = at in opened, at in opened, block == 0
+            held.append(line)
+            open_ ^= bool(turn)
+            if open_:
+                continue
+            value = "\n".join(held)
+            held = []
+            if head:
+                rows.append((*at, 1, value))
+            elif first:
+                first = False
+            elif value.strip("\r"):
+                rows.append((*at, 0, value.removesuffix("\r")))
+            head = False
+        yield out(rows)
+    rows = []
+    finish(rows)
+    yield out(rows)
 
 
 def read_table_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
@@ -26,9 +161,10 @@ def read_table_csv(spark: SparkSession, path: str, schema: T.StructType, multi_l
     Columns are found by their header name, whatever their order; further columns of the
     file are left out. Fields that hold one of MISSING_WORDS or nothing are NULL, and so are
     fields that do not read as their column's type (``malformed_fields`` counts those).
-    ``multi_line`` lets quoted fields hold line breaks (a file is then one task).
+    Each file of a folder has its own header. ``multi_line`` lets quoted fields hold line breaks; a
+    file is still read by a task for each of its blocks (``_records``).
     """
-    raw = _raw_csv(spark, path, multi_line)
+    raw = _known(_raw_csv(spark, path, multi_line), schema)
     return raw.select(*[_typed(f) for f in schema.fields])
 
 
@@ -46,9 +182,14 @@ def _typed(f: T.StructField):
     return value.alias(f.name)
 
 
+def _known(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """A column that no file has is NULL."""
+    return raw.select("*", *[F.lit(None).cast("string").alias(f.name) for f in schema.fields if f.name not in raw.columns])
+
+
 def malformed_fields(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
     """Per column, how many fields hold text that is neither missing nor of the column's type."""
-    raw = _raw_csv(spark, path, multi_line)
+    raw = _known(_raw_csv(spark, path, multi_line), schema)
     bad = [F.count_if(_text(f.name).isNotNull() & (F.trim(_text(f.name)) != "") & _typed(f).isNull()).alias(f"c{i}")
            for i, f in enumerate(schema.fields)]
     rows = F.array(*[F.struct(F.lit(f.name).alias("column"), F.col(f"c{i}").alias("malformed")) for i, f in enumerate(schema.fields)])
@@ -64,7 +205,11 @@ def read_positional_csv(
     """
     if schema is None:
         schema = T.StructType([T.StructField(str(i), T.DoubleType(), True) for i in range(n_columns)])
-    return spark.read.schema(schema).option("header", False).option("escape", '"').csv(path)
+    return spark.read.schema(schema).option("header", False).options(**KEPT).csv(path)
+
+
+#: Options of the sinks: quotes doubled inside quotes, spaces at the ends of a field kept.
+KEPT = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def write_indexed_csv(df: DataFrame, path: str, index_col: str, mode: str = "overwrite") -> None:
@@ -72,7 +217,7 @@ def write_indexed_csv(df: DataFrame, path: str, index_col: str, mode: str = "ove
     name (as a frame written together with its index)."""
     rest = [c for c in df.columns if c != index_col]
     out = df.select(F.col(index_col).alias(""), *rest)
-    out.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    out.write.mode(mode).option("header", True).options(**KEPT).csv(path)
 
 
 def read_indexed_csv(spark: SparkSession, path: str, schema: T.StructType, index_name: str) -> DataFrame:
@@ -85,7 +230,7 @@ def read_indexed_csv(spark: SparkSession, path: str, schema: T.StructType, index
 
 def write_headerless_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV without header or index (the prepared training file)."""
-    df.write.mode(mode).option("header", False).option("escape", '"').csv(path)
+    df.write.mode(mode).option("header", False).options(**KEPT).csv(path)
 
 
 def write_predictions(
@@ -98,5 +243,5 @@ def write_predictions(
     """
     out = df.select(F.col(id_col), F.col(prediction_col).cast("int").alias(target))
     if path:
-        out.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+        out.write.mode(mode).option("header", True).options(**KEPT).csv(path)
     return out

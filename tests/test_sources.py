@@ -79,10 +79,50 @@ def test_csv_line_breaks_inside_quotes(spark):
     assert got == [(1, "two\nlines"), (2, "one")]
 
 
+def test_files_of_a_folder_have_their_own_headers(spark):
+    path = scratch_path(spark, "csv-orders")
+    for k, raw in enumerate(["id,a,b\n1,10,x", "id,b,a\n2,y,20", "b,id\nz,3", "id,extra,a\n4,e,40", "id,a,b"]):
+        spark.createDataFrame([(raw,)], "value string").coalesce(1).write.mode("append").text(path)
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("a", T.LongType()), T.StructField("b", T.StringType()),
+                           T.StructField("nowhere", T.DoubleType())])
+    for multi_line in (False, True):
+        got = sorted(tuple(r) for r in csvio.read_table_csv(spark, path, schema, multi_line=multi_line).collect())
+        assert got == [(1, 10, "x", None), (2, 20, "y", None), (3, None, "z", None), (4, 40, None, None)]
+
+
+def test_one_file_with_quoted_line_breaks_is_read_by_many_tasks(spark):
+    """Blocks begin anywhere: in a record, in quotes, and one record is longer than a block."""
+    import csv as plain
+    import io
+    import random
+
+    r = random.Random(4)
+    rows = [["id", "t", "u"]]
+    for i in range(1500):
+        text = "".join(r.choice(["a", "b,", '"', "\n", " x ", "é", "\r\n", "\n\n"]) for _ in range(r.randrange(12)))
+        rows.append([str(i), text + "." if text else "", "long\n" * 2000 if i == 700 else "u"])
+    raw = io.StringIO()
+    plain.writer(raw, lineterminator="\n").writerows(rows)
+    path = scratch_path(spark, "csv-blocks")
+    spark.createDataFrame([(raw.getvalue().rstrip("\n"),)], "value string").coalesce(1).write.text(path)
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("t", T.StringType()), T.StructField("u", T.StringType())])
+    want = sorted((int(a), b or None, c) for a, b, c in rows[1:])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("700b", "4k", old):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            df = csvio.read_table_csv(spark, path, schema, multi_line=True)
+            assert sorted(tuple(x) for x in df.collect()) == want, size
+            if size != old:
+                assert csvio._lines(spark, [f"{path}/*.txt"]).rdd.getNumPartitions() > 4
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_quotes_survive_the_indexed_round_trip(spark):
     path = scratch_path(spark, "csv-quotes")
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("t", T.StringType())])
-    df = spark.createDataFrame([(1, 'a "b", c'), (2, 'back\\slash "q"')], schema)
+    df = spark.createDataFrame([(1, 'a "b", c'), (2, 'back\\slash "q"'), (3, "  spaces  ")], schema)
     csvio.write_indexed_csv(df, path, "id")
     assert sorted(csvio.read_indexed_csv(spark, path, schema, "id").collect()) == sorted(df.collect())
 

@@ -21,6 +21,26 @@ def test_exact_split_small_table(spark):
     assert splits.exact_split(empty, "id").count() == 0
 
 
+def test_exact_split_with_repeated_and_null_keys(spark):
+    """The size is exact whatever the keys: two keys, one key, NULL keys, one hot key among many."""
+    tables = {
+        "two": [(i % 2, i) for i in range(100)],
+        "one": [(7, i) for i in range(101)],
+        "nulls": [(None, i) for i in range(40)] + [(i, i) for i in range(11)],
+        "hot": [(5 if i % 3 else i, i) for i in range(500)],
+        "copies": [(3, 0)] * 60,
+    }
+    for name, rows in tables.items():
+        df = spark.createDataFrame(rows, "k long, v long")
+        for parts in (1, 7):
+            out = splits.exact_split(df.repartition(parts), "k", 0.2)
+            got = out.collect()
+            assert sum(r.split == "test" for r in got) == math.ceil(0.2 * len(rows)), name
+            assert sorted((r.k is None, r.k or 0, r.v) for r in got) == sorted((k is None, k or 0, v) for k, v in rows), name
+            mixed = [k for k in {r.k for r in got} if len({r.split for r in got if r.k == k}) == 2]
+            assert len(mixed) <= 1, name  # only the key at the cut is on both sides
+
+
 def test_folds_disjoint_cover_and_partition_invariant(spark, sf_dir):
     s = fx.survey(spark, sf_dir).select("id")
     results = []
