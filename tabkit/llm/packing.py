@@ -36,14 +36,14 @@ TAIL = b".,!?#$%&*;:"
 
 class Encoder:
     """Ids of whole texts. The vocabulary's pre-tokeniser drops white space, so a text has
-    the ids of its words in order; words are encoded once and remembered."""
+    the ids of its words in order; words are encoded once and remembered. The tokeniser is used as
+    it is loaded: a text that quotes a special token gets that token's id."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.known: dict[bytes, bytes] = {}
 
     def learn(self, words) -> None:

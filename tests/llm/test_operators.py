@@ -289,8 +289,7 @@ def test_packing_round_trip(spark):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(VOCABULARY)
-    tok.encode_special_tokens = True
-    rows = cases.documents() + [(None, "null id"), (1, " ".join(cases.words(120, 1))), (60, "It's <|endoftext|> 'twas we'll ... ok?! a.b ß Σς ﬁ"), (61, "\x0b\x0c\x85\u2028 x\u0301y")]
+    rows = cases.documents() + [(None, "null id"), (1, " ".join(cases.words(120, 1))), (60, "It's <|endoftext|> 'twas we'll ... ok?! a.b ß Σς ﬁ"), (62, "a <|endoftext|> b<|startoftext|>c, <|endoftext|>!"), (61, "\x0b\x0c\x85\u2028 x\u0301y")]
     df = cases.frame(spark, rows, extra=True)
     out = packing.pack_documents(df, VOCABULARY, with_ids=True).collect()
     want = collections.Counter()
