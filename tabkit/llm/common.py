@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 import gc
-import io
-import os
-import uuid
-import zipfile
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabkit.session import scratch_path
+import xxhash
+
+from tabkit.session import drop_path, scratch_path, ship_package
+
+__all__ = ["ship_package"]
 
 #: Bytes of text handled by one run of the vectorised code (a longer document is a run of its own).
 SLICE_BYTES = 1 << 20
@@ -40,7 +40,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     gc.collect()
     spark._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete what ``written`` wrote, once nothing reads it any more."""
+    for df in tables:
+        drop_path(df.sparkSession, df.written_path)
 
 
 def text_key(col="text"):
@@ -77,11 +85,12 @@ class _Powers:
 
 
 POWERS = _Powers()
-#: A random 64-bit value for each byte, and the same with A-Z as a-z.
+#: A random 64-bit value for each byte; the bytes with A-Z as a-z.
 BYTE_VALUE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))
-_LOWER = np.arange(256)
+_LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-BYTE_VALUE_LOWER = BYTE_VALUE[_LOWER]
+#: Bytes of a word that are hashed in steps.
+LONG_WORD = 256
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
 
@@ -97,6 +106,29 @@ def window_hash(values: np.ndarray, k: int) -> np.ndarray:
     return mix((total[k:] - total[:-k]) * down[: n - k + 1])
 
 
+def word_hash(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words at ``start``: eight bytes after eight bytes are mixed in, each step a
+    bijection of the eight bytes, so words of up to eight bytes never collide with their like. Words over
+    LONG_WORD bytes, which are few, are hashed by xxHash64."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # the eight bytes from each position on
+    out = mix(size.astype(np.uint64) + np.uint64(BASE))
+    left, at, open_ = size.copy(), start.copy(), np.flatnonzero((size > 0) & (size <= LONG_WORD))
+    while len(open_):
+        rest = left[open_]
+        chunk = eight[at[open_]]
+        short = rest < 8
+        chunk[short] &= (np.uint64(1) << (np.uint64(8) * rest[short].astype(np.uint64))) - np.uint64(1)
+        out[open_] = mix((out[open_] ^ chunk) * np.uint64(BASE))
+        left[open_] -= 8
+        at[open_] += 8
+        open_ = open_[rest > 8]
+    for i in np.flatnonzero(size > LONG_WORD):
+        out[i] = xxhash.xxh64_intdigest(padded[start[i]: start[i] + size[i]].tobytes())
+    return out
+
+
 class Words:
     """Words ``[^\\x20\\x09-\\x0D]+`` of the texts in one buffer.
 
@@ -115,10 +147,7 @@ class Words:
         now[:n] = word
         self.start = np.flatnonzero(now & (~before | cut))
         self.end = np.flatnonzero(before & (~now | cut))
-        up, down = POWERS.get(n + 1)
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum((BYTE_VALUE_LOWER if lower else BYTE_VALUE)[data] * up[:n], out=total[1:])
-        self.hash = mix((total[self.end] - total[self.start]) * down[self.start])
+        self.hash = word_hash(_LOWER[data] if lower else data, self.start, self.end - self.start)
         self.first = np.searchsorted(self.start, bounds)
 
 
@@ -140,23 +169,3 @@ def slices(column: pa.Array):
         j = min(j, n)
         yield i, j, data[offsets[i]: offsets[j]], offsets[i: j + 1] - offsets[i]
         i = j
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Give the executors' Python this package, as ``--py-files`` would, once per context."""
-    context = spark.sparkContext
-    if any(name.startswith("tabkit-py-") for name in context._python_includes):
-        return
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    data = io.BytesIO()
-    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
-        for folder, _, names in os.walk(os.path.join(root, "tabkit")):
-            for n in sorted(names):
-                if n.endswith(".py"):
-                    z.write(os.path.join(folder, n), os.path.relpath(os.path.join(folder, n), root))
-    path = f"{scratch_path(spark, 'package')}/tabkit-py-{uuid.uuid4().hex}.zip"
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
-    out.write(bytearray(data.getvalue()))
-    out.close()
-    context.addPyFile(path)

@@ -14,10 +14,12 @@ With 40 bands of 4 coordinates a pair at the threshold of 0.75 is missed with a
 of 3e-7.
 
 Defined results: without words (or text) a document has an empty set and is linked with
-nothing; with fewer than 5 words the whole sequence is its one shingle. Rows that share a
-doc_id are one document for linking: their component is one, and where their texts differ one
-of them stands for it in links beyond equal sets. A NULL doc_id is linked with nothing, has a NULL
-component and is kept. An empty table gives an empty result.
+nothing; with fewer than 5 words the whole sequence is its one shingle. Each row has the component of
+its own text; a component's id is its smallest doc_id. Rows that share a doc_id may have different
+texts: sets whose smallest doc_id is the same are one node in links, for which one of them is compared. A
+NULL doc_id is linked with nothing, has a NULL component and is kept. Texts of any length are read whole.
+Ties between hubs go to the larger id, which changes no result. An empty table gives an empty result.
+``near_groups`` reads only ``doc_id`` and ``text``; ``keep_one`` gives back every column, whatever its name.
 """
 
 from __future__ import annotations
@@ -94,13 +96,20 @@ def sketches(docs: DataFrame) -> DataFrame:
                 k1 = np.array([mix(s + np.uint64(1)).sum(dtype=np.uint64) for s in sets], np.uint64)
                 k2 = np.array([mix(s ^ np.uint64(BASE)).sum(dtype=np.uint64) for s in sets], np.uint64)
                 yield pa.RecordBatch.from_arrays([
-                    ids.slice(first, last - first).cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                    ids.slice(first, last - first).cast(pa.int64()), b.column("t1").slice(first, last - first), b.column("t2").slice(first, last - first),
+                    pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)),
                     pa.FixedSizeListArray.from_arrays(pa.array(keys.view(np.int64).ravel()), BANDS).cast(pa.list_(pa.int64()))],
-                    names=["doc_id", "n", "k1", "k2", "bands"])
+                    names=["doc_id", "t1", "t2", "n", "k1", "k2", "bands"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, n long, k1 long, k2 long, bands array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *text_keys()).mapInArrow(
+        run, "doc_id long, t1 long, t2 long, n long, k1 long, k2 long, bands array<long>")
+
+
+def text_keys():
+    """128 bits that tell the rows of one doc_id apart by their text."""
+    t = F.coalesce("text", F.lit(""))
+    return F.xxhash64(t).alias("t1"), F.xxhash64(F.lit(1), t).alias("t2")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -276,19 +285,27 @@ def block_links(left, right, percent: int) -> set[tuple[int, int]]:
     return {(min(a, b), max(a, b)) for a, b in set(zip(c1[x].tolist(), c2[y].tolist()))}
 
 
-def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
+def grouped_rows(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, t1, t2, n_shingles, component_id, kept) for every row of ``docs``."""
     sketch = written(sketches(docs), "sketches")
     comps = components(docs, sketch, percent)
     classes = (sketch.filter((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
                .join(comps, "rep", "left").select("k1", "k2", F.coalesce("comp", "rep").alias("comp")))
-    rows = sketch.select("doc_id", "n", "k1", "k2").join(classes, ["k1", "k2"], "left")
+    rows = sketch.select("doc_id", "t1", "t2", "n", "k1", "k2").join(classes, ["k1", "k2"], "left")
     component = F.when(F.col("n") > 0, F.coalesce("comp", "doc_id")).otherwise(F.col("doc_id"))
-    return rows.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), component).alias("component_id")
+    return rows.select("doc_id", "t1", "t2", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), component).alias("component_id")
                        ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
+    return grouped_rows(docs, percent).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` that their group keeps, all columns."""
-    dropped = near_groups(docs, percent).filter(~F.col("kept")).select(F.col("doc_id").alias("__dropped")).distinct()
-    return docs.join(dropped, F.col("doc_id") == F.col("__dropped"), "left_anti")
+    """The rows of ``docs`` that their group keeps, all columns. Rows that share a doc_id are told
+    apart by their text, so a text that only one of them has stays."""
+    dropped = grouped_rows(docs, percent).filter(~F.col("kept")).select(
+        F.col("doc_id").alias("__id"), F.col("t1").alias("__t1"), F.col("t2").alias("__t2")).distinct()
+    t1, t2 = text_keys()
+    return docs.join(dropped, (F.col("doc_id").cast("long") == F.col("__id")) & (t1 == F.col("__t1")) & (t2 == F.col("__t2")), "left_anti")

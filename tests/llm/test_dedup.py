@@ -127,3 +127,35 @@ def test_every_window_lies_in_one_segment():
         seen = sorted((t, w) for t, a, k in zip(text.tolist(), lo.tolist(), n.tolist()) for w in range(a, a + k))
         units = [len(t.split()) if kind == "word" else len(t) for t in texts]
         assert seen == [(i, w) for i, u in enumerate(units) for w in range(u - width + 1)]
+
+
+def test_word_hash_has_no_structured_collisions(spark):
+    """Words that polynomials modulo 2**64 cannot tell apart, whatever their base, and plain ones."""
+    import itertools
+
+    from tabkit.llm.common import Words
+
+    word = "a"
+    for _ in range(12):
+        word += word.translate(str.maketrans("ab", "ba"))
+    pairs = [word[:n] for n in (8, 16, 64, 128, 256, 257, 512, 1024, 2048, 4096)]
+    pairs += [w.translate(str.maketrans("ab", "ba")) for w in pairs]
+    pairs += ["".join(w) for k in range(1, 9) for w in itertools.product("ab", repeat=k)] + ["x\0"[:1], "x\0y", "x"]
+    data = " ".join(pairs).encode()
+    found = Words(np.frombuffer(data, np.uint8), np.array([0, len(data)]), lower=False).hash
+    assert len(set(found.tolist())) == len(set(pairs))
+    twice = np.frombuffer(b"A" + data.upper() + b" " + data, np.uint8)[1:]
+    both = Words(twice, np.array([0, len(twice)]), lower=True).hash
+    assert (both[: len(found)] == both[len(found):]).all() and (both[: len(found)] == found).all()
+    for n in (1024, 2048):
+        a = word[:n]
+        b = a.translate(str.maketrans("ab", "ba"))
+        rows = cases.frame(spark, [(1, a), (2, b)])
+        assert all(r.kept for r in minhash.near_groups(rows).collect())
+
+
+def test_keep_one_loses_no_text_of_a_shared_doc_id(spark):
+    one, two = " ".join(cases.words(40, 1)), " ".join(cases.words(40, 2))
+    rows = [(3, one), (7, one), (7, two), (7, two), (9, two)]
+    kept = sorted((r.doc_id, r.text) for r in minhash.keep_one(cases.frame(spark, rows, extra=True)).collect())
+    assert kept == sorted([(3, one), (7, two), (7, two)])
