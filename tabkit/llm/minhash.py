@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tabkit.llm.common import BASE, Words, mix, slices, window_hash, written
+from tabkit.llm.common import BASE, Words, discard, mix, slices, window_hash, written
 
 SHINGLE = 5
 BANDS, ROWS = 40, 4
@@ -113,20 +113,26 @@ def text_keys():
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(rep, shingles): the full set, as sorted bytes, of each wanted (rep, k1) class."""
+    """(rep, shingles): the full set, as sorted bytes, of each wanted (rep, k1) class. The texts are
+    moved, which are smaller than the sets; of several rows of one rep the first with that set counts."""
 
     def run(batches):
+        last_rep = None
         for b in batches:
             for first, last, data, bounds in slices(b.column("text")):
+                reps = b.column("rep").slice(first, last - first)
+                want = b.column("k1").slice(first, last - first).to_numpy()
+                rep, out = reps.to_numpy(), []
                 sets = shingle_sets(data, bounds)
-                k1 = np.array([mix(s + np.uint64(1)).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
-                same = np.flatnonzero(k1 == b.column("k1").slice(first, last - first).to_numpy())
-                yield pa.RecordBatch.from_arrays([
-                    b.column("rep").slice(first, last - first).take(pa.array(same)),
-                    pa.array([sets[i].tobytes() for i in same], pa.binary())], names=["rep", "shingles"])
+                for i, s in enumerate(sets):
+                    if rep[i] != last_rep and np.int64(mix(s + np.uint64(1)).sum(dtype=np.uint64).view(np.int64)) == want[i]:
+                        out.append(i)
+                        last_rep = rep[i]
+                yield pa.RecordBatch.from_arrays([reps.take(pa.array(out, pa.int64())), pa.array([sets[i].tobytes() for i in out], pa.binary())],
+                                                 names=["rep", "shingles"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(wanted, "rep")
-    return rows.mapInArrow(run, "rep long, shingles binary").dropDuplicates(["rep"])
+    rows = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(wanted.hint("merge"), "rep")  # sorted by rep
+    return rows.mapInArrow(run, "rep long, shingles binary")
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -192,32 +198,41 @@ def components(docs: DataFrame, sketch: DataFrame, percent: int = PERCENT) -> Da
     """(rep, comp) for the classes that share a band with another one."""
     classes = sketch.filter((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy("k1", "k2", "n").agg(
         F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
-    # the band number is part of the key
-    banded = written(classes.select("rep", "k1", "n", F.explode("bands").alias("key")), "bands")
+    classes = written(classes.select("rep", "k1", "n", "bands"), "classes")
+    # the band number is part of the key; most keys have one member and go no further than their count
+    banded = classes.select("rep", F.explode("bands").alias("key"))
     full = banded.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
-    members = banded.join(full, "key")
+    shared = written(banded.join(full, "key"), "shared")
     # one hub per bucket: the member that meets most others
-    met = members.groupBy("rep").agg(F.sum("m").alias("met"), F.min("k1").alias("k1"), F.min("n").alias("n"))
-    met = written(met, "met")
-    members = written(members.join(met.select("rep", "met"), "rep").select("key", "rep", "n", "met"), "members")
-    sets = written(full_sets(docs, met.select("rep", "k1")), "sets")
-    hubs = written(members.groupBy("key").agg(F.max(F.struct("met", F.col("rep").alias("hub"), F.col("n").alias("hub_n"))).alias("h"))
-                   .select("key", "h.hub", "h.hub_n"), "hubs")
+    chosen = classes.groupBy("rep").agg(F.min(F.struct("k1", "n")).alias("c")).select("rep", "c.k1", "c.n")  # one set stands for a rep
+    met = written(shared.groupBy("rep").agg(F.sum("m").alias("met")).join(chosen, "rep"), "met")
+    members = written(shared.join(met.select("rep", "n", "met"), "rep").select("key", "rep", "n", "met"), "members")
+    discard(classes, shared)
+    hubs = members.groupBy("key").agg(F.max(F.struct("met", F.col("rep").alias("hub"), F.col("n").alias("hub_n"))).alias("h")).select(
+        "key", "h.hub", "h.hub_n")
+    joined = written(members.join(hubs, "key").filter("rep <> hub").select("hub", "hub_n", "rep", "n").distinct(), "joined")
+    discard(members)
 
-    joined = members.join(hubs, "key").filter("rep <> hub")
-    pairs = joined.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
+    sets = written(full_sets(docs, met.select("rep", "k1")), "sets")
+    # sets whose sizes differ by more than the threshold allows are no link: they need not be moved
+    near = joined.filter(F.least("n", "hub_n") * 100 >= F.greatest("n", "hub_n") * percent)
+    pairs = near.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
     done = written(verified(pairs, sets), "verified")
     is_link = F.col("common") * 100 >= F.col("total") * percent
     comps = written(met.select("rep", F.col("rep").alias("comp")), "components")
     comps = merged(comps, done.filter(is_link))
 
     # Members of different components that share a hub are left to compare.
-    groups = joined.select("hub", "hub_n", "rep", "n").distinct().join(comps, "rep")
+    groups = joined.join(comps, "rep")
     open_ = groups.groupBy("hub").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("hub")
     groups = written(groups.join(open_, "hub", "left_semi"), "open")
+    discard(joined, done)
     if groups.isEmpty():
+        discard(sets)
         return comps
-    return merged(comps, unlinked_pairs(groups, sets, percent))
+    links = unlinked_pairs(groups, sets, percent)
+    discard(sets)
+    return merged(comps, links)
 
 
 def unlinked_pairs(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
