@@ -203,8 +203,8 @@ def merged_contents(table: pa.Table):
 def answers(found: DataFrame, kind: str, width: int, solve, shard_bytes: int, by_key) -> DataFrame:
     """(h, c, runs), written: what an operator says of every distinct content.
 
-    ``solve(contents, lowest, highest, copies)`` answers a shard: for each content the bytes
-    of an int64 array of runs, or None. An anchor with more than HOT_CONTENTS content rows
+    ``solve(contents, lowest, highest, copies, anchor)`` answers a shard: for each content the bytes
+    of an int64 array of runs, or None. All contents of an anchor are in one shard. An anchor with more than HOT_CONTENTS content rows
     has no bounded shard: its windows are compared by 128-bit keys in a shuffle, and
     ``by_key(rel, lowest, highest, copies)`` makes the runs of a content from those that recur.
     """
@@ -217,7 +217,7 @@ def answers(found: DataFrame, kind: str, width: int, solve, shard_bytes: int, by
     def shard(table: pa.Table) -> pa.Table:
         rows, lowest, highest, copies = merged_contents(table)
         content = table.column("content")
-        runs = solve([content[int(i)].as_py() for i in rows], lowest, highest, copies)
+        runs = solve([content[int(i)].as_py() for i in rows], lowest, highest, copies, table.column("h").to_numpy()[rows])
         some = np.array([i for i, r in enumerate(runs) if r is not None], np.int64)
         at = pa.array(rows[some])
         return pa.table({"h": table.column("h").take(at), "c": table.column("c").take(at),

@@ -67,12 +67,26 @@ def locate(contents: list[bytes], lowest, highest, width: int = WIDTH) -> list[b
     return out
 
 
+def answered(contents: list[bytes], lowest, highest, anchor: np.ndarray, width: int = WIDTH) -> list[bytes | None]:
+    """``locate`` of a shard, without anchors that lie in one document only: no phrase of theirs is in another."""
+    _, index = np.unique(anchor, return_inverse=True)
+    low, high = np.full(index.max() + 1, np.iinfo(np.int64).max), np.full(index.max() + 1, np.iinfo(np.int64).min)
+    np.minimum.at(low, index, lowest)
+    np.maximum.at(high, index, highest)
+    shared = np.flatnonzero((low < high)[index])
+    out: list[bytes | None] = [None] * len(contents)
+    if len(shared):
+        for i, runs in zip(shared.tolist(), locate([contents[i] for i in shared], lowest[shared], highest[shared], width)):
+            out[i] = runs
+    return out
+
+
 def drop_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) for every row of ``docs``."""
     rows = anchors.keyed(docs)
     found = anchors.with_segments(rows, "word", width, gram)
     told = anchors.answers(
-        found, "word", width, lambda contents, lowest, highest, copies: locate(contents, lowest, highest, width), SHARD_BYTES,
+        found, "word", width, lambda contents, lowest, highest, copies, anchor: answered(contents, lowest, highest, anchor, width), SHARD_BYTES,
         lambda rel, lowest, highest, copies: anchors.runs_of(rel[lowest < highest], lowest[lowest < highest]))
 
     def finish(did, text, hits):

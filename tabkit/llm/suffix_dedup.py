@@ -9,7 +9,8 @@ L, the leftmost S suffixes are sorted by their substrings (recursively, where na
 and the others are induced from them bucket by bucket in linear work. Common prefixes are
 computed in text order: only at positions where the preceding bytes differ is a prefix
 measured, the others follow from their predecessor less one. Neighbours in the array that
-share ``width`` bytes form the classes of equal strings.
+share ``width`` bytes form the classes of equal strings. An anchor with one distinct content stays out
+of the array: its windows recur all or not at all (``answered``).
 
 Both passes of the induction run in array operations. Over a small alphabet the entries of a
 bucket are induced together. Over a large one (names, in the recursion) the suffixes of a
@@ -283,12 +284,26 @@ def repeated_starts(contents: list[bytes], copies: np.ndarray, width: int = WIDT
     return out
 
 
+def answered(contents: list[bytes], copies: np.ndarray, anchor: np.ndarray, width: int = WIDTH) -> list[bytes | None]:
+    """``repeated_starts`` of a shard. Equal windows have equal anchors, so where an anchor has one content
+    only, either all of its windows recur, in its copies, or none does: those need no sorting."""
+    _, index, contents_of = np.unique(anchor, return_inverse=True, return_counts=True)
+    alone = contents_of[index] == 1
+    rest = np.flatnonzero(~alone)
+    out: list[bytes | None] = [
+        np.array([[0, len(c) - width + 1, 1]], np.int64).tobytes() if a and n > 1 else None for c, n, a in zip(contents, copies, alone)]
+    if len(rest):
+        for i, runs in zip(rest.tolist(), repeated_starts([contents[i] for i in rest], copies[rest], width)):
+            out[i] = runs
+    return out
+
+
 def drop_substrings(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for every row of ``docs``."""
     rows = anchors.keyed(docs)
     found = anchors.with_segments(rows, "byte", width, gram)
     told = anchors.answers(
-        found, "byte", width, lambda contents, lowest, highest, copies: repeated_starts(contents, copies, width), SHARD_BYTES,
+        found, "byte", width, lambda contents, lowest, highest, copies, anchor: answered(contents, copies, anchor, width), SHARD_BYTES,
         lambda rel, lowest, highest, copies: anchors.runs_of(rel, np.ones(len(rel), np.int64)))
 
     def finish(did, text, hits):
