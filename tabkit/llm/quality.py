@@ -87,16 +87,19 @@ class Model:
     def __init__(self, counts: np.ndarray, y: np.ndarray, share: float, n: int, seen: np.ndarray):
         self.share = share
         self.idf = np.log((1 + n) / (1 + seen)).astype(np.float32) + 1
-        x = unit_rows(counts * self.idf)
+        x = counts * self.idf  # one copy of the sample, changed in place: it is the driver's largest piece
+        x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
         self.mean = x.mean(axis=0) if len(x) else np.zeros(BUCKETS, np.float32)
         if len(x):
-            gram = (x - self.mean).T @ (x - self.mean)
-            _, vectors = np.linalg.eigh(gram.astype(np.float64))
+            x -= self.mean
+            gram = (x.T @ x).astype(np.float64)
+            del x
+            _, vectors = np.linalg.eigh(gram)
             self.down = np.ascontiguousarray(vectors[:, ::-1][:, :RANK]).astype(np.float32)
         else:
             self.down = np.zeros((BUCKETS, RANK), np.float32)
         self.y = y.astype(np.float32)
-        self.known = self.project(counts)
+        self.known = np.concatenate([self.project(counts[i:i + BLOCK]) for i in range(0, len(counts), BLOCK)] or [self.project(counts)])
 
     def project(self, counts: np.ndarray) -> np.ndarray:
         x = unit_rows(counts * self.idf) - self.mean
@@ -129,8 +132,10 @@ def fit(docs: DataFrame, labels: DataFrame, voters: int = VOTERS) -> Model:
     train = training_rows(docs, labels, voters=voters).mapInArrow(vectors, "doc_id long, y int, counts binary")
     rows = sorted(((r["doc_id"], r["counts"], r["y"]) for r in train.toLocalIterator()))  # voters rows at most
     share = training_labels(labels).agg(F.avg(F.col("y").cast("double"))).first()[0]
+    y = np.array([r[2] for r in rows])
     counts = np.frombuffer(b"".join(r[1] for r in rows), np.float32).reshape(-1, BUCKETS)
-    return Model(counts, np.array([r[2] for r in rows]), 0.5 if share is None else share, *document_frequencies(docs))
+    del rows
+    return Model(counts, y, 0.5 if share is None else share, *document_frequencies(docs))
 
 
 def scorer(spark, model: Model):
