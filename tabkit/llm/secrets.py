@@ -10,10 +10,13 @@ candidates that meet one. An access identifier complements a secret or an endpoi
 assigned secret complements an endpoint.
 
 Positions are code points, end exclusive. A text is cut at its matches with ``split``; the
-running lengths of gaps and matches are the positions.
+running lengths of gaps and matches are the positions. The sums run over runs of entries, so the
+work on a text grows with its matches, not with their square.
 
 Defined results: a NULL text counts as empty and has no spans; a NULL doc_id is kept;
-repeated rows get equal results; an empty table gives an empty result.
+repeated rows get equal results; an empty table gives an empty result. Very long texts are
+scanned whole. Spans that start together are ordered by kind. Other columns of the table may
+have any name: they stay inside one struct, beside which the scan's own columns stand.
 """
 
 from __future__ import annotations
@@ -34,10 +37,40 @@ KINDS = ("assign", "access", "hex", "secret", "endpoint")
 COMPLEMENTS = {"secret": ("access",), "endpoint": ("access", "assign")}
 #: Code points that a scope reaches to either side of a strong part.
 SCOPE = 256
+#: Entries of an array that are summed one by one, and code points of a page of a text that is cut.
+RUN, PAGE = 64, 512
 
 SPANS = "array<struct<start:bigint,kind:int,end:bigint>>"
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def before(values: Column, zero: int, merge, levels: int = 2) -> Column:
+    """For each entry of an array of longs the ``merge`` of all entries before it (``zero`` for the
+    first). An array grown entry by entry is copied at every step, so it is grown only within runs of
+    RUN entries; the results of whole runs go through the same function, one level up."""
+    zero_ = F.lit(zero).cast("long")
+    if not levels:
+        return F.aggregate(
+            values, F.struct(zero_.alias("now"), F.array().cast("array<bigint>").alias("out")),
+            lambda a, x: F.struct(merge(a["now"], x).alias("now"), F.concat(a["out"], F.array(a["now"])).alias("out")),
+            lambda a: a["out"])
+
+    def over(v):
+        starts = F.sequence(F.lit(0), F.floor(F.greatest(F.size(v) - 1, F.lit(0)) / RUN).cast("int"))
+        return let(F.transform(starts, lambda i: F.slice(v, i * RUN + 1, F.lit(RUN))), by_run)
+
+    def by_run(runs):
+        offsets = before(F.transform(runs, lambda r: F.aggregate(r, zero_, merge)), zero, merge, levels - 1)
+        return F.flatten(F.zip_with(runs, offsets, lambda r, o: F.transform(
+            before(r, zero, merge, 0), lambda x: merge(x, o))))
+
+    return let(values, over)
+
+
 def spans(text: Column, kind: str, pattern: str, has: Column, shortest: int = 0, group: int = 0) -> Column:
     """Array of (start, kind number, end) of the pattern's matches in ``text``."""
     found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.char_length)
@@ -47,19 +80,17 @@ def spans(text: Column, kind: str, pattern: str, has: Column, shortest: int = 0,
     else:
         found = F.transform(found, lambda m: F.struct(m.alias("m"), m.alias("v")))
     # one gap more than matches: the last one stands beside a NULL match
-    parts = F.zip_with(F.split(text, pattern, -1), found, lambda g, x: F.struct(
-        F.char_length(g).alias("g"), x["m"].alias("m"), x["v"].alias("v")))
-    at = lambda a, x: a["pos"] + x["g"]
-    out = F.aggregate(
-        F.filter(parts, lambda x: x["m"].isNotNull()),
-        F.struct(F.lit(0).cast("long").alias("pos"), F.array().cast(SPANS).alias("out")),
-        lambda a, x: F.struct(
-            (at(a, x) + x["m"]).alias("pos"),
-            F.when(x["v"] >= shortest, F.concat(a["out"], F.array(F.struct(
-                at(a, x).alias("start"), F.lit(KINDS.index(kind)).alias("kind"), (at(a, x) + x["m"]).alias("end"))).cast(SPANS)))
-            .otherwise(a["out"]).alias("out")),
-        lambda a: a["out"])
-    return F.when(has, out).otherwise(F.array().cast(SPANS))
+    parts = F.filter(F.zip_with(F.split(text, pattern, -1), found, lambda g, x: F.struct(
+        F.char_length(g).cast("long").alias("g"), x["m"].cast("long").alias("m"), x["v"].alias("v"))), lambda x: x["m"].isNotNull())
+
+    def placed(items):
+        ends = before(F.transform(items, lambda x: x["g"] + x["m"]), 0, lambda a, x: a + x)
+        at = F.zip_with(items, ends, lambda x, e: F.struct(
+            (e + x["g"]).alias("start"), (e + x["g"] + x["m"]).alias("end"), x["v"].alias("v")))
+        return F.transform(F.filter(at, lambda x: x["v"] >= shortest), lambda x: F.struct(
+            x["start"], F.lit(KINDS.index(kind)).alias("kind"), x["end"]))
+
+    return F.when(has, let(parts, placed)).otherwise(F.array()).cast(SPANS)
 
 
 def label(items: Column) -> Column:
@@ -132,14 +163,25 @@ def masked(docs: DataFrame, mask: str = "[secret]") -> DataFrame:
     """``docs`` with every span of a text replaced by ``mask`` (overlapping spans by one);
     n_chars, where there is such a column, follows the new text. Other columns stay."""
     text = F.coalesce(F.col("row.text"), F.lit(""))
-    cut = lambda lo, n: F.substring(text, (lo + 1).cast("int"), n.cast("int"))
-    # spans are sorted by start: pieces between the furthest end so far and the next start
-    clean = F.aggregate(
-        "all", F.struct(F.lit(0).cast("long").alias("pos"), F.lit("").alias("out")),
-        lambda a, x: F.when(x["start"] >= a["pos"], F.struct(
-            x["end"].alias("pos"), F.concat(a["out"], cut(a["pos"], x["start"] - a["pos"]), F.lit(mask)).alias("out")))
-        .otherwise(F.struct(F.greatest(a["pos"], x["end"]).alias("pos"), a["out"].alias("out"))),
-        lambda a: F.concat(a["out"], cut(a["pos"], F.char_length(text))))
+    longs = lambda field: F.transform("all", lambda x: x[field])
+
+    def piece(pages, lo, hi):
+        """Code points lo to hi, cut from the pages that hold them."""
+        first = F.floor(lo / PAGE).cast("int")
+        cut = lambda i: F.substring(
+            F.element_at(pages, i + 1), (F.greatest(lo - i * PAGE, F.lit(0)) + 1).cast("int"),
+            (F.least(hi - i * PAGE, F.lit(PAGE)) - F.greatest(lo - i * PAGE, F.lit(0))).cast("int"))
+        return F.when(hi <= lo, "").otherwise(F.array_join(F.transform(
+            F.sequence(first, F.floor((F.greatest(hi, lo + 1) - 1) / PAGE).cast("int")), cut), ""))
+
+    def cleaned(pages):
+        # spans are sorted by start: what is kept lies between the furthest end so far and the next start
+        ends = before(longs("end"), 0, lambda a, x: F.greatest(a, x))
+        kept = F.zip_with("all", ends, lambda x, e: F.when(
+            x["start"] >= e, F.concat(piece(pages, e, x["start"]), F.lit(mask))).otherwise(""))
+        return F.concat(F.array_join(kept, ""), piece(pages, F.array_max(longs("end")), F.char_length(text).cast("long")))
+
+    clean = let(F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % PAGE), F.lit(0)), cleaned)
     hit = F.size("all") > 0
     changed = {"text": F.when(hit, clean).otherwise(F.col("row.text"))}
     if "n_chars" in docs.columns:
