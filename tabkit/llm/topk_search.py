@@ -8,14 +8,20 @@ bit-sliced quantised score of all rows of the block. The top rows are selected f
 significant slice downward. What the quantisation cut off is bounded, so every row whose
 score could still reach the k-th best is a boundary row and is scored exactly.
 
-All query blocks meet all row blocks through an equi-join on the block number; each pair
-returns k rows per query and the best k of all blocks are ranked. Nothing depends on how
-rows lie in blocks.
-
-Defined results: vectors that are NULL or empty, hold a NULL or non-finite component or one of
-2**20 and more in size take no part. Vectors are compared with those of the same length.
-Rows that carry the query's own vec_id are not its candidates; a query id that is repeated
-gets one ranking per row. An empty table gives an empty result.
+All query blocks meet all row blocks through an equi-join on a slot: row blocks are dealt to a
+fixed number of slots, query blocks go to every slot. The query blocks of a slot follow each
+other for a row block, whose slices are built once. Each pair returns k rows per query and the
+best k of all blocks are ranked. Nothing depends on how rows lie in blocks.
+
+Vectors whose inner products could leave 64 bits lie in blocks of their own. There, the same
+search runs on Python's integers, which have no bound; only a score beyond 64 bits that belongs
+to a result raises an error, for the result has no place for it.
+
+Defined results: vectors that are NULL or empty or hold a NULL or non-finite component take no
+part. Vectors are compared with those of the same length. Rows that carry the query's own vec_id
+are not its candidates; a query id that is repeated gets one ranking per row; a row that is
+repeated is a candidate each time. An empty table gives an empty result. Other columns of the
+table, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -30,50 +36,71 @@ from tabkit.llm.common import written
 BLOCK_ROWS, BLOCK_QUERIES = 32768, 256
 #: Bits kept of each component; the rest is bounded and resolved exactly.
 SLICES = 6
-#: Largest component that an integer score of 64 bits can hold (times 256).
-LIMIT = 1 << 20
+#: Groups that row blocks are dealt to, and blocks of queries sent to each.
+SLOTS = 1024
+#: Scores of two vectors are surely below this where each one's bound is (see ``integer_vectors``).
+SAFE = 1 << 62
+SMALLEST, LARGEST = -(1 << 63), (1 << 63) - 1
 
 
 def integer_vectors(df: DataFrame, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """(id, dim, vec): usable rows with integer components."""
-    vec = F.transform(F.col(vector), lambda x: F.floor(x.cast("double") * 256))
-    usable = F.forall(F.col(vector), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < LIMIT))
-    rows = df.filter(F.col(id_col).isNotNull() & F.col(vector).isNotNull() & (F.size(vector) > 0))
-    return rows.filter(F.coalesce(usable, F.lit(False))).select(F.col(id_col).cast("long").alias("id"),
-                                                               F.size(vector).alias("dim"), vec.alias("vec"))
+    """(id, dim, wide, vec): usable rows. The integers are floor(256 * component), taken where they
+    are used. ``wide``: dim * max(|256 * component| + 1) ** 2 is SAFE or more, so that 64 bits
+    might not hold the row's scores."""
+    vec = F.transform(F.col(vector), lambda x: x.cast("double"))
+    usable = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    most = F.array_max(F.transform("vec", lambda x: F.abs(x))) * 256 + 1
+    rows = df.filter(F.col(id_col).isNotNull() & F.col(vector).isNotNull() & (F.size(vector) > 0)).select(
+        F.col(id_col).cast("long").alias("id"), F.size(vector).alias("dim"), vec.alias("vec"))
+    return rows.filter(F.coalesce(usable, F.lit(False))).select(
+        "id", "dim", (most * most * F.col("dim") >= float(SAFE)).alias("wide"), "vec")
+
+
+def integers(raw: np.ndarray, wide: bool) -> np.ndarray:
+    """floor(256 * component): 64-bit integers, or Python's for wide vectors."""
+    if not wide:
+        return np.floor(raw * 256).astype(np.int64)
+    out = np.empty(raw.shape, object)
+    for at, x in np.ndenumerate(raw):
+        above, below = float(x).as_integer_ratio()
+        out[at] = above * 256 // below
+    return out
 
 
 def blocks(rows: DataFrame, size: int) -> DataFrame:
-    """Rows packed into blocks within each partition: (dim, ids, vecs) as long bytes."""
+    """Rows packed into blocks within each partition, (dim, wide, ids, vecs) as long and double bytes."""
 
     def pack(batches):
-        held: dict[int, list] = {}
+        held: dict[tuple, list] = {}
 
-        def out(dim, parts):
+        def out(kind, parts):
             ids, vecs = (np.concatenate(x) for x in zip(*parts))
             for i in range(0, len(ids), size):
                 yield pa.RecordBatch.from_pydict({
-                    "dim": pa.array([dim], pa.int32()), "ids": pa.array([ids[i:i + size].tobytes()], pa.binary()),
+                    "dim": pa.array([kind[0]], pa.int32()), "wide": pa.array([kind[1]], pa.bool_()),
+                    "ids": pa.array([ids[i:i + size].tobytes()], pa.binary()),
                     "vecs": pa.array([vecs[i:i + size].tobytes()], pa.binary())})
 
         for b in batches:
             ids, dims = b.column("id").to_numpy(), b.column("dim").to_numpy()
+            wide = b.column("wide").to_numpy(zero_copy_only=False).astype(bool)
             flat, ends = b.column("vec").flatten().to_numpy(), np.cumsum(dims)
-            for dim in np.unique(dims):
-                own = np.flatnonzero(dims == dim)
+            for dim, far in {*zip(dims.tolist(), wide.tolist())}:
+                own = np.flatnonzero((dims == dim) & (wide == far))
                 at = (ends[own] - dim)[:, None] + np.arange(dim)
-                held.setdefault(int(dim), []).append((ids[own], flat[at]))
-                if sum(len(x[0]) for x in held[int(dim)]) >= size:
-                    parts = held.pop(int(dim))
+                kind = (dim, far)
+                held.setdefault(kind, []).append((ids[own], flat[at]))
+                if sum(len(x[0]) for x in held[kind]) >= size:
+                    parts = held.pop(kind)
                     ids_all, vecs_all = (np.concatenate(x) for x in zip(*parts))
                     full = len(ids_all) // size * size
-                    yield from out(int(dim), [(ids_all[:full], vecs_all[:full])])
+                    yield from out(kind, [(ids_all[:full], vecs_all[:full])])
                     if full < len(ids_all):
-                        held[int(dim)] = [(ids_all[full:], vecs_all[full:])]
-        for dim, parts in held.items():
-            yield from out(dim, parts)
+                        held[kind] = [(ids_all[full:], vecs_all[full:])]
+        for kind, parts in held.items():
+            yield from out(kind, parts)
 
-    return rows.mapInArrow(pack, "dim int, ids binary, vecs binary")
+    return rows.mapInArrow(pack, "dim int, wide boolean, ids binary, vecs binary")
 
 
 def bit_slices(vecs: np.ndarray):
@@ -81,7 +108,7 @@ def bit_slices(vecs: np.ndarray):
     low = vecs.min(axis=0)
     span = vecs - low
     shift = max(0, int(span.max()).bit_length() - SLICES)
-    q = span >> shift
+    q = (span >> shift).astype(np.int64)
     bits = max(1, int(q.max()).bit_length())
     maps = [np.packbits((q >> j) & 1 == 1, axis=0).T for j in range(bits)]  # each: dim x bytes
     pad = -maps[0].shape[1] % 8
@@ -166,9 +193,11 @@ def members(bitmap: np.ndarray, n: int) -> np.ndarray:
     return np.flatnonzero(np.unpackbits(bitmap.view(np.uint8), count=n))
 
 
-def search_block(ids, vecs, queries, k: int):
-    """Best k rows of one block for each query (id, vector): yields (query, ids, scores)."""
-    maps, low, shift = bit_slices(vecs)
+def search_block(ids, vecs, queries, k: int, index=None):
+    """Best k rows of one block for each query (id, vector): yields (query, ids, scores).
+    ``index``: the block's ``bit_slices``, where they are at hand. Vectors of both sides are
+    64-bit integers, or both Python's."""
+    maps, low, shift = index or bit_slices(vecs)
     n, words = len(ids), maps.shape[2]
     everyone = np.zeros(words, np.uint64)
     everyone.view(np.uint8)[: (n + 7) // 8] = np.packbits(np.ones(n, bool))
@@ -195,13 +224,14 @@ def search_block(ids, vecs, queries, k: int):
         exact = vecs[top] @ q
         if len(top) >= k and shift:
             # score = 2**shift * (sliced sum + constant) + what was cut off
-            kth = int(np.partition(exact, -k)[-k])
+            kth = int(np.sort(exact)[-k])
             base = int(low @ q)
             most = int(np.maximum(q, 0).sum()) * ((1 << shift) - 1)
             floor = -((base + most - kth) >> shift) + minus
             top = members(rows_at_least(slices, live, floor), n)
             exact = vecs[top] @ q
-        best = np.lexsort((ids[top], -exact))[:k]
+        best = np.argsort(ids[top], kind="stable")
+        best = best[np.argsort(-exact[best], kind="stable")][:k]
         yield at, ids[top][best], exact[best]
 
 
@@ -210,29 +240,39 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     inner product, ties to the smaller id. Both sides as from ``integer_vectors``."""
     packed = written(blocks(rows, BLOCK_ROWS).withColumn("block", F.monotonically_increasing_id()), "bsi-rows")
     asked = written(blocks(queries, BLOCK_QUERIES).withColumn("part", F.monotonically_increasing_id()), "bsi-queries")
-    # 8 bytes per block of rows: under 50 MB for 100 TB of 64 floats
-    numbers = packed.groupBy("dim").agg(F.collect_list("block").alias("blocks"))
-    pairs = (asked.withColumnsRenamed({"ids": "q_ids", "vecs": "q_vecs"}).join(F.broadcast(numbers), "dim")
-             .withColumn("block", F.explode("blocks")).drop("blocks").join(packed.drop("dim"), "block"))
+    slots = max(1, min(SLOTS, packed.count()))
+    dealt = packed.withColumn("slot", F.pmod(F.xxhash64("block"), F.lit(slots)))
+    sent = (asked.withColumnsRenamed({"wide": "q_wide", "ids": "q_ids", "vecs": "q_vecs"})
+            .withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slots - 1).cast("long")))))
+    pairs = dealt.join(sent, ["slot", "dim"])
 
     def run(batches):
+        last, index = None, None
         for b in batches:
             for r in range(b.num_rows):
-                dim = b.column("dim")[r].as_py()
-                part = b.column("part")[r].as_py()
-                ids, vecs, q_ids, q_vecs = (np.frombuffer(b.column(c)[r].as_py(), np.int64) for c in ("ids", "vecs", "q_ids", "q_vecs"))
-                vecs, q_vecs = vecs.reshape(-1, dim), q_vecs.reshape(-1, dim)
-                out = list(search_block(ids, vecs, list(zip(q_ids.tolist(), q_vecs)), k))
+                block, part, dim, wide, q_wide = (b.column(c)[r].as_py() for c in ("block", "part", "dim", "wide", "q_wide"))
+                far = wide or q_wide
+                if last != (block, far):
+                    ids = np.frombuffer(b.column("ids")[r].as_py(), np.int64)
+                    vecs = integers(np.frombuffer(b.column("vecs")[r].as_py(), np.float64).reshape(-1, dim), far)
+                    last, index = (block, far), bit_slices(vecs)
+                q_ids = np.frombuffer(b.column("q_ids")[r].as_py(), np.int64)
+                q_vecs = integers(np.frombuffer(b.column("q_vecs")[r].as_py(), np.float64).reshape(-1, dim), far)
+                out = list(search_block(ids, vecs, list(zip(q_ids.tolist(), q_vecs)), k, index))
                 sizes = [len(x[1]) for x in out]
+                scores = [int(s) for x in out for s in x[2]]
                 yield pa.RecordBatch.from_pydict({
                     "part": pa.array([part] * sum(sizes), pa.int64()),
                     "row": pa.array(np.repeat([x[0] for x in out], sizes).astype(np.int32), pa.int32()),
                     "query_id": pa.array(np.repeat([q_ids[x[0]] for x in out], sizes).astype(np.int64), pa.int64()),
                     "vec_id": pa.array(np.concatenate([x[1] for x in out]) if out else [], pa.int64()),
-                    "score": pa.array(np.concatenate([x[2] for x in out]) if out else [], pa.int64())})
-
-    found = pairs.select("part", "dim", "ids", "vecs", "q_ids", "q_vecs").mapInArrow(
-        run, "part long, row int, query_id long, vec_id long, score long")
-    order = Window.partitionBy("part", "row").orderBy(F.desc("score"), "vec_id")
+                    "score": pa.array([min(max(s, SMALLEST), LARGEST) for s in scores], pa.int64()),
+                    "beyond": pa.array([(s > LARGEST) - (s < SMALLEST) for s in scores], pa.int32())})
+
+    found = pairs.select("block", "part", "dim", "wide", "q_wide", "ids", "vecs", "q_ids", "q_vecs").mapInArrow(
+        run, "part long, row int, query_id long, vec_id long, score long, beyond int")
+    order = Window.partitionBy("part", "row").orderBy(F.desc("beyond"), F.desc("score"), "vec_id")
+    score = F.when(F.col("beyond") == 0, F.col("score")).otherwise(
+        F.raise_error(F.lit("a score of the result is beyond 64 bits")).cast("long"))
     return (found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+            .select("query_id", "rank", "vec_id", score.alias("score")))

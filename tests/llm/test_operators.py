@@ -59,6 +59,30 @@ def test_topk_empty_and_few(spark):
     assert search(spark.createDataFrame([(0, [1.0]), (3, [2.0])], kind)) == [(0, 1, 3, 131072)]
 
 
+def test_topk_of_huge_components(spark):
+    """Python's integers beside 64-bit ones: every finite vector takes part, by exact scores."""
+    rng = np.random.default_rng(8)
+    rows = [(i, [*(rng.normal(size=2) * 2.0 ** rng.integers(-3, 10 if i % 50 == 0 else 30)).tolist(), rng.normal()]) for i in range(400)]
+    rows[100] = (100, [0.0, 0.5, 2.0 ** 26])  # a wide query; its scores fit, as others are small there
+    rows += [(400, [2.0 ** 21, 0.0, 0.0]), (401, [1e300, 0.0, 0.0]), (450, [0.0, 1e-3, 0.0]), (403, [2.0 ** 20, -0.7, 0.1]), (500, [0.0, 0.0, 1.0])]
+    rows = [(i, [0.0] + v[1:] if i % 50 == 0 else v) for i, v in rows]  # no query meets 1e300 but with 0
+    ints = [(i, [a * 256 // b for a, b in (x.as_integer_ratio() for x in v)]) for i, v in rows]
+    want = []
+    for q, x in ints:
+        if q % 50 == 0:
+            best = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in ints if i != q)[:5]
+            want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
+    schema = "vec_id long, embedding array<double>"
+    assert search(spark.createDataFrame(rows, schema)) == sorted(want)
+    wide = topk_search.integer_vectors(spark.createDataFrame(rows, schema)).groupBy("wide").count().collect()
+    assert len(wide) == 2
+    # a score beyond 64 bits that no result holds does no harm; in a result it raises
+    kept = [(0, [1.0]), (1, [-1e30])] + [(i, [float(i)]) for i in range(2, 9)]
+    assert [r[2] for r in search(spark.createDataFrame(kept, schema))] == [8, 7, 6, 5, 4]
+    with pytest.raises(Exception, match="beyond 64 bits"):
+        search(spark.createDataFrame([(0, [1.0]), (1, [1e30])], schema))
+
+
 def test_bitmap_selection():
     rng = np.random.default_rng(2)
     vecs = rng.integers(-100, 100, (300, 8))
