@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabkit.functions.scalar import NUMBER_PATTERN, number_or, portable_hash, r6
-from tabkit.operators import boosting, charts, evaluate, experiments, features, models, profile, splits, tuning
+from tabkit.operators import boosting, charts, evaluate, experiments, features, models, profile, profile_state, splits, tuning
 from tabkit.plans import boost_sql
 from tabkit.plans import fixtures as fx
 from tabkit.plans.fixtures import DOC_QUALITY_SQL, SCORED_SQL, SURVEY_SQL, with_sql
@@ -108,6 +108,35 @@ def q_top_values(spark, d):
     return profile.top_values(fx.survey(spark, d), TOP_COLS, 10)
 
 
+def _state_of_two_deliveries(spark, d) -> DataFrame:
+    """The survey arrives as files in two deliveries; the second update scans the new files alone."""
+    path, s = scratch_path(spark, "deliveries"), fx.survey(spark, d)
+    state = None
+    for half in (0, 1):
+        s.where(F.pmod("id", F.lit(2)) == half).write.mode("append").parquet(path)
+        kept = scratch_path(spark, "profile-state")
+        profile_state.update_profile(spark, path, state).write.parquet(kept)
+        state = spark.read.parquet(kept)
+    return state
+
+
+_NUMBERS = [c for c, t in zip(SURVEY_COLS, SURVEY_TYPES) if t != "string"]
+
+
+@query("incremental_profile", sv(union_sql([
+    f"select '{c}' as column, '{t}' as dtype, count(*) as rows, count(*) - count({c}) as missing, count({c}) as present, "
+    + (f"round(avg({c}), 6) as mean, round(stddev_samp({c}), 6) as stddev, round(skewness({c}), 6) as skewness, "
+       f"min({c})::double as least, max({c})::double as greatest" if c in _NUMBERS else
+       "null::double as mean, null::double as stddev, null::double as skewness, null::double as least, null::double as greatest")
+    + " from survey" for c, t in zip(SURVEY_COLS, SURVEY_TYPES)
+])))
+def q_incremental_profile(spark, d):
+    """The exact part of a profile that is merged from the states of two deliveries."""
+    out = profile_state.profile_from_state(_state_of_two_deliveries(spark, d))
+    return out.select("column", "dtype", "rows", "missing", "present", r6("mean").alias("mean"), r6("stddev").alias("stddev"),
+                      r6("skewness").alias("skewness"), "least", "greatest")
+
+
 DISTINCT_COLS = ["status", "priority", "month"]
 
 
