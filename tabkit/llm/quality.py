@@ -11,6 +11,9 @@ Defined results: a NULL or empty text, and a text without a similar labelled vec
 the training share of label 1. Without any training label every score is 0.5. Labels that
 are NULL, or ambiguous for a doc_id, train nothing. Repeated rows score alike. Of several
 texts with one doc_id the smallest trains; each row counts in the document frequencies.
+Neighbours as near as the K-th one share the votes that are left for them. Very long texts are
+counted whole, a text at a time. Of an empty table nothing is scored. Other columns, whatever
+their names, are not read, and kept by ``keep_good``.
 """
 
 from __future__ import annotations
@@ -114,9 +117,15 @@ class Model:
             cosine = self.project(counts[i:i + BLOCK]) @ self.known.T
             k = min(K, cosine.shape[1])
             near = np.argpartition(cosine, -k, axis=1)[:, -k:]
-            weight = np.maximum(np.take_along_axis(cosine, near, 1), 0).astype(np.float64) ** POWER
+            close = np.take_along_axis(cosine, near, 1)
+            weight = np.maximum(close, 0).astype(np.float64) ** POWER
             total = weight.sum(axis=1)
             vote = (weight * self.y[near]).sum(axis=1)
+            last = close.min(axis=1)
+            for r in np.flatnonzero((cosine >= last[:, None]).sum(axis=1) > k):  # equals of the k-th share its votes
+                above = close[r] > last[r]
+                mean = self.y[cosine[r] == last[r]].mean()
+                vote[r] = (weight[r] * np.where(above, self.y[near[r]], mean)).sum()
             out[i:i + BLOCK] = np.where(total > 1e-12, vote / np.maximum(total, 1e-12), self.share)
         return np.clip(out, 0, 1)
 

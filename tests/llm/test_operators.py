@@ -176,6 +176,59 @@ def test_quality_held_out(spark):
     assert np.mean([p for p, y in held if y == 0]) < 0.2 and np.mean([p for p, y in held if y == 1]) > 0.97
 
 
+def brute_counts(text):
+    """Damped counts of a text's trigrams in their buckets, trigram by trigram."""
+    data, out = (text or "").encode(), np.zeros(quality.BUCKETS)
+    for a, b, c in zip(data, data[1:], data[2:]):
+        code = ((a * 0x9E3779B1) ^ (b * 0x85EBCA77) ^ (c * 0xC2B2AE3D)) % 2**32
+        out[(code * 0x27D4EB2F) % 2**32 >> 21] += 1
+    return np.log1p(out)
+
+
+def test_quality_against_votes_by_hand(spark):
+    """Frequencies, tf-idf, singular directions, cosines and votes in double precision, a document at a time."""
+    d = "/root/testdata/sf0.01"
+    docs, labels = parquet(spark, d, "documents"), parquet(spark, d, "labels")
+    got = {r.doc_id: r.score for r in quality.scores(docs, labels).collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    votes = {r.doc_id: r.quality for r in labels.collect() if r.quality in (0, 1) and zlib.crc32(str(r.doc_id).encode()) % 3 != 1}
+    voters = sorted(set(votes) & set(texts))
+    assert quality.RANK < len(voters) <= quality.VOTERS
+    counts = {i: brute_counts(t) for i, t in texts.items()}
+    seen = sum((c > 0).astype(int) for c in counts.values())
+    idf = np.log((1 + len(texts)) / (1 + seen)) + 1
+    unit = lambda v: v / max(np.linalg.norm(v), 1e-12)
+    tfidf = {i: unit(c * idf) for i, c in counts.items()}
+    mean = np.mean([tfidf[i] for i in voters], axis=0)
+    directions = np.linalg.svd(np.array([tfidf[i] - mean for i in voters]), full_matrices=False)[2][: quality.RANK]
+    place = {i: unit(directions @ (v - mean)) for i, v in tfidf.items()}
+    known, y = np.array([place[i] for i in voters]), np.array([votes[i] for i in voters])
+    off = []
+    for i, v in place.items():
+        cosine = known @ v
+        near = np.argsort(-cosine)[: quality.K]
+        weight = np.maximum(cosine[near], 0) ** quality.POWER
+        off.append(abs(got[i] - (weight * y[near]).sum() / weight.sum()))
+    # single precision may swap neighbours at the K-th place, one vote of K in a few documents
+    assert np.mean(np.array(off) < 1e-3) > 0.98 and max(off) < 2 / quality.K
+
+
+def test_quality_ties_share_votes():
+    """Thirty equal voters, half of each label, beside five nearer ones: equals count alike, in any order."""
+    rng = np.random.default_rng(3)
+    base = np.zeros((4, quality.BUCKETS), np.float32)
+    for r in range(4):
+        base[r, rng.integers(0, quality.BUCKETS, 40)] = 1
+    counts = np.concatenate([np.repeat(base[:1], 30, 0), np.repeat(base[1:2], 30, 0)])
+    y = np.array([1, 0] * 15 + [1] * 10 + [0] * 20)
+    model = quality.Model(counts, y, 0.5, 60, np.ones(quality.BUCKETS, int))
+    model.known = np.round(model.known, 3)
+    a = model.score(base[:2])
+    order = rng.permutation(60)
+    model.known, model.y = model.known[order], model.y[order]
+    assert np.allclose(a, [0.5, 1 / 3]) and np.allclose(model.score(base[:2]), a)
+
+
 def test_quality_does_not_see_held_out_labels(spark):
     d = "/root/testdata/sf0.001"
     docs, labels = parquet(spark, d, "documents"), parquet(spark, d, "labels")
