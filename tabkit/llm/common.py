@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 
 import numpy as np
@@ -51,6 +52,16 @@ def discard(*tables: DataFrame) -> None:
         drop_path(df.sparkSession, df.written_path)
 
 
+def give_back() -> None:
+    """Return the memory that this Python worker has freed to the system. Workers live on between the
+    stages of a job, and what an earlier one held would count beside what the next one needs."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def text_key(col="text"):
     """64-bit key of a whole text (NULL counts as empty)."""
     return F.xxhash64(F.coalesce(F.col(col), F.lit("")))

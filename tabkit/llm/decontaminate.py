@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tabkit.llm.common import Words, mix, slices, window_hash
+from tabkit.llm.common import Words, give_back, mix, slices, window_hash
 
 SHINGLE = 5
 THRESHOLD = 0.75
@@ -163,6 +163,7 @@ def found_by(spark, index: Index):
     def run(batches):
         import pandas as pd
 
+        give_back()
         own = shipped.value
         for texts in batches:
             column = pa.array(texts, pa.large_string(), from_pandas=True)
@@ -193,6 +194,7 @@ def found_by(spark, index: Index):
                     s, i, w = min((s, i, w) for i, (s, w) in best.items())
                     n_items[first + r], item[first + r], word[first + r], sim[first + r] = len(best), i, w, -s
             yield pd.DataFrame({"n_items": n_items, "item_id": item, "word": word, "similarity": sim})
+            give_back()
 
     from typing import Iterator
 
