@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql.functions import col as F_col
 
 from tabkit.operators import charts, experiments, tuning
 
@@ -115,3 +116,47 @@ def test_checkpoint_folder_must_be_shared_on_a_cluster():
 
     with pytest.raises(ValueError):
         session.ensure_checkpoint_dir(Session())
+
+
+def test_sweep_fits_side_by_side_within_the_cores(spark):
+    """Fits of few partitions run together; partitions in work never outnumber the cores."""
+    import threading
+    import time
+
+    from tabkit.operators import features
+
+    df = spark.range(40).select((F_col("id") % 2).cast("double").alias("label"), (F_col("id") % 2).cast("double").alias("f"))
+    data = features.assemble(df, ["f"])
+    cores, lock, now, seen = spark.sparkContext.defaultParallelism, threading.Lock(), [], []
+
+    class Slow:
+        def fit(self, part):
+            n = part.rdd.getNumPartitions()
+            with lock:
+                now.append(n)
+                seen.append(list(now))
+            time.sleep(1)
+            with lock:
+                now.remove(n)
+            return self
+
+        def transform(self, df):
+            return df.withColumn("prediction", F_col("label"))
+
+    counts = [1, 2, 2 * cores]
+    out = experiments.partition_sweep({"A": Slow(), "B": Slow()}, data, data, counts).collect()
+    assert [(r.model, r.partitions) for r in out] == [(m, n) for n in counts for m in "AB"]
+    assert all(r.accuracy == r.precision == r.recall == 1 and 1 <= r.training_time < 3 for r in out)
+    assert max(len(s) for s in seen) > 1
+    assert all(sum(s) <= cores or len(s) == 1 for s in seen)
+
+
+def test_side_by_side_raises_and_begins_no_more():
+    ran = []
+
+    def fail():
+        raise ValueError("a fit")
+
+    with pytest.raises(ValueError):
+        experiments.side_by_side([(2, fail), (2, lambda: ran.append(1))], 2)
+    assert ran == []
