@@ -33,10 +33,13 @@ EARLY_STOP_PATIENCE = 50
 
 def train_rf(df: DataFrame, num_trees: int, max_depth: int, max_bins: int, seed: int = 42,
              features: str = "features", label: str = "label", **kw):
-    """M1: random forest, gini impurity, feature subsets chosen automatically."""
+    """M1: random forest, gini impurity, feature subsets chosen automatically. Each row's node ids are
+    kept from pass to pass (the same trees): else every pass ships the trees so far to every task, which
+    walks each row down from their roots again."""
     rf = RandomForestClassifier(
         featuresCol=features, labelCol=label, numTrees=num_trees, maxDepth=max_depth, maxBins=max_bins,
-        impurity="gini", featureSubsetStrategy=kw.pop("featureSubsetStrategy", "auto"), seed=seed, **kw,
+        impurity="gini", featureSubsetStrategy=kw.pop("featureSubsetStrategy", "auto"), seed=seed,
+        cacheNodeIds=kw.pop("cacheNodeIds", True), **kw,
     )
     return rf.fit(df)
 

@@ -90,3 +90,17 @@ def test_gbt_patience_on_validation_loss(assembled):
     curve = [r.loss for r in losses.orderBy("round").collect()]
     assert got.best_score == min(curve[:got.stop_round])
     assert got.stop_round == len(curve) or got.stop_round - got.best_round >= 2
+
+
+def test_forest_keeps_node_ids_and_grows_the_same_trees(spark):
+    """Kept node ids change no tree: those of a plain forest, whose passes walk from the roots."""
+    from pyspark.ml.classification import RandomForestClassifier
+
+    df = spark.range(3000).select(((F.col("id") * 7919) % 101 > 50).cast("double").alias("label"),
+                                  ((F.col("id") * 31) % 97).cast("double").alias("a"), ((F.col("id") * 17) % 89).cast("double").alias("b"))
+    v = features.assemble(df, ["a", "b"]).repartition(3).persist()
+    kept = models.train_rf(v, 3, 8, 32)
+    plain = RandomForestClassifier(numTrees=3, maxDepth=8, maxBins=32, seed=42).fit(v)
+    v.unpersist()
+    assert kept.getCacheNodeIds() and kept.totalNumNodes > 50
+    assert [t.toDebugString.split("\n", 1)[1] for t in kept.trees] == [t.toDebugString.split("\n", 1)[1] for t in plain.trees]
