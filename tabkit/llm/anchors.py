@@ -216,8 +216,8 @@ def answers(found: DataFrame, kind: str, width: int, solve, shard_bytes: int, by
 
     def shard(table: pa.Table) -> pa.Table:
         rows, lowest, highest, copies = merged_contents(table)
-        content = table.column("content")
-        runs = solve([content[int(i)].as_py() for i in rows], lowest, highest, copies, table.column("h").to_numpy()[rows])
+        contents = table.column("content").take(pa.array(rows)).to_pylist()
+        runs = solve(contents, lowest, highest, copies, table.column("h").to_numpy()[rows])
         some = np.array([i for i, r in enumerate(runs) if r is not None], np.int64)
         at = pa.array(rows[some])
         return pa.table({"h": table.column("h").take(at), "c": table.column("c").take(at),

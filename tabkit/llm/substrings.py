@@ -18,40 +18,57 @@ empty result.
 from __future__ import annotations
 
 import hashlib
+from itertools import chain
 
 import ahocorasick
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from tabkit.llm import anchors
-from tabkit.llm.common import NULL_ID
+from tabkit.llm.common import NULL_ID, mix, window_hash
 
 WIDTH, GRAM = 13, 4
 #: Content bytes of one shard.
 SHARD_BYTES = 1 << 19
 
 
-def letter(n: int) -> str:
-    """A character for the n-th word, leaving out the surrogates."""
-    return chr(n + 1 if n + 1 < 0xD800 else n + 1 + 0x800)
+#: The word that parts the contents of a shard: no word holds a line break.
+PARTING = b"\n"
+
+
+def letters(ids: np.ndarray) -> str:
+    """A character for each word number, leaving out the surrogates."""
+    return (ids + 1 + np.where(ids + 1 < 0xD800, 0, 0x800)).astype("<u4").tobytes().decode("utf-32-le")
 
 
 def locate(contents: list[bytes], lowest, highest, width: int = WIDTH) -> list[bytes | None]:
     """For each content (words joined by a space; the lowest and highest id it occurs in) the
     runs (first window, windows, smallest id) of the phrases found in several documents."""
-    known: dict[bytes, str] = {}
-    lines = []
-    for c in contents:
-        lines.append("".join([known.get(w) or known.setdefault(w, letter(len(known))) for w in c.split(b" ")]))
+    known: dict[bytes, int] = {PARTING: 0}
+    number = known.setdefault
+    ids = np.array([number(w, len(known)) for w in (b" %b " % PARTING).join(contents).split(b" ")], np.int64)
+    text = letters(ids)
+    ends = np.append(np.flatnonzero(ids == 0), len(ids))
+    begins = np.append(0, ends[:-1] + 1)
+    count = np.maximum(ends - begins - width + 1, 0)  # windows of each content
+    line = np.repeat(np.arange(len(contents)), count)
+    at = begins[line] + np.arange(len(line)) - np.repeat(np.cumsum(count) - count, count)
+    if not len(at):
+        return [None] * len(contents)
+    # windows with equal words have equal hashes: only those whose hash is in several documents are compared
+    _, group = np.unique(window_hash(mix(ids.astype(np.uint64)), width)[at], return_inverse=True)
+    order = np.argsort(group, kind="stable")
+    first = np.searchsorted(group[order], np.arange(group.max() + 1))
+    shared = np.minimum.reduceat(lowest[line][order], first) < np.maximum.reduceat(highest[line][order], first)
+    some = shared[group]
     low: dict[str, int] = {}
     high: dict[str, int] = {}
-    for line, lo, hi in zip(lines, lowest.tolist(), highest.tolist()):
-        for i in range(len(line) - width + 1):
-            phrase = line[i: i + width]
-            if phrase in low:
-                low[phrase], high[phrase] = min(low[phrase], lo), max(high[phrase], hi)
-            else:
-                low[phrase], high[phrase] = lo, hi
+    for i, lo, hi in zip(at[some].tolist(), lowest[line[some]].tolist(), highest[line[some]].tolist()):
+        phrase = text[i: i + width]
+        if phrase in low:
+            low[phrase], high[phrase] = min(low[phrase], lo), max(high[phrase], hi)
+        else:
+            low[phrase], high[phrase] = lo, hi
     automaton = ahocorasick.Automaton()
     for phrase, lo in low.items():
         if lo < high[phrase]:
@@ -59,12 +76,16 @@ def locate(contents: list[bytes], lowest, highest, width: int = WIDTH) -> list[b
     if not len(automaton):
         return [None] * len(contents)
     automaton.make_automaton()
-    out = []
-    for line in lines:
-        met = list(automaton.iter(line))
-        end, first = (np.array(x, np.int64) for x in zip(*met)) if met else (np.zeros(0, np.int64),) * 2
-        out.append(anchors.runs_of(end - width + 1, first))
-    return out
+    met = np.fromiter(chain.from_iterable(automaton.iter(text)), np.int64).reshape(-1, 2)
+    where, value = met[:, 0] - width + 1, met[:, 1]
+    # the parting word lies between two contents: no window follows one of another content directly
+    new = np.ones(len(where), bool)
+    new[1:] = (where[1:] != where[:-1] + 1) | (value[1:] != value[:-1])
+    run = np.flatnonzero(new)
+    own = np.searchsorted(begins, where[run], "right") - 1
+    told = np.stack([where[run] - begins[own], np.diff(np.append(run, len(where))), value[run]], axis=1).astype(np.int64)
+    cuts = np.searchsorted(own, np.arange(len(contents) + 1)).tolist()
+    return [told[a:b].tobytes() if a < b else None for a, b in zip(cuts, cuts[1:])]
 
 
 def answered(contents: list[bytes], lowest, highest, anchor: np.ndarray, width: int = WIDTH) -> list[bytes | None]:

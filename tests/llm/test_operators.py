@@ -504,3 +504,47 @@ def test_url_collisions_and_empty_list(spark, monkeypatch):
     keys, ends, block, text = listed.open()
     assert (np.diff(keys.astype(object)) > 0).all() and int(ends[-1]) == sum(len(r) for _, r in RULES)
     assert sorted(same(r) for _, r in RULES) == keys.tolist()
+
+
+def test_phrases_of_a_shard_are_located_in_one_stream(monkeypatch):
+    """Against every pair of windows; the automaton reads a shard once, not once a content."""
+    import random
+
+    from tabkit.llm import substrings
+
+    streams, plain = [], substrings.ahocorasick.Automaton
+
+    class Counted:
+        def __init__(self):
+            self.whole = plain()
+
+        def __len__(self):
+            return len(self.whole)
+
+        def __getattr__(self, name):
+            return getattr(self.whole, name)
+
+        def iter(self, text):
+            streams.append(len(text))
+            return self.whole.iter(text)
+
+    monkeypatch.setattr(substrings.ahocorasick, "Automaton", Counted)
+    rnd = random.Random(7)
+    for width in (2, 3):
+        for _ in range(40):
+            n = rnd.randrange(1, 12)
+            words = [[b"%d" % rnd.randrange(4) for _ in range(rnd.randrange(width, 9))] for _ in range(n)]
+            lowest = np.array([rnd.randrange(5) for _ in range(n)])
+            highest = lowest + np.array([rnd.choice([0, 0, 2]) for _ in range(n)])
+            windows = [[tuple(w[i: i + width]) for i in range(len(w) - width + 1)] for w in words]
+            ids = {}
+            for own, lo, hi in zip(windows, lowest.tolist(), highest.tolist()):
+                for p in own:
+                    ids.setdefault(p, set()).update((lo, hi))
+            streams.clear()
+            got = substrings.locate([b" ".join(w) for w in words], lowest, highest, width)
+            assert len(streams) <= 1
+            for own, runs in zip(windows, got):
+                expected = {i: min(ids[p]) for i, p in enumerate(own) if len(ids[p]) > 1}
+                found = {} if runs is None else {f + k: low for f, size, low in np.frombuffer(runs, np.int64).reshape(-1, 3).tolist() for k in range(size)}
+                assert found == expected and (runs is None) == (not expected)
