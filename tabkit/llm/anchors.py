@@ -27,7 +27,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tabkit.llm.common import BYTE_VALUE, NULL_ID, Words, slices, window_hash, written
+from tabkit.llm.common import BYTE_VALUE, NULL_ID, Words, give_back, slices, window_hash, written
 
 #: Content rows of one anchor beyond which its windows are settled one by one.
 HOT_CONTENTS = 8192
@@ -97,6 +97,7 @@ def recurring(rows: DataFrame, kind: str, width: int, gram: int) -> DataFrame:
     """(rid, h, lo, n): the segments whose anchor occurs more than once."""
 
     def run(batches):
+        give_back()
         for b in batches:
             found, ids = [], b.column("rid").to_numpy()
             for first, last, data, bounds in slices(b.column("text")):
@@ -114,6 +115,8 @@ def recurring(rows: DataFrame, kind: str, width: int, gram: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([
                 pa.array(pad(rid)), pa.array(np.concatenate([h, distinct[many]]).view(np.int64)),
                 pa.array((pad(lo) << 16 | pad(n)).astype(np.int64)), pa.array(weight)], names=["rid", "h", "at", "weight"])
+            del found, rid, lo, n, h, distinct, index, inverse, counts, sure, many, weight
+            give_back()
 
     def scan():
         return rows.select("rid", "text").mapInArrow(run, "rid long, h long, at long, weight tinyint")
@@ -134,6 +137,7 @@ def with_segments(rows: DataFrame, kind: str, width: int, gram: int) -> DataFram
     texts = packed_text(rows)
 
     def cut(batches):
+        give_back()
         unpack = zstandard.ZstdDecompressor()
         for b in batches:
             seen: dict[tuple, int] = {}  # the row that carries a content
@@ -161,6 +165,8 @@ def with_segments(rows: DataFrame, kind: str, width: int, gram: int) -> DataFram
             yield pa.RecordBatch.from_arrays(
                 [*(pa.array(x, pa.int64()) for x in out[:4]), pa.array(out[4], pa.binary()), *(pa.array(x, pa.int64()) for x in out[5:])],
                 names=["rid", "lo", "h", "c", "content", "lowest", "highest", "copies"])
+            del seen, out, lowest, highest, copies
+            give_back()
 
     return written(texts.join(hits, "rid").mapInArrow(
         cut, "rid long, lo long, h long, c long, content binary, lowest long, highest long, copies long"), "segments")
@@ -184,6 +190,7 @@ def packed_text(rows: DataFrame) -> DataFrame:
                 part = b.slice(at, 256)
                 z = [pack.compress(t.as_buffer()) for t in part.column("text").cast(pa.large_binary())]
                 yield pa.RecordBatch.from_arrays([part.column("rid"), part.column("did"), pa.array(z, pa.binary())], names=["rid", "did", "z"])
+            give_back()
 
     return rows.mapInArrow(run, "rid long, did long, z binary")
 
@@ -220,8 +227,12 @@ def answers(found: DataFrame, kind: str, width: int, solve, shard_bytes: int, by
         runs = solve(contents, lowest, highest, copies, table.column("h").to_numpy()[rows])
         some = np.array([i for i, r in enumerate(runs) if r is not None], np.int64)
         at = pa.array(rows[some])
-        return pa.table({"h": table.column("h").take(at), "c": table.column("c").take(at),
-                         "runs": pa.array([runs[i] for i in some], pa.binary())})
+        out = pa.table({"h": table.column("h").take(at), "c": table.column("c").take(at),
+                        "runs": pa.array([runs[i] for i in some], pa.binary())})
+        if table.nbytes > 4 * shard_bytes:
+            del contents, runs
+            give_back()
+        return out
 
     plain = contents.join(F.broadcast(hot), "h", "left_anti")
     out = (plain.withColumn("shard", F.pmod("h", F.lit(shards).cast("long"))).groupBy("shard")
@@ -304,5 +315,6 @@ def per_text(rows: DataFrame, found: DataFrame, told: DataFrame, finish, schema:
                     own = slice(cuts[i], cuts[i + 1])
                     out.append(finish(did, unpack.decompress(z.as_buffer()), (lo[own], runs[own])))
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), types)], names=list(names))
+            give_back()
 
     return packed_text(rows).join(hits, "rid", "left").select("did", "z", "hits").mapInArrow(run, schema)

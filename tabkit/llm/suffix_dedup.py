@@ -12,8 +12,9 @@ measured, the others follow from their predecessor less one. Neighbours in the a
 share ``width`` bytes form the classes of equal strings. An anchor with one distinct content stays out
 of the array: its windows recur all or not at all (``answered``).
 
-Both passes of the induction run in array operations. Over a small alphabet the entries of a
-bucket are induced together. Over a large one (names, in the recursion) the suffixes of a
+Substrings are compared by keys of as many symbols as fit into 64 bits, so that every level is
+induced once. Both passes of the induction run in array operations. Over a small alphabet the
+entries of a bucket are induced together. Over a large one (names, in the recursion) the suffixes of a
 type are ordered at once, by the symbols up to the next suffix whose order is known and by
 that suffix's rank.
 
@@ -37,8 +38,9 @@ WIDTH, GRAM = 200, 32
 SHARD_BYTES = 1 << 18
 #: Symbols per bucket, on average, from which buckets are induced one by one.
 DENSE = 256
-#: Longest run of one type that is compared by its symbols; longer ones are left to a plain loop.
-LONGEST_RUN = 64
+#: Longest run of one type, and mean length of the runs from all positions, that are compared by their
+#: symbols; longer ones are left to a plain loop.
+LONGEST_RUN, MEAN_RUN = 1024, 16
 
 
 def is_small(s: np.ndarray) -> np.ndarray:
@@ -52,11 +54,58 @@ def is_small(s: np.ndarray) -> np.ndarray:
     return out
 
 
-def induce(s: np.ndarray, small: np.ndarray, lms: np.ndarray, buckets: np.ndarray) -> np.ndarray:
+class Symbols:
+    """The symbols of a text with the types of their suffixes, as many to a 64-bit key as fit.
+
+    Runs of them end at the first leftmost S (or L) suffix, so of two runs neither is the beginning of the other."""
+
+    def __init__(self, s: np.ndarray, small: np.ndarray):
+        n = len(s)
+        symbol = s.astype(np.uint64) * np.uint64(2) + small  # the sentinel is 1: 0 stands for none
+        self.bits = int(symbol.max()).bit_length()
+        self.per = 64 // self.bits
+        self.keys = np.zeros(n + self.per, np.uint64)
+        for t in range(min(self.per, n)):
+            self.keys[: n - t] |= symbol[t:] << np.uint64(self.bits * (self.per - 1 - t))
+
+    def key(self, at: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The first symbols from ``at``, none beyond ``end``."""
+        beyond = (np.maximum(at + (self.per - 1) - end, 0) * self.bits).astype(np.uint64)
+        return self.keys[at] >> beyond << beyond
+
+    def places(self, at: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """For each run ``at`` to ``end`` the number of smaller ones."""
+        key = self.key(at, end)
+        order = np.argsort(key)
+        ranked = key[order]
+        place = np.empty(len(at), np.int64)
+        place[order] = first_of_equals(ranked[1:] != ranked[:-1])
+        more = np.flatnonzero(at + self.per <= end)
+        done = self.per
+        while len(more):
+            key, own = self.key(at[more] + done, end[more]), place[more]
+            order = np.lexsort((key, own))
+            key, own, more = key[order], own[order], more[order]
+            other = own[1:] != own[:-1]
+            # runs that are equal so far go on together: their places are next to each other
+            place[more] = own + first_of_equals(other | (key[1:] != key[:-1])) - first_of_equals(other)
+            done += self.per
+            more = more[at[more] + done <= end[more]]
+        return place
+
+
+def first_of_equals(differs: np.ndarray) -> np.ndarray:
+    """For each of a row of entries the first of those equal to it; ``differs``: whether each but the first differs from the one before."""
+    at = np.arange(len(differs) + 1)
+    at[1:][~differs] = 0
+    return np.maximum.accumulate(at)
+
+
+def induce(s: np.ndarray, small: np.ndarray, lms: np.ndarray, buckets: np.ndarray, symbols: Symbols) -> np.ndarray:
     """Suffix array of ``s`` induced from its leftmost S suffixes, given in order.
     ``buckets``: first place of every symbol, and the length at the end."""
     if len(s) < DENSE * (len(buckets) - 1):
-        return induce_by_rank(s, small, lms, buckets)
+        return induce_by_rank(s, small, lms, buckets, symbols)
     n, k = len(s), len(buckets) - 1
     sa = np.full(n, -1, np.int64)
     head, tail = buckets[:-1].copy(), buckets[1:].copy()
@@ -121,45 +170,32 @@ def next_true(flags: np.ndarray) -> np.ndarray:
     return np.minimum.accumulate(at[::-1])[::-1]
 
 
-def induce_by_rank(s, small, lms, buckets) -> np.ndarray:
+def induce_by_rank(s, small, lms, buckets, symbols) -> np.ndarray:
     n = len(s)
-    symbol = s.astype(np.uint64) * np.uint64(2) + small
-    bits = int(symbol.max()).bit_length()
-    per = max(1, 63 // bits)
     is_lms = np.zeros(n, bool)
     is_lms[lms] = True
     ends = {False: next_true(is_lms), True: next_true(~small)}
     # (the sentinel's own run has no end)
-    longest = int((np.where(small, ends[True], ends[False]) - np.arange(n))[:-1].max())
-    if longest >= LONGEST_RUN:
+    length = (np.where(small, ends[True], ends[False]) - np.arange(n))[:-1]
+    if int(length.max()) >= LONGEST_RUN or int(length.sum()) > MEAN_RUN * n:
         return induce_plain(s, small, lms, buckets)
-    rank = np.zeros(n, np.int64)
+    rank = np.zeros(n, np.uint64)
     rank[lms] = np.arange(len(lms))
     sa = np.empty(n, np.int64)
-    count = np.bincount(s, minlength=len(buckets) - 1)
     larges = np.bincount(s[~small], minlength=len(buckets) - 1)
+    smalls = np.diff(buckets) - larges
     for kind in (False, True):
         own = np.flatnonzero(small == kind)
         if kind:
             own = own[:-1]  # the sentinel comes first of all
         end = ends[kind][own]
-        keys, done = [], 0
-        while done <= longest:
-            key = np.zeros(len(own), np.uint64)
-            for t in range(done, min(done + per, longest + 1)):
-                at = own + t
-                inside = at <= end
-                key = (key << np.uint64(bits)) | np.where(inside, symbol[np.minimum(at, n - 1)], np.uint64(0))
-            keys.append(key)
-            done += per
-        # equal symbols end together, at suffixes whose order is known
-        order = own[np.lexsort([rank[end], *keys[::-1]])]
+        # equal runs end together, at suffixes whose order is known
+        order = own[np.argsort(symbols.places(own, end).astype(np.uint64) << np.uint64(32) | rank[end])]
         if not kind:
             rank[order] = np.arange(len(order))
             first = np.append(0, np.cumsum(larges))[:-1]
             sa[buckets[:-1][s[order]] + np.arange(len(order)) - first[s[order]]] = order
         else:
-            smalls = count - larges
             first = np.append(0, np.cumsum(smalls))[:-1]
             # the sentinel is the first S suffix of all
             sa[buckets[:-1][s[order]] + larges[s[order]] + np.arange(1, len(order) + 1) - first[s[order]]] = order
@@ -196,35 +232,20 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     n = len(s)
     if n == 1:
         return np.zeros(1, np.int64)
-    counts = np.bincount(s)
-    buckets = np.append(0, np.cumsum(counts))
+    buckets = np.append(0, np.cumsum(np.bincount(s)))
     small = is_small(s)
     lms = np.flatnonzero(small[1:] & ~small[:-1]) + 1
-    sa = induce(s, small, lms, buckets)
     # leftmost S suffixes in the order of their substrings, and a name for each substring
-    mark = np.zeros(n, bool)
-    mark[lms] = True
-    ordered = sa[mark[sa]]
-    length = np.zeros(n, np.int64)
-    length[lms] = np.diff(np.append(lms, n - 1)) + 1
-    same = length[ordered[1:]] == length[ordered[:-1]]
-    active = np.flatnonzero(same)
-    d = 0
-    while len(active):
-        a, b = ordered[active] + d, ordered[active + 1] + d
-        equal = s[a] == s[b]
-        same[active[~equal]] = False
-        d += 1
-        active = active[equal]
-        active = active[length[ordered[active]] > d]
-    names = np.zeros(n, np.int64)
-    names[ordered] = np.append(0, np.cumsum(~same))
-    reduced = names[lms]
-    if len(lms) > 1 and int(reduced.max()) + 1 < len(lms):
-        order = lms[suffix_array(reduced)]
+    symbols = Symbols(s, small)
+    place = symbols.places(lms, np.append(lms[1:], n - 1))
+    used = np.zeros(len(lms), bool)
+    used[place] = True
+    if used.all():
+        order = np.empty(len(lms), np.int64)
+        order[place] = lms
     else:
-        order = ordered
-    return induce(s, small, order, buckets)
+        order = lms[suffix_array((np.cumsum(used) - 1)[place])]
+    return induce(s, small, order, buckets, symbols)
 
 
 def permuted_prefixes(s: np.ndarray, sa: np.ndarray) -> np.ndarray:
@@ -234,9 +255,7 @@ def permuted_prefixes(s: np.ndarray, sa: np.ndarray) -> np.ndarray:
     before[sa[1:]] = sa[:-1]
     before[sa[0]] = -1
     padded = np.concatenate([s.astype(np.uint8), np.zeros(8, np.uint8)])
-    chunk = np.zeros(n + 1, np.uint64)
-    for j in range(8):
-        chunk[:n] |= padded[j: n + j].astype(np.uint64) << np.uint64(8 * j)
+    chunk = np.ndarray(n + 1, "<u8", padded, strides=(1,)).copy()  # the eight bytes from each position on
     position = np.arange(n)
     follows = (position > 0) & (before > 0)
     follows[follows] = s[position[follows] - 1] == s[before[follows] - 1]
@@ -268,20 +287,21 @@ def repeated_starts(contents: list[bytes], copies: np.ndarray, width: int = WIDT
     sa = suffix_array(s)
     shared = permuted_prefixes(s, sa)[sa]
     group = np.cumsum(shared < width)
-    owner = np.repeat(np.arange(len(contents)), size + 1)
     fits = np.zeros(len(s), bool)
-    fits[:-1] = np.arange(len(s) - 1) + width <= (start[:-1] + size)[owner]
-    in_order = fits[sa]
+    fits[:-1] = np.arange(len(s) - 1) <= np.repeat(start[:-1] + size - width, size + 1)
     weight = np.zeros(len(s), np.int64)
-    weight[in_order] = copies[owner[sa[in_order]]]
-    total = np.bincount(group, weights=weight)
+    weight[:-1] = np.repeat(copies, size + 1)
+    in_order = fits[sa]
+    total = np.bincount(group, weights=weight[sa] * in_order)
     again = np.zeros(len(s), bool)
     again[sa] = in_order & (total[group] > 1.5)
-    out = []
-    for i, n in enumerate(size.tolist()):
-        rel = np.flatnonzero(again[start[i]: start[i] + n])
-        out.append(anchors.runs_of(rel, np.ones(len(rel), np.int64)))
-    return out
+    # runs do not go on from one content to the next: no window starts at a separator
+    edges = np.diff(again.astype(np.int8), prepend=0)
+    first, last = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    cuts = np.searchsorted(first, start)
+    begin = np.repeat(start[:-1], np.diff(cuts))
+    runs = np.stack([first - begin, last - first, np.ones(len(first), np.int64)], axis=1)
+    return [runs[a:b].tobytes() if b > a else None for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
 
 
 def answered(contents: list[bytes], copies: np.ndarray, anchor: np.ndarray, width: int = WIDTH) -> list[bytes | None]:

@@ -1,5 +1,7 @@
 """Near, phrase and substring dedup against brute force, on odd cases and skewed groups."""
 
+from collections import Counter
+
 import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -111,6 +113,52 @@ def test_suffix_array(symbols, dense):
         assert shared[a] == n
 
 
+def by_suffixes(s):
+    return sorted(range(len(s)), key=lambda i: s[i:].tolist())
+
+
+@pytest.mark.parametrize("dense", [0, 1 << 30])
+def test_a_level_of_the_suffix_array_is_induced_once(dense, monkeypatch):
+    """Long runs of one type are ordered by their symbols too, not by the plain loop."""
+    rng = np.random.default_rng(1)
+    part = rng.integers(1, 9, 400)
+    s = np.concatenate([part, np.full(90, 5), part, np.arange(1, 120), part[::-1], np.arange(120, 1, -1), part, [0]])
+    expected, calls = by_suffixes(s), {"levels": 0, "induced": 0}
+
+    def counted(name, fn):
+        def call(*args):
+            calls[name] += 1
+            return fn(*args)
+        return call
+
+    monkeypatch.setattr(suffix_dedup, "DENSE", dense)
+    monkeypatch.setattr(suffix_dedup, "is_small", counted("levels", suffix_dedup.is_small))  # asked once a level
+    monkeypatch.setattr(suffix_dedup, "induce", counted("induced", suffix_dedup.induce))
+    monkeypatch.setattr(suffix_dedup, "induce_plain", None)
+    assert suffix_dedup.suffix_array(s).tolist() == expected
+    assert calls["levels"] > 1 and calls["induced"] == calls["levels"]
+
+
+@pytest.mark.parametrize("s", [[1] * 5000, list(range(1, 2000)), [3] + [2] * 1500 + [3] + [2] * 1500 + [1], [1, 2] * 700, [7], []])
+def test_suffix_array_of_long_runs(s):
+    s = np.array([*s, 0], np.int64)
+    assert suffix_dedup.suffix_array(s).tolist() == by_suffixes(s)
+
+
+@given(st.lists(st.text("ab\u00e9", max_size=40), min_size=1, max_size=6), st.integers(1, 6), st.data())
+@settings(deadline=None, max_examples=200)
+def test_repeated_starts(texts, width, data):
+    contents = [t.encode() for t in texts]
+    copies = np.array(data.draw(st.lists(st.integers(1, 2), min_size=len(texts), max_size=len(texts))))
+    count = Counter()
+    for c, n in zip(contents, copies.tolist()):
+        count.update({w: n * k for w, k in Counter(c[i: i + width] for i in range(len(c) - width + 1)).items()})
+    got = suffix_dedup.repeated_starts(contents, copies, width)
+    for c, runs in zip(contents, got):
+        found = [first + i for first, n, _ in np.frombuffer(runs or b"", np.int64).reshape(-1, 3).tolist() for i in range(n)]
+        assert found == [i for i in range(len(c) - width + 1) if count[c[i: i + width]] > 1]
+
+
 def test_leftmost_min():
     v = np.array([5, 3, 3, 9, 1, 1, 7, 3], np.uint64)
     for w in range(1, 9):
