@@ -97,7 +97,6 @@ def recurring(rows: DataFrame, kind: str, width: int, gram: int) -> DataFrame:
     """(rid, h, lo, n): the segments whose anchor occurs more than once."""
 
     def run(batches):
-        give_back()
         for b in batches:
             found, ids = [], b.column("rid").to_numpy()
             for first, last, data, bounds in slices(b.column("text")):
@@ -137,7 +136,6 @@ def with_segments(rows: DataFrame, kind: str, width: int, gram: int) -> DataFram
     texts = packed_text(rows)
 
     def cut(batches):
-        give_back()
         unpack = zstandard.ZstdDecompressor()
         for b in batches:
             seen: dict[tuple, int] = {}  # the row that carries a content
@@ -190,7 +188,6 @@ def packed_text(rows: DataFrame) -> DataFrame:
                 part = b.slice(at, 256)
                 z = [pack.compress(t.as_buffer()) for t in part.column("text").cast(pa.large_binary())]
                 yield pa.RecordBatch.from_arrays([part.column("rid"), part.column("did"), pa.array(z, pa.binary())], names=["rid", "did", "z"])
-            give_back()
 
     return rows.mapInArrow(run, "rid long, did long, z binary")
 
