@@ -52,9 +52,15 @@ def discard(*tables: DataFrame) -> None:
         drop_path(df.sparkSession, df.written_path)
 
 
+#: What the tasks of a module remember in a Python worker from one to the next.
+REMEMBERED: list[dict] = []
+
+
 def give_back() -> None:
-    """Return the memory that this Python worker has freed to the system. Workers live on between the
-    stages of a job, and what an earlier one held would count beside what the next one needs."""
+    """Drop what this Python worker remembers and return the memory that it has freed to the system. Workers
+    live on between the stages of a job, and what an earlier one held would count beside what the next one needs."""
+    for held in REMEMBERED:
+        held.clear()
     gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)

@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tabkit.llm.common import BASE, Words, discard, mix, slices, window_hash, written
+from tabkit.llm.common import BASE, Words, discard, give_back, mix, slices, window_hash, written
 
 SHINGLE = 5
 BANDS, ROWS = 40, 4
@@ -85,6 +85,7 @@ def sketches(docs: DataFrame) -> DataFrame:
     """(doc_id, n, k1, k2, bands): size, 128-bit key and band keys of each document's set."""
 
     def run(batches):
+        give_back()
         for b in batches:
             ids, column = b.column("doc_id"), b.column("text")
             for first, last, data, bounds in slices(column):
@@ -101,6 +102,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                     pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)),
                     pa.FixedSizeListArray.from_arrays(pa.array(keys.view(np.int64).ravel()), BANDS).cast(pa.list_(pa.int64()))],
                     names=["doc_id", "t1", "t2", "n", "k1", "k2", "bands"])
+        give_back()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *text_keys()).mapInArrow(
         run, "doc_id long, t1 long, t2 long, n long, k1 long, k2 long, bands array<long>")
@@ -130,6 +132,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                         last_rep = rep[i]
                 yield pa.RecordBatch.from_arrays([reps.take(pa.array(out, pa.int64())), pa.array([sets[i].tobytes() for i in out], pa.binary())],
                                                  names=["rep", "shingles"])
+        give_back()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(wanted.hint("merge"), "rep")  # sorted by rep
     return rows.mapInArrow(run, "rep long, shingles binary")
@@ -152,6 +155,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 total.append(len(u) + len(v) - c)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(common, pa.int64()), pa.array(total, pa.int64())],
                                              names=["a", "b", "common", "total"])
+        give_back()
 
     left = sets.withColumnsRenamed({"rep": "a", "shingles": "sa"})
     right = sets.withColumnsRenamed({"rep": "b", "shingles": "sb"})
@@ -250,6 +254,7 @@ def unlinked_pairs(groups: DataFrame, sets: DataFrame, percent: int) -> DataFram
                  for x, y in zip(batch.column("sa"), batch.column("sb"))]
             kept = [batch.column(c) for c in ("hub", "rep", "n", "comp")]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(d, pa.binary())], names=["hub", "rep", "n", "comp", "d"])
+        give_back()
 
     rows = (groups.join(sets.withColumnsRenamed({"shingles": "sa"}), "rep")
             .join(sets.withColumnsRenamed({"rep": "hub", "shingles": "sb"}), "hub")
@@ -270,6 +275,7 @@ def unlinked_pairs(groups: DataFrame, sets: DataFrame, percent: int) -> DataFram
             for x, y in zip(batch.column("left"), batch.column("right")):
                 found |= block_links(*(unpacked(z.values) for z in (x, y)), percent)
             yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+        give_back()
 
     return written(pairs.mapInArrow(compare, "a long, b long").distinct(), "links")
 

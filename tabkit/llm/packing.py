@@ -22,7 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tabkit.llm.common import written
+from tabkit.llm import common
+from tabkit.llm.common import give_back, written
 
 LIMIT = 2048
 END_ID = 1
@@ -80,16 +81,23 @@ class Encoder:
 
 
 _ENCODERS: dict[str, Encoder] = {}
+common.REMEMBERED.append(_ENCODERS)
 
 
 def encoder_for(path: str) -> Encoder:
-    """The Python worker's own encoder, which outlives a task. (A name of the module: what a
+    """The Python worker's own encoder, which outlives a task, until the memory is given back. (A name of the module: what a
     nested function refers to is copied with it, and would start anew in every task.)"""
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
 
 
+def forget_words() -> None:
+    """Give back the Python worker's encoders, if it has any."""
+    if _ENCODERS:
+        give_back()
+
+
 def pieces(docs: DataFrame, vocabulary: str, limit: int = LIMIT, end_id: int = END_ID) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens, ids): the pieces of every row."""
     end = np.array([end_id], "<u4").tobytes()
@@ -171,6 +179,7 @@ def packed(cut: DataFrame, limit: int = LIMIT) -> DataFrame:
               .select(*columns, (F.col("skip") + F.col("in_cell")).alias("rank")))
 
     def place(batches):
+        forget_words()  # the pieces are written
         for b in batches:
             n, rank = b.column("length").to_numpy(), b.column("rank").to_numpy()
             at = np.searchsorted(keys, n << 40 | rank, "right") - 1

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabkit.llm import decontaminate, packing, quality, secrets, sharding, topk_search, url_filter
-from tabkit.llm.common import parquet, ship_package
+from tabkit.llm.common import give_back, parquet, ship_package
 
 from . import cases
 
@@ -467,6 +467,30 @@ def test_letters_before_marks_have_the_ids_of_the_whole():
     assert encoder.ids(" ".join(text)) == np.concatenate([e.ids for e in whole]).astype("<u4").tobytes()
 
 
+def test_workers_give_the_remembered_words_back(spark):
+    """Python workers outlive a job: none may keep an encoder and its words beside what the next job needs."""
+    def held(batches):
+        from tabkit.llm import packing as own
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([sum(1 + len(e.known) for e in own._ENCODERS.values())], pa.int64())], names=["n"])
+
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "64"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        docs = cases.frame(spark, [(i, f"word{i} and others") for i in range(64)]).repartition(16)
+        assert packing.pack_documents(docs, VOCABULARY).count() == 64
+        packing.pack_documents(docs, VOCABULARY).write.format("noop").mode("overwrite").save()
+        assert {r.n for r in spark.range(0, 64, 1, 64).mapInArrow(held, "n long").collect()} == {0}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    packing.encoder_for(VOCABULARY).ids("some words")
+    give_back()
+    assert not packing._ENCODERS
+
+
 # ------------------------------------------------------------------ url filter
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 URLS = [None, "", "no scheme", "http://", "https://EXAMPLE.org/es/x?q#f", "https://a.b.example.org/en/12", "http://example.org/en/2",
