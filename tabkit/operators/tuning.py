@@ -1,9 +1,8 @@
 """Tuning (H1–H5): cross-validation over a list of settings, parameter grids,
 grid search, picking the best point and the final report.
 
-Cross-validation caches its input once; folds are a column and a filter, so no plan grows
-with the number of folds, and its fits run concurrently from a driver thread pool: each is a
-distributed MLlib job. The points of a boosting grid are trained together in shared passes.
+Cross-validation caches its input once; folds are a column, so no plan grows with the number
+of folds. Its forests, like the points of a boosting grid, are trained together in shared passes.
 """
 
 from __future__ import annotations
@@ -14,7 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.operators import boosting, evaluate, models
+from tabkit.operators import boosting, evaluate, forests, models
 from tabkit.operators.splits import training_folds
 
 # The reference's boosting grid (3 x 3 x 3 x 3 x 3 = 243 points).
@@ -41,31 +40,42 @@ def cross_validate(df: DataFrame, settings: list[tuple], k: int, fold_col: str =
                    features: str = "features", label: str = "label", seed: int = 42,
                    parallelism: int = 4, **rf_kwargs) -> DataFrame:
     """H1: mean held-out accuracy of a random forest for each (trees, depth, bins)
-    setting over ``k`` folds of the ``fold_col`` column."""
+    setting over ``k`` folds of the ``fold_col`` column. All forests grow in shared passes
+    (``forests.held_out``, the library's own trees); what that does not cover is fitted one by one."""
     spark = df.sparkSession
     data = df.select(features, label, fold_col).persist()
-    data.count()
-
-    def run(job):
-        s_i, (nt, md, mb), fold = job
-        model = models.train_rf(training_folds(data, fold, fold_col), nt, md, mb, seed,
-                                features=features, label=label, **rf_kwargs)
-        held = data.where(F.col(fold_col) == fold)
-        acc = evaluate.accuracy(model.transform(held), label, "prediction").first()["accuracy"]
-        return (s_i, nt, md, mb, fold, None if acc is None else float(acc))  # an empty fold has none
-
     jobs = [(s_i, setting, fold) for s_i, setting in enumerate(settings) for fold in range(k)]
     try:
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:  # each fit is a distributed job
-            rows = list(pool.map(run, jobs))
+        if forests.grows(data, settings, features, label, rf_kwargs):
+            scored = forests.held_out(data, settings, k, seed, parallelism, **rf_kwargs)
+            accuracies = [1 - wrong / n if n else None for n, wrong in scored]  # an empty fold has none
+        else:
+            accuracies = _fitted_one_by_one(data, jobs, seed, parallelism, rf_kwargs)
     finally:
         data.unpersist()
+    rows = [(s_i, nt, md, mb, fold, acc) for (s_i, (nt, md, mb), fold), acc in zip(jobs, accuracies)]
     folds = spark.createDataFrame(
         rows, "setting int, num_trees int, max_depth int, max_bins int, fold int, accuracy double"
     )
     return evaluate.fold_mean(folds, ["setting", "num_trees", "max_depth", "max_bins"], "accuracy", "mean_accuracy")
 
 
+def _fitted_one_by_one(data: DataFrame, jobs: list, seed: int, parallelism: int, rf_kwargs: dict) -> list:
+    features, label, fold_col = data.columns
+    data.count()
+
+    def run(job):
+        _, (nt, md, mb), fold = job
+        model = models.train_rf(training_folds(data, fold, fold_col), nt, md, mb, seed,
+                                features=features, label=label, **rf_kwargs)
+        held = data.where(F.col(fold_col) == fold)
+        acc = evaluate.accuracy(model.transform(held), label, "prediction").first()["accuracy"]
+        return None if acc is None else float(acc)  # an empty fold has none
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:  # each fit is a distributed job
+        return list(pool.map(run, jobs))
+
+
 def grid_search(train: DataFrame, val: DataFrame, grid: DataFrame, patience: int = models.EARLY_STOP_PATIENCE,
                 metric: str = "auc", features: str = "features", label: str = "label", key: str | None = None,
                 seed: int = 42) -> DataFrame:
